@@ -72,19 +72,25 @@ def strip_json_nulls(c: Column | str) -> Column:
     return F.when(c != "null", c)
 
 
-def clean_rows(rows: DataFrame, skip_pct: float, run_ts: Column) -> DataFrame:
+def stage_rows(rows: DataFrame, run_ts: Column, path: str) -> DataFrame:
+    """Parsed rows with their file columns, written once as the stage table of a load.
+
+    Whether a row is bad shows only when all its columns are parsed, so the parse must not be repeated on fewer.
+    """
+    rows.select("*", *file_columns(run_ts)).write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def clean_rows(staged: DataFrame, skip_pct: float) -> DataFrame:
     """Good rows of the files whose share of bad rows does not exceed ``skip_pct``; worse files are left out whole."""
-    tagged = rows.select("*", *file_columns(run_ts))
-    per_file = file_report(tagged)
-    worse = per_file.filter(F.col("rows_bad") * 100 > F.col("rows_parsed") * F.lit(skip_pct)).select("meta_file_name")
-    return tagged.join(worse, "meta_file_name", "left_anti").filter(F.col(CORRUPT).isNull()).select(
-        *[c for c in tagged.columns if c != CORRUPT]
-    )
+    worse = file_report(staged).filter(F.col("rows_bad") * 100 > F.col("rows_parsed") * F.lit(skip_pct))
+    kept = staged.join(worse.select("meta_file_name"), "meta_file_name", "left_anti")
+    return kept.filter(F.col(CORRUPT).isNull()).select(*[c for c in staged.columns if c != CORRUPT])
 
 
-def file_report(tagged: DataFrame) -> DataFrame:
+def file_report(staged: DataFrame) -> DataFrame:
     """Rows parsed and rows bad per file."""
-    return tagged.groupBy("meta_file_name").agg(
+    return staged.groupBy("meta_file_name").agg(
         F.count(F.lit(1)).alias("rows_parsed"), F.count_if(F.col(CORRUPT).isNotNull()).alias("rows_bad")
     )
 

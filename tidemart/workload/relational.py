@@ -203,7 +203,7 @@ def _(t):
     from tidemart.plans.logistics import business_days
 
     both = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return both.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", business_days(F.to_date("o_orderdate"), F.to_date("l_shipdate")).alias("work_days"))
+    return both.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.greatest(business_days(F.to_date("o_orderdate"), F.to_date("l_shipdate")), F.lit(0)).alias("work_days"))
 
 
 _NEAREST = """WITH c AS (SELECT event_id AS click_id, user_id, ts AS ct FROM events WHERE event_type = 'click'),
