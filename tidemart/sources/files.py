@@ -58,12 +58,29 @@ def read_csv(spark: SparkSession, path: str | list[str], schema, fmt: CsvFormat
     return spark.read.schema(_with_corrupt(schema)).options(**fmt.options()).csv(path)
 
 
-def read_json(spark: SparkSession, path: str | list[str], schema, timestamp_format: str | None = None) -> DataFrame:
-    """JSON lines matched to the declared columns by name without regard to case."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    if timestamp_format:
-        options |= {"timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format}
-    return spark.read.schema(_with_corrupt(schema)).options(**options).json(path)
+def _key_is(name: str):
+    return lambda entry: F.lower(entry["key"]) == F.lit(name)
+
+
+def read_json(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
+    """JSON lines matched to the declared columns by name without regard to case.
+
+    A line that is no JSON object, or a value that does not fit its type, keeps the line in ``_corrupt_record``.
+    """
+    declared = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    entries = F.map_entries(F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}))
+    parsed = spark.read.text(path).withColumn("_entries", entries)
+    texts, values = [], []
+    for f in declared.fields:
+        text = F.get(F.filter("_entries", _key_is(f.name.lower())), F.lit(0))["value"]
+        nested = isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
+        texts.append(text)
+        values.append(F.from_json(text, f.dataType) if nested else text.try_cast(f.dataType))
+    misfit = reduce(lambda x, y: x | y, [t.isNotNull() & v.isNull() for t, v in zip(texts, values)])
+    return parsed.select(
+        *[v.alias(f.name) for f, v in zip(declared.fields, values)],
+        F.when(F.col("_entries").isNull() | misfit, F.col("value")).alias(CORRUPT),
+    )
 
 
 def strip_json_nulls(c: Column | str) -> Column:
