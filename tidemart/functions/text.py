@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,6 +111,32 @@ def zip5(c: Column | str) -> Column:
     return F.when(hit != "", hit)
 
 
+def standard_state(c: Column | str) -> Column:
+    """Letters of the state in upper case, 'Unknown' when none is left."""
+    letters = F.regexp_replace(F.upper(as_col(c)), "[^A-Z]", "")
+    return F.when(F.length(letters) > 0, letters).otherwise("Unknown")
+
+
+def standard_zip(c: Column | str) -> Column:
+    """US postal code: five digits, or five and four with a dash; a broken extension is cut, the rest is 'Unknown'."""
+    z = F.regexp_replace(F.ltrim(F.upper(as_col(c))), "[^0-9A-Z -]", "")
+    return (
+        F.when(z.contains("REMOVED"), "Unknown")
+        .when(z.rlike(r"^[0-9]{5}(-[0-9]{4})?$"), z)
+        .when(z.rlike(r"^[0-9]{9}$"), F.concat(F.left(z, F.lit(5)), F.lit("-"), F.right(z, F.lit(4))))
+        .when(z.rlike(r"^[0-9]{5}-"), F.left(z, F.lit(5)))
+        .otherwise("Unknown")
+    )
+
+
+def address_mismatch(df: DataFrame, first: Sequence[str], second: Sequence[str], out: str) -> DataFrame:
+    """Names of the address parts that differ after cleaning; '' when the addresses agree."""
+    parts = [
+        F.when(~clean_address(a).eqNullSafe(clean_address(b)), F.lit(a)) for a, b in zip(first, second, strict=True)
+    ]
+    return df.withColumn(out, F.concat_ws(",", *parts))
+
+
 def calendar(spark, start: str, days: int) -> DataFrame:
     """Calendar dimension; weeks start on Sunday."""
     day = F.date_add(F.lit(start).cast("date"), F.col("id").cast("int"))

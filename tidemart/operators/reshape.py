@@ -69,16 +69,22 @@ def struct_leaves(schema: T.StructType, prefix: str = "", path: str = "") -> lis
     return out
 
 
-def flatten_object(df: DataFrame, column: str, exploded: str = "PROPERTIES_PRODUCTS") -> DataFrame:
-    """Nested object as flat columns; the one named list of objects becomes rows, other lists stay lists."""
+def flatten_object(
+    df: DataFrame, column: str, exploded: str = "PROPERTIES_PRODUCTS", position: str | None = None
+) -> DataFrame:
+    """Nested object as flat columns; the one named list of objects becomes rows, other lists stay lists.
+
+    ``position`` names a column for the place in the list (0 where there is no list).
+    """
     others = [c for c in df.columns if c != column]
     leaves = struct_leaves(df.schema[column].dataType, "", f"`{column}`")
     flat = df.select(*others, *[F.col(path).alias(name) for path, name in leaves])
     if exploded not in flat.columns:
-        return flat
-    rows = flat.select(
-        *[c for c in flat.columns if c != exploded], F.explode_outer(exploded).alias(exploded)
-    )
+        return flat.withColumn(position, F.lit(0)) if position else flat
+    rest = [c for c in flat.columns if c != exploded]
+    rows = flat.select(*rest, F.posexplode_outer(exploded).alias("_place", exploded))
+    place = F.coalesce("_place", F.lit(0)).alias(position) if position else None
+    rows = rows.select(*rest, exploded, *([place] if position else []))
     element = rows.schema[exploded].dataType
     if not isinstance(element, T.StructType):
         return rows

@@ -60,7 +60,7 @@ def visit_count(
     )
     opened = folded.withColumn("_one", F.col("is_first").cast("long"))
     begin = F.struct(F.col(event_key).alias("k"), F.col(ts).alias("t"), *[F.col(c).alias(f"c_{c}") for c in carry])
-    opened = opened.withColumn("_begin", F.when("is_first", begin))
+    opened = opened.withColumn("_begin", F.when(F.col("is_first"), begin))
     numbered = ordered_scan(
         opened,
         [visitor],
@@ -68,7 +68,7 @@ def visit_count(
         [Scan("visit_count", "sum", "_one"), Scan("_visit", "fill", "_begin"), Scan("_rn", "number")],
         **limits,
     )
-    first_rn = numbered.withColumn("_first_rn", F.when("is_first", F.col("_rn")))
+    first_rn = numbered.withColumn("_first_rn", F.when(F.col("is_first"), F.col("_rn")))
     placed = ordered_scan(first_rn, [visitor], [ts, event_key], [Scan("_open_rn", "fill", "_first_rn")], **limits)
     return placed.select(
         *df.columns,

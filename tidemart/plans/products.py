@@ -12,17 +12,18 @@ from tidemart.functions.semantics import descending, latest_by
 from tidemart.operators.scan import Scan, global_tiles, ordered_scan
 
 
-def co_occurrence(items: DataFrame, basket: str, item: str) -> DataFrame:
-    """Number of baskets each unordered pair of items shares.
+def co_occurrence(items: DataFrame, basket: str, item: str, dims: Sequence[str] = ()) -> DataFrame:
+    """Number of baskets each unordered pair of items shares, per dimension of the basket.
 
-    For items of a bounded vocabulary (brands, categories). Baskets become distinct item lists, equal lists are
+    For items of a bounded vocabulary (departments, brands). Baskets become distinct item lists, equal lists are
     counted once with their weight, and only one representative of each list gives pairs.
     """
-    lists = items.select(basket, item).distinct().groupBy(basket).agg(F.array_sort(F.collect_list(item)).alias("set"))
-    weighted = lists.groupBy("set").agg(F.count(F.lit(1)).alias("w")).filter(F.size("set") > 1)
-    firsts = weighted.select("set", "w", F.posexplode("set").alias("i", "item_a"))
-    pairs = firsts.select("w", "item_a", F.explode(F.expr("slice(set, i + 2, size(set))")).alias("item_b"))
-    return pairs.groupBy("item_a", "item_b").agg(F.sum("w").alias("baskets"))
+    by = [*dims, basket]
+    lists = items.select(*by, item).distinct().groupBy(*by).agg(F.array_sort(F.collect_list(item)).alias("set"))
+    weighted = lists.groupBy(*dims, "set").agg(F.count(F.lit(1)).alias("w")).filter(F.size("set") > 1)
+    firsts = weighted.select(*dims, "set", "w", F.posexplode("set").alias("i", "item_a"))
+    pairs = firsts.select(*dims, "w", "item_a", F.explode(F.expr("slice(set, i + 2, size(set))")).alias("item_b"))
+    return pairs.groupBy(*dims, "item_a", "item_b").agg(F.sum("w").alias("baskets"))
 
 
 def combination_label(flags: dict[str, Column]) -> Column:

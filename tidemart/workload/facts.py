@@ -1 +1,262 @@
+"""Fact assembly, event tables, products, addresses and customer attributes."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemart.functions import semantics as S
+from tidemart.functions import text as X
+from tidemart.operators import joins as J
+from tidemart.operators import quality as Q
+from tidemart.operators import watermark as WM
+from tidemart.operators.reshape import ordered_list
+from tidemart.plans import facts as P
+from tidemart.plans import products as PR
+from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query, when
+
+N = F.count(F.lit(1))
+T1, T2 = "2002-01-01 00:00:00", "2002-01-02 00:00:00"
+
+
+@query("d51_basket_co_occurrence", f"""WITH b AS (SELECT DISTINCT priority, orderkey, p_type AS item FROM {SQL_SALES} JOIN part ON p_partkey = partkey) SELECT x.priority, x.item AS item_a, y.item AS item_b, COUNT(*)::BIGINT AS baskets FROM b x JOIN b y ON x.orderkey = y.orderkey AND x.item < y.item GROUP BY 1, 2, 3""")
+def _(t):
+    items = t.sales().join(t.part, F.col("partkey") == F.col("p_partkey")).select("priority", "orderkey", F.col("p_type").alias("item"))
+    return PR.co_occurrence(items, "orderkey", "item", ["priority"])
+
+
+@query("d52_order_combinations", f"""WITH f AS (SELECT orderkey, BOOL_OR(p_type = 'PROMO') AS a, BOOL_OR(p_type = 'LARGE') AS b, BOOL_OR(p_type = 'SMALL') AS c FROM {SQL_LINES} JOIN part ON p_partkey = partkey GROUP BY 1)
+ SELECT array_to_string(list_filter([CASE WHEN a THEN 'Promo' END, CASE WHEN b THEN 'Large' END, CASE WHEN c THEN 'Small' END], lambda x: x IS NOT NULL), ' + ') AS combination, COUNT(*)::BIGINT AS orders FROM f GROUP BY 1""")
+def _(t):
+    lines = t.lines().join(t.part, F.col("partkey") == F.col("p_partkey"))
+    has = lambda k: F.max(F.col("p_type") == k)
+    flags = lines.groupBy("orderkey").agg(has("PROMO").alias("a"), has("LARGE").alias("b"), has("SMALL").alias("c"))
+    label = PR.combination_label({"Promo": F.col("a"), "Large": F.col("b"), "Small": F.col("c")})
+    return flags.groupBy(label.alias("combination")).agg(N.alias("orders"))
+
+
+@query("d53_customer_segments", """WITH f AS (SELECT o_custkey, (DATE '2001-08-01' - MAX(o_orderdate)::DATE)::BIGINT AS recency_days, COUNT(*)::BIGINT AS frequency, SUM(o_totalprice::DECIMAL(18,2)) AS v FROM orders GROUP BY 1), n AS (SELECT *, NTILE(10) OVER (ORDER BY v, o_custkey) AS tile FROM f)
+ SELECT o_custkey, recency_days, frequency, v::DOUBLE AS value, tile::BIGINT AS value_tile, CASE WHEN tile >= 9 AND recency_days <= 180 THEN 'champion' WHEN tile >= 9 THEN 'lapsed top' WHEN recency_days <= 180 THEN 'active' ELSE 'dormant' END AS segment FROM n""")
+def _(t):
+    o = t.orders.select("o_custkey", "o_orderdate", money("o_totalprice").alias("v"))
+    return PR.rfm(o, "o_custkey", "o_orderdate", "v", F.lit("2001-08-01").cast("date"))
+
+
+@query("d54_product_attributes", """WITH b AS (SELECT p_name, p_type, arg_min(p_partkey, (p_size, -p_partkey)) AS master, string_agg(DISTINCT p_brand, ', ' ORDER BY p_brand) AS brands FROM part GROUP BY 1, 2) SELECT p_partkey, master, brands FROM part JOIN b USING (p_name, p_type)""")
+def _(t):
+    p = t.part.select("p_partkey", "p_name", "p_type", "p_size", "p_brand")
+    with_master = PR.preferred_member(p, ["p_name", "p_type"], [F.col("p_size"), -F.col("p_partkey")], "p_partkey", "master")
+    return PR.group_list(with_master, ["p_name", "p_type"], "p_brand", "brands").select("p_partkey", "master", "brands")
+
+
+@query("d56_addresses", """WITH a AS (SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN ' removed' WHEN c_nationkey < 5 THEN right('0000' || c_custkey, 5) WHEN c_nationkey < 10 THEN right('0000' || c_custkey, 5) || '-' || right('000' || c_nationkey, 4) WHEN c_nationkey < 15 THEN right('0000' || c_custkey, 5) || right('000' || c_nationkey, 4) WHEN c_nationkey < 20 THEN right('0000' || c_custkey, 5) || '-7' ELSE 'K1A 0B1' END AS zip, c_nationkey FROM customer)
+ SELECT c_custkey, CASE WHEN zip = ' removed' THEN 'Unknown' WHEN c_nationkey < 10 THEN zip WHEN c_nationkey < 15 THEN left(zip, 5) || '-' || right(zip, 4) WHEN c_nationkey < 20 THEN left(zip, 5) ELSE 'Unknown' END AS zip_code, CASE WHEN c_nationkey < 12 THEN 'CALIF' ELSE 'Unknown' END AS state, CASE WHEN c_nationkey < 3 THEN 'street' ELSE '' END AS mismatch FROM a""")
+def _(t):
+    five = F.lpad(F.col("c_custkey").cast("string"), 5, "0")
+    four = F.lpad(F.col("c_nationkey").cast("string"), 4, "0")
+    n = F.col("c_nationkey")
+    zip_code = F.when(F.col("c_acctbal") < 0, " removed").when(n < 5, five).when(n < 10, F.concat(five, F.lit("-"), four)).when(n < 15, F.concat(five, four)).when(n < 20, F.concat(five, F.lit("-7"))).otherwise("K1A 0B1")
+    c = t.customer.select(
+        "c_custkey", X.standard_zip(zip_code).alias("zip_code"), X.standard_state(F.when(n < 12, "Calif. ").otherwise("--")).alias("state"),
+        F.lit("12 Main St.").alias("street"), F.when(n < 3, "12 High St").otherwise("12  main st").alias("street2"),
+    )
+    return X.address_mismatch(c, ["street"], ["street2"], "mismatch").drop("street", "street2")
+
+
+_GEO_P = "(SELECT c_custkey AS pid, 25 + c_nationkey + c_acctbal / 20000.0::DOUBLE AS lat, -120 + c_nationkey * 2 + c_acctbal / 15000.0::DOUBLE AS lon FROM customer)"
+_GEO_C = "(SELECT n_nationkey AS cid, 25.0::DOUBLE + n_nationkey AS lat, -120.0::DOUBLE + n_nationkey * 2 AS lon FROM nation)"
+_COS = "(SIN(c.lat / 57.2958::DOUBLE) * SIN(p.lat / 57.2958::DOUBLE) + COS(c.lat / 57.2958::DOUBLE) * COS(p.lat / 57.2958::DOUBLE) * COS(p.lon / 57.2958::DOUBLE - c.lon / 57.2958::DOUBLE))"
+
+
+@query("d57_within_radius", f"SELECT cid::BIGINT AS centre_id, pid AS point_id, ROUND(m, 1) AS miles FROM (SELECT cid, pid, CASE WHEN {_COS} >= 1 THEN 0 ELSE ROUND(ACOS({_COS}) * 3963, 2) END AS m FROM {_GEO_P} p CROSS JOIN {_GEO_C} c) WHERE m <= 50")
+def _(t):
+    points = t.customer.select(
+        F.col("c_custkey").alias("pid"), (F.lit(25) + F.col("c_nationkey") + F.col("c_acctbal") / 20000.0).alias("lat"),
+        (F.lit(-120) + F.col("c_nationkey") * 2 + F.col("c_acctbal") / 15000.0).alias("lon"),
+    )
+    centres = t.nation.select(
+        F.col("n_nationkey").alias("cid"), (F.lit(25.0) + F.col("n_nationkey")).alias("lat"), (F.lit(-120.0) + F.col("n_nationkey") * 2).alias("lon")
+    )
+    return J.within_radius(points, centres, ("pid", "lat", "lon"), ("cid", "lat", "lon"), 50).withColumn("miles", F.round("miles", 1))
+
+
+def _raw_events(t):
+    k = F.get_json_object("props", "$.k").cast("int")
+    item = lambda n: F.struct(n.alias("sku"), F.struct(F.col("value").alias("amount")).alias("price"))
+    products = F.when(F.col("event_type") == "purchase", F.when(k < 50, F.array(item(k))).otherwise(F.array(item(k), item(k + 100))))
+    body = F.struct(F.struct(k.alias("k"), products.alias("products")).alias("properties"), F.struct(F.lit("1.0").alias("app version")).alias("context"))
+    rows = t.events.select("event_id", F.col("ts").alias("received_at"), F.col("event_type").alias("event"), F.to_json(body).alias("doc"))
+    late = rows.filter("event = 'click'").withColumn("received_at", F.timestamp_add("DAY", F.lit(1), F.col("received_at")))
+    schema = "properties struct<k: int, products: array<struct<sku: int, price: struct<amount: double>>>>, context struct<`app version`: string>"
+    return rows.unionByName(late).withColumn("b", F.from_json("doc", schema)).select("event_id", "received_at", "event", F.struct("b.*").alias("b"))
+
+
+@query("d58_event_tables", """SELECT event_id, ts::VARCHAR AS received_at, event_type AS event, (json_extract(props, '$.k'))::BIGINT AS k, '{"CONTEXT_APP_VERSION":"1.0"}' AS rescued FROM events WHERE event_type IN ('click', 'view')""")
+def _(t):
+    raw = _raw_events(t)
+    declared = {"click": {"PROPERTIES_K": "bigint"}, "view": {"PROPERTIES_K": "bigint"}}
+    first = P.event_tables(raw.filter("received_at < timestamp_ntz '2024-01-16'"), "event_id", "event", "b", declared, "received_at", when(T1))
+    both = P.event_tables(raw, "event_id", "event", "b", declared, "received_at", when(T2), first)
+    part = lambda k: both[k].select("event_id", "received_at", F.lit(k).alias("event"), F.col("PROPERTIES_K").alias("k"), F.get_json_object(F.col("_rescued_data"), "$").alias("r"))
+    rows = part("click").unionByName(part("view"))
+    version = F.get_json_object("r", "$.CONTEXT_APP_VERSION")
+    return rows.withColumn("rescued", F.concat(F.lit('{"CONTEXT_APP_VERSION":"'), version, F.lit('"}'))).drop("r")
+
+
+@query("d58_event_items", "SELECT event_id, (i - 1)::BIGINT AS item_position, (json_extract(props, '$.k'))::BIGINT + 100 * (i - 1) AS sku, value AS amount FROM events, LATERAL (SELECT unnest(generate_series(1, CASE WHEN (json_extract(props, '$.k'))::INT < 50 THEN 1 ELSE 2 END)) AS i) WHERE event_type = 'purchase'")
+def _(t):
+    declared = {"purchase": {"PROPERTIES_PRODUCTS_SKU": "bigint", "PROPERTIES_PRODUCTS_PRICE_AMOUNT": "double"}}
+    out = P.event_tables(_raw_events(t), "event_id", "event", "b", declared, "received_at", when(T1))["purchase"]
+    return out.select("event_id", "item_position", F.col("PROPERTIES_PRODUCTS_SKU").alias("sku"), F.col("PROPERTIES_PRODUCTS_PRICE_AMOUNT").alias("amount"))
+
+
+_STATUS = "(SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus, MIN(o_orderkey) OVER (PARTITION BY o_custkey, date_trunc('month', o_orderdate)) AS master FROM orders)"
+
+
+@query("d61_order_fact", f"""WITH o AS (SELECT * FROM {_STATUS}), ch AS (SELECT master, arg_min(o_orderstatus, (CASE o_orderstatus WHEN 'P' THEN 1 WHEN 'O' THEN 2 ELSE 3 END, o_orderkey)) AS best FROM o WHERE o_orderkey <> master GROUP BY 1),
+ l AS (SELECT orderkey, SUM(net) AS net, SUM(qty) AS units, COUNT(*) AS lines, SUM(net) FILTER (returnflag = 'R') AS refunds FROM {SQL_LINES} GROUP BY 1), f AS (SELECT orderkey, arg_min(suppkey, (ship_date, linenumber, suppkey, partkey)) AS first_supplier FROM {SQL_LINES} GROUP BY 1)
+ SELECT o.o_orderkey, COALESCE(ch.best, o_orderstatus) AS order_status, COALESCE(net, 0)::DOUBLE AS net, COALESCE(units, 0)::BIGINT AS units, COALESCE(lines, 0)::BIGINT AS lines, COALESCE(refunds, 0)::DOUBLE AS refunds, COALESCE(first_supplier, -1)::BIGINT AS first_supplier, CASE WHEN o_orderdate < TIMESTAMP '2001-01-01' THEN '{T1}' ELSE '{T2}' END AS created
+ FROM o LEFT JOIN ch ON ch.master = o.o_orderkey LEFT JOIN l ON l.orderkey = o.o_orderkey LEFT JOIN f ON f.orderkey = o.o_orderkey""")
+def _(t):
+    group = t.orders.groupBy("o_custkey", F.date_trunc("month", "o_orderdate").alias("mo")).agg(F.min("o_orderkey").alias("master"))
+    base = t.orders.withColumn("mo", F.date_trunc("month", "o_orderdate")).join(group, ["o_custkey", "mo"]).select(
+        F.col("o_orderkey").alias("orderkey"), "o_orderdate", "o_orderstatus", "master"
+    )
+    lines = t.lines()
+    steps = [
+        P.master_status({"P": 1, "O": 2, "F": 3}, "orderkey", "master", "o_orderstatus", "order_status"),
+        P.add_totals(
+            lines, "orderkey", net=F.sum("net"), units=F.sum("qty"), lines=N, refunds=F.sum(F.when(F.col("returnflag") == "R", F.col("net")))
+        ),
+        P.add_first(lines.withColumn("first_supplier", F.col("suppkey")), "orderkey", ["ship_date", "linenumber", "suppkey", "partkey"], ["first_supplier", "ship_date", "linenumber", "suppkey", "partkey"]),
+        lambda df: df.drop("ship_date", "linenumber", "suppkey", "partkey").withColumn("first_supplier", F.coalesce("first_supplier", F.lit(-1))),
+    ]
+    early = t.orders.filter(F.col("o_orderdate") < when("2001-01-01")).select(F.col("o_orderkey").alias("orderkey"))
+    low = {"orders": F.lit("2000-12-31 12:00:00").cast("timestamp_ntz")}
+    moved = WM.changed_keys("orderkey", low, None, [("orders", base.select("orderkey", "o_orderdate"), "o_orderdate", None, None)])
+    whole = P.assemble(None, base, "orderkey", steps)
+    first = P.load_fact(None, whole.join(early, "orderkey", "left_semi"), ["orderkey"], when(T1))
+    out = P.load_fact(first, whole.join(moved, "orderkey", "left_semi"), ["orderkey"], when(T2))
+    return out.select(F.col("orderkey").alias("o_orderkey"), "order_status", "net", "units", "lines", "refunds", "first_supplier", F.col("meta_create_datetime").alias("created"))
+
+
+_FL = f"(SELECT orderkey, linenumber, MIN(ship_date) AS added, MIN(net) AS net FROM {SQL_LINES} GROUP BY 1, 2)"
+
+
+@query("d62_return_lines", f"""WITH l AS (SELECT * FROM {_FL}), x AS (SELECT *, CASE WHEN SUM(net) OVER o = 0 THEN 1.0 / COUNT(*) OVER o ELSE net::DOUBLE / (SUM(net) OVER o)::DOUBLE END AS r FROM l WINDOW o AS (PARTITION BY orderkey)),
+ f AS (SELECT orderkey, linenumber, MIN(ship_date) AS a FROM {SQL_LINES} WHERE returnflag = 'R' GROUP BY 1, 2), d AS (SELECT orderkey, SUM(gross) AS refund FROM {SQL_LINES} WHERE returnflag = 'R' GROUP BY 1)
+ SELECT x.orderkey, x.linenumber::BIGINT AS linenumber, a::VARCHAR AS returned_at, ROUND(refund::DOUBLE * r, 2) AS refund_share FROM x JOIN f USING (orderkey, linenumber) JOIN d USING (orderkey)""")
+def _(t):
+    all_lines = t.lines()
+    lines = all_lines.groupBy("orderkey", "linenumber").agg(F.min("net").alias("net"))
+    returns = all_lines.filter("returnflag = 'R'").select("orderkey", "linenumber", F.col("ship_date").alias("returned_at"))
+    refund = all_lines.filter("returnflag = 'R'").groupBy("orderkey").agg(F.sum("gross").alias("refund"))
+    out = P.return_lines(lines, returns, "orderkey", ["orderkey", "linenumber"], "returned_at", "net", refund)
+    return out.select("orderkey", "linenumber", "returned_at", F.round("refund_share", 2).alias("refund_share"))
+
+
+@query("d62_discount_keys", "SELECT o_orderkey FROM orders WHERE o_orderdate > TIMESTAMP '2001-06-01' OR o_totalprice < 2000 OR o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1)")
+def _(t):
+    changed = t.orders.filter(F.col("o_orderdate") > when("2001-06-01"))
+    deleted = t.orders.filter("o_totalprice < 2000")
+    errored = t.lineitem.filter("l_quantity = 50 AND l_discount = 0.1D").select(F.col("l_orderkey").alias("o_orderkey"))
+    known = t.orders.select("o_orderkey")
+    return P.discount_keys(changed, deleted, errored.join(known, "o_orderkey", "left_semi"), "o_orderkey")
+
+
+@query("d63_credit_events", f"""WITH u AS (SELECT o_orderkey AS credit, 'Issued' AS k, 0 AS r, o_orderdate AS at_, o_totalprice::DECIMAL(18,4) AS amount FROM orders UNION ALL SELECT orderkey, CASE returnflag WHEN 'A' THEN 'Redeemed' WHEN 'R' THEN 'Cancelled' ELSE 'Expired' END, CASE returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 ELSE 3 END, ship_date, net FROM {SQL_LINES})
+ SELECT k AS credit_activity_type, r::BIGINT AS activity_rank, date_trunc('year', at_)::DATE::VARCHAR AS year, COUNT(*)::BIGINT AS n, SUM(amount)::DOUBLE AS amount FROM u GROUP BY 1, 2, 3""")
+def _(t):
+    issued = t.orders.select(F.col("o_orderkey").alias("credit"), F.col("o_orderdate").alias("at"), F.col("o_totalprice").cast("decimal(18,4)").alias("amount"))
+    used = lambda flag: t.lines().filter(F.col("returnflag") == flag).select(F.col("orderkey").alias("credit"), F.col("ship_date").alias("at"), F.col("net").alias("amount"))
+    fact = P.credit_events({"Issued": issued, "Redeemed": used("A"), "Cancelled": used("R"), "Expired": used("N")}, ["credit", "at", "amount"])
+    return fact.groupBy("credit_activity_type", "activity_rank", F.to_date(F.date_trunc("year", "at")).alias("year")).agg(N.alias("n"), F.sum("amount").alias("amount"))
+
+
+@query("d66_top_k_other", f"""WITH s AS (SELECT date_trunc('year', order_date)::DATE AS y, p_brand, SUM(net) AS v FROM {SQL_SALES} JOIN part ON p_partkey = partkey GROUP BY 1, 2), r AS (SELECT *, DENSE_RANK() OVER (PARTITION BY y ORDER BY v DESC) AS k, COUNT(*) OVER (PARTITION BY y) AS m FROM s)
+ SELECT y::VARCHAR AS y, CASE WHEN k <= 10 OR m = 1 THEN p_brand ELSE 'Other Grouping' END AS p_brand, SUM(v)::DOUBLE AS total FROM r GROUP BY 1, 2""")
+def _(t):
+    s = t.sales().join(t.part, F.col("partkey") == F.col("p_partkey")).withColumn("y", F.to_date(F.date_trunc("year", "order_date")))
+    return PR.top_k_other(s, ["y"], "p_brand", "net", 10)
+
+
+@query("d69_reactivation", "WITH c AS (SELECT user_id, MIN(ts) AS c FROM events WHERE event_type = 'error' GROUP BY 1) SELECT c.user_id, c::VARCHAR AS first_cancel, COALESCE(MIN(ts)::VARCHAR, '-') AS next_activation FROM c LEFT JOIN events e ON e.user_id = c.user_id AND event_type = 'signup' AND ts > c GROUP BY 1, 2")
+def _(t):
+    out = PR.reactivations(t.events, "user_id", "ts", "event_type", "error", "signup")
+    return out.select("user_id", "first_cancel", F.coalesce(F.col("next_activation").cast("string"), F.lit("-")).alias("next_activation"))
+
+
+@query("d70_event_periods", "WITH x AS (SELECT user_id, ts, event_type AS k, LEAD(event_type) OVER w AS nk, LEAD(ts) OVER w AS nt FROM events WHERE event_type IN ('view', 'purchase', 'error') WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) SELECT user_id, ts::VARCHAR AS start_at, CASE WHEN nk = 'error' THEN nt ELSE TIMESTAMP '9999-12-31' END::VARCHAR AS end_at FROM x WHERE k <> 'error'")
+def _(t):
+    return PR.event_periods(t.events, "user_id", "ts", "event_type", "event_id", ["view", "purchase"], "error", when("9999-12-31"))
+
+
+@query("d71_legacy_union", "SELECT o_custkey + 1 AS id, CASE o_orderstatus WHEN 'F' THEN 'Activation' ELSE 'Cancellation' END AS kind, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'legacy' ELSE 'current' END AS platform, COUNT(*)::BIGINT AS n FROM orders GROUP BY 1, 2, 3")
+def _(t):
+    o = t.orders.select((F.col("o_custkey") + 1).alias("o_custkey"), "o_orderdate", "o_orderstatus")
+    cut = F.col("o_orderdate") < when("1998-01-01")
+    old = o.filter(cut).select(F.col("o_custkey").alias("id"), F.when(F.col("o_orderstatus") == "F", "Activation").otherwise("Cancellation").alias("kind"))
+    new = o.filter(~cut).select(F.concat(F.col("o_custkey").cast("string"), F.lit("20")).cast("long").alias("id"), F.when(F.col("o_orderstatus") == "F", "joined").otherwise("left").alias("kind"))
+    out = PR.legacy_union(old, new, {"joined": "Activation", "left": "Cancellation"}, "kind", "id")
+    return out.groupBy("id", "kind", "platform").agg(N.alias("n"))
+
+
+@query("d71_category_path", "SELECT p_partkey, p_brand AS level_1, p_type AS level_2, CASE WHEN p_size > 25 THEN p_name ELSE 'none' END AS level_3 FROM part")
+def _(t):
+    path = F.concat_ws(" >> ", "p_brand", "p_type", F.when(F.col("p_size") > 25, F.col("p_name")))
+    levels = PR.path_levels(F.col("path"), ">>", 3)
+    return t.part.withColumn("path", path).select("p_partkey", *levels).fillna("none", ["level_3"])
+
+
+@query("d73_audit_extract", "WITH b AS (SELECT o_orderkey, o_custkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate BETWEEN TIMESTAMP '1998-01-01' AND TIMESTAMP '1998-06-30' AND c_mktsegment = 'BUILDING') SELECT 'base' AS part, COUNT(*)::BIGINT AS n FROM b UNION ALL SELECT 'lines', COUNT(*) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM b) UNION ALL SELECT 'customers', COUNT(*) FROM customer WHERE c_custkey IN (SELECT o_custkey FROM b)")
+def _(t):
+    orders = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+    bounded = F.col("o_orderdate").between(when("1998-01-01"), when("1998-06-30")) & (F.col("c_mktsegment") == "BUILDING")
+    parts = PR.audit_extract(orders, bounded, {"lines": (t.lineitem, "l_orderkey", "o_orderkey"), "customers": (t.customer, "c_custkey", "o_custkey")})
+    rows = [df.agg(F.lit(name).alias("part"), N.alias("n")) for name, df in parts.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query("v01_latest_metadata", "SELECT c_mktsegment, arg_max(c_name, (c_acctbal, c_custkey)) AS c_name FROM customer GROUP BY 1")
+def _(t):
+    out = PR.latest_metadata(t.customer.select("c_mktsegment", "c_name", "c_acctbal", "c_custkey"), ["c_mktsegment"], ["c_acctbal", "c_custkey"])
+    return out.select("c_mktsegment", "c_name")
+
+
+@query("v02_joined_actions", "SELECT COALESCE(a.user_id, b.user_id) AS user_id, COALESCE(a.d, b.d)::VARCHAR AS day, COALESCE(clicks, 0)::BIGINT AS clicks, COALESCE(buys, 0)::BIGINT AS buys FROM (SELECT user_id, ts::DATE AS d, COUNT(*) AS clicks FROM events WHERE event_type = 'click' GROUP BY 1, 2) a FULL JOIN (SELECT user_id, ts::DATE AS d, COUNT(*) AS buys FROM events WHERE event_type = 'purchase' GROUP BY 1, 2) b ON a.user_id = b.user_id AND a.d = b.d")
+def _(t):
+    of = lambda k, out: t.events.filter(F.col("event_type") == k).groupBy("user_id", F.to_date("ts").alias("day")).agg(N.alias(out))
+    return of("click", "clicks").join(of("purchase", "buys"), ["user_id", "day"], "full").fillna(0, ["clicks", "buys"])
+
+
+@query("v03_union_of_sheets", "SELECT kind, nation, COUNT(*)::BIGINT AS n FROM (SELECT 'customer' AS kind, c_nationkey::BIGINT AS nation FROM customer UNION ALL SELECT 'supplier', s_nationkey FROM supplier) GROUP BY 1, 2")
+def _(t):
+    c = t.customer.select(F.lit("customer").alias("kind"), F.col("c_nationkey").alias("nation"))
+    s = t.supplier.select(F.lit("supplier").alias("kind"), F.col("s_nationkey").alias("nation"))
+    return c.unionByName(s).groupBy("kind", "nation").agg(N.alias("n"))
+
+
+@query("v04_flattened_json", "SELECT (json_extract(props, '$.k'))::BIGINT AS k, event_type, COUNT(*)::BIGINT AS n FROM events GROUP BY 1, 2")
+def _(t):
+    flat = t.events.withColumn("k", F.variant_get(F.parse_json("props"), "$.k", "long"))
+    return flat.groupBy("k", "event_type").agg(N.alias("n"))
+
+
+@query("v05_attribute_history", "SELECT user_id, " + ", ".join(f"COALESCE(arg_max(event_id, (ts, event_id)) FILTER (event_type = '{k}'), -1)::BIGINT AS \"{k}\"" for k in ("click", "view", "signup")) + " FROM events WHERE event_type IN ('click', 'view', 'signup') GROUP BY 1")
+def _(t):
+    kinds = ["click", "view", "signup"]
+    wide = t.events.filter(F.col("event_type").isin(kinds)).groupBy("user_id").pivot("event_type", kinds).agg(F.max_by("event_id", F.struct("ts", "event_id")))
+    return wide.fillna(-1, kinds)
+
+
+_BAD = "(SELECT *, COUNT(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS c FROM lineitem)"
+
+
+@query("q_mart_pipeline", f"SELECT supplier_key, COUNT(*)::BIGINT AS n, SUM(v)::DOUBLE AS v FROM (SELECT CASE WHEN l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) THEN l_suppkey ELSE -1 END AS supplier_key, l_extendedprice::DECIMAL(18,2) AS v FROM {_BAD} WHERE c = 1) GROUP BY 1")
+def _(t):
+    # A whole mart load: validation, key lookup against a dimension with an unknown member, fact upsert.
+    stage = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", money("l_extendedprice").alias("v"))
+    good = Q.loadable(Q.flag_duplicates(stage, ["l_orderkey", "l_linenumber"])).select(*stage.columns)
+    dim = t.supplier.filter("s_acctbal > 0").select("s_suppkey", F.col("s_suppkey").alias("supplier_key"))
+    keyed = J.key_lookup(good, dim, {"l_suppkey": "s_suppkey"}, "supplier_key", "supplier_key", None, when(T1))
+    fact = P.load_fact(None, keyed.drop("l_suppkey"), ["l_orderkey", "l_linenumber"], when(T1))
+    return fact.groupBy("supplier_key").agg(N.alias("n"), F.sum("v").alias("v"))

@@ -1 +1,73 @@
+"""Lead times, milestones, conversations, slots and usage cost."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemart.operators.merge import apply_merge
+from tidemart.plans import logistics as P
+from tidemart.streaming.jobs import slot_totals
+from tidemart.workload.base import SQL_SALES, money, query, when
+
+N = F.count(F.lit(1))
+
+
+@query("d47_lead_times", f"""SELECT orderkey, linenumber::BIGINT AS linenumber, partkey, suppkey, (ship_date::DATE - order_date::DATE)::BIGINT AS ship_days,
+ (CASE WHEN ship_date >= order_date THEN 1 ELSE -1 END * (SELECT COUNT(*) FROM generate_series(1, ABS(ship_date::DATE - order_date::DATE)) g(i) WHERE dayofweek(LEAST(order_date, ship_date)::DATE + i::INT) NOT IN (0, 6)))::BIGINT AS ship_work_days FROM {SQL_SALES}""")
+def _(t):
+    s = t.sales().select("orderkey", "linenumber", "partkey", "suppkey", "order_date", "ship_date")
+    return P.lead_times(s, {"ship": ("order_date", "ship_date")}).drop("order_date", "ship_date")
+
+
+@query("d48_milestone_pivot", "SELECT user_id, " + ", ".join(f"COALESCE(MIN(ts) FILTER (event_type = '{k}')::VARCHAR, '-') AS \"{k}\"" for k in ("signup", "view", "click", "purchase")) + " FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 4 DAY FROM events) GROUP BY 1")
+def _(t):
+    low = P.milestone_low([(t.events, "ts")], 4)[0].scalar()
+    kinds = ["signup", "view", "click", "purchase"]
+    wide = P.milestone_pivot(t.events.filter(F.col("ts") >= low), ["user_id"], "event_type", "ts", kinds)
+    return wide.select("user_id", *[F.coalesce(F.col(k).cast("string"), F.lit("-")).alias(k) for k in kinds])
+
+
+_SEG = "(SELECT conv_id, role AS participant, turn, length(text) AS chars FROM conversations)"
+
+
+@query("d49_conversation_segments", "SELECT conv_id::VARCHAR AS conversation_id, role AS participant_id, turn AS segment, length(text)::BIGINT AS chars FROM conversations")
+def _(t):
+    # Conversations as nested documents: participants, one session each, a segment per turn.
+    segment = F.struct(F.col("turn").alias("segment"), F.length("text").cast("long").alias("chars"))
+    per_role = t.conversations.groupBy("conv_id", "role").agg(F.collect_list(segment).alias("segments"))
+    session = F.array(F.struct(F.concat_ws("-", F.col("conv_id").cast("string"), "role").alias("sessionId"), "segments"))
+    docs = per_role.groupBy("conv_id").agg(F.collect_list(F.struct(F.col("role").alias("participantId"), session.alias("sessions"))).alias("participants"))
+    json = docs.select(F.to_json(F.struct(F.col("conv_id").cast("string").alias("conversationId"), "participants")).alias("doc"))
+    schema = "conversationId string, participants array<struct<participantId: string, sessions: array<struct<sessionId: string, segments: array<struct<segment: bigint, chars: bigint>>>>>>"
+    return P.conversation_rows(json.select(F.from_json("doc", schema).alias("conversation"))).drop("session_id")
+
+
+@query("d49_latest_segment_merge", "SELECT conv_id, role, MAX(turn)::BIGINT AS turn FROM conversations GROUP BY 1, 2")
+def _(t):
+    c = t.conversations.select("conv_id", "role", "turn")
+    early = P.latest_segments(c.filter("turn <= 1"), ["conv_id", "role"], ["turn"])
+    late = P.latest_segments(c, ["conv_id", "role"], ["turn"])
+    return apply_merge(early, late, ["conv_id", "role"], lambda t_, s: {"turn": s("turn")}, update_when=lambda t_, s: s("turn") > t_("turn"))
+
+
+@query("d50_case_tags", """WITH f AS (SELECT user_id, event_type, MIN((ts, event_id)) AS m FROM events GROUP BY 1, 2) SELECT user_id, string_agg(event_type, ' | ' ORDER BY m) AS tags, (SELECT event_id FROM events e WHERE e.user_id = f.user_id ORDER BY ts, event_id LIMIT 1) AS owner FROM f GROUP BY 1""")
+def _(t):
+    return P.case_tags(t.events.withColumn("owner", F.col("event_id")), "user_id", "owner", "event_type", ["ts", "event_id"])
+
+
+@query("d60_realtime_slots", "SELECT time_bucket(INTERVAL 30 MINUTE, ts)::VARCHAR AS slot_start, event_type, COUNT(*)::BIGINT AS n, SUM(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY 1, 2")
+def _(t):
+    return slot_totals(t.events.select("ts", "event_type", money("value").alias("v")), "ts", ["event_type"], "v")
+
+
+@query("d65_usage_cost", """WITH u AS (SELECT user_id, ts AS s, ts + INTERVAL 1 SECOND * (value * 60)::BIGINT AS e FROM events WHERE value > 1), h AS (SELECT user_id, unnest(generate_series(date_trunc('hour', s), date_trunc('hour', e), INTERVAL 1 HOUR)) AS h, s, e FROM u),
+ p AS (SELECT user_id, h, (epoch_us(LEAST(e, h + INTERVAL 1 HOUR)) - epoch_us(GREATEST(s, h)))::HUGEINT AS us FROM h), q AS (SELECT * FROM p WHERE us > 0), t AS (SELECT h, SUM(us) AS total FROM q GROUP BY 1)
+ SELECT user_id, ROUND(SUM((us::DOUBLE / total::DOUBLE) * (1 + hour(h)) * (2 + day(h) / 10.0::DOUBLE)), 4) AS cost FROM q JOIN t USING (h) GROUP BY 1""")
+def _(t):
+    e = t.events.filter("value > 1")
+    end = F.timestamp_add("SECOND", F.round(F.col("value") * 60).cast("int"), F.col("ts"))
+    usage = e.select("user_id", F.col("ts").alias("s"), end.alias("e"))
+    hours = P.split_by_hour(usage, "s", "e").select("hour").distinct()
+    credits = hours.select("hour", (F.hour("hour") + 1).alias("credits"))
+    rates = hours.select(F.to_date("hour").alias("day")).distinct().withColumn("rate", F.lit(2) + F.dayofmonth("day") / F.lit(10.0))
+    return P.usage_cost(usage, credits, rates, ["user_id"], "s", "e").withColumn("cost", F.round("cost", 4))

@@ -93,7 +93,7 @@ def _po(t):
 
 
 @query("d41_purchase_costs", f"""SELECT po, sku, line::BIGINT AS line, qty, cost::DOUBLE AS cost, start_date::VARCHAR AS start_date FROM {_PO1}
- UNION ALL SELECT po, sku, -1, SUM(qty)::BIGINT, ROUND(SUM(cost * qty)::DOUBLE / SUM(qty)::DOUBLE, 4), MIN(start_date)::VARCHAR FROM {_PO1} GROUP BY 1, 2""")
+ UNION ALL SELECT po, sku, -1, SUM(qty)::BIGINT, CAST((CAST(SUM(cost * qty) * 10000 AS HUGEINT) * 2 + SUM(qty)) // (2 * SUM(qty)) AS DOUBLE) / 10000, MIN(start_date)::VARCHAR FROM {_PO1} GROUP BY 1, 2""")
 def _(t):
     return P.purchase_costs(_po(t), "po", "sku", "line", ["ship", "ordered"], ["cost"], "qty", ["supp", "cost"])
 
