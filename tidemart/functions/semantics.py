@@ -17,6 +17,10 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def row_count() -> Column:
+    return F.count(F.lit(1))
+
+
 def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 

@@ -16,6 +16,9 @@ from tidemart.operators.scan import Scan, ordered_scan
 from tidemart.session import broadcast_limit, plan_bytes
 
 
+FEW_VERSIONS = 64
+
+
 def as_of(
     left: DataFrame,
     right: DataFrame,
@@ -33,8 +36,8 @@ def as_of(
 
     One union and one ordered scan; work is linear in the rows of both sides even for one huge key.
     """
-    before = 0 if inclusive != forward else 2
-    right_rank = before if not forward else (2 if inclusive else 0)
+    # Place of right rows among rows of one moment; left rows have place 1.
+    right_rank = 0 if inclusive != forward else 2
     tie_types = dict(right.dtypes)
     a = left.select(
         *keys,
@@ -78,11 +81,14 @@ def effective_lookup(
 ) -> DataFrame:
     """Left join to the version valid at ``ts``. Ranges of a key must not overlap.
 
-    Small dimension: equi key plus range predicate, which Catalyst broadcasts. Otherwise the as-of scan finds the
-    last version started and its end is tested.
+    A dimension that fits a broadcast and has few versions per key: equi key plus range predicate. Otherwise the as-of
+    scan finds the last version started and its end is tested, so no key ever pairs all rows with all versions.
     """
     if strategy == "auto":
-        strategy = "range" if plan_bytes(dim) <= broadcast_limit(fact.sparkSession) else "scan"
+        strategy = "scan"
+        if plan_bytes(dim) <= broadcast_limit(fact.sparkSession):
+            versions = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+            strategy = "range" if (versions or 0) <= FEW_VERSIONS else "scan"
     if strategy == "range":
         f, d = fact.alias("f"), dim.alias("d")
         on = F.lit(True)

@@ -14,10 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.session import plan_bytes, settle
+from tidemart.session import input_bytes, settle
 
 HOT_ROWS = 5_000_000
+# A plan that reads no more than this can have no key that is too large for one task.
 SMALL_BYTES = 64 << 20
+# Key lists up to this length are broadcast; their length is counted first.
+LISTED_KEYS = 100_000
 
 
 @dataclass(frozen=True)
@@ -160,7 +163,7 @@ def ordered_scan(
 ) -> DataFrame:
     """Add scan columns over ``keys`` in ascending ``order`` (which should be total within a key)."""
     keys, order = list(keys), list(order)
-    if plan_bytes(df) <= small_bytes:
+    if input_bytes(df) <= small_bytes:
         return _window_all(df, keys, order, scans)
     if not keys:
         rows = df.count()
@@ -174,7 +177,8 @@ def ordered_scan(
     match = F.lit(True)
     for k in keys:
         match = match & F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}"))
-    tagged, hot = df.alias("d"), hot.alias("h")
+    listed = F.broadcast(hot) if found["n"] <= LISTED_KEYS else hot
+    tagged, hot = df.alias("d"), listed.alias("h")
     cold_part = _window_all(tagged.join(hot, match, "left_anti"), keys, order, scans)
     hot_part = _sliced(
         tagged.join(hot, match, "left_semi"), keys, order, scans, max(2, found["rows"] // hot_rows + 1)
@@ -208,3 +212,10 @@ def key_tiles(
         extra + F.floor((rn - 1 - edge) / F.greatest(size, F.lit(1))) + 1
     )
     return ranked.join(sizes, list(keys)).select(*df.columns, tile.cast("long").alias(out))
+
+
+def dense_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str, **limits: int) -> DataFrame:
+    """Dense rank of a value per key, highest first; ranked over distinct values, so a group may be large."""
+    values = df.select(*keys, value).distinct().withColumn("_down", -F.col(value))
+    ranked = ordered_scan(values, keys, ["_down"], [Scan(out, "number")], **limits).drop("_down")
+    return df.join(ranked, [*keys, value])

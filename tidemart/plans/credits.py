@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import boundaries, ratio
+from tidemart.functions.semantics import boundaries, ratio, row_count
 from tidemart.functions.text import month_range
 from tidemart.operators.scan import Scan, ordered_scan
 
-N = F.count(F.lit(1))
 # Activity kinds, and the tenures at which the expected rates are read.
 KINDS = ("Issued", "Redeemed", "Cancelled", "Expired")
 RATE_TENURE, LAST_TENURE = 12, 13
@@ -165,5 +164,5 @@ def outstanding_buckets(credits: DataFrame, customer: str, status: DataFrame, cr
     return (
         per.join(status, customer, "left")
         .groupBy(F.coalesce("status", F.lit("unknown")).alias("status"), count_bucket(F.col("_n")).alias("bucket"))
-        .agg(N.alias("customers"), F.sum("_amount").alias("outstanding"))
+        .agg(row_count().alias("customers"), F.sum("_amount").alias("outstanding"))
     )

@@ -7,13 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import earliest_by, ratio
+from tidemart.functions.semantics import earliest_by, ratio, row_count
 from tidemart.operators.joins import as_of
 from tidemart.operators.reshape import split_rows
+from tidemart.operators.scan import Scan, ordered_scan
 from tidemart.plans.members import state_at_event
 
-N = F.count(F.lit(1))
-
 
 def first_exposures(
     exposures: DataFrame, unit: str, test: str, variant: str, moment: str, tie: Sequence[str], labels: dict[str, str]
@@ -36,14 +35,30 @@ def test_results(
 ) -> DataFrame:
     """Units, orders after exposure, revenue and rates per test and label.
 
-    Orders are not joined to exposures one by one when a unit is in one test: the join is on the unit, and exposures
-    are one row per unit and test.
+    What a unit ordered after an exposure is its total less its running total just before it, so orders are scanned
+    once however many tests a unit is in.
     """
-    after = orders.join(first.select(unit, test, "exposed_at"), unit).filter(F.col(ordered) >= F.col("exposed_at"))
-    per_unit = after.groupBy(unit, test).agg(N.alias("orders"), F.sum(amount).alias("revenue"))
+    running = ordered_scan(
+        orders.select(unit, ordered, amount), [unit], [ordered, amount], [Scan("_n", "number"), Scan("_s", "sum", amount)]
+    )
+    whole = orders.groupBy(unit).agg(row_count().alias("_all_n"), F.sum(amount).alias("_all_s"))
+    before = as_of(
+        first.select(unit, test, "exposed_at"), running, [unit], "exposed_at", ordered, ["_n", "_s"], inclusive=False,
+        tie=["_n"],
+    )
+    per_unit = (
+        before.join(whole, unit)
+        .select(
+            unit,
+            test,
+            (F.col("_all_n") - F.coalesce("_n", F.lit(0))).alias("orders"),
+            (F.col("_all_s") - F.coalesce("_s", F.lit(0))).alias("revenue"),
+        )
+        .filter("orders > 0")
+    )
     joined = first.join(per_unit, [unit, test], "left")
     totals = joined.groupBy(test, "test_label", *dims).agg(
-        N.alias("units"),
+        row_count().alias("units"),
         F.count("orders").alias("converted"),
         F.coalesce(F.sum("orders"), F.lit(0)).alias("orders"),
         F.coalesce(F.sum("revenue"), F.lit(0)).alias("revenue"),
@@ -55,7 +70,7 @@ def test_results(
 
 def dominant_page(views: DataFrame, test: Sequence[str], page: str) -> DataFrame:
     """Most viewed page per test with its share of all views."""
-    counts = views.groupBy(*test, page).agg(N.alias("views"))
+    counts = views.groupBy(*test, page).agg(row_count().alias("views"))
     top = counts.groupBy(*test).agg(
         F.max_by(F.struct(page, "views"), F.struct("views", page)).alias("_top"), F.sum("views").alias("_all")
     )
@@ -78,7 +93,7 @@ def split_groups(tests: DataFrame, split: str) -> DataFrame:
 def session_funnel(events: DataFrame, session: Sequence[str], kind: str, steps: Sequence[str], dims: Sequence[str] = ()) -> DataFrame:
     """Sessions that reached each step (any order) per group, from one flag row per session."""
     flags = events.groupBy(*session, *dims).agg(*[F.max((F.col(kind) == s).cast("int")).alias(s) for s in steps])
-    return flags.groupBy(*dims).agg(N.alias("sessions"), *[F.sum(s).alias(s) for s in steps])
+    return flags.groupBy(*dims).agg(row_count().alias("sessions"), *[F.sum(s).alias(s) for s in steps])
 
 
 def ordered_funnel(events: DataFrame, session: Sequence[str], kind: str, moment: str, steps: Sequence[str]) -> DataFrame:
@@ -91,7 +106,7 @@ def ordered_funnel(events: DataFrame, session: Sequence[str], kind: str, moment:
     for before, step in zip(steps, steps[1:]):
         reached = reached & F.coalesce(F.col(step) >= F.col(before), F.lit(False))
         out.append(F.count_if(reached).alias(step))
-    return firsts.agg(N.alias("sessions"), *out)
+    return firsts.agg(row_count().alias("sessions"), *out)
 
 
 def product_conversion(
@@ -106,7 +121,7 @@ def product_conversion(
         placed = as_of(df.select(user, product, moment), states, [user], moment, "memb_start", ["status"])
         parts.append(
             placed.groupBy(product, F.to_date(moment).alias("day"), F.coalesce("status", F.lit("prospect")).alias("status"))
-            .agg(N.alias("n"))
+            .agg(row_count().alias("n"))
             .withColumn("measure", F.lit(name))
         )
     stacked = parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -69,7 +69,7 @@ def usage_cost(usage: DataFrame, credits: DataFrame, rates: DataFrame, keys: Seq
         .withColumn("day", F.to_date("hour"))
         .join(rates, "day")
         .groupBy(*keys)
-        .agg(F.round(F.sum(share * F.col("credits") * F.col("rate")), 6).alias("cost"))
+        .agg(F.sum((share * F.col("credits") * F.col("rate")).cast("decimal(24,6)")).alias("cost"))
     )
 
 

@@ -7,13 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import OPEN_END, boundaries, latest_by, millis_before, ntz, ratio
+from tidemart.functions.semantics import OPEN_END, boundaries, latest_by, millis_before, ntz, ratio, row_count
 from tidemart.functions.text import month_range
 from tidemart.operators.joins import effective_lookup
 from tidemart.operators.scan import Scan, key_tiles, ordered_scan
 
-N = F.count(F.lit(1))
-
 
 def month_of(c: Column | str) -> Column:
     return F.to_date(F.date_trunc("month", F.col(c) if isinstance(c, str) else c))
@@ -24,7 +22,7 @@ def customer_months(
 ) -> DataFrame:
     """Activity reduced to one row per customer and month, with the cohort month of the customer."""
     monthly = activity.groupBy(customer, month_of(moment).alias("activity_month"), *dims).agg(
-        N.alias("orders"), F.sum(amount).alias("revenue")
+        row_count().alias("orders"), F.sum(amount).alias("revenue")
     )
     ends = monthly.groupBy(customer).agg(
         F.min("activity_month").alias("cohort_month"), F.max("activity_month").alias("last_month")
@@ -46,14 +44,14 @@ def cohort_waterfall(
     )
     # Carried in: members of the cohort whose last month is not before the activity month.
     lasts = by_customer.select(customer, "cohort_month", "last_month", *dims).distinct()
-    leaving = lasts.groupBy("cohort_month", *dims, F.col("last_month").alias("activity_month")).agg(N.alias("leave"))
+    leaving = lasts.groupBy("cohort_month", *dims, F.col("last_month").alias("activity_month")).agg(row_count().alias("leave"))
     steps = cells.select("cohort_month", "activity_month", *dims).join(
         leaving, ["cohort_month", "activity_month", *dims], "left"
     )
     gone = ordered_scan(
         steps.fillna(0, ["leave"]), ["cohort_month", *dims], ["activity_month"], [Scan("gone", "sum", "leave")]
     )
-    size = lasts.groupBy("cohort_month", *dims).agg(N.alias("size"))
+    size = lasts.groupBy("cohort_month", *dims).agg(row_count().alias("size"))
     bop = gone.join(size, ["cohort_month", *dims]).select(
         "cohort_month",
         "activity_month",
@@ -82,14 +80,14 @@ def lead_waterfall(
     cap = F.lit(default_cap)
     for name, edge in caps.items():
         cap = F.when(F.col(segment) == name, F.lit(edge)).otherwise(cap)
-    registered = leads.groupBy(segment, month_of(lead_at).alias("month")).agg(N.alias("people")).select(
+    registered = leads.groupBy(segment, month_of(lead_at).alias("month")).agg(row_count().alias("people")).select(
         F.lit("lead").alias("population"), segment, "month", F.lit("M0").alias("tenure"), "people"
     )
     bucket = tenure_bucket(boundaries("month", lead_at, converted_at), cap)
     converted = (
         leads.filter(F.col(converted_at).isNotNull())
         .groupBy(segment, month_of(converted_at).alias("month"), bucket.alias("tenure"))
-        .agg(N.alias("people"))
+        .agg(row_count().alias("people"))
         .select(F.lit("conversion").alias("population"), segment, "month", "tenure", "people")
     )
     return registered.unionByName(converted)
@@ -140,7 +138,7 @@ def lifetime_monthly(
 ) -> DataFrame:
     """Customer x month from the first month on: measures, cumulative totals, value tile within the month."""
     monthly = activity.groupBy(customer, month_of(moment).alias("month")).agg(
-        N.alias("orders"), F.sum(amount).alias("margin")
+        row_count().alias("orders"), F.sum(amount).alias("margin")
     )
     first = monthly.groupBy(customer).agg(F.min("month").alias("cohort_month"))
     grid = month_range(first, "cohort_month", until, "month")
@@ -158,7 +156,7 @@ def lifetime_to_date(
     per_customer = activity.groupBy(customer, *dims).agg(
         month_of(F.min(moment)).alias("cohort_month"), F.sum(amount).alias("value")
     )
-    cohort = per_customer.groupBy("cohort_month", *dims).agg(N.alias("customers"), F.sum("value").alias("value"))
+    cohort = per_customer.groupBy("cohort_month", *dims).agg(row_count().alias("customers"), F.sum("value").alias("value"))
     return cohort.join(spend, ["cohort_month", *dims], "left").select(
         "cohort_month",
         *dims,
@@ -245,7 +243,7 @@ def billing_cycle_rates(
     )
     joined = grid.join(upto, [customer, "month", "day"], "left")
     return joined.groupBy("month", "day").agg(
-        N.alias("members"),
+        row_count().alias("members"),
         *[F.count_if(F.col("rank") == i + 1).alias(k) for i, k in enumerate(priority)],
         F.count_if(F.col("rank").isNull()).alias("none"),
     )

@@ -9,13 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import ratio, week_start_sunday
+from tidemart.functions.semantics import ratio, row_count, week_start_sunday
 from tidemart.functions.text import date_range
 from tidemart.operators.joins import effective_lookup
 from tidemart.operators.scan import Scan, ordered_scan
 
-N = F.count(F.lit(1))
-
 
 def convert(amounts: DataFrame, rates: DataFrame, currency: str, moment: str, amount: str, out: str) -> DataFrame:
     """Amount at the rate valid at the moment; no rate means no result.

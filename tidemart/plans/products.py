@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import descending, latest_by
-from tidemart.operators.scan import Scan, global_tiles, ordered_scan
+from tidemart.functions.semantics import latest_by
+from tidemart.operators.scan import Scan, dense_ranks, global_tiles, ordered_scan
 
 
 def co_occurrence(items: DataFrame, basket: str, item: str, dims: Sequence[str] = ()) -> DataFrame:
@@ -48,10 +47,8 @@ def group_list(df: DataFrame, group: Sequence[str], member: str, out: str) -> Da
 def top_k_other(df: DataFrame, grain: Sequence[str], member: str, amount: str, k: int, other: str = "Other Grouping") -> DataFrame:
     """Totals of the k best members per grain (ties share a rank, a sole member always stays), the rest as one row."""
     totals = df.groupBy(*grain, member).agg(F.sum(amount).alias("total"))
-    by = W.partitionBy(*grain)
-    ranked = totals.withColumn("r", F.dense_rank().over(by.orderBy(descending("total")))).withColumn(
-        "members", F.count(F.lit(1)).over(by)
-    )
+    members = totals.groupBy(*grain).agg(F.count(F.lit(1)).alias("members"))
+    ranked = dense_ranks(totals, grain, "total", "r").join(members, list(grain))
     keep = (F.col("r") <= k) | (F.col("members") == 1)
     named = ranked.withColumn(member, F.when(keep, F.col(member)).otherwise(F.lit(other)))
     return named.groupBy(*grain, member).agg(F.sum("total").alias("total"))

@@ -9,12 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import earliest_by, latest_by, least_strict, millis_before, ntz, ratio
+from tidemart.functions.semantics import earliest_by, latest_by, least_strict, millis_before, ntz, ratio, row_count
 from tidemart.operators.reshape import exact_percentile
 from tidemart.operators.scan import Scan, ordered_scan
 
-N = F.count(F.lit(1))
-
 
 def daily_snapshot(sources: Sequence[DataFrame], keys: Sequence[str], moment: str, tie: Sequence[str]) -> DataFrame:
     """First row per item and day; a later source only fills days no earlier source has."""
@@ -41,7 +39,7 @@ def stock_status(stock: DataFrame, style: str, size: str, day: str, quantity: st
     return (
         filled.groupBy(style, day)
         .agg(
-            N.alias("sizes"),
+            row_count().alias("sizes"),
             F.count_if(has).alias("sizes_in_stock"),
             F.count_if(is_core & ~has).alias("core_out"),
         )
@@ -66,7 +64,7 @@ def full_size_periods(status: DataFrame, style: str, day: str) -> DataFrame:
     return (
         numbered.filter("_full = 1")
         .groupBy(style, "period")
-        .agg(F.min(day).alias("start_day"), F.max(day).alias("end_day"), N.alias("days"))
+        .agg(F.min(day).alias("start_day"), F.max(day).alias("end_day"), row_count().alias("days"))
     )
 
 
@@ -93,9 +91,9 @@ def bottom_threshold(df: DataFrame, group: Sequence[str], value: str, share: flo
 
 def percent_rank_of(df: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
     """Percent rank per group; equal values share a rank. Values are counted first, so a group may be large."""
-    counted = df.groupBy(*group, value).agg(N.alias("_n"))
+    counted = df.groupBy(*group, value).agg(row_count().alias("_n"))
     running = ordered_scan(counted, list(group), [value], [Scan("_upto", "sum", "_n")])
-    totals = df.groupBy(*group).agg(N.alias("_all"))
+    totals = df.groupBy(*group).agg(row_count().alias("_all"))
     ranked = running.join(totals, list(group)).select(
         *group, value, F.coalesce(ratio(F.col("_upto") - F.col("_n"), F.col("_all") - 1), F.lit(0.0)).alias(out)
     )

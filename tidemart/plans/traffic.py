@@ -9,11 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import boundaries, descending, latest_by, ratio
+from tidemart.functions.semantics import boundaries, latest_by, ratio, row_count
 from tidemart.operators.reshape import exact_percentile, first_match
-from tidemart.operators.scan import Scan, ordered_scan
-
-N = F.count(F.lit(1))
+from tidemart.operators.scan import Scan, dense_ranks, ordered_scan
 
 
 def fill_known(df: DataFrame, key: str, order: Sequence[str], source: str, out: str) -> DataFrame:
@@ -200,12 +198,12 @@ def platform_spend(
 
 def split_by_share(df: DataFrame, shares: DataFrame, on: Sequence[str], share: str, cost: str, counts: Sequence[str]) -> DataFrame:
     """Cost and counts split in two by a daily share (1 where unknown); the second side is the exact remainder."""
-    s = F.coalesce(F.col(share).cast("double"), F.lit(1.0))
+    s = F.coalesce(F.col(share), F.lit(1)).cast("decimal(18,9)")
     joined = df.join(shares, list(on), "left")
-    first_cost = F.round(F.col(cost).cast("double") * s, 4).cast("decimal(18,4)")
+    first_cost = F.round(F.col(cost) * s, 4).cast("decimal(18,4)")
     parts = [first_cost.alias(f"{cost}_first"), (F.col(cost) - first_cost).alias(f"{cost}_second")]
     for c in counts:
-        first = F.round(F.col(c).cast("double") * s).cast("long")
+        first = F.round(F.col(c) * s).cast("long")
         parts += [first.alias(f"{c}_first"), (F.col(c) - first).alias(f"{c}_second")]
     return joined.select(*df.columns, s.alias(share), *parts)
 
@@ -280,9 +278,6 @@ def tiered_ranking(
         parts.append(incumbents.select(member, "ranking_score", F.lit(-1).alias("tier")))
     every = reduce(lambda a, b: a.unionByName(b), parts)
     single = every.groupBy(member).agg(F.min("tier").alias("tier"), F.min_by("ranking_score", "tier").alias("ranking_score"))
-    placed = single.withColumn("_down", -F.col("ranking_score"))
-    by_tier = placed.withColumn(
-        "tier_rank", F.dense_rank().over(W.partitionBy("tier").orderBy(descending("ranking_score")))
-    )
+    by_tier = dense_ranks(single, ["tier"], "ranking_score", "tier_rank").withColumn("_down", -F.col("ranking_score"))
     ranked = ordered_scan(by_tier, [], ["tier", "_down", member], [Scan("place", "number")]).drop("_down")
     return ranked.filter(F.col("place") <= places) if places else ranked

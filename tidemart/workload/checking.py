@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from tidemart.functions.semantics import row_count
 
 from tidemart.operators import quality as Q
 from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query, when
 
-N = F.count(F.lit(1))
-
 
 @query("q01_duplicate_keys", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, COALESCE(CASE WHEN COUNT(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 THEN 'error' END, 'clean') AS quality FROM lineitem")
 def _(t):
@@ -20,7 +19,7 @@ def _(t):
 @query("q02_duplicate_events", "SELECT COUNT(*)::BIGINT AS n, COUNT(*) FILTER (c > 1)::BIGINT AS errors FROM (SELECT COUNT(*) OVER (PARTITION BY o_custkey, o_orderdate) AS c FROM orders)")
 def _(t):
     out = Q.flag_duplicates(t.orders.select("o_custkey", "o_orderdate", "o_orderkey"), ["o_custkey"], "o_orderdate")
-    return out.agg(N.alias("n"), F.count_if(F.col("meta_data_quality") == "error").alias("errors"))
+    return out.agg(row_count().alias("n"), F.count_if(F.col("meta_data_quality") == "error").alias("errors"))
 
 
 def _stage(t):
@@ -41,7 +40,7 @@ def _flagged(t):
 @query("q03_null_warnings", f"SELECT COALESCE(quality, 'clean') AS quality, COALESCE(message, '-') AS message, COUNT(*)::BIGINT AS n, (quality IS DISTINCT FROM 'error') AS loadable FROM {_SQL_FLAGGED} GROUP BY ALL")
 def _(t):
     f = _flagged(t)
-    counted = lambda df, ok: df.groupBy(F.coalesce("meta_data_quality", F.lit("clean")).alias("quality"), F.coalesce("excp_message", F.lit("-")).alias("message")).agg(N.alias("n")).withColumn("loadable", F.lit(ok))
+    counted = lambda df, ok: df.groupBy(F.coalesce("meta_data_quality", F.lit("clean")).alias("quality"), F.coalesce("excp_message", F.lit("-")).alias("message")).agg(row_count().alias("n")).withColumn("loadable", F.lit(ok))
     return counted(Q.loadable(f), True).unionByName(counted(f.filter("meta_data_quality = 'error'"), False))
 
 
@@ -50,7 +49,7 @@ def _(t):
     f = _flagged(t)
     first = Q.update_exceptions(None, f.filter("meta_data_quality = 'error'"))
     out = Q.update_exceptions(first, f)
-    return out.groupBy(F.col("excp_message").alias("message"), F.col("meta_is_current_excp").alias("is_current")).agg(N.alias("n"))
+    return out.groupBy(F.col("excp_message").alias("message"), F.col("meta_is_current_excp").alias("is_current")).agg(row_count().alias("n"))
 
 
 _DAILY_A = f"(SELECT order_date::DATE AS day, SUM(net) AS net, COUNT(*) AS lines FROM {SQL_SALES} GROUP BY 1)"
@@ -59,9 +58,9 @@ _DAILY_B = f"(SELECT order_date::DATE AS day, SUM(CASE WHEN priority = '1-URGENT
 
 def _two_daily(t):
     s = t.sales().withColumn("day", F.to_date("order_date"))
-    a = s.groupBy("day").agg(F.sum("net").alias("net"), N.alias("lines"))
+    a = s.groupBy("day").agg(F.sum("net").alias("net"), row_count().alias("lines"))
     off = F.when((F.col("priority") == "1-URGENT") & (F.col("order_date") >= when("2001-01-01")), F.col("net") + 1).otherwise(F.col("net"))
-    return a, s.groupBy("day").agg(F.sum(off.cast("decimal(18,4)")).alias("net"), N.alias("lines"))
+    return a, s.groupBy("day").agg(F.sum(off.cast("decimal(18,4)")).alias("net"), row_count().alias("lines"))
 
 
 @query("q05_set_difference", f"SELECT day::VARCHAR AS day, net::DOUBLE AS net, 'a' AS only_in FROM (SELECT day, net FROM {_DAILY_A} EXCEPT SELECT day, net FROM {_DAILY_B}) UNION ALL SELECT day::VARCHAR, net::DOUBLE, 'b' FROM (SELECT day, net FROM {_DAILY_B} EXCEPT SELECT day, net FROM {_DAILY_A})")
@@ -81,7 +80,7 @@ def _(t):
 @query("q07_orphans", "SELECT l_orderkey, COUNT(*)::BIGINT AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '5-LOW') GROUP BY 1")
 def _(t):
     found = Q.orphans(t.lineitem, t.orders.filter("o_orderpriority <> '5-LOW'"), "l_orderkey", "o_orderkey")
-    return found.groupBy("l_orderkey").agg(N.alias("n"))
+    return found.groupBy("l_orderkey").agg(row_count().alias("n"))
 
 
 @query("q07_null_counts", "SELECT COUNT(*) FILTER (o_orderstatus = 'P')::BIGINT AS null_status, COUNT(*) FILTER (o_orderpriority = '5-LOW')::BIGINT AS null_priority FROM orders")

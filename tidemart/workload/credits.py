@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from tidemart.functions.semantics import row_count
 
 from tidemart.operators.merge import update_from
 from tidemart.operators.visits import clamped_balance, sequential_fold
@@ -10,7 +11,6 @@ from tidemart.plans import credits as P
 from tidemart.plans.members import month_of
 from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query
 
-N = F.count(F.lit(1))
 THRU = "2001-07-01"
 
 # Orders issue a credit; their lines redeem (A), cancel (R) or let expire (N) part of it in the month they ship.

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from tidemart.functions.semantics import row_count
 
 from tidemart.plans import experiments as P
 from tidemart.plans.members import membership_timeline
 from tidemart.workload.base import money, query, when
 
-N = F.count(F.lit(1))
 
 # The variant comes from the JSON payload, the test from its size.
 _X = "(SELECT event_id, user_id, ts, event_type, value, CASE WHEN (json_extract(props, '$.k'))::INT < 50 THEN 'a' ELSE 'b' END AS variant, CASE WHEN value > 30 THEN 'big' ELSE 'small' END AS test FROM events)"

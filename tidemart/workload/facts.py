@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from tidemart.functions.semantics import row_count
 
 from tidemart.functions import semantics as S
 from tidemart.functions import text as X
@@ -14,7 +15,6 @@ from tidemart.plans import facts as P
 from tidemart.plans import products as PR
 from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query, when
 
-N = F.count(F.lit(1))
 T1, T2 = "2002-01-01 00:00:00", "2002-01-02 00:00:00"
 
 
@@ -31,7 +31,7 @@ def _(t):
     has = lambda k: F.max(F.col("p_type") == k)
     flags = lines.groupBy("orderkey").agg(has("PROMO").alias("a"), has("LARGE").alias("b"), has("SMALL").alias("c"))
     label = PR.combination_label({"Promo": F.col("a"), "Large": F.col("b"), "Small": F.col("c")})
-    return flags.groupBy(label.alias("combination")).agg(N.alias("orders"))
+    return flags.groupBy(label.alias("combination")).agg(row_count().alias("orders"))
 
 
 @query("d53_customer_segments", """WITH f AS (SELECT o_custkey, (DATE '2001-08-01' - MAX(o_orderdate)::DATE)::BIGINT AS recency_days, COUNT(*)::BIGINT AS frequency, SUM(o_totalprice::DECIMAL(18,2)) AS v FROM orders GROUP BY 1), n AS (SELECT *, NTILE(10) OVER (ORDER BY v, o_custkey) AS tile FROM f)
@@ -125,7 +125,7 @@ def _(t):
     steps = [
         P.master_status({"P": 1, "O": 2, "F": 3}, "orderkey", "master", "o_orderstatus", "order_status"),
         P.add_totals(
-            lines, "orderkey", net=F.sum("net"), units=F.sum("qty"), lines=N, refunds=F.sum(F.when(F.col("returnflag") == "R", F.col("net")))
+            lines, "orderkey", net=F.sum("net"), units=F.sum("qty"), lines=row_count(), refunds=F.sum(F.when(F.col("returnflag") == "R", F.col("net")))
         ),
         P.add_first(lines.withColumn("first_supplier", F.col("suppkey")), "orderkey", ["ship_date", "linenumber", "suppkey", "partkey"], ["first_supplier", "ship_date", "linenumber", "suppkey", "partkey"]),
         lambda df: df.drop("ship_date", "linenumber", "suppkey", "partkey").withColumn("first_supplier", F.coalesce("first_supplier", F.lit(-1))),
@@ -169,7 +169,7 @@ def _(t):
     issued = t.orders.select(F.col("o_orderkey").alias("credit"), F.col("o_orderdate").alias("at"), F.col("o_totalprice").cast("decimal(18,4)").alias("amount"))
     used = lambda flag: t.lines().filter(F.col("returnflag") == flag).select(F.col("orderkey").alias("credit"), F.col("ship_date").alias("at"), F.col("net").alias("amount"))
     fact = P.credit_events({"Issued": issued, "Redeemed": used("A"), "Cancelled": used("R"), "Expired": used("N")}, ["credit", "at", "amount"])
-    return fact.groupBy("credit_activity_type", "activity_rank", F.to_date(F.date_trunc("year", "at")).alias("year")).agg(N.alias("n"), F.sum("amount").alias("amount"))
+    return fact.groupBy("credit_activity_type", "activity_rank", F.to_date(F.date_trunc("year", "at")).alias("year")).agg(row_count().alias("n"), F.sum("amount").alias("amount"))
 
 
 @query("d66_top_k_other", f"""WITH s AS (SELECT date_trunc('year', order_date)::DATE AS y, p_brand, SUM(net) AS v FROM {SQL_SALES} JOIN part ON p_partkey = partkey GROUP BY 1, 2), r AS (SELECT *, DENSE_RANK() OVER (PARTITION BY y ORDER BY v DESC) AS k, COUNT(*) OVER (PARTITION BY y) AS m FROM s)
@@ -197,7 +197,7 @@ def _(t):
     old = o.filter(cut).select(F.col("o_custkey").alias("id"), F.when(F.col("o_orderstatus") == "F", "Activation").otherwise("Cancellation").alias("kind"))
     new = o.filter(~cut).select(F.concat(F.col("o_custkey").cast("string"), F.lit("20")).cast("long").alias("id"), F.when(F.col("o_orderstatus") == "F", "joined").otherwise("left").alias("kind"))
     out = PR.legacy_union(old, new, {"joined": "Activation", "left": "Cancellation"}, "kind", "id")
-    return out.groupBy("id", "kind", "platform").agg(N.alias("n"))
+    return out.groupBy("id", "kind", "platform").agg(row_count().alias("n"))
 
 
 @query("d71_category_path", "SELECT p_partkey, p_brand AS level_1, p_type AS level_2, CASE WHEN p_size > 25 THEN p_name ELSE 'none' END AS level_3 FROM part")
@@ -212,7 +212,7 @@ def _(t):
     orders = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
     bounded = F.col("o_orderdate").between(when("1998-01-01"), when("1998-06-30")) & (F.col("c_mktsegment") == "BUILDING")
     parts = PR.audit_extract(orders, bounded, {"lines": (t.lineitem, "l_orderkey", "o_orderkey"), "customers": (t.customer, "c_custkey", "o_custkey")})
-    rows = [df.agg(F.lit(name).alias("part"), N.alias("n")) for name, df in parts.items()]
+    rows = [df.agg(F.lit(name).alias("part"), row_count().alias("n")) for name, df in parts.items()]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
@@ -224,7 +224,7 @@ def _(t):
 
 @query("v02_joined_actions", "SELECT COALESCE(a.user_id, b.user_id) AS user_id, COALESCE(a.d, b.d)::VARCHAR AS day, COALESCE(clicks, 0)::BIGINT AS clicks, COALESCE(buys, 0)::BIGINT AS buys FROM (SELECT user_id, ts::DATE AS d, COUNT(*) AS clicks FROM events WHERE event_type = 'click' GROUP BY 1, 2) a FULL JOIN (SELECT user_id, ts::DATE AS d, COUNT(*) AS buys FROM events WHERE event_type = 'purchase' GROUP BY 1, 2) b ON a.user_id = b.user_id AND a.d = b.d")
 def _(t):
-    of = lambda k, out: t.events.filter(F.col("event_type") == k).groupBy("user_id", F.to_date("ts").alias("day")).agg(N.alias(out))
+    of = lambda k, out: t.events.filter(F.col("event_type") == k).groupBy("user_id", F.to_date("ts").alias("day")).agg(row_count().alias(out))
     return of("click", "clicks").join(of("purchase", "buys"), ["user_id", "day"], "full").fillna(0, ["clicks", "buys"])
 
 
@@ -232,13 +232,13 @@ def _(t):
 def _(t):
     c = t.customer.select(F.lit("customer").alias("kind"), F.col("c_nationkey").alias("nation"))
     s = t.supplier.select(F.lit("supplier").alias("kind"), F.col("s_nationkey").alias("nation"))
-    return c.unionByName(s).groupBy("kind", "nation").agg(N.alias("n"))
+    return c.unionByName(s).groupBy("kind", "nation").agg(row_count().alias("n"))
 
 
 @query("v04_flattened_json", "SELECT (json_extract(props, '$.k'))::BIGINT AS k, event_type, COUNT(*)::BIGINT AS n FROM events GROUP BY 1, 2")
 def _(t):
     flat = t.events.withColumn("k", F.variant_get(F.parse_json("props"), "$.k", "long"))
-    return flat.groupBy("k", "event_type").agg(N.alias("n"))
+    return flat.groupBy("k", "event_type").agg(row_count().alias("n"))
 
 
 @query("v05_attribute_history", "SELECT user_id, " + ", ".join(f"COALESCE(arg_max(event_id, (ts, event_id)) FILTER (event_type = '{k}'), -1)::BIGINT AS \"{k}\"" for k in ("click", "view", "signup")) + " FROM events WHERE event_type IN ('click', 'view', 'signup') GROUP BY 1")
@@ -259,4 +259,4 @@ def _(t):
     dim = t.supplier.filter("s_acctbal > 0").select("s_suppkey", F.col("s_suppkey").alias("supplier_key"))
     keyed = J.key_lookup(good, dim, {"l_suppkey": "s_suppkey"}, "supplier_key", "supplier_key", None, when(T1))
     fact = P.load_fact(None, keyed.drop("l_suppkey"), ["l_orderkey", "l_linenumber"], when(T1))
-    return fact.groupBy("supplier_key").agg(N.alias("n"), F.sum("v").alias("v"))
+    return fact.groupBy("supplier_key").agg(row_count().alias("n"), F.sum("v").alias("v"))

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from tidemart.functions.semantics import row_count
 
 from tidemart.operators import watermark as WM
 from tidemart.operators.merge import insert_update
 from tidemart.sources.tables import VersionedTable
 from tidemart.workload.base import money, query, when
 
-N = F.count(F.lit(1))
 CUT = "1999-01-01 00:00:00"
 
 
@@ -100,7 +100,7 @@ def _(t):
 @query("w10_look_back", "SELECT COUNT(*)::BIGINT AS n FROM orders WHERE o_orderdate >= (SELECT max(o_orderdate) - INTERVAL 3 DAY FROM orders)")
 def _(t):
     low = t.orders.agg(WM.look_back(F.max("o_orderdate"), "day", -3)).scalar()
-    return t.orders.filter(F.col("o_orderdate") >= low).agg(N.alias("n"))
+    return t.orders.filter(F.col("o_orderdate") >= low).agg(row_count().alias("n"))
 
 
 @query("s01_dated_snapshot", "SELECT d::VARCHAR AS snapshot_date, COUNT(*)::BIGINT AS n FROM part CROSS JOIN (VALUES (DATE '2001-03-01'), (DATE '2001-04-01')) v(d) GROUP BY 1")
@@ -110,7 +110,7 @@ def _(t):
     out = None
     for text in ("2000-12-01", "2001-03-01", "2001-04-01", "2001-04-01"):
         out = WM.snapshot(out, p, day(text), 3)
-    return out.groupBy("snapshot_date").agg(N.alias("n"))
+    return out.groupBy("snapshot_date").agg(row_count().alias("n"))
 
 
 @query("s02_compare_with_earlier", "SELECT p_partkey, p_size::BIGINT AS old_p_size, (p_size + 1)::BIGINT AS new_p_size FROM part WHERE p_type = 'PROMO'")
@@ -125,7 +125,7 @@ def _(t):
 @query("s03_retention", "SELECT o_orderdate::DATE::VARCHAR AS day, COUNT(*)::BIGINT AS n FROM orders WHERE o_orderdate::DATE >= DATE '2001-08-01' - 15 GROUP BY 1")
 def _(t):
     o = t.orders.select(F.to_date("o_orderdate").alias("day"))
-    return WM.retain_days(o, "day", F.lit("2001-08-01").cast("date"), 15).groupBy("day").agg(N.alias("n"))
+    return WM.retain_days(o, "day", F.lit("2001-08-01").cast("date"), 15).groupBy("day").agg(row_count().alias("n"))
 
 
 @query("s05_aggregate_chain", "SELECT year(o_orderdate)::BIGINT AS y, SUM(o_totalprice::DECIMAL(18,2))::DOUBLE AS total FROM orders GROUP BY 1")

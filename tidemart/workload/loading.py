@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from tidemart.functions.semantics import row_count
 
 from tidemart.sources import export as E
 from tidemart.sources import extract as X
@@ -11,7 +12,6 @@ from tidemart.sources.tables import VersionedTable
 from tidemart.streaming import jobs as ST
 from tidemart.workload.base import money, query, when
 
-N = F.count(F.lit(1))
 NOW = "2002-01-01 00:00:00"
 
 
@@ -51,7 +51,7 @@ def _(t):
     t.nation.write.partitionBy("n_regionkey").parquet(path)
     rows = t.spark.read.parquet(path).select("*", *L.file_columns(when(NOW)))
     folder = F.regexp_extract("meta_file_name", "n_regionkey=([0-9]+)", 0)
-    return rows.groupBy(F.col("n_regionkey").alias("region")).agg(N.alias("n"), F.count_distinct(folder).alias("folders"), F.max("meta_create_datetime").alias("loaded"))
+    return rows.groupBy(F.col("n_regionkey").alias("region")).agg(row_count().alias("n"), F.count_distinct(folder).alias("folders"), F.max("meta_create_datetime").alias("loaded"))
 
 
 def _ragged(t, path):
@@ -74,7 +74,7 @@ def _(t):
     t.orders.select("o_orderkey", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
     rows = t.spark.read.parquet(path).select("*", *L.file_columns(when(NOW)))
     ledger = rows.filter("o_orderstatus = 'O'").select("meta_file_name").distinct()
-    return L.unloaded(rows, ledger).groupBy(F.col("o_orderstatus").alias("status")).agg(N.alias("n"))
+    return L.unloaded(rows, ledger).groupBy(F.col("o_orderstatus").alias("status")).agg(row_count().alias("n"))
 
 
 @query("l08_load_report", "SELECT o_orderstatus AS status, COUNT(*)::BIGINT AS parsed, COUNT(*) FILTER (o_orderstatus = 'P' OR (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'))::BIGINT AS bad FROM orders GROUP BY 1")
@@ -89,7 +89,7 @@ def _(t):
     path = t.scratch("l09")
     L.copy_table(t.supplier, when(NOW), path)
     L.copy_table(t.supplier, when("2002-01-02"), path)
-    return t.spark.read.parquet(path).groupBy("s_suppkey").agg(N.alias("copies"), F.max("meta_create_datetime").alias("newest"))
+    return t.spark.read.parquet(path).groupBy("s_suppkey").agg(row_count().alias("copies"), F.max("meta_create_datetime").alias("newest"))
 
 
 @query("l10_raw_json_folders", "SELECT event_id, COALESCE(CASE WHEN event_type = 'click' THEN value END, -1)::DOUBLE AS value, COALESCE(CASE WHEN event_type = 'view' THEN user_id END, -1)::BIGINT AS user_id FROM events WHERE event_type IN ('click', 'view')")
@@ -120,17 +120,17 @@ def _(t):
     return table.read().select("user_id", "event_id", "ts")
 
 
-@query("l13_xml_documents", "SELECT l_orderkey AS order_id, l_partkey AS part, l_quantity::BIGINT AS qty FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')")
+@query("l13_xml_documents", "SELECT l_orderkey AS order_id, l_partkey AS part, l_quantity::BIGINT AS qty FROM lineitem UNION ALL SELECT l_orderkey, l_suppkey, l_linenumber::BIGINT FROM lineitem")
 def _(t):
-    item = F.concat(F.lit("<item><part>"), F.col("l_partkey").cast("string"), F.lit("</part><qty>"), F.col("l_quantity").cast("long").cast("string"), F.lit("</qty></item>"))
-    urgent = t.lineitem.join(t.orders.filter("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
-    # One document per order line group of a few lines: order, container, items.
-    docs = urgent.groupBy("l_orderkey").agg(F.array_join(F.collect_list(item), "").alias("items")).select(
-        F.concat(F.lit("<asn><order><id>"), F.col("l_orderkey").cast("string"), F.lit("</id><container>"), "items", F.lit("</container></order></asn>")).alias("xml_data")
-    )
+    node = lambda tag, c: F.concat(F.lit(f"<{tag}>"), c, F.lit(f"</{tag}>"))
+    text = lambda c: F.col(c).cast("long").cast("string")
+    item = lambda part, qty: node("item", F.concat(node("part", text(part)), node("qty", text(qty))))
+    # One document per order line: order, container, two items.
+    items = F.concat(item("l_partkey", "l_quantity"), item("l_suppkey", "l_linenumber"))
+    order = F.concat(node("id", text("l_orderkey")), node("container", items))
+    docs = t.lineitem.select(node("asn", node("order", order)).alias("xml_data"))
     schema = "order struct<id: bigint, container: struct<item: array<struct<part: bigint, qty: bigint>>>>"
-    parsed = L.parse_xml(docs, "xml_data", schema, "asn")
-    rows = L.explode_path(parsed, ("asn.order.container.item", "item"))
+    rows = L.explode_path(L.parse_xml(docs, "xml_data", schema, "asn"), ("asn.order.container.item", "item"))
     return rows.select(F.col("asn.order.id").alias("order_id"), F.col("item.part").alias("part"), F.col("item.qty").alias("qty"))
 
 
@@ -144,8 +144,8 @@ def _(t):
 
 @query("l15_join_sheets", "SELECT COALESCE(a.k, b.k)::BIGINT AS nation, COALESCE(customers, 0)::BIGINT AS customers, COALESCE(suppliers, 0)::BIGINT AS suppliers FROM (SELECT c_nationkey AS k, COUNT(*) AS customers FROM customer WHERE c_acctbal < -500 GROUP BY 1) a FULL JOIN (SELECT s_nationkey AS k, COUNT(*) AS suppliers FROM supplier GROUP BY 1) b ON a.k = b.k")
 def _(t):
-    a = t.customer.filter("c_acctbal < -500").groupBy(F.col("c_nationkey").alias("nation")).agg(N.alias("v"))
-    b = t.supplier.groupBy(F.col("s_nationkey").alias("nation")).agg(N.alias("v"))
+    a = t.customer.filter("c_acctbal < -500").groupBy(F.col("c_nationkey").alias("nation")).agg(row_count().alias("v"))
+    b = t.supplier.groupBy(F.col("s_nationkey").alias("nation")).agg(row_count().alias("v"))
     return L.join_sheets({"customers": a, "suppliers": b}, "nation").fillna(0)
 
 
@@ -161,14 +161,14 @@ def _(t):
     path = t.scratch("l17")
     E.write_feed(t.lineitem.select("l_orderkey", "l_partkey", "l_quantity"), path, part_rows=5000)
     rows = t.spark.read.option("header", "true").option("sep", "|").csv(path).withColumn("f", F.col("_metadata.file_name"))
-    return rows.groupBy("f").agg(N.alias("n")).agg(F.sum("n").alias("n"), (F.max("n") <= 5000).alias("within_part_size"))
+    return rows.groupBy("f").agg(row_count().alias("n")).agg(F.sum("n").alias("n"), (F.max("n") <= 5000).alias("within_part_size"))
 
 
 @query("l18_file_per_key", "SELECT p_brand, COUNT(*)::BIGINT AS n FROM part GROUP BY 1")
 def _(t):
     path = t.scratch("l18")
     E.write_per_key(t.part.select("p_partkey", "p_brand"), path, "p_brand")
-    return t.spark.read.option("header", "true").csv(path).groupBy("p_brand").agg(N.alias("n"))
+    return t.spark.read.option("header", "true").csv(path).groupBy("p_brand").agg(row_count().alias("n"))
 
 
 @query("l19_backup_and_delete", "SELECT 'kept' AS place, COUNT(*)::BIGINT AS n FROM orders WHERE (NULLIF(o_orderstatus, 'P') = 'F') IS NOT TRUE UNION ALL SELECT 'saved', COUNT(*) FROM orders WHERE NULLIF(o_orderstatus, 'P') = 'F'")
@@ -176,7 +176,7 @@ def _(t):
     path = t.scratch("l19")
     kept = E.backup(t.orders.select("o_orderkey", "o_orderstatus"), path, "json", F.expr("nullif(o_orderstatus, 'P') = 'F'"), delete=True)
     saved = t.spark.read.schema("o_orderkey long").json(path)
-    return kept.agg(F.lit("kept").alias("place"), N.alias("n")).unionByName(saved.agg(F.lit("saved").alias("place"), N.alias("n")))
+    return kept.agg(F.lit("kept").alias("place"), row_count().alias("n")).unionByName(saved.agg(F.lit("saved").alias("place"), row_count().alias("n")))
 
 
 @query("l20_incremental_extract", "SELECT DISTINCT o_custkey, o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '1999-03-01' AND o_orderdate < TIMESTAMP '1999-09-01'")
@@ -188,7 +188,7 @@ def _(t):
 def _(t):
     days = t.orders.withColumn("d", F.datediff(F.to_date("o_orderdate"), F.lit("1970-01-01").cast("date")))
     low = F.datediff(F.lit("1995-01-01").cast("date"), F.lit("1970-01-01").cast("date"))
-    return X.number_chunks(days, "d", low, F.lit(X.CHUNK_DAYS), "chunk").groupBy("chunk").agg(N.alias("n"))
+    return X.number_chunks(days, "d", low, F.lit(X.CHUNK_DAYS), "chunk").groupBy("chunk").agg(row_count().alias("n"))
 
 
 @query("l22_change_range", "SELECT event_id, event_type FROM events WHERE event_id > 1000 AND event_id <= (SELECT max(event_id) - 100 FROM events)")
@@ -213,7 +213,7 @@ def _(t):
     t.events.select("event_id", "event_type").write.parquet(src)
     stream = t.spark.readStream.schema("event_id long, event_type string").parquet(src)
     table = VersionedTable(t.spark, t.scratch("s04-table"))
-    view = lambda: t.spark.read.parquet(src).groupBy("event_type").agg(N.alias("n"))
+    view = lambda: t.spark.read.parquet(src).groupBy("event_type").agg(row_count().alias("n"))
     ST.refresh_view(stream, table, view, ckpt).awaitTermination()
     return table.read()
 

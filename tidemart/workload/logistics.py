@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from tidemart.functions.semantics import row_count
 
 from tidemart.operators.merge import apply_merge
 from tidemart.plans import logistics as P
 from tidemart.streaming.jobs import slot_totals
 from tidemart.workload.base import SQL_SALES, money, query, when
 
-N = F.count(F.lit(1))
-
 
 @query("d47_lead_times", f"""SELECT orderkey, linenumber::BIGINT AS linenumber, partkey, suppkey, (ship_date::DATE - order_date::DATE)::BIGINT AS ship_days,
  (CASE WHEN ship_date >= order_date THEN 1 ELSE -1 END * (SELECT COUNT(*) FROM generate_series(1, ABS(ship_date::DATE - order_date::DATE)) g(i) WHERE dayofweek(LEAST(order_date, ship_date)::DATE + i::INT) NOT IN (0, 6)))::BIGINT AS ship_work_days FROM {SQL_SALES}""")
@@ -32,12 +31,11 @@ _SEG = "(SELECT conv_id, role AS participant, turn, length(text) AS chars FROM c
 
 @query("d49_conversation_segments", "SELECT conv_id::VARCHAR AS conversation_id, role AS participant_id, turn AS segment, length(text)::BIGINT AS chars FROM conversations")
 def _(t):
-    # Conversations as nested documents: participants, one session each, a segment per turn.
+    # Turns as nested documents: one participant with one session and its segment each.
     segment = F.struct(F.col("turn").alias("segment"), F.length("text").cast("long").alias("chars"))
-    per_role = t.conversations.groupBy("conv_id", "role").agg(F.collect_list(segment).alias("segments"))
-    session = F.array(F.struct(F.concat_ws("-", F.col("conv_id").cast("string"), "role").alias("sessionId"), "segments"))
-    docs = per_role.groupBy("conv_id").agg(F.collect_list(F.struct(F.col("role").alias("participantId"), session.alias("sessions"))).alias("participants"))
-    json = docs.select(F.to_json(F.struct(F.col("conv_id").cast("string").alias("conversationId"), "participants")).alias("doc"))
+    session = F.struct(F.concat_ws("-", F.col("conv_id").cast("string"), "role").alias("sessionId"), F.array(segment).alias("segments"))
+    participant = F.struct(F.col("role").alias("participantId"), F.array(session).alias("sessions"))
+    json = t.conversations.select(F.to_json(F.struct(F.col("conv_id").cast("string").alias("conversationId"), F.array(participant).alias("participants"))).alias("doc"))
     schema = "conversationId string, participants array<struct<participantId: string, sessions: array<struct<sessionId: string, segments: array<struct<segment: bigint, chars: bigint>>>>>>"
     return P.conversation_rows(json.select(F.from_json("doc", schema).alias("conversation"))).drop("session_id")
 
@@ -62,7 +60,7 @@ def _(t):
 
 @query("d65_usage_cost", """WITH u AS (SELECT user_id, ts AS s, ts + INTERVAL 1 SECOND * (value * 60)::BIGINT AS e FROM events WHERE value > 1), h AS (SELECT user_id, unnest(generate_series(date_trunc('hour', s), date_trunc('hour', e), INTERVAL 1 HOUR)) AS h, s, e FROM u),
  p AS (SELECT user_id, h, (epoch_us(LEAST(e, h + INTERVAL 1 HOUR)) - epoch_us(GREATEST(s, h)))::HUGEINT AS us FROM h), q AS (SELECT * FROM p WHERE us > 0), t AS (SELECT h, SUM(us) AS total FROM q GROUP BY 1)
- SELECT user_id, ROUND(SUM((us::DOUBLE / total::DOUBLE) * (1 + hour(h)) * (2 + day(h) / 10.0::DOUBLE)), 4) AS cost FROM q JOIN t USING (h) GROUP BY 1""")
+ SELECT user_id, SUM(CAST((us::DOUBLE / total::DOUBLE) * (1 + hour(h)) * (2 + day(h) / 10.0::DOUBLE) AS DECIMAL(24,6)))::DOUBLE AS cost FROM q JOIN t USING (h) GROUP BY 1""")
 def _(t):
     e = t.events.filter("value > 1")
     end = F.timestamp_add("SECOND", F.round(F.col("value") * 60).cast("int"), F.col("ts"))
@@ -70,4 +68,4 @@ def _(t):
     hours = P.split_by_hour(usage, "s", "e").select("hour").distinct()
     credits = hours.select("hour", (F.hour("hour") + 1).alias("credits"))
     rates = hours.select(F.to_date("hour").alias("day")).distinct().withColumn("rate", F.lit(2) + F.dayofmonth("day") / F.lit(10.0))
-    return P.usage_cost(usage, credits, rates, ["user_id"], "s", "e").withColumn("cost", F.round("cost", 4))
+    return P.usage_cost(usage, credits, rates, ["user_id"], "s", "e")

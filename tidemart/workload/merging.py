@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from tidemart.functions.semantics import row_count
 
 from tidemart.functions import semantics as S
 from tidemart.operators import history as H
@@ -15,7 +16,6 @@ from tidemart.sources.tables import VersionedTable
 from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query, when
 
 T1, T2 = "2002-01-01 00:00:00", "2002-01-02 00:00:00"
-N = F.count(F.lit(1))
 
 
 def _orders(t):
@@ -193,7 +193,7 @@ def _(t):
  a AS (SELECT orderkey, SUM(net) AS net FROM {SQL_LINES} WHERE ship_date < TIMESTAMP '1999-01-01' GROUP BY 1)
  SELECT f.orderkey, f.net::DOUBLE AS net, f.lines::BIGINT AS lines, CASE WHEN a.orderkey IS NULL OR f.last_ship >= TIMESTAMP '1999-01-01' THEN '{T2}' ELSE '{T1}' END AS updated FROM f LEFT JOIN a USING (orderkey)""")
 def _(t):
-    fact = lambda df: df.groupBy("orderkey").agg(F.max("ship_date").alias("last_ship"), F.sum("net").alias("net"), N.alias("lines"))
+    fact = lambda df: df.groupBy("orderkey").agg(F.max("ship_date").alias("last_ship"), F.sum("net").alias("net"), row_count().alias("lines"))
     first = D.mart_upsert(None, fact(t.lines().filter(F.col("ship_date") < when("1999-01-01"))), ["orderkey"], when(T1))
     out = D.mart_upsert(first, fact(t.lines()), ["orderkey"], when(T2), newer_by="last_ship")
     return out.select("orderkey", "net", "lines", F.col("meta_update_datetime").alias("updated"))
@@ -376,7 +376,7 @@ def _(t):
 @query("m21_update_from", "SELECT c_custkey, (CASE WHEN n > 10 THEN c_acctbal::DECIMAL(18,2) + n ELSE c_acctbal::DECIMAL(18,2) END)::DOUBLE AS balance FROM customer LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey")
 def _(t):
     c = t.customer.select("c_custkey", money("c_acctbal").alias("balance"))
-    counts = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(N.alias("n"))
+    counts = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(row_count().alias("n"))
     return M.update_from(c, counts, ["c_custkey"], {"balance": lambda t_, s: (t_("balance") + s("n")).cast("decimal(18,2)")}, lambda t_, s: s("n") > 10)
 
 
@@ -398,7 +398,7 @@ def _(t):
 @query("m23_overwrite", "SELECT n_nationkey::BIGINT AS n_nationkey, COUNT(*)::BIGINT AS customers FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY 1")
 def _(t):
     table = VersionedTable(t.spark, t.scratch("m23"))
-    per = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(N.alias("customers"))
+    per = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(row_count().alias("customers"))
     table.publish(per.withColumn("customers", F.lit(0).cast("long")))
     table.publish(per)
     return table.read()
@@ -411,7 +411,7 @@ def _(t):
     source = t.orders.select("o_orderkey", money("o_totalprice").alias("v"), (F.col("o_orderstatus") == "F").cast("int").alias("in_report"))
     source.write.mode("overwrite").partitionBy("in_report").parquet(path)
     stored = t.spark.read.parquet(path)
-    total = lambda name, df: df.agg(F.lit(name).alias("target"), N.alias("n"), F.sum("v").alias("total"))
+    total = lambda name, df: df.agg(F.lit(name).alias("target"), row_count().alias("n"), F.sum("v").alias("total"))
     return total("report", stored.filter("in_report = 1")).unionByName(total("snapshot", stored))
 
 
@@ -425,8 +425,8 @@ def _(t):
 @query("m26_sql_target_merge", "SELECT COALESCE(k, -1)::BIGINT AS k, n::BIGINT AS n FROM (SELECT NULLIF(c_nationkey, 3) AS k, COUNT(*) AS n FROM customer GROUP BY 1)")
 def _(t):
     k = F.expr("nullif(c_nationkey, 3)").alias("k")
-    target = t.customer.filter("c_acctbal > 0").groupBy(k).agg(N.alias("n"))
-    source = t.customer.groupBy(k).agg(N.alias("n"))
+    target = t.customer.filter("c_acctbal > 0").groupBy(k).agg(row_count().alias("n"))
+    source = t.customer.groupBy(k).agg(row_count().alias("n"))
     return M.sql_target_merge(target, source, ["k"]).select(F.coalesce("k", F.lit(-1)).alias("k"), "n")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from tidemart.functions.semantics import row_count
 
 from tidemart.functions import semantics as S
 from tidemart.operators.merge import effective_rates
@@ -10,7 +11,6 @@ from tidemart.plans import money as P
 from tidemart.plans.members import month_of
 from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query, when
 
-N = F.count(F.lit(1))
 
 # Rates: one currency per order status, re-fixed every quarter from the number of orders.
 _RATES = """(SELECT o_orderstatus AS cur, date_trunc('quarter', o_orderdate) AS q, CAST(1 + COUNT(*) / 1000 AS DECIMAL(18,6)) AS r FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01' GROUP BY 1, 2)"""
@@ -20,7 +20,7 @@ def _rates(t):
     q = t.orders.filter(F.col("o_orderdate") < when("2001-01-01")).groupBy(
         F.col("o_orderstatus").alias("src_currency"), F.date_trunc("quarter", "o_orderdate").cast("timestamp_ntz").alias("rate_datetime")
     )
-    return q.agg((F.lit(1) + N / F.lit(1000)).cast("decimal(18,6)").alias("exchange_rate"))
+    return q.agg((F.lit(1) + row_count() / F.lit(1000)).cast("decimal(18,6)").alias("exchange_rate"))
 
 
 @query("d42_currency_conversion", f"""WITH v AS (SELECT cur, r, CASE WHEN ROW_NUMBER() OVER w = 1 THEN TIMESTAMP '1900-01-01' ELSE q END AS s, COALESCE(LEAD(q) OVER w - INTERVAL 1 MILLISECOND, TIMESTAMP '9999-12-31') AS e FROM {_RATES} WINDOW w AS (PARTITION BY cur ORDER BY q))
@@ -42,7 +42,7 @@ _MON = "(SELECT o_orderpriority AS bu, date_trunc('month', o_orderdate)::DATE AS
 
 
 def _monthly(t):
-    return t.orders.filter(F.col("o_orderdate") < when("2001-07-01")).groupBy(F.col("o_orderpriority").alias("bu"), month_of("o_orderdate").alias("m")).agg(F.sum(money("o_totalprice")).alias("v"), N.alias("n"))
+    return t.orders.filter(F.col("o_orderdate") < when("2001-07-01")).groupBy(F.col("o_orderpriority").alias("bu"), month_of("o_orderdate").alias("m")).agg(F.sum(money("o_totalprice")).alias("v"), row_count().alias("n"))
 
 
 @query("d43_carry_forward", f"""WITH a AS (SELECT * FROM {_MON} UNION ALL SELECT bu, (m + INTERVAL 1 MONTH * k)::DATE, v, n FROM {_MON}, generate_series(1, 3) g(k) WHERE m = (SELECT MAX(m) FROM {_MON}))
@@ -139,7 +139,7 @@ _FC = """(SELECT o_orderpriority AS unit, date_trunc('hour', o_orderdate) + INTE
 @query("d67_forecast_by_horizon", f"""WITH s AS (SELECT unit, tgt AS h, v AS forecast, act FROM {_FC} WHERE tgt = made), l AS (SELECT DISTINCT unit, made AS h, tgt AS th, v AS lf FROM {_FC} WHERE tgt <> made), a AS (SELECT DISTINCT unit, h - INTERVAL 1 HOUR AS h, act FROM s)
  SELECT s.unit, s.h::VARCHAR AS hour, s.forecast::BIGINT AS forecast, COALESCE(th::VARCHAR, '-') AS target_hour, COALESCE(lf, -1)::BIGINT AS later_forecast, COALESCE(a.act, -1)::BIGINT AS actual FROM s LEFT JOIN l ON l.unit = s.unit AND l.h = s.h LEFT JOIN a ON a.unit = s.unit AND a.h = s.h""")
 def _(t):
-    base = t.orders.groupBy(F.col("o_orderpriority").alias("unit"), F.date_trunc("hour", "o_orderdate").cast("timestamp_ntz").alias("h")).agg(N.alias("n"))
+    base = t.orders.groupBy(F.col("o_orderpriority").alias("unit"), F.date_trunc("hour", "o_orderdate").cast("timestamp_ntz").alias("h")).agg(row_count().alias("n"))
     k = base.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3))))
     ahead = lambda n: F.timestamp_add("HOUR", n, F.col("h"))
     stored = k.select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from tidemart.functions.semantics import row_count
 
 from tidemart.functions import semantics as S
 from tidemart.functions import text as X
@@ -12,8 +13,6 @@ from tidemart.operators import reshape as R
 from tidemart.operators.scan import Scan, key_tiles, ordered_scan
 from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query, when
 
-N = F.count(F.lit(1))
-
 
 @query("r01_projection", f"SELECT orderkey, linenumber::BIGINT AS linenumber, net::DOUBLE AS net, (net * 2)::DOUBLE AS doubled, (gross - net)::DOUBLE AS rebate FROM {SQL_LINES}")
 def _(t):
@@ -34,15 +33,15 @@ def _(t):
 
 @query("r04_cte", "WITH big AS (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY 1 HAVING COUNT(*) > 12) SELECT c_mktsegment, COUNT(*)::BIGINT AS customers, SUM(n)::BIGINT AS orders_n FROM big JOIN customer ON o_custkey = c_custkey GROUP BY 1")
 def _(t):
-    big = t.orders.groupBy("o_custkey").agg(N.alias("n")).filter("n > 12")
-    return big.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment").agg(N.alias("customers"), F.sum("n").alias("orders_n"))
+    big = t.orders.groupBy("o_custkey").agg(row_count().alias("n")).filter("n > 12")
+    return big.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment").agg(row_count().alias("customers"), F.sum("n").alias("orders_n"))
 
 
 @query("r05_recursive_series", "WITH RECURSIVE d(day, last) AS (SELECT min(o_orderdate)::DATE, max(o_orderdate)::DATE FROM orders UNION ALL SELECT (day + INTERVAL 1 DAY)::DATE, last FROM d WHERE day < last) SELECT day::VARCHAR AS day, COUNT(o_orderkey)::BIGINT AS n FROM d LEFT JOIN orders ON o_orderdate::DATE = day GROUP BY 1")
 def _(t):
     span = t.orders.agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
     days = X.date_range(span, "a", "b", "day").select("day")
-    counts = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(N.alias("n"))
+    counts = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(row_count().alias("n"))
     return days.join(counts, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -50,7 +49,7 @@ def _(t):
 def _(t):
     per_order = t.sales().groupBy("orderkey", "priority").agg(F.sum("net").alias("total"))
     large = per_order.filter("total > 100000")
-    return large.groupBy("priority").agg(N.alias("n"), F.sum("total").alias("total"))
+    return large.groupBy("priority").agg(row_count().alias("n"), F.sum("total").alias("total"))
 
 
 @query("r07_view_and_insert", "SELECT n_name, COUNT(*)::BIGINT AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 GROUP BY 1")
@@ -60,13 +59,13 @@ def _(t):
     rich.filter("c_nationkey < 10").write.mode("append").parquet(path)
     rich.filter("c_nationkey >= 10").write.mode("append").parquet(path)
     stored = t.spark.read.parquet(path)
-    return stored.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(N.alias("customers"))
+    return stored.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(row_count().alias("customers"))
 
 
 @query("r08_inline_values", "SELECT label, COUNT(*)::BIGINT AS n FROM orders JOIN (VALUES ('F', 'finished'), ('O', 'open')) v(s, label) ON o_orderstatus = s GROUP BY 1")
 def _(t):
     v = t.spark.createDataFrame([("F", "finished"), ("O", "open")], "o_orderstatus string, label string")
-    return t.orders.join(v, "o_orderstatus").groupBy("label").agg(N.alias("n"))
+    return t.orders.join(v, "o_orderstatus").groupBy("label").agg(row_count().alias("n"))
 
 
 @query("r09_row_generator", "SELECT p_partkey, s::BIGINT AS step FROM part, LATERAL (SELECT unnest(generate_series(1, p_size)) AS s) WHERE p_size <= 5")
@@ -78,7 +77,7 @@ def _(t):
 def _(t):
     newest = t.orders.agg(F.max("o_orderdate")).first()[0]
     low = F.timestamp_add("DAY", F.lit(-90), F.lit(str(newest)).cast("timestamp_ntz"))
-    return t.orders.filter(F.col("o_orderdate") > low).agg(N.alias("n"))
+    return t.orders.filter(F.col("o_orderdate") > low).agg(row_count().alias("n"))
 
 
 @query("r11_scalar_subquery", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice::DECIMAL(18,2) > (SELECT max(o_totalprice::DECIMAL(18,2)) FROM orders) * 0.99")
@@ -121,20 +120,20 @@ _LINES_PER_ORDER = "(SELECT l_orderkey, COUNT(*) AS n FROM lineitem GROUP BY 1)"
 
 @query("j02_left_outer", f"SELECT o_orderkey, COALESCE(n, 0)::BIGINT AS lines FROM orders LEFT JOIN {_LINES_PER_ORDER} ON o_orderkey = l_orderkey")
 def _(t):
-    per = t.lineitem.groupBy("l_orderkey").agg(N.alias("n"))
+    per = t.lineitem.groupBy("l_orderkey").agg(row_count().alias("n"))
     return t.orders.join(per, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", F.coalesce("n", F.lit(0)).alias("lines"))
 
 
 @query("j03_right_outer", "SELECT p_partkey, COALESCE(n, 0)::BIGINT AS big_lines FROM (SELECT l_partkey, COUNT(*) AS n FROM lineitem WHERE l_quantity > 49 GROUP BY 1) RIGHT JOIN part ON l_partkey = p_partkey")
 def _(t):
-    per = t.lineitem.filter("l_quantity > 49").groupBy("l_partkey").agg(N.alias("n"))
+    per = t.lineitem.filter("l_quantity > 49").groupBy("l_partkey").agg(row_count().alias("n"))
     return per.join(t.part, F.col("l_partkey") == F.col("p_partkey"), "right").select("p_partkey", F.coalesce("n", F.lit(0)).alias("big_lines"))
 
 
 @query("j04_full_outer", "SELECT COALESCE(a.n, b.n)::BIGINT AS nationkey, COALESCE(customers, 0)::BIGINT AS customers, COALESCE(suppliers, 0)::BIGINT AS suppliers FROM (SELECT c_nationkey AS n, COUNT(*) AS customers FROM customer WHERE c_acctbal > 9000 GROUP BY 1) a FULL JOIN (SELECT s_nationkey AS n, COUNT(*) AS suppliers FROM supplier GROUP BY 1) b ON a.n = b.n")
 def _(t):
-    a = t.customer.filter("c_acctbal > 9000").groupBy(F.col("c_nationkey").alias("nationkey")).agg(N.alias("customers"))
-    b = t.supplier.groupBy(F.col("s_nationkey").alias("nationkey")).agg(N.alias("suppliers"))
+    a = t.customer.filter("c_acctbal > 9000").groupBy(F.col("c_nationkey").alias("nationkey")).agg(row_count().alias("customers"))
+    b = t.supplier.groupBy(F.col("s_nationkey").alias("nationkey")).agg(row_count().alias("suppliers"))
     return a.join(b, "nationkey", "full").fillna(0, ["customers", "suppliers"])
 
 
@@ -146,7 +145,7 @@ def _(t):
     grid = X.month_range(segments, "s.a", "s.b", "month").select("month", "c_mktsegment")
     sold = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy(
         F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"), "c_mktsegment"
-    ).agg(N.alias("n"))
+    ).agg(row_count().alias("n"))
     return grid.join(sold, ["month", "c_mktsegment"], "left").fillna(0, ["n"])
 
 
@@ -173,8 +172,8 @@ def _(t):
 
 @query("j09_null_safe", "SELECT COALESCE(a.k, -1)::BIGINT AS k, customers::BIGINT AS customers, suppliers::BIGINT AS suppliers FROM (SELECT NULLIF(c_nationkey, 3) AS k, COUNT(*) AS customers FROM customer GROUP BY 1) a JOIN (SELECT NULLIF(s_nationkey, 3) AS k, COUNT(*) AS suppliers FROM supplier GROUP BY 1) b ON a.k IS NOT DISTINCT FROM b.k")
 def _(t):
-    a = t.customer.groupBy(F.expr("nullif(c_nationkey, 3)").alias("k")).agg(N.alias("customers"))
-    b = t.supplier.groupBy(F.expr("nullif(s_nationkey, 3)").alias("k2")).agg(N.alias("suppliers"))
+    a = t.customer.groupBy(F.expr("nullif(c_nationkey, 3)").alias("k")).agg(row_count().alias("customers"))
+    b = t.supplier.groupBy(F.expr("nullif(s_nationkey, 3)").alias("k2")).agg(row_count().alias("suppliers"))
     return a.join(b, F.col("k").eqNullSafe(F.col("k2"))).select(F.coalesce("k", F.lit(-1)).alias("k"), "customers", "suppliers")
 
 
@@ -231,7 +230,7 @@ def _(t):
 def _(t):
     v = t.spark.createDataFrame([("TOP", 1), ("REST", 2)], "grp string, g int")
     keyed = t.orders.withColumn("grp", F.when(F.upper(F.left("o_orderpriority", F.lit(1))).isin("1", "2"), "TOP").otherwise("REST"))
-    return keyed.join(v, "grp").groupBy("grp").agg(N.alias("n"))
+    return keyed.join(v, "grp").groupBy("grp").agg(row_count().alias("n"))
 
 
 @query("j15_co_occurrence", "WITH b AS (SELECT DISTINCT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey) SELECT x.p_brand AS item_a, y.p_brand AS item_b, COUNT(*)::BIGINT AS baskets FROM b x JOIN b y ON x.l_orderkey = y.l_orderkey AND x.p_brand < y.p_brand GROUP BY 1, 2")
@@ -245,7 +244,7 @@ def _(t):
 @query("j16_flatten", "SELECT doc_id, word, COUNT(*)::BIGINT AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents) GROUP BY 1, 2")
 def _(t):
     words = t.documents.select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word"))
-    return words.groupBy("doc_id", "word").agg(N.alias("n"))
+    return words.groupBy("doc_id", "word").agg(row_count().alias("n"))
 
 
 @query("j17_flatten_outer", "SELECT page_id, COALESCE(d, 'none') AS d FROM pages LEFT JOIN LATERAL (SELECT unnest(regexp_extract_all(url, 'ref=[a-z]+')) AS d) ON true")
@@ -267,7 +266,7 @@ def _(t):
 @query("u1_union_all", "SELECT k, COUNT(*)::BIGINT AS n FROM (SELECT c_nationkey::BIGINT AS k FROM customer UNION ALL SELECT s_nationkey::BIGINT FROM supplier) GROUP BY 1")
 def _(t):
     both = t.customer.select(F.col("c_nationkey").alias("k")).unionByName(t.supplier.select(F.col("s_nationkey").alias("k")))
-    return both.groupBy("k").agg(N.alias("n"))
+    return both.groupBy("k").agg(row_count().alias("n"))
 
 
 @query("u2_union_distinct", "SELECT c_nationkey::BIGINT AS k FROM customer WHERE c_acctbal > 5000 UNION SELECT s_nationkey FROM supplier")
@@ -307,7 +306,7 @@ def _(t):
 def _(t):
     from tidemart.workload.base import net_price
 
-    return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.sum(F.col("l_quantity").cast("long")).alias("qty"), F.sum(net_price()).alias("revenue"), N.alias("n"))
+    return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.sum(F.col("l_quantity").cast("long")).alias("qty"), F.sum(net_price()).alias("revenue"), row_count().alias("n"))
 
 
 @query("a02_group_by_ordinal", "SELECT year(o_orderdate)::BIGINT AS y, o_orderstatus, COUNT(*)::BIGINT AS n FROM orders GROUP BY 1, 2")
@@ -324,7 +323,7 @@ def _(t):
 
 @query("a04_having", "SELECT l_partkey, COUNT(*)::BIGINT AS n FROM lineitem GROUP BY 1 HAVING COUNT(*) > 35")
 def _(t):
-    return t.lineitem.groupBy("l_partkey").agg(N.alias("n")).filter("n > 35")
+    return t.lineitem.groupBy("l_partkey").agg(row_count().alias("n")).filter("n > 35")
 
 
 @query("a05_count_distinct", "SELECT l_suppkey, COUNT(DISTINCT l_partkey)::BIGINT AS parts, COUNT(DISTINCT CASE WHEN l_returnflag = 'R' THEN l_orderkey END)::BIGINT AS returned_orders FROM lineitem GROUP BY 1")
@@ -365,18 +364,18 @@ def _(t):
 
 @query("a11_any_value", "SELECT c_nationkey::BIGINT AS c_nationkey, ANY_VALUE(n_name) AS n_name, COUNT(*)::BIGINT AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
 def _(t):
-    return t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("c_nationkey").agg(F.any_value("n_name").alias("n_name"), N.alias("n"))
+    return t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("c_nationkey").agg(F.any_value("n_name").alias("n_name"), row_count().alias("n"))
 
 
 @query("a12_percent_of_total", "SELECT r, b, total / SUM(total) OVER (PARTITION BY r) AS share FROM (SELECT n_regionkey::BIGINT AS r, c_mktsegment AS b, COUNT(*)::DOUBLE AS total FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)")
 def _(t):
-    by = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_regionkey").alias("r"), F.col("c_mktsegment").alias("b")).agg(N.alias("total"))
+    by = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_regionkey").alias("r"), F.col("c_mktsegment").alias("b")).agg(row_count().alias("total"))
     return R.share_of_total(by, ["r"], "total", "share").drop("total")
 
 
 @query("a13_totals_by_grain", "SELECT COALESCE(o_orderstatus, 'All') AS status, COALESCE(o_orderpriority, 'All') AS priority, COUNT(*)::BIGINT AS n FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)")
 def _(t):
-    rolled = t.orders.rollup("o_orderstatus", "o_orderpriority").agg(N.alias("n"), F.grouping_id().alias("g"))
+    rolled = t.orders.rollup("o_orderstatus", "o_orderpriority").agg(row_count().alias("n"), F.grouping_id().alias("g"))
     return rolled.select(
         F.when(F.col("g").bitwiseAND(2) > 0, "All").otherwise(F.col("o_orderstatus")).alias("status"),
         F.when(F.col("g").bitwiseAND(1) > 0, "All").otherwise(F.col("o_orderpriority")).alias("priority"),
@@ -402,7 +401,7 @@ _PER_BRAND = "(SELECT p_brand, p_type, COUNT(*) AS n FROM part GROUP BY 1, 2)"
 
 
 def _brand_types(t):
-    return t.part.groupBy("p_brand", "p_type").agg(N.alias("n"))
+    return t.part.groupBy("p_brand", "p_type").agg(row_count().alias("n"))
 
 
 @query("n02_rank", f"SELECT p_brand, p_type, RANK() OVER (PARTITION BY p_brand ORDER BY n DESC)::BIGINT AS rnk FROM {_PER_BRAND}")
@@ -464,13 +463,13 @@ def _(t):
 
 @query("n11_whole_partition", "SELECT o_orderkey, COUNT(*) OVER p::BIGINT AS orders_n, MAX(o_totalprice) OVER p AS top, SUM(o_totalprice::DECIMAL(18,2)) OVER p::DOUBLE AS total FROM orders WINDOW p AS (PARTITION BY o_custkey)")
 def _(t):
-    per = t.orders.groupBy("o_custkey").agg(N.alias("orders_n"), F.max("o_totalprice").alias("top"), F.sum(money("o_totalprice")).alias("total"))
+    per = t.orders.groupBy("o_custkey").agg(row_count().alias("orders_n"), F.max("o_totalprice").alias("top"), F.sum(money("o_totalprice")).alias("total"))
     return t.orders.select("o_custkey", "o_orderkey").join(per, "o_custkey").drop("o_custkey")
 
 
 @query("n12_double_dedupe", "WITH x AS (SELECT l_partkey, l_suppkey, COUNT(*) AS n FROM lineitem GROUP BY 1, 2) SELECT l_partkey, l_suppkey, n::BIGINT AS n FROM x QUALIFY ROW_NUMBER() OVER (PARTITION BY l_partkey ORDER BY n DESC, l_suppkey) = 1 AND ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY n DESC, l_partkey) = 1")
 def _(t):
-    x = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(N.alias("n"))
+    x = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(row_count().alias("n"))
     by_part = S.latest_by(x, ["l_partkey"], ["n", -F.col("l_suppkey")])
     by_supp = S.latest_by(x, ["l_suppkey"], ["n", -F.col("l_partkey")]).select("l_partkey", "l_suppkey")
     return by_part.join(by_supp, ["l_partkey", "l_suppkey"])
@@ -478,7 +477,7 @@ def _(t):
 
 @query("n13_range_frame", "SELECT day::VARCHAR AS day, SUM(n) OVER (ORDER BY day RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW)::BIGINT AS n8 FROM (SELECT o_orderdate::DATE AS day, COUNT(*) AS n FROM orders GROUP BY 1)")
 def _(t):
-    daily = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(N.alias("n"))
+    daily = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(row_count().alias("n"))
     w = W.orderBy(F.unix_date("day")).rangeBetween(-7, 0)
     return daily.select("day", F.sum("n").over(w).alias("n8"))
 

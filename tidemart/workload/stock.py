@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from tidemart.functions.semantics import row_count
 
 from tidemart.plans import stock as P
 from tidemart.workload.base import SQL_LINES, money, query, when
 
-N = F.count(F.lit(1))
-
 
 @query("d37_inventory_snapshot", f"""WITH a AS (SELECT user_id, ts::DATE AS d, arg_min(event_id, (ts, event_id)) AS e, 0 AS r FROM events WHERE event_type = 'view' GROUP BY 1, 2), b AS (SELECT user_id, ts::DATE AS d, arg_min(event_id, (ts, event_id)) AS e, 1 AS r FROM events WHERE event_type = 'click' GROUP BY 1, 2)
  SELECT user_id, d::VARCHAR AS day, e AS event_id, r::BIGINT AS source_rank FROM (SELECT * FROM a UNION ALL SELECT * FROM b) QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, d ORDER BY r) = 1""")
@@ -55,7 +54,7 @@ _BD = f"(SELECT p_brand AS brand, ship_date::DATE AS day, SUM(qty) AS units, COU
 @query("d40_trailing_windows", f"SELECT brand, day::VARCHAR AS day, SUM(units) OVER w::BIGINT AS units_30_sum, (SUM(units) OVER w)::DOUBLE / (COUNT(units) OVER w)::DOUBLE AS units_30_avg, (SUM(orders) OVER w)::DOUBLE / (COUNT(orders) OVER w)::DOUBLE AS orders_30_avg FROM {_BD} WINDOW w AS (PARTITION BY brand ORDER BY day ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)")
 def _(t):
     sold = t.lines().join(t.part, F.col("partkey") == F.col("p_partkey"))
-    daily = sold.groupBy(F.col("p_brand").alias("brand"), F.to_date("ship_date").alias("day")).agg(F.sum("qty").alias("units"), N.alias("orders"))
+    daily = sold.groupBy(F.col("p_brand").alias("brand"), F.to_date("ship_date").alias("day")).agg(F.sum("qty").alias("units"), row_count().alias("orders"))
     out = P.trailing(daily, ["brand"], "day", ["units", "orders"])
     return out.select("brand", "day", "units_30_sum", "units_30_avg", "orders_30_avg")
 

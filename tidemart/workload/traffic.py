@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from tidemart.functions.semantics import row_count
 
 from tidemart.functions import semantics as S
 from tidemart.operators import joins as J
@@ -10,7 +11,6 @@ from tidemart.plans import traffic as P
 from tidemart.plans.members import month_of
 from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query, when
 
-N = F.count(F.lit(1))
 
 # Events as sessions: the visitor is the user, the customer (a third of the user range each) is known on some.
 _S = """(SELECT event_id AS session_id, user_id AS visitor, CASE WHEN event_type IN ('signup', 'purchase', 'click') THEN user_id // 3 END AS customer, ts,
@@ -87,7 +87,7 @@ _MLEADS = "(SELECT c_mktsegment AS seg, date_trunc('quarter', o_orderdate)::DATE
 
 @query("d23_rolling_cohorts", "SELECT seg, m::VARCHAR AS month, n::BIGINT AS m1, " + ", ".join(f"COALESCE(LAG(n, {k}) OVER w, 0)::BIGINT AS m{k + 1}" for k in range(1, 12)) + f" FROM {_MLEADS} WINDOW w AS (PARTITION BY seg ORDER BY m)")
 def _(t):
-    leads = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_mktsegment").alias("seg"), F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("month")).agg(N.alias("n"))
+    leads = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_mktsegment").alias("seg"), F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("month")).agg(row_count().alias("n"))
     return P.rolling_cohorts(leads, ["seg"], "month", "n")
 
 
@@ -95,14 +95,14 @@ def _(t):
 def _(t):
     m = month_of("o_orderdate").alias("month")
     spend = t.orders.filter("o_orderpriority = '5-LOW'").groupBy(m).agg(F.sum(money("o_totalprice")).alias("spend"))
-    leads = t.orders.filter("o_orderpriority = '1-URGENT'").groupBy(m).agg(N.alias("leads"))
+    leads = t.orders.filter("o_orderpriority = '1-URGENT'").groupBy(m).agg(row_count().alias("leads"))
     return P.cost_per_lead(spend, leads, ["month"])
 
 
 @query("d24_scaled_targets", """WITH d AS (SELECT o_orderpriority AS p, date_trunc('month', o_orderdate)::DATE AS m, SUM(o_totalprice::DECIMAL(18,2)) AS spend, COUNT(*) AS n FROM orders GROUP BY 1, 2), c AS (SELECT *, spend::DOUBLE / n::DOUBLE AS cac FROM d),
  v AS (SELECT *, AVG(cac) OVER (PARTITION BY p ORDER BY m ROWS BETWEEN 10 PRECEDING AND CURRENT ROW) AS mv FROM c) SELECT p, m::VARCHAR AS month, ROUND(mv, 4) AS moving_cac, ROUND(250000 / mv, 8) AS scaling, ROUND(250000 * (250000 / mv), 2) AS adjusted_target FROM v""")
 def _(t):
-    d = t.orders.groupBy(F.col("o_orderpriority").alias("p"), month_of("o_orderdate").alias("month")).agg(F.sum(money("o_totalprice")).alias("spend"), N.alias("n"))
+    d = t.orders.groupBy(F.col("o_orderpriority").alias("p"), month_of("o_orderdate").alias("month")).agg(F.sum(money("o_totalprice")).alias("spend"), row_count().alias("n"))
     out = P.scaled_targets(d.withColumn("target", F.lit(250000)), ["p"], "month", "spend", "n", "target")
     return out.select("p", "month", F.round("moving_cac", 4).alias("moving_cac"), F.round("scaling", 8).alias("scaling"), F.round("adjusted_target", 2).alias("adjusted_target"))
 
@@ -122,7 +122,7 @@ def _(t):
  LEFT JOIN (SELECT c_mktsegment AS seg, o_orderpriority AS p, date_trunc('month', o_orderdate) AS m, COUNT(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_totalprice > 400000 GROUP BY 1, 2, 3) USING (seg, p, m)""")
 def _(t):
     j = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_mktsegment").alias("seg"), F.col("o_orderpriority").alias("p"), month_of("o_orderdate").alias("month"), "o_totalprice")
-    targets = j.filter("o_totalprice > 400000").groupBy("seg", "p", "month").agg(N.alias("target"))
+    targets = j.filter("o_totalprice > 400000").groupBy("seg", "p", "month").agg(row_count().alias("target"))
     return P.target_scaffold(j.select("seg", "p"), (F.lit("1995-01-01").cast("date"), F.lit("1995-06-01").cast("date")), targets, ["seg", "p"])
 
 
@@ -142,13 +142,14 @@ def _(t):
     return out.select("ad_id", "orderkey", "linenumber", "suppkey", "spend_usd", "vendor_fee_usd", "spend_to_date", "ad_name")
 
 
-@query("d27_split_by_share", """WITH s AS (SELECT o_orderdate::DATE AS d, (COUNT(*) FILTER (o_orderpriority <> '1-URGENT'))::DOUBLE / COUNT(*)::DOUBLE AS share FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
- SELECT o_orderkey, ROUND(COALESCE(share, 1), 6) AS share, (CAST(ROUND(o_totalprice * COALESCE(share, 1), 4) AS DECIMAL(18,4)))::DOUBLE AS cost_first, (o_totalprice::DECIMAL(18,2) - CAST(ROUND(o_totalprice * COALESCE(share, 1), 4) AS DECIMAL(18,4)))::DOUBLE AS cost_second, ROUND(1000 * COALESCE(share, 1))::BIGINT AS clicks_first, (1000 - ROUND(1000 * COALESCE(share, 1)))::BIGINT AS clicks_second FROM orders LEFT JOIN s ON d = o_orderdate::DATE""")
+@query("d27_split_by_share", """WITH s AS (SELECT o_orderdate::DATE AS d, CAST((COUNT(*) FILTER (o_orderpriority <> '1-URGENT'))::DOUBLE / COUNT(*)::DOUBLE AS DECIMAL(18,9)) AS share FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+ x AS (SELECT o_orderkey, o_totalprice::DECIMAL(18,2) AS cost, COALESCE(share, CAST(1 AS DECIMAL(18,9))) AS share FROM orders LEFT JOIN s ON d = o_orderdate::DATE)
+ SELECT o_orderkey, share::DOUBLE AS share, CAST(ROUND(cost * share, 4) AS DECIMAL(18,4))::DOUBLE AS cost_first, (cost - CAST(ROUND(cost * share, 4) AS DECIMAL(18,4)))::DOUBLE AS cost_second, ROUND(1000 * share, 0)::BIGINT AS clicks_first, (1000 - ROUND(1000 * share, 0))::BIGINT AS clicks_second FROM x""")
 def _(t):
     o = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("d"), money("o_totalprice").alias("cost"), F.lit(1000).cast("long").alias("clicks"))
-    shares = t.orders.filter("o_orderstatus = 'F'").groupBy(F.to_date("o_orderdate").alias("d")).agg(S.ratio(F.count_if(F.col("o_orderpriority") != "1-URGENT"), N).alias("share"))
+    shares = t.orders.filter("o_orderstatus = 'F'").groupBy(F.to_date("o_orderdate").alias("d")).agg(S.ratio(F.count_if(F.col("o_orderpriority") != "1-URGENT"), row_count()).alias("share"))
     out = P.split_by_share(o, shares, ["d"], "share", "cost", ["clicks"])
-    return out.select("o_orderkey", F.round("share", 6).alias("share"), "cost_first", "cost_second", "clicks_first", "clicks_second")
+    return out.select("o_orderkey", "share", "cost_first", "cost_second", "clicks_first", "clicks_second")
 
 
 @query("d27_cost_share", f"SELECT orderkey, linenumber::BIGINT AS linenumber, partkey, suppkey, gross::DOUBLE / (SUM(gross) OVER (PARTITION BY orderkey))::DOUBLE AS share FROM {SQL_LINES}")
@@ -176,7 +177,7 @@ def _(t):
 
 @query("d30_calibration", "WITH r AS (SELECT l_suppkey, SUM(l_quantity::BIGINT)::DOUBLE / COUNT(*)::DOUBLE - 25 AS rate FROM lineitem GROUP BY 1) SELECT l_suppkey, ROUND(rate, 8) AS rate FROM r WHERE rate < (SELECT 3 * stddev_samp(rate) FROM r) AND rate > (SELECT -3 * stddev_samp(rate) FROM r)")
 def _(t):
-    r = t.lineitem.groupBy("l_suppkey").agg((F.sum(F.col("l_quantity").cast("long")) / N - 25).alias("rate"))
+    r = t.lineitem.groupBy("l_suppkey").agg((F.sum(F.col("l_quantity").cast("long")) / row_count() - 25).alias("rate"))
     return P.calibrated(r, "rate").withColumn("rate", F.round("rate", 8))
 
 
