@@ -1,9 +1,9 @@
 """Merge operators: each one maps (target, source) to the new content of the target.
 
 Spark alone has no MERGE on Parquet, so the new content is computed and published as a new table version.
-Two plans give the same rows. A small source is joined to the target from the right, which Catalyst broadcasts, so
-the target is never shuffled; new keys are found by looking up only the key columns. A large source takes one
-null-safe full outer join.
+Two plans give the same rows. A small source is joined to a large target from the right, which Catalyst broadcasts,
+so the target is never shuffled; new keys are found by looking up only the key columns. Otherwise one null-safe full
+outer join does all.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from tidemart.functions.semantics import latest_by, row_hash, version_order
 from tidemart.session import broadcast_limit, plan_bytes
 
-META = ("meta_row_hash", "meta_create_datetime", "meta_update_datetime")
+# A target this many broadcast limits large is not worth shuffling for a small source.
+LARGE_TARGET = 10
 
 
 @dataclass(frozen=True)
@@ -79,73 +80,69 @@ def apply_merge(
     matched: Callable[[Callable[[str], Column], Callable[[str], Column]], dict[str, Column]],
     update_when: Callable | None = None,
     delete_when: Callable | None = None,
+    missing: Callable[[Callable[[str], Column]], dict[str, Column]] | None = None,
     insert: dict[str, Column] | bool = True,
     strategy: str = "auto",
 ) -> DataFrame:
     """New target content after a merge on null-safe key equality.
 
     ``matched(t, s)`` maps target columns to their new value for updated rows, ``t`` and ``s`` being column getters;
-    ``update_when(t, s)`` / ``delete_when(t, s)`` restrict the branches; ``insert`` maps target columns to source
-    expressions for new keys (True: same names, False: no insert branch).
+    ``update_when(t, s)`` / ``delete_when(t, s)`` restrict the branches; ``missing(t)`` gives new values for target
+    rows without a source row; ``insert`` maps target columns to source expressions for new keys (True: same names,
+    False: no insert branch).
     """
     columns = target.columns
     types = dict(target.dtypes)
-    right = source.select(
-        *[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("s__hit")
-    )
-    left = target.withColumn("t__hit", F.lit(True))
     t = F.col
     s = lambda c: F.col(f"s_{c}")
-    on = F.lit(True)
-    for key in keys:
-        on = on & left[key].eqNullSafe(right[f"s_{key}"])
     hit = F.col("s__hit").isNotNull()
-    updated = hit & (update_when(t, s) if update_when else F.lit(True))
-    updated = F.coalesce(updated, F.lit(False))
+    updated = hit & F.coalesce(update_when(t, s) if update_when else F.lit(True), F.lit(False))
     values = matched(t, s)
-    kept = {c: F.when(updated, values[c]).otherwise(F.col(c)) if c in values else F.col(c) for c in columns}
+    absent = missing(t) if missing else {}
+    kept = {}
+    for c in columns:
+        kept[c] = F.col(c)
+        if c in absent:
+            kept[c] = F.when(~hit, absent[c]).otherwise(kept[c])
+        if c in values:
+            kept[c] = F.when(updated, values[c]).otherwise(kept[c])
     fresh = {}
     if insert:
         given = insert if isinstance(insert, dict) else {c: F.col(c) for c in source.columns}
         fresh = {c: given.get(c, F.lit(None)).cast(types[c]) for c in columns}
-
-    if strategy == "auto":
-        strategy = "lookup" if plan_bytes(source) <= broadcast_limit(target.sparkSession) else "full"
-    if strategy == "lookup" or not insert:
-        joined = left.join(right, on, "left")
-        if delete_when:
-            joined = joined.filter(~F.coalesce(hit & delete_when(t, s), F.lit(False)))
-        out = joined.select(*[kept[c].alias(c) for c in columns])
-        if not insert:
-            return out
-        probe = target.select(*[F.col(k).alias(f"t_{k}") for k in keys])
-        same = F.lit(True)
-        for key in keys:
-            same = same & F.col(key).eqNullSafe(F.col(f"t_{key}"))
-        present = probe.join(source.select(*keys), same, "left_semi")
-        added = source.join(present, same, "left_anti").select(*[fresh[c].alias(c) for c in columns])
-        return out.unionByName(added)
     # The joined row holds prefixed source columns, so the insert values are computed before the join.
-    ready = source.select(
+    right = source.select(
         *[F.col(c).alias(f"s_{c}") for c in source.columns],
-        F.struct(*[fresh[c].alias(c) for c in columns]).alias("s__new"),
         F.lit(True).alias("s__hit"),
+        *([F.struct(*[fresh[c].alias(c) for c in columns]).alias("s__new")] if insert else []),
     )
-    joined = left.join(ready, on_keys(left, ready, keys), "full")
-    if delete_when:
-        joined = joined.filter(
-            F.col("t__hit").isNull() | ~F.coalesce(hit & delete_when(t, s), F.lit(False))
-        )
-    return joined.select(
-        *[F.when(F.col("t__hit").isNull(), F.col(f"s__new.{c}")).otherwise(kept[c]).alias(c) for c in columns]
-    )
-
-
-def on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    left = target.withColumn("t__hit", F.lit(True))
     on = F.lit(True)
     for key in keys:
         on = on & left[key].eqNullSafe(right[f"s_{key}"])
-    return on
+    if strategy == "auto":
+        limit = broadcast_limit(target.sparkSession)
+        small = plan_bytes(source) <= limit < plan_bytes(target) // LARGE_TARGET
+        strategy = "lookup" if small else "full"
+    outer = insert and strategy == "full"
+    joined = left.join(right, on, "full" if outer else "left")
+    if delete_when:
+        doomed = F.col("t__hit").isNotNull() & hit & F.coalesce(delete_when(t, s), F.lit(False))
+        joined = joined.filter(~doomed)
+    if outer:
+        return joined.select(
+            *[F.when(F.col("t__hit").isNull(), F.col(f"s__new.{c}")).otherwise(kept[c]).alias(c) for c in columns]
+        )
+    out = joined.select(*[kept[c].alias(c) for c in columns])
+    if not insert:
+        return out
+    probe = target.select(*[F.col(k).alias(f"t_{k}") for k in keys])
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"t_{key}"))
+    present = probe.join(source.select(*keys), same, "left_semi")
+    added = source.join(present, same, "left_anti").select(*[fresh[c].alias(c) for c in columns])
+    return out.unionByName(added)
 
 
 def with_meta(df: DataFrame, run_ts: Column, hash_cols: Sequence[str]) -> DataFrame:
@@ -229,7 +226,8 @@ def insert_update_delete(
         differs = differs & newer(t, s) if delta_cols else differs
         return differs | t("meta_is_deleted")
 
-    merged = apply_merge(
+    several = stage.select((F.count(F.lit(1)) > 1).alias("ok")).scalar()
+    return apply_merge(
         target,
         source,
         keys,
@@ -238,28 +236,12 @@ def insert_update_delete(
             "meta_is_deleted": F.lit(False),
         },
         update_when=changed,
+        missing=lambda t: {
+            "meta_is_deleted": t("meta_is_deleted") | several,
+            "meta_update_datetime": F.when(several & ~t("meta_is_deleted"), run_ts).otherwise(t("meta_update_datetime")),
+        },
         strategy=strategy,
     )
-    present = source.select(*[F.col(k).alias(f"p_{k}") for k in keys], F.lit(True).alias("_present"))
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"p_{key}"))
-    several = stage.select((F.count(F.lit(1)) > 1).alias("ok")).scalar()
-    gone = F.col("_present").isNull() & several & ~F.col("meta_is_deleted")
-    return (
-        merged.join(present, same, "left")
-        .withColumn("_gone", gone)
-        .select(
-            *[
-                F.when(F.col("_gone"), F.lit(True)).otherwise(F.col(c)).alias(c)
-                if c == "meta_is_deleted"
-                else F.when(F.col("_gone"), run_ts).otherwise(F.col(c)).alias(c)
-                if c == "meta_update_datetime"
-                else F.col(c)
-                for c in merged.columns
-            ]
-        )
-    )
 
 
 def live_rows(target: DataFrame) -> DataFrame:

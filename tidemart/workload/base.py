@@ -66,6 +66,12 @@ class Tables:
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)
 
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        """A frame written as a table and read back, as the target of a run before."""
+        path = self.scratch(label)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     def sales(self) -> DataFrame:
         """Order lines with their order's customer, dates and exact amounts."""
         orders = self.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")

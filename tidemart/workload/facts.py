@@ -95,6 +95,7 @@ def _(t):
     raw = _raw_events(t)
     declared = {"click": {"PROPERTIES_K": "bigint"}, "view": {"PROPERTIES_K": "bigint"}}
     first = P.event_tables(raw.filter("received_at < timestamp_ntz '2024-01-16'"), "event_id", "event", "b", declared, "received_at", when(T1))
+    first = {k: t.stored(df, k) for k, df in first.items()}
     both = P.event_tables(raw, "event_id", "event", "b", declared, "received_at", when(T2), first)
     part = lambda k: both[k].select("event_id", "received_at", F.lit(k).alias("event"), F.col("PROPERTIES_K").alias("k"), F.get_json_object(F.col("_rescued_data"), "$").alias("r"))
     rows = part("click").unionByName(part("view"))
@@ -134,7 +135,7 @@ def _(t):
     low = {"orders": F.lit("2000-12-31 12:00:00").cast("timestamp_ntz")}
     moved = WM.changed_keys("orderkey", low, None, [("orders", base.select("orderkey", "o_orderdate"), "o_orderdate", None, None)])
     whole = P.assemble(None, base, "orderkey", steps)
-    first = P.load_fact(None, whole.join(early, "orderkey", "left_semi"), ["orderkey"], when(T1))
+    first = t.stored(P.load_fact(None, whole.join(early, "orderkey", "left_semi"), ["orderkey"], when(T1)), "fact")
     out = P.load_fact(first, whole.join(moved, "orderkey", "left_semi"), ["orderkey"], when(T2))
     return out.select(F.col("orderkey").alias("o_orderkey"), "order_status", "net", "units", "lines", "refunds", "first_supplier", F.col("meta_create_datetime").alias("created"))
 
@@ -251,7 +252,7 @@ def _(t):
 _BAD = "(SELECT *, COUNT(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS c FROM lineitem)"
 
 
-@query("q_mart_pipeline", f"SELECT supplier_key, COUNT(*)::BIGINT AS n, SUM(v)::DOUBLE AS v FROM (SELECT CASE WHEN l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) THEN l_suppkey ELSE -1 END AS supplier_key, l_extendedprice::DECIMAL(18,2) AS v FROM {_BAD} WHERE c = 1) GROUP BY 1")
+@query("m09_mart_load", f"SELECT supplier_key, COUNT(*)::BIGINT AS n, SUM(v)::DOUBLE AS v FROM (SELECT CASE WHEN l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) THEN l_suppkey ELSE -1 END AS supplier_key, l_extendedprice::DECIMAL(18,2) AS v FROM {_BAD} WHERE c = 1) GROUP BY 1")
 def _(t):
     # A whole mart load: validation, key lookup against a dimension with an unknown member, fact upsert.
     stage = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", money("l_extendedprice").alias("v"))

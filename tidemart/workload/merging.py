@@ -55,7 +55,7 @@ _M01 = f"""WITH tgt AS (SELECT * FROM {_SQL_O} WHERE version < TIMESTAMP '1999-0
 def _m01(t, strategy):
     keys, delta = ["o_orderkey"], ["version"]
     first = _orders(t).filter(F.col("version") < when("1999-01-01"))
-    target = M.insert_update(None, first, keys, delta, when(T1))
+    target = t.stored(M.insert_update(None, first, keys, delta, when(T1)), "orders")
     merged = M.insert_update(target, _order_batch(t), keys, delta, when(T2), strategy=strategy)
     return merged.select(
         "o_orderkey", "total", "version", F.col("meta_create_datetime").alias("created"), F.col("meta_update_datetime").alias("updated")
@@ -64,12 +64,12 @@ def _m01(t, strategy):
 
 @query("m01_insert_update", _M01)
 def _(t):
-    return _m01(t, "lookup")
+    return _m01(t, "full")
 
 
-@query("m01_insert_update_large_batch", _M01)
+@query("m01_insert_update_small_batch", _M01)
 def _(t):
-    return _m01(t, "full")
+    return _m01(t, "lookup")
 
 
 def _parts(t):
@@ -80,11 +80,11 @@ def _parts(t):
 def _(t):
     p, now1, now2, now3 = _parts(t), when(T1), when(T2), when("2002-01-03 00:00:00")
     raised = p.withColumn("price", F.when(F.col("p_type") == "PROMO", F.col("price") + 1).otherwise(F.col("price")).cast("decimal(18,2)"))
-    first = M.insert_update_delete(None, p, ["p_partkey"], now1)
-    second = M.insert_update_delete(first, raised.filter("p_size > 10"), ["p_partkey"], now2)
+    first = t.stored(M.insert_update_delete(None, p, ["p_partkey"], now1), "parts")
+    second = t.stored(M.insert_update_delete(first, raised.filter("p_size > 10"), ["p_partkey"], now2), "parts")
     # The third feed brings back sizes 6 to 10; a one-row feed after it must delete nothing.
     third_feed = raised.filter("p_size > 10").unionByName(p.filter("p_size BETWEEN 6 AND 10"))
-    third = M.insert_update_delete(second, third_feed, ["p_partkey"], now3)
+    third = t.stored(M.insert_update_delete(second, third_feed, ["p_partkey"], now3), "parts")
     fourth = M.insert_update_delete(third, third_feed.orderBy("p_partkey").limit(1), ["p_partkey"], now3)
     changed = F.when((F.col("p_size") <= 10) | (F.col("p_type") == "PROMO"), T2).otherwise(F.lit(T1))
     return fourth.select("p_partkey", "price", F.col("meta_is_deleted").alias("is_deleted"), changed.alias("first_change"))
@@ -142,7 +142,7 @@ def _after(df):
  UNION ALL SELECT b.user_id, b.state, b.level, CASE WHEN a.user_id IS NULL THEN '{D.LOAD_FIRST_START}' ELSE b.ts::VARCHAR END, '{D.LOAD_OPEN_END}', true FROM b2 b LEFT JOIN b1 a USING (user_id) WHERE a.user_id IS NULL OR a.state <> b.state""")
 def _(t):
     e = _events(t)
-    first = D.scd_load(None, _before(e), _SPEC, when(T1))
+    first = t.stored(D.scd_load(None, _before(e), _SPEC, when(T1)), "scd")
     out = D.scd_load(first, _after(e), _SPEC, when(T2))
     return out.select("user_id", "state", "level", F.col("meta_from_datetime").alias("from_at"), F.col("meta_to_datetime").alias("to_at"), F.col("meta_is_current").alias("is_current"))
 
@@ -171,7 +171,7 @@ _M07 = f"""WITH e1 AS (SELECT user_id, ts, state, level FROM {_SQL_EV} WHERE ts
 
 def _scd_history(t):
     e = _events(t)
-    first = D.scd_mart(None, _before(e), _SPEC, when(T1))
+    first = t.stored(D.scd_mart(None, _before(e), _SPEC, when(T1)), "scd")
     return D.scd_mart(first, _after(e), _SPEC, when(T2))
 
 
@@ -183,7 +183,7 @@ def _(t):
 @query("m08_mart_dim", f"SELECT s_suppkey, s_name, (CASE WHEN s_acctbal < 0 THEN 0 ELSE s_acctbal::DECIMAL(18,2) END)::DOUBLE AS balance, CASE WHEN s_acctbal < 0 THEN '{T2}' ELSE '{T1}' END AS updated, '9999-12-31 00:00:00' AS end_at, true AS is_current FROM supplier")
 def _(t):
     s = t.supplier.select("s_suppkey", "s_name", money("s_acctbal").alias("balance"))
-    first = D.mart_upsert(None, s, ["s_suppkey"], when(T1), is_dim=True)
+    first = t.stored(D.mart_upsert(None, s, ["s_suppkey"], when(T1), is_dim=True), "dim")
     fixed = s.withColumn("balance", F.greatest("balance", F.lit(0)).cast("decimal(18,2)"))
     out = D.mart_upsert(first, fixed, ["s_suppkey"], when(T2), is_dim=True)
     return out.select("s_suppkey", "s_name", "balance", F.col("meta_update_datetime").alias("updated"), F.col("effective_end_datetime").alias("end_at"), "is_current")
@@ -194,7 +194,8 @@ def _(t):
  SELECT f.orderkey, f.net::DOUBLE AS net, f.lines::BIGINT AS lines, CASE WHEN a.orderkey IS NULL OR f.last_ship >= TIMESTAMP '1999-01-01' THEN '{T2}' ELSE '{T1}' END AS updated FROM f LEFT JOIN a USING (orderkey)""")
 def _(t):
     fact = lambda df: df.groupBy("orderkey").agg(F.max("ship_date").alias("last_ship"), F.sum("net").alias("net"), row_count().alias("lines"))
-    first = D.mart_upsert(None, fact(t.lines().filter(F.col("ship_date") < when("1999-01-01"))), ["orderkey"], when(T1))
+    early = t.lines().filter(F.col("ship_date") < when("1999-01-01"))
+    first = t.stored(D.mart_upsert(None, fact(early), ["orderkey"], when(T1)), "fact")
     out = D.mart_upsert(first, fact(t.lines()), ["orderkey"], when(T2), newer_by="last_ship")
     return out.select("orderkey", "net", "lines", F.col("meta_update_datetime").alias("updated"))
 
@@ -251,7 +252,7 @@ def _history_feed(t):
 def _change_history(t):
     archive, log = _history_feed(t)
     shaped = H.delete_rows(log, ["user_id"], "ts", "deleted", archive)
-    first = H.change_history(None, _before(archive), _before(shaped), ["user_id"], "ts", None, when(T1))
+    first = t.stored(H.change_history(None, _before(archive), _before(shaped), ["user_id"], "ts", None, when(T1)), "history")
     return H.change_history(first, _after(archive), _after(shaped), ["user_id"], "ts", None, when(T2))
 
 
@@ -318,7 +319,7 @@ def _consolidated_deltas(t, low):
 
 @query("m15_consolidate", f"SELECT source_id::BIGINT AS source_id, company::BIGINT AS company, k::BIGINT AS k, original, (balance + CASE WHEN chg > TIMESTAMP '2024-01-01 20:00:00' THEN 1 ELSE 0 END)::DOUBLE AS balance FROM ({_M15_SRC}) WHERE k IS NOT NULL")
 def _(t):
-    first = H.consolidate(None, _consolidated_deltas(t, when(LOW)), "c_custkey", "chg")
+    first = t.stored(H.consolidate(None, _consolidated_deltas(t, when(LOW)), "c_custkey", "chg"), "consolidated")
     # A second delivery is newer only for the customers that changed after 20:00.
     newer = F.col("chg") > when("2024-01-01 20:00:00")
     again = first.withColumn("balance", (F.col("balance") + 1).cast("decimal(18,2)")).withColumn(
