@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.scan import Scan, dense_ranks, global_tiles, key_tiles, ordered_scan
 
-KINDS = ["number", "sum", "min", "max", "fill", "fill_next", "lag", "lead"]
+KINDS = ["size", "number", "sum", "min", "max", "fill", "fill_next", "lag", "lead"]
 FORCED = {"hot_rows": 20, "small_bytes": 0}
 
 
@@ -30,14 +30,14 @@ def frame(spark):
 
 @pytest.mark.parametrize("kind", KINDS)
 def test_sliced_equals_plain(frame, kind):
-    scans = [Scan("out", kind, None if kind == "number" else "v")]
+    scans = [Scan("out", kind, None if kind in ("number", "size") else "v")]
     plain = ordered_scan(frame, ["k"], ["t", "id"], scans)
     sliced = ordered_scan(frame, ["k"], ["t", "id"], scans, **FORCED)
     assert sorted(map(repr, sliced.collect())) == sorted(map(repr, plain.collect()))
 
 
 def test_several_scans_at_once_and_no_key(frame):
-    scans = [Scan(f"o_{k}", k, None if k == "number" else "v") for k in KINDS]
+    scans = [Scan(f"o_{k}", k, None if k in ("number", "size") else "v") for k in KINDS]
     for keys in (["k"], []):
         plain = ordered_scan(frame, keys, ["t", "id"], scans)
         sliced = ordered_scan(frame, keys, ["t", "id"], scans, **FORCED)

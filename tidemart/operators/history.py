@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.semantics import OPEN_END, earliest_by, latest_by, millis_before, ntz, row_hash
 from tidemart.operators.merge import apply_merge
 from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.session import reused
 
 
 def delete_rows(log: DataFrame, keys: Sequence[str], ts: str, kind: str, like: DataFrame) -> DataFrame:
@@ -116,6 +117,7 @@ def change_history(
     )
     if history is None:
         return inserted.drop("rno")
+    inserted = reused(inserted)
     closing = inserted.filter("rno = 1").select(*keys, "effective_start_datetime")
     closed = apply_merge(
         history,
@@ -226,7 +228,7 @@ def consolidate_history(target: DataFrame, deltas: Sequence[DataFrame], keys: Se
         [*keys, "effective_start_datetime"],
         ["effective_end_datetime"],
     )
-    absent = union.join(target, [*keys, "effective_start_datetime"], "left_anti").select(*target.columns)
+    absent = reused(union.join(target, [*keys, "effective_start_datetime"], "left_anti").select(*target.columns))
     touched = absent.select(*keys).distinct()
     untouched = target.join(touched, keys, "left_anti")
     affected = target.join(touched, keys, "left_semi").unionByName(absent)

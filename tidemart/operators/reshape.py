@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.session import reused
 
 MAX_PIVOT_COLUMNS = 1000
 
@@ -100,9 +101,9 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, share: floa
     Values are counted first, so equal values are one row, and the place is found in their running count: no group
     is held in memory.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counted = reused(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
     running = ordered_scan(counted, keys, [value], [Scan("_upto", "sum", "_n")], **limits)
-    totals = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"))
+    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"))
     place = (F.col("_all") - 1) * F.lit(share)
     joined = running.join(totals, list(keys)) if keys else running.withColumn(
         "_all", F.lit(0) + totals.select("_all").scalar()

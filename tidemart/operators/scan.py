@@ -14,11 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.session import input_bytes, settle
+from tidemart.session import SMALL_BYTES, input_bytes, settle
 
 HOT_ROWS = 5_000_000
-# A plan that reads no more than this can have no key that is too large for one task.
-SMALL_BYTES = 64 << 20
 # Key lists up to this length are broadcast; their length is counted first.
 LISTED_KEYS = 100_000
 
@@ -27,7 +25,7 @@ LISTED_KEYS = 100_000
 class Scan:
     """One output column of an ordered scan.
 
-    kind: ``number`` (row number), ``sum``, ``min``, ``max``, ``fill`` (last non-NULL up to this row),
+    kind: ``size`` (rows of the key), ``number`` (row number), ``sum``, ``min``, ``max``, ``fill`` (last non-NULL up to this row),
     ``fill_next`` (first non-NULL from this row on), ``lag``, ``lead``. All run over
     rows from the start of the key to the current row, in ascending order.
     """
@@ -45,6 +43,8 @@ def _local(scan: Scan, keys: Sequence[str], order: Sequence[str]) -> Column:
     upto = base.rowsBetween(_START, Window.currentRow)
     if scan.kind == "number":
         return F.row_number().over(base).cast("long")
+    if scan.kind == "size":
+        return F.count(F.lit(1)).over(Window.partitionBy(*keys))
     value = F.col(scan.source)
     if scan.kind == "sum":
         return F.sum(value).over(upto)
@@ -68,7 +68,7 @@ def _window_all(df: DataFrame, keys: Sequence[str], order: Sequence[str], scans:
 
 
 def _summary(scan: Scan, i: int, position: Column) -> Column:
-    if scan.kind == "number":
+    if scan.kind in ("number", "size"):
         return F.count(F.lit(1)).alias(f"_c{i}")
     value = F.col(scan.source)
     boxed = F.struct(value.alias("v"))
@@ -89,6 +89,7 @@ def _carry(scan: Scan, i: int, keys: Sequence[str]) -> Column:
     before, after = base.rowsBetween(_START, -1), base.rowsBetween(1, Window.unboundedFollowing)
     value = F.col(f"_c{i}")
     by_kind = {
+        "size": lambda: F.sum(value).over(Window.partitionBy(*keys)),
         "number": lambda: F.sum(value).over(before),
         "sum": lambda: F.sum(value).over(before),
         "min": lambda: F.min(value).over(before),
@@ -103,7 +104,9 @@ def _carry(scan: Scan, i: int, keys: Sequence[str]) -> Column:
 
 def _combine(scan: Scan, i: int) -> Column:
     local, prior = F.col(scan.out), F.col(f"_p{i}")
-    if scan.kind in ("number", "sum"):
+    if scan.kind == "size":
+        joined = prior
+    elif scan.kind in ("number", "sum"):
         joined = F.when(prior.isNull(), local).when(local.isNull(), prior).otherwise(local + prior)
     elif scan.kind == "min":
         joined = F.least(local, prior)
@@ -186,32 +189,23 @@ def ordered_scan(
     return cold_part.unionByName(hot_part)
 
 
-def global_tiles(df: DataFrame, order: Sequence[str], tiles: int, out: str, **limits: int) -> DataFrame:
-    """``ntile`` over the whole table without sending it to one task: rank by scan, tile by formula."""
-    total = df.select(F.count(F.lit(1)).alias("_n"))
-    ranked = ordered_scan(df, [], order, [Scan("_rn", "number")], **limits)
-    n = total.scalar()
-    size, extra = F.floor(n / F.lit(tiles)), n % F.lit(tiles)
-    edge = extra * (size + 1)
-    tile = F.when(F.col("_rn") <= edge, F.floor((F.col("_rn") - 1) / (size + 1)) + 1).otherwise(
-        extra + F.floor((F.col("_rn") - 1 - edge) / F.greatest(size, F.lit(1))) + 1
-    )
-    return ranked.select(*df.columns, tile.cast("long").alias(out))
-
-
 def key_tiles(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], tiles: int, out: str, **limits: int
 ) -> DataFrame:
-    """``ntile`` per key; the key sizes come from a pre-aggregated count."""
-    ranked = ordered_scan(df, keys, order, [Scan("_rn", "number")], **limits)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    """``ntile`` per key as a formula over row number and key size."""
+    ranked = ordered_scan(df, keys, order, [Scan("_rn", "number"), Scan("_n", "size")], **limits)
     n, rn = F.col("_n"), F.col("_rn")
     size, extra = F.floor(n / F.lit(tiles)), n % F.lit(tiles)
-    edge = extra * (size + 1)
+    edge = extra * (size + 1)  # the first tiles take one row more
     tile = F.when(rn <= edge, F.floor((rn - 1) / (size + 1)) + 1).otherwise(
         extra + F.floor((rn - 1 - edge) / F.greatest(size, F.lit(1))) + 1
     )
-    return ranked.join(sizes, list(keys)).select(*df.columns, tile.cast("long").alias(out))
+    return ranked.select(*df.columns, tile.cast("long").alias(out))
+
+
+def global_tiles(df: DataFrame, order: Sequence[str], tiles: int, out: str, **limits: int) -> DataFrame:
+    """``ntile`` over the whole table; a large table is ranked in slices, not by one task."""
+    return key_tiles(df, [], order, tiles, out, **limits)
 
 
 def dense_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str, **limits: int) -> DataFrame:

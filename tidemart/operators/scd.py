@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.semantics import FIRST_START, OPEN_END, latest_by, millis_before, ntz, row_hash
 from tidemart.operators.merge import apply_merge
 from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.session import reused
 
 LOAD_FIRST_START = "1970-01-01 00:00:00"
 LOAD_OPEN_END = "2065-01-24 05:20:00"  # epoch second 3,000,000,000
@@ -73,7 +74,7 @@ def scd_load(
         .when(s_2 != t_2, "type 2")
         .otherwise("ignore")
     )
-    delta = batch.alias("s").join(current, _same(keys, "s", "t"), "left").select("s.*", status.alias("status"))
+    delta = reused(batch.alias("s").join(current, _same(keys, "s", "t"), "left").select("s.*", status.alias("status")))
     fresh = delta.filter("status IN ('new', 'type 2', 'both')")
     inserted = versions(
         fresh, F.when(F.col("status") == "new", ntz(LOAD_FIRST_START)).otherwise(F.col("meta_from_datetime"))
@@ -157,7 +158,7 @@ def scd_mart(target: DataFrame | None, stage: DataFrame, spec: ScdSpec, run_ts:
         .when(differs_2, "type 2")
         .otherwise("ignore")
     )
-    delta = scanned.withColumn("status", status)
+    delta = reused(scanned.withColumn("status", status))
     chain = ordered_scan(
         delta.filter("status IN ('type 2', 'both', 'new')"),
         keys,

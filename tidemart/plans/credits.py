@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.semantics import boundaries, ratio, row_count
 from tidemart.functions.text import month_range
 from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.session import reused
 
 # Activity kinds, and the tenures at which the expected rates are read.
 KINDS = ("Issued", "Redeemed", "Cancelled", "Expired")
@@ -25,17 +26,17 @@ def issuance_grid(activity: DataFrame, group: Sequence[str], thru: Column) -> Da
     ``activity``: group columns, issued_month, activity_month, kind, amount.
     """
     by = [*group, "issued_month"]
-    wide = (
+    lower = [k.lower() for k in KINDS]
+    wide = reused(
         activity.groupBy(*by, "activity_month")
         .pivot("kind", list(KINDS))
         .agg(F.sum("amount"))
-        .withColumnsRenamed({k: k.lower() for k in KINDS})
+        .withColumnsRenamed(dict(zip(KINDS, lower)))
     )
-    issued = (
-        activity.filter(F.col("kind") == "Issued").groupBy(*by).agg(F.sum("amount").alias("issued_amount"))
+    issued = wide.filter(F.col("issued").isNotNull() & (F.col("issued_month") <= thru)).groupBy(*by).agg(
+        F.sum("issued").alias("issued_amount")
     )
-    grid = month_range(issued.filter(F.col("issued_month") <= thru), "issued_month", thru, "activity_month")
-    lower = [k.lower() for k in KINDS]
+    grid = month_range(issued, "issued_month", thru, "activity_month")
     return (
         grid.join(wide, [*by, "activity_month"], "left")
         .fillna(0, lower)

@@ -12,7 +12,7 @@ from tidemart.functions.semantics import earliest_by, ratio, row_count
 from tidemart.operators.merge import evolve, insert_update, rescue
 from tidemart.operators.reshape import flatten_object
 from tidemart.operators.scd import mart_upsert
-from tidemart.session import settle
+from tidemart.session import reused, settle
 
 STEPS_PER_CUT = 15
 
@@ -121,7 +121,7 @@ def event_tables(
     cast, the rest goes to the rescue column; new columns extend a known table, and rows merge by message id and place
     in the exploded list.
     """
-    unique = earliest_by(raw, [message_id], [received])
+    unique = reused(earliest_by(raw, [message_id], [received]))
     out = {}
     for name, types in declared.items():
         flat = flatten_object(unique.filter(F.col(event) == name).drop(event), body, position="item_position")

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import OPEN_END, boundaries, latest_by, millis_before, ntz, ratio, row_count
-from tidemart.functions.text import month_range
 from tidemart.operators.joins import effective_lookup
 from tidemart.operators.scan import Scan, key_tiles, ordered_scan
+from tidemart.session import reused
 
 
 def month_of(c: Column | str) -> Column:
@@ -20,48 +21,58 @@ def month_of(c: Column | str) -> Column:
 def customer_months(
     activity: DataFrame, customer: str, moment: str, amount: str, dims: Sequence[str] = ()
 ) -> DataFrame:
-    """Activity reduced to one row per customer and month, with the cohort month of the customer."""
+    """Activity reduced to one row per customer, month and dimension, with the first and last month of the customer.
+
+    The window runs over the reduced rows, of which a customer has no more than months and dimension values.
+    """
     monthly = activity.groupBy(customer, month_of(moment).alias("activity_month"), *dims).agg(
         row_count().alias("orders"), F.sum(amount).alias("revenue")
     )
-    ends = monthly.groupBy(customer).agg(
-        F.min("activity_month").alias("cohort_month"), F.max("activity_month").alias("last_month")
+    whole = W.partitionBy(customer)
+    return monthly.select(
+        "*",
+        F.min("activity_month").over(whole).alias("cohort_month"),
+        F.max("activity_month").over(whole).alias("last_month"),
     )
-    return monthly.join(ends, customer)
 
 
 def cohort_waterfall(
     activity: DataFrame, customer: str, moment: str, amount: str, dims: Sequence[str] = ()
 ) -> DataFrame:
-    """Cohort month x activity month: active customers, activations, final months, customers carried in (BOP)."""
+    """Cohort month x activity month: active customers, activations, final months, customers carried in (BOP).
+
+    ``dims`` are attributes of the customer. Carried in are the members of the cohort whose last month is not before
+    the activity month.
+    """
     by_customer = customer_months(activity, customer, moment, amount, dims)
     cells = by_customer.groupBy("cohort_month", "activity_month", *dims).agg(
-        F.count_distinct(customer).alias("customers"),
-        F.count_distinct(F.when(F.col("activity_month") == F.col("cohort_month"), F.col(customer))).alias("activations"),
-        F.count_distinct(F.when(F.col("activity_month") == F.col("last_month"), F.col(customer))).alias("final_months"),
+        row_count().alias("customers"),
+        F.count_if(F.col("activity_month") == F.col("cohort_month")).alias("activations"),
+        F.count_if(F.col("activity_month") == F.col("last_month")).alias("final_months"),
         F.sum("orders").alias("orders"),
         F.sum("revenue").alias("revenue"),
     )
-    # Carried in: members of the cohort whose last month is not before the activity month.
-    lasts = by_customer.select(customer, "cohort_month", "last_month", *dims).distinct()
-    leaving = lasts.groupBy("cohort_month", *dims, F.col("last_month").alias("activity_month")).agg(row_count().alias("leave"))
-    steps = cells.select("cohort_month", "activity_month", *dims).join(
-        leaving, ["cohort_month", "activity_month", *dims], "left"
-    )
-    gone = ordered_scan(
-        steps.fillna(0, ["leave"]), ["cohort_month", *dims], ["activity_month"], [Scan("gone", "sum", "leave")]
+    # The windows run over cells, of which a cohort has one per month.
+    cohort = W.partitionBy("cohort_month", *dims)
+    left_before = F.sum("final_months").over(cohort.orderBy("activity_month").rowsBetween(W.unboundedPreceding, -1))
+    carried = F.sum("final_months").over(cohort) - F.coalesce(left_before, F.lit(0))
+    return cells.select(
+        "*",
+        F.when(F.col("activity_month") == F.col("cohort_month"), F.lit(0)).otherwise(carried).alias("bop"),
+        boundaries("month", "cohort_month", "activity_month").alias("month_number"),
     )
-    size = lasts.groupBy("cohort_month", *dims).agg(row_count().alias("size"))
-    bop = gone.join(size, ["cohort_month", *dims]).select(
-        "cohort_month",
-        "activity_month",
-        *dims,
-        F.when(F.col("activity_month") == F.col("cohort_month"), F.lit(0))
-        .otherwise(F.col("size") - F.col("gone") + F.col("leave"))
-        .alias("bop"),
-    )
-    return cells.join(bop, ["cohort_month", "activity_month", *dims]).withColumn(
-        "month_number", boundaries("month", "cohort_month", "activity_month")
+
+
+def fill_months(monthly: DataFrame, customer: str, month: str, until: Column) -> DataFrame:
+    """Gapless months per customer up to ``until``: every row is repeated up to the month before the customer's next
+    row, ``_own`` marks the month that really has the row. No scaffold, no join."""
+    ahead = ordered_scan(monthly, [customer], [month], [Scan("_next", "lead", month)])
+    last = F.coalesce(F.add_months("_next", -1), F.to_date(F.date_trunc("month", until)))
+    months = F.sequence(F.col(month), F.greatest(last, F.col(month)), F.expr("INTERVAL 1 MONTH"))
+    rows = ahead.select("*", F.explode(months).alias("_month"))
+    return rows.select(
+        *[F.col("_month").alias(month) if c == month else F.col(c) for c in monthly.columns],
+        (F.col("_month") == F.col(month)).alias("_own"),
     )
 
 
@@ -121,6 +132,7 @@ def period_counts(intervals: DataFrame, start: str, end: str, dims: Sequence[str
         .groupBy(*dims, "day")
         .agg(F.sum("step").alias("step"))
     )
+    moves = reused(moves)
     span = moves.groupBy(*dims).agg(F.date_add(F.min("day"), -1).alias("a"), F.max("day").alias("b"))
     days = span.select(*dims, F.explode(F.sequence("a", "b")).alias("day"))
     filled = days.join(moves, [*dims, "day"], "left").fillna(0, ["step"])
@@ -140,13 +152,13 @@ def lifetime_monthly(
     monthly = activity.groupBy(customer, month_of(moment).alias("month")).agg(
         row_count().alias("orders"), F.sum(amount).alias("margin")
     )
-    first = monthly.groupBy(customer).agg(F.min("month").alias("cohort_month"))
-    grid = month_range(first, "cohort_month", until, "month")
-    filled = grid.join(monthly, [customer, "month"], "left").fillna(0, ["orders", "margin"])
     summed = ordered_scan(
-        filled, [customer], ["month"], [Scan("orders_to_date", "sum", "orders"), Scan("margin_to_date", "sum", "margin")]
+        monthly, [customer], ["month"], [Scan("orders_to_date", "sum", "orders"), Scan("margin_to_date", "sum", "margin")]
     )
-    return key_tiles(summed, ["month"], ["margin_to_date", customer], tiles, "value_tile")
+    filled = fill_months(summed, customer, "month", until)
+    own = lambda c: F.when(F.col("_own"), F.col(c)).otherwise(F.lit(0)).alias(c)
+    grid = filled.select(customer, "month", own("orders"), own("margin"), "orders_to_date", "margin_to_date")
+    return key_tiles(grid, ["month"], ["margin_to_date", customer], tiles, "value_tile")
 
 
 def lifetime_to_date(
@@ -212,16 +224,14 @@ def action_periods(
     actions: DataFrame, customer: str, moment: str, kind: str, kinds: Sequence[str], until: Column, filler: str = "No Action"
 ) -> DataFrame:
     """Customer x month with one flag per kind of action; months without any carry the filler flag."""
-    done = actions.select(customer, month_of(moment).alias("month"), F.col(kind).alias("action"))
-    first = done.groupBy(customer).agg(F.min("month").alias("a"))
-    base = month_range(first, "a", until, "month").select(customer, "month")
-    idle = base.join(done, [customer, "month"], "left_anti").withColumn("action", F.lit(filler))
-    every = done.unionByName(idle)
-    names = {k: k.lower().replace(" ", "_") for k in [*kinds, filler]}
-    return every.groupBy(customer, "month").agg(
-        *[F.max((F.col("action") == k).cast("int")).alias(n) for k, n in names.items()],
-        F.count_if(F.col("action") != filler).alias("actions"),
+    names = {k: k.lower().replace(" ", "_") for k in kinds}
+    done = actions.groupBy(customer, month_of(moment).alias("month")).agg(
+        *[F.max((F.col(kind) == k).cast("int")).alias(n) for k, n in names.items()], row_count().alias("actions")
     )
+    filled = fill_months(done, customer, "month", until)
+    own = lambda c: F.when(F.col("_own"), F.col(c)).otherwise(F.lit(0)).alias(c)
+    idle = (~F.col("_own")).cast("int").alias(filler.lower().replace(" ", "_"))
+    return filled.select(customer, "month", *[own(n) for n in names.values()], idle, own("actions"))
 
 
 def billing_cycle_rates(

@@ -13,6 +13,7 @@ from tidemart.functions.semantics import ratio, row_count, week_start_sunday
 from tidemart.functions.text import date_range
 from tidemart.operators.joins import effective_lookup
 from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.session import reused
 
 
 def convert(amounts: DataFrame, rates: DataFrame, currency: str, moment: str, amount: str, out: str) -> DataFrame:
@@ -85,6 +86,7 @@ def budget_forecast_actual(
 
 def kpi_base(daily: DataFrame, dims: Sequence[str], day: str, measures: Sequence[str]) -> DataFrame:
     """Date x dimension scaffold with measures (0 where nothing happened) and their running totals within the month."""
+    daily = reused(daily)
     span = daily.agg(F.struct(F.min(day).alias("a"), F.max(day).alias("b"))).scalar()
     units = daily.select(*dims).distinct().withColumn("_s", span)
     grid = units.select(*dims, F.explode(F.sequence(F.col("_s.a"), F.col("_s.b"))).alias(day))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.semantics import earliest_by, latest_by, least_strict, millis_before, ntz, ratio, row_count
 from tidemart.operators.reshape import exact_percentile
 from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.session import reused
 
 
 def daily_snapshot(sources: Sequence[DataFrame], keys: Sequence[str], moment: str, tie: Sequence[str]) -> DataFrame:
@@ -91,9 +92,9 @@ def bottom_threshold(df: DataFrame, group: Sequence[str], value: str, share: flo
 
 def percent_rank_of(df: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
     """Percent rank per group; equal values share a rank. Values are counted first, so a group may be large."""
-    counted = df.groupBy(*group, value).agg(row_count().alias("_n"))
+    counted = reused(df.groupBy(*group, value).agg(row_count().alias("_n")))
     running = ordered_scan(counted, list(group), [value], [Scan("_upto", "sum", "_n")])
-    totals = df.groupBy(*group).agg(row_count().alias("_all"))
+    totals = counted.groupBy(*group).agg(F.sum("_n").alias("_all"))
     ranked = running.join(totals, list(group)).select(
         *group, value, F.coalesce(ratio(F.col("_upto") - F.col("_n"), F.col("_all") - 1), F.lit(0.0)).alias(out)
     )
@@ -111,7 +112,7 @@ def purchase_costs(
     lines: DataFrame, order: str, sku: str, line: str, dates: Sequence[str], costs: Sequence[str], quantity: str, tie: Sequence[str]
 ) -> DataFrame:
     """Cost per order line with its effective range per sku, and a line -1 with the quantity-weighted order average."""
-    single = latest_by(lines, [order, sku, line], [quantity, *tie]).withColumn("start_date", earliest_of(dates))
+    single = reused(latest_by(lines, [order, sku, line], [quantity, *tie]).withColumn("start_date", earliest_of(dates)))
     keep = [order, sku, line, quantity, *costs, "start_date"]
     total = single.groupBy(order, sku).agg(
         F.sum(quantity).alias("_q"),

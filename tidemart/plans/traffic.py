@@ -101,16 +101,13 @@ def click_attribution(
         ],
     )
     daily = current.groupBy("day", *dims).agg(*[F.sum(m).alias(m) for m in measures])
-    zero = F.lit(0).cast("long")
-    now = daily.select("day", *dims, *measures, *[zero.alias(f"previous_{m}") for m in measures])
-    then = daily.select(
-        F.date_add("day", shift_days).alias("day"),
-        *dims,
-        *[zero.alias(m) for m in measures],
-        *[F.col(m).alias(f"previous_{m}") for m in measures],
+    # Each day counts for itself and, shifted, as the earlier day of a later one.
+    twice = daily.withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(shift_days))))
+    here = F.col("_shift") == 0
+    return twice.groupBy(F.date_add("day", F.col("_shift")).alias("day"), *dims).agg(
+        *[F.sum(F.when(here, F.col(m)).otherwise(0)).alias(m) for m in measures],
+        *[F.sum(F.when(~here, F.col(m)).otherwise(0)).alias(f"previous_{m}") for m in measures],
     )
-    every = [*measures, *[f"previous_{m}" for m in measures]]
-    return now.unionByName(then).groupBy("day", *dims).agg(*[F.sum(m).alias(m) for m in every])
 
 
 def rolling_cohorts(monthly: DataFrame, dims: Sequence[str], month: str, leads: str, months: int = 12) -> DataFrame:

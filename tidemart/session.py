@@ -63,6 +63,18 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+# A plan that reads no more than this is cheap to repeat and has no key that is too large for one task.
+SMALL_BYTES = 64 << 20
+
+
+def reused(df: DataFrame) -> DataFrame:
+    """An intermediate result that several branches read.
+
+    On a large input it is written once to the shared folder instead of being computed by every branch.
+    """
+    return settle(df) if input_bytes(df) > SMALL_BYTES else df
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower().rstrip("b")
     factor = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(raw[-1:], 1)

@@ -43,8 +43,8 @@ _G = f"""i AS (SELECT brand, country, issued_month, SUM(amount) AS issued_amount
 
 
 def _sql_breakage(thru):
-    return "WITH " + _G.replace("{{thru}}", "{thru}").replace("{thru}", thru) + """ SELECT brand, country, issued_month::VARCHAR AS issued_month, tenure::BIGINT AS tenure, ROUND(eb, 2) AS expected_breakage, ROUND(CASE WHEN tenure <= 13 THEN eb * LEAST(progress, 1) ELSE eb END, 2) AS breakage_to_record, ROUND(progress, 4) AS redemption_progress,
- ROUND(CASE WHEN tenure <= 13 AND NOT un < issued * eu THEN erm * issued - redeemed ELSE 0 END, 2) AS expected_more_redeemed FROM y"""
+    return "WITH " + _G.replace("{{thru}}", "{thru}").replace("{thru}", thru) + """ SELECT brand, country, issued_month::VARCHAR AS issued_month, tenure::BIGINT AS tenure, ROUND(eb, 2) + 0 AS expected_breakage, ROUND(CASE WHEN tenure <= 13 THEN eb * LEAST(progress, 1) ELSE eb END, 2) + 0 AS breakage_to_record, ROUND(progress, 4) + 0 AS redemption_progress,
+ ROUND(CASE WHEN tenure <= 13 AND NOT un < issued * eu THEN erm * issued - redeemed ELSE 0 END, 2) + 0 AS expected_more_redeemed FROM y"""
 
 
 @query("d13_breakage", _sql_breakage(THRU))
@@ -61,7 +61,7 @@ def _rec(thru):
     return f"(SELECT brand, country, issued_month, '{thru}' AS booking, breakage_to_record AS v FROM ({_sql_breakage(thru)}))"
 
 
-@query("v06_booking_changes", f"SELECT brand, country, issued_month, booking, ROUND(v - COALESCE(LAG(v) OVER (PARTITION BY brand, country, issued_month ORDER BY booking), 0), 2) AS change FROM (SELECT * FROM {_rec('2001-06-01')} UNION ALL SELECT * FROM {_rec('2001-07-01')})")
+@query("v06_booking_changes", f"SELECT brand, country, issued_month, booking, ROUND(v - COALESCE(LAG(v) OVER (PARTITION BY brand, country, issued_month ORDER BY booking), 0), 2) + 0 AS change FROM (SELECT * FROM {_rec('2001-06-01')} UNION ALL SELECT * FROM {_rec('2001-07-01')})")
 def _(t):
     act = _activity(t)
     booked = [P.breakage(act, ["brand", "country"], ["brand", "country"], F.lit(m).cast("date")) for m in ("2001-06-01", "2001-07-01")]
