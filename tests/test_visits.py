@@ -28,9 +28,10 @@ def fold(rows, seconds):
 
 
 @pytest.mark.parametrize("limits", [{}, FORCED])
-def test_visit_count(spark, limits):
-    rnd = random.Random(1)
-    rows = [(rnd.choice([1, 1, 1, 2]), i, BASE + dt.timedelta(seconds=rnd.randint(0, 9000))) for i in range(120)]
+@pytest.mark.parametrize("span", [300, 2500, 9000])
+def test_visit_count(spark, limits, span):
+    rnd = random.Random(span)
+    rows = [(rnd.choice([1, 1, 1, 2]), i, BASE + dt.timedelta(seconds=rnd.randint(0, span))) for i in range(120)]
     df = spark.createDataFrame(rows, "who int, key int, ts timestamp_ntz")
     got = V.visit_count(df, "who", "ts", "key", **limits)
     cols = ["who", "key", "is_first", "visit_count", "visit_seq", "start_key", "visit_start_datetime"]
@@ -68,3 +69,11 @@ def test_first_foreign_channel_and_known_customer(spark):
     assert [r["first"] for r in got] == [None, "ad", "ad", None]
     got = V.effective_customer(df, "v", ["i"], "c", "eff").orderBy("v", "i").collect()
     assert [r.eff for r in got] == [None, None, 7, None]
+
+
+@pytest.mark.parametrize("limits", [{}, FORCED])
+def test_unknown_visitors_share_one_time_line(spark, limits):
+    rows = [(None, i, BASE + dt.timedelta(seconds=100 * i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "who int, key int, ts timestamp_ntz")
+    got = V.visit_count(df, "who", "ts", "key", **limits).orderBy("key").collect()
+    assert [r.visit_count for r in got] == [i // 3 + 1 for i in range(30)]

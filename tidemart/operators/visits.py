@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.functions.semantics import row_count
+from tidemart.operators.scan import HOT_ROWS, LISTED_KEYS, Scan, hot_keys, ordered_scan
+from tidemart.session import SMALL_BYTES, input_bytes, settle
 
 VISIT_SECONDS = 300
 
@@ -23,6 +26,91 @@ def islands(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], g
     return ordered_scan(marked, keys, [ts, *order], [Scan(out, "sum", "_start")], **limits).drop("_prev", "_start")
 
 
+def _known(key) -> list:
+    """Key values with NULL as None, so that NULL equals NULL."""
+    return [None if pd.isna(v) else v for v in key]
+
+
+def _fold_runs(keyed: DataFrame, run: Sequence[str], order: Sequence[str], limit: int) -> DataFrame:
+    """Mark visit starts run by run, as a stream in constant memory over sorted partitions."""
+    schema = T.StructType([*keyed.schema.fields, T.StructField("is_first", T.BooleanType())])
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, start = None, 0
+        for pdf in batches:
+            flags = []
+            for *who, at in zip(*[pdf[c] for c in run], pdf["_at"]):
+                who = _known(who)
+                opens = who != last or at - start >= limit
+                if opens:
+                    last, start = who, at
+                flags.append(opens)
+            yield pdf.assign(is_first=flags)
+
+    return keyed.repartition(*run).sortWithinPartitions(*run, *order).mapInPandas(fold, schema)
+
+
+def _fold_long_runs(keyed: DataFrame, run: Sequence[str], order: Sequence[str], limit: int, slices: int) -> DataFrame:
+    """Mark visit starts in runs too long for one task.
+
+    A run is cut into slices of bounded size. For each slice, the last visit start is worked out for every event its
+    first visit could begin with; many of them share one, so this is a short table. Walking these tables gives the
+    visit open at the begin of each slice, and with it every slice is marked on its own.
+    """
+    cut = settle(keyed.repartitionByRange(slices, *run, *order).withColumn("_slice", F.spark_partition_id()))
+    piece = [*run, "_slice"]
+    kinds = {f.name: f for f in cut.schema.fields}
+
+    def moves(pdf: pd.DataFrame) -> pd.DataFrame:
+        at = np.sort(pdf["_at"].to_numpy())
+        following = np.searchsorted(at, at + limit, "left")
+        end = np.where(following < len(at), following, np.arange(len(at)))
+        while not np.array_equal(end[end], end):
+            end = end[end]
+        first = np.arange(np.searchsorted(at, at[0] + limit, "right"))
+        table = pd.DataFrame({"_begin": at[first], "_end": at[end[first]], "_low": at[0]})
+        table = table.groupby("_end", as_index=False).agg({"_begin": "max", "_low": "min"})
+        return table.assign(**{c: pdf[c].iloc[0] for c in piece})[[*piece, "_low", "_begin", "_end"]]
+
+    marks = [T.StructField(c, T.LongType()) for c in ("_low", "_begin", "_end")]
+    tables = cut.groupBy(*piece).applyInPandas(moves, T.StructType([*[kinds[c] for c in piece], *marks]))
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, place, start, done = None, None, 0, True
+        for pdf in batches:
+            out = []
+            for *who, number, low, begin, end in pdf.itertuples(index=False, name=None):
+                who = _known(who)
+                if who != last:
+                    last, place, start = who, None, low - limit
+                if number != place:
+                    place, done = number, False
+                    out.append((*who, number, start))
+                if not done and begin >= start + limit:
+                    start, done = end, True
+            yield pd.DataFrame(out, columns=[*piece, "_entry"])
+
+    entry_schema = T.StructType([*[kinds[c] for c in piece], T.StructField("_entry", T.LongType())])
+    entries = tables.repartition(*run).sortWithinPartitions(*piece, "_begin").mapInPandas(walk, entry_schema)
+    schema = T.StructType([*keyed.schema.fields, T.StructField("is_first", T.BooleanType())])
+    names = keyed.columns
+
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(list(order)).reset_index(drop=True)
+        at, flags = pdf["_at"].to_numpy(), np.zeros(len(pdf), dtype=bool)
+        i = np.searchsorted(at, pdf["_entry"].iloc[0] + limit, "left")
+        while i < len(at):
+            flags[i] = True
+            i = np.searchsorted(at, at[i] + limit, "left")
+        return pdf[names].assign(is_first=flags)
+
+    on = F.col("c._slice") == F.col("e._slice")
+    for c in run:
+        on = on & F.col(f"c.{c}").eqNullSafe(F.col(f"e.{c}"))
+    placed = cut.alias("c").join(entries.alias("e"), on).select("c.*", "e._entry")
+    return placed.groupBy(*piece).applyInPandas(mark, schema)
+
+
 def visit_count(
     df: DataFrame,
     visitor: str,
@@ -30,46 +118,45 @@ def visit_count(
     event_key: str,
     carry: Sequence[str] = (),
     visit_seconds: int = VISIT_SECONDS,
-    **limits,
+    hot_rows: int = HOT_ROWS,
+    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Visits that last a fixed time from their first event: a later event opens the next visit.
 
-    The rule needs state, but a pause of the full length always opens a visit. So events are first cut at such
-    pauses (a distributed scan), and only the runs between pauses are folded, as a stream in constant memory
-    over sorted partitions, never as a collected group. A count over visit starts then numbers the visits.
+    The rule needs state, but a pause of the full length always opens a visit. So events are first cut into runs at
+    such pauses (a distributed scan), and only runs are folded; runs of more than ``hot_rows`` events in slices.
+    A count over visit starts then numbers the visits.
     """
-    run = "_run"
-    cut = islands(df, [visitor], ts, [event_key], visit_seconds, run, **limits)
+    limits = {"hot_rows": hot_rows, "small_bytes": small_bytes}
+    run, order, limit = [visitor, "_run"], [ts, event_key], visit_seconds * 1_000_000
+    cut = islands(df, [visitor], ts, [event_key], visit_seconds, "_run", **limits)
     keyed = cut.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp")))
-    schema = T.StructType([*keyed.schema.fields, T.StructField("is_first", T.BooleanType())])
-    limit = visit_seconds * 1_000_000
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, start = None, 0
-        for pdf in batches:
-            flags = []
-            for who, number, at in zip(pdf[visitor], pdf[run], pdf["_at"]):
-                opens = (who, number) != last or at - start >= limit
-                if opens:
-                    last, start = (who, number), at
-                flags.append(opens)
-            yield pdf.assign(is_first=flags)
-
-    folded = (
-        keyed.repartition(visitor, run).sortWithinPartitions(visitor, run, ts, event_key).mapInPandas(fold, schema)
-    )
-    opened = folded.withColumn("_one", F.col("is_first").cast("long"))
+    opened = None
+    if input_bytes(df) > small_bytes:
+        keyed = settle(keyed)
+        long_runs = settle(hot_keys(keyed, run, hot_rows))
+        found = long_runs.agg(row_count().alias("n"), F.sum("_rows").alias("rows")).first()
+        if found["n"]:
+            same = F.col("k._run") == F.col("h._run")
+            same = same & F.col(f"k.{visitor}").eqNullSafe(F.col(f"h.{visitor}"))
+            listed = F.broadcast(long_runs) if found["n"] <= LISTED_KEYS else long_runs
+            every, long = keyed.alias("k"), listed.alias("h")
+            slices = max(2, found["rows"] // hot_rows + 1)
+            opened = _fold_runs(every.join(long, same, "left_anti"), run, order, limit).unionByName(
+                _fold_long_runs(every.join(long, same, "left_semi"), run, order, limit, slices)
+            )
+    opened = (opened or _fold_runs(keyed, run, order, limit)).withColumn("_one", F.col("is_first").cast("long"))
     begin = F.struct(F.col(event_key).alias("k"), F.col(ts).alias("t"), *[F.col(c).alias(f"c_{c}") for c in carry])
     opened = opened.withColumn("_begin", F.when(F.col("is_first"), begin))
     numbered = ordered_scan(
         opened,
         [visitor],
-        [ts, event_key],
+        order,
         [Scan("visit_count", "sum", "_one"), Scan("_visit", "fill", "_begin"), Scan("_rn", "number")],
         **limits,
     )
     first_rn = numbered.withColumn("_first_rn", F.when(F.col("is_first"), F.col("_rn")))
-    placed = ordered_scan(first_rn, [visitor], [ts, event_key], [Scan("_open_rn", "fill", "_first_rn")], **limits)
+    placed = ordered_scan(first_rn, [visitor], order, [Scan("_open_rn", "fill", "_first_rn")], **limits)
     return placed.select(
         *df.columns,
         "is_first",
@@ -124,7 +211,7 @@ def sequential_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], st
         for pdf in batches:
             states = []
             for row in pdf.itertuples(index=False):
-                key = tuple(getattr(row, k) for k in keys)
+                key = _known(getattr(row, k) for k in keys)
                 if key != last:
                     last, state = key, initial
                 state = step(state, row)
