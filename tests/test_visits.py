@@ -28,10 +28,10 @@ def fold(rows, seconds):
 
 
 @pytest.mark.parametrize("limits", [{}, FORCED])
-@pytest.mark.parametrize("span", [300, 2500, 9000])
+@pytest.mark.parametrize("span", [300, 2500, 5000, 9000])
 def test_visit_count(spark, limits, span):
     rnd = random.Random(span)
-    rows = [(rnd.choice([1, 1, 1, 2]), i, BASE + dt.timedelta(seconds=rnd.randint(0, span))) for i in range(120)]
+    rows = [(rnd.choice([1, 1, 1, 2]), i, BASE + dt.timedelta(seconds=rnd.randint(0, span))) for i in range(160)]
     df = spark.createDataFrame(rows, "who int, key int, ts timestamp_ntz")
     got = V.visit_count(df, "who", "ts", "key", **limits)
     cols = ["who", "key", "is_first", "visit_count", "visit_seq", "start_key", "visit_start_datetime"]

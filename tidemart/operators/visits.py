@@ -54,7 +54,7 @@ def _fold_long_runs(keyed: DataFrame, run: Sequence[str], order: Sequence[str],
     """Mark visit starts in runs too long for one task.
 
     A run is cut into slices of bounded size. For each slice, the last visit start is worked out for every event its
-    first visit could begin with; many of them share one, so this is a short table. Walking these tables gives the
+    first visit could begin with: those of one visit length from its begin, and the one after. Walking these tables gives the
     visit open at the begin of each slice, and with it every slice is marked on its own.
     """
     cut = settle(keyed.repartitionByRange(slices, *run, *order).withColumn("_slice", F.spark_partition_id()))
@@ -67,9 +67,11 @@ def _fold_long_runs(keyed: DataFrame, run: Sequence[str], order: Sequence[str],
         end = np.where(following < len(at), following, np.arange(len(at)))
         while not np.array_equal(end[end], end):
             end = end[end]
-        first = np.arange(np.searchsorted(at, at[0] + limit, "right"))
-        table = pd.DataFrame({"_begin": at[first], "_end": at[end[first]], "_low": at[0]})
-        table = table.groupby("_end", as_index=False).agg({"_begin": "max", "_low": "min"})
+        possible = np.searchsorted(at, at[0] + limit, "right") + 1
+        begins, ends = at[:possible], at[end[:possible]]
+        # Neighbours with one result are one entry, named by the last of them.
+        kept = np.append(ends[1:] != ends[:-1], True)
+        table = pd.DataFrame({"_low": at[0], "_begin": begins[kept], "_end": ends[kept]})
         return table.assign(**{c: pdf[c].iloc[0] for c in piece})[[*piece, "_low", "_begin", "_end"]]
 
     marks = [T.StructField(c, T.LongType()) for c in ("_low", "_begin", "_end")]
