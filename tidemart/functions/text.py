@@ -21,9 +21,9 @@ def date_range(df: DataFrame, start: Column | str, end: Column | str, out: str)
 
 
 def date_range_zoned(df: DataFrame, start: Column | str, end: Column | str, zone: str, out: str) -> DataFrame:
-    """Days as the UTC instants of their midnight in a zone; days of a clock change stay one row each."""
+    """Days as the UTC moments of their midnight in a zone; days of a clock change stay one row each."""
     days = date_range(df, start, end, "_day")
-    return days.withColumn(out, F.to_utc_timestamp(F.col("_day").cast("timestamp"), zone)).drop("_day")
+    return days.withColumn(out, zoned_instant("_day", zone)).drop("_day")
 
 
 def month_range(df: DataFrame, start: Column | str, end: Column | str, out: str) -> DataFrame:
@@ -39,14 +39,14 @@ def without_company(c: Column | str) -> Column:
     ).otherwise(as_col(c).cast("long"))
 
 
-def zoned_instant(local: Column | str, zone: str | Column) -> Column:
-    """Instant of a wall-clock moment in a zone."""
-    return F.to_utc_timestamp(as_col(local).cast("timestamp"), zone)
+def zoned_instant(local: Column | str, zone: str) -> Column:
+    """UTC moment of a wall-clock moment in a zone; both without a zone, so the session zone plays no part."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), as_col(local).cast("timestamp_ntz"))
 
 
-def local_time(instant: Column | str, zone: str | Column) -> Column:
-    """Wall-clock moment of a UTC moment in a zone."""
-    return F.from_utc_timestamp(as_col(instant).cast("timestamp"), zone)
+def local_time(instant: Column | str, zone: str) -> Column:
+    """Wall-clock moment in a zone of a UTC moment."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), as_col(instant).cast("timestamp_ntz"))
 
 
 def clean_field(c: Column | str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import ntz
+from tidemart.functions.text import zoned_instant
 from tidemart.operators.merge import apply_merge
 from tidemart.sources.tables import VersionedTable
 
@@ -32,7 +33,7 @@ class Dependency:
     def newest(self) -> DataFrame:
         top = F.max(self.column)
         if self.zone:
-            top = F.to_utc_timestamp(top.cast("timestamp"), self.zone)
+            top = zoned_instant(top, self.zone)
         return self.df.agg(top.cast("timestamp_ntz").alias("high")).select(
             F.lit(self.name).alias("dependent_table_name"), "high"
         )

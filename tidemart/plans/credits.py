@@ -77,7 +77,7 @@ def breakage(
     Up to tenure 13 the unredeemed amount is capped by the expected share and scaled by how far redemption has come
     against expectation (at most fully); after it all that is unredeemed counts.
     """
-    grid = issuance_grid(activity, group, thru)
+    grid = reused(issuance_grid(activity, group, thru))
     to_date = grid.groupBy(*group, "issued_month", "issued_amount").agg(
         F.sum("issued").alias("issued"),
         F.sum("redeemed").alias("redeemed"),

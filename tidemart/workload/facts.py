@@ -92,7 +92,7 @@ def _raw_events(t):
 
 @query("d58_event_tables", """SELECT event_id, ts::VARCHAR AS received_at, event_type AS event, (json_extract(props, '$.k'))::BIGINT AS k, '{"CONTEXT_APP_VERSION":"1.0"}' AS rescued FROM events WHERE event_type IN ('click', 'view')""")
 def _(t):
-    raw = _raw_events(t)
+    raw = t.stored(_raw_events(t), "raw")
     declared = {"click": {"PROPERTIES_K": "bigint"}, "view": {"PROPERTIES_K": "bigint"}}
     first = P.event_tables(raw.filter("received_at < timestamp_ntz '2024-01-16'"), "event_id", "event", "b", declared, "received_at", when(T1))
     first = {k: t.stored(df, k) for k, df in first.items()}
@@ -134,7 +134,7 @@ def _(t):
     early = t.orders.filter(F.col("o_orderdate") < when("2001-01-01")).select(F.col("o_orderkey").alias("orderkey"))
     low = {"orders": F.lit("2000-12-31 12:00:00").cast("timestamp_ntz")}
     moved = WM.changed_keys("orderkey", low, None, [("orders", base.select("orderkey", "o_orderdate"), "o_orderdate", None, None)])
-    whole = P.assemble(None, base, "orderkey", steps)
+    whole = t.stored(P.assemble(None, base, "orderkey", steps), "assembled")
     first = t.stored(P.load_fact(None, whole.join(early, "orderkey", "left_semi"), ["orderkey"], when(T1)), "fact")
     out = P.load_fact(first, whole.join(moved, "orderkey", "left_semi"), ["orderkey"], when(T2))
     return out.select(F.col("orderkey").alias("o_orderkey"), "order_status", "net", "units", "lines", "refunds", "first_supplier", F.col("meta_create_datetime").alias("created"))
