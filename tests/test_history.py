@@ -149,6 +149,10 @@ def test_consolidation_of_sources(spark):
     out = H.consolidate_delta(a, 10, [40], "id", ["other"], "chg", F.lit("2024-01-02 00:04:00").cast("timestamp_ntz"))
     rows = {tuple(r) for r in out.select("data_source_id", "company_id", "id", "other", "meta_original_id").collect()}
     assert rows == {(10, 40, 740, 340, 7), (10, 40, None, 140, 0)}
+    low = F.lit("2024-01-01").cast("timestamp_ntz")
+    columns = {k: H.consolidate_delta(a, 10, [40], "id", ["other"], "chg", low, kind=k).columns[:3] for k in H.TABLE_KINDS}
+    assert columns["nsync"] == ["id", "other", "chg"] and columns["has_value_column"] == ["company_id", "id", "other"]
+    assert columns["has_object_column_with_null"] == ["data_source_id", "id", "other"]
 
 
 def test_key_lookup_miss_and_missing_moment(spark):

@@ -162,6 +162,19 @@ def tagged_key(key: str, company: Column) -> Column:
     )
 
 
+# Table kind to (has a data source id, has a company id). Without a company, ids stay as they are.
+TABLE_KINDS = {
+    "nsync": (False, False),
+    "has_value_column": (False, True),
+    "has_name_value_column": (True, True),
+    "has_object_column": (False, False),
+    "has_object_column_with_null": (True, False),
+    "has_object_column_with_null_and_name_value_column": (True, False),
+    "regular": (True, True),
+    "regular_multiple_company_ids": (True, True),
+}
+
+
 def consolidate_delta(
     source: DataFrame,
     source_id: int,
@@ -174,13 +187,18 @@ def consolidate_delta(
     company_on: str | None = None,
     default_company: int = 40,
     look_back: str = "INTERVAL 5 MINUTES",
+    kind: str = "regular",
 ) -> DataFrame:
     """Recent rows of one source in the consolidated shape: latest per key, company added, ids rewritten.
 
     A source without a company lookup (or a row the lookup misses) belongs to the default company. Rows of companies
-    the source does not own are left out.
+    the source does not own are left out. The kind of table decides which id columns exist.
     """
+    has_source, has_company = TABLE_KINDS[kind]
+    source_col = [F.lit(source_id).alias("data_source_id")] if has_source else []
     recent = latest_by(source.filter(F.col(changed) >= low - F.expr(look_back)), [key], [changed])
+    if not has_company:
+        return recent.select(*source_col, *source.columns)
     if company_of is not None:
         recent = recent.join(company_of.select(company_on, F.col("company_id").alias("_company")), company_on, "left")
         company = F.coalesce(F.col("_company"), F.lit(default_company))
@@ -192,7 +210,7 @@ def consolidate_delta(
         recent.withColumn("company_id", company.cast("int"))
         .filter(F.col("company_id").isin(list(companies)))
         .select(
-            F.lit(source_id).alias("data_source_id"),
+            *source_col,
             "company_id",
             *[tagged_key(c, F.col("company_id")).alias(c) for c in ids],
             *[F.col(c).alias(f"meta_original_{c}") for c in ids],

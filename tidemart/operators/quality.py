@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import as_col
+from tidemart.session import reused
 
 
 def flag_duplicates(stage: DataFrame, keys: Sequence[str], event: str | None = None) -> DataFrame:
@@ -131,21 +132,26 @@ def alert(rows: DataFrame, name: str, on_rows: str = "fail") -> bool:
     return clean or on_rows == "continue"
 
 
-def share_drift(daily: DataFrame, day: str, segment: str, amount: str, as_of: Column) -> DataFrame:
-    """Share of each segment yesterday, on the same day last month, and its mean over the days in between."""
-    by = daily.groupBy(F.to_date(day).alias("day"), segment).agg(F.sum(amount).alias("part"))
-    whole = by.groupBy("day").agg(F.sum("part").alias("whole"))
-    shares = by.join(whole, "day").select(
-        "day", segment, (F.col("part").cast("double") / F.col("whole").cast("double")).alias("share")
-    )
+def share_drift(rows: DataFrame, day: str, group: str, flag: Column, as_of: Column) -> DataFrame:
+    """Percent of flagged rows per group: yesterday, on the same day last month, and the mean of the days between.
+
+    The days compared are the last and the first day found in that span; both are left out of the mean.
+    """
     yesterday = F.date_sub(F.to_date(as_of), 1)
-    month_ago = F.add_months(yesterday, -1)
-    return shares.groupBy(segment).agg(
-        F.max(F.when(F.col("day") == yesterday, F.col("share"))).alias("share_yesterday"),
-        F.max(F.when(F.col("day") == month_ago, F.col("share"))).alias("share_month_ago"),
-        F.round(
-            F.avg(F.when((F.col("day") > month_ago) & (F.col("day") < yesterday), F.col("share"))), 6
-        ).alias("mean_share"),
+    span = F.to_date(day).between(F.add_months(yesterday, -1), yesterday)
+    daily = reused(
+        rows.filter(span)
+        .groupBy(F.to_date(day).alias("day"), group)
+        .agg((F.count_if(flag) * 100 / F.count(F.lit(1))).alias("percent"))
+    )
+    ends = daily.agg(F.struct(F.min("day").alias("first"), F.max("day").alias("last"))).scalar()
+    marked = daily.withColumn("_e", ends)
+    at = lambda c: F.max(F.when(F.col("day") == F.col(c), F.col("percent")))
+    between = (F.col("day") > F.col("_e.first")) & (F.col("day") < F.col("_e.last"))
+    return marked.groupBy(group).agg(
+        at("_e.last").alias("previous_date"),
+        at("_e.first").alias("last_month_same_date"),
+        F.avg(F.when(between, F.col("percent"))).alias("mean_percent"),
     )
 
 
@@ -172,6 +178,19 @@ def column_drift(a: DataFrame, b: DataFrame, ignore: Sequence[str] = ()) -> list
     ]
 
 
+def drift_report(a: DataFrame, b: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
+    """Drifting columns with the number of values the other layer does not see."""
+    parts = []
+    for side, df in (("missing in second", a), ("missing in first", b)):
+        names = [c for c, where in column_drift(a, b, ignore) if where == side]
+        if names:
+            counts = df.agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "column_name", "values_hidden")
+            parts.append(counts.withColumn("drift", F.lit(side)))
+    if not parts:
+        return a.sparkSession.createDataFrame([], "column_name string, values_hidden long, drift string")
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
 def pattern_tags(df: DataFrame, column: str, patterns: dict[str, Sequence[str]], out: str = "tag") -> DataFrame:
     """Tag of the first pattern list (case-insensitive LIKE) a text matches."""
     text = F.col(column)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -235,27 +236,41 @@ def action_periods(
 
 
 def billing_cycle_rates(
-    members: DataFrame, actions: DataFrame, customer: str, moment: str, kind: str, priority: Sequence[str], days: int
+    members: DataFrame,
+    actions: DataFrame,
+    customer: str,
+    moment: str,
+    kind: str,
+    priority: Sequence[str],
+    days: int,
+    blocking: Sequence[str],
+    early_blocking: Sequence[str],
+    early: Column,
+    dims: Sequence[str] = (),
 ) -> DataFrame:
-    """Members by their decisive behaviour up to each day of the cycle: the first kind of the priority list wins.
+    """Behaviour of the members of a month up to each of the first days of the cycle.
 
-    ``members`` has one row per member and month; the behaviours are disjoint and add up to the members.
+    Per kind: members who did it (``_unique``), and members whose decisive behaviour it is (``_only``: the first kind of
+    the priority list wins, so these are disjoint). Eligible to be billed are members without a blocking kind; where
+    ``early`` holds (by segment and month) the list is ``early_blocking``. ``members``: customer, month, dims, one row each.
     """
-    rank = F.array_position(F.array(*[F.lit(k) for k in priority]), F.col(kind))
-    ranked = actions.filter(F.col(kind).isin(list(priority))).select(
-        customer, month_of(moment).alias("month"), F.dayofmonth(moment).alias("day"), rank.alias("rank")
+    # The first day of each kind decides all later days, so one row per member and month is enough.
+    firsts = actions.filter(F.col(kind).isin(list(priority))).groupBy(customer, month_of(moment).alias("month")).agg(
+        *[F.min(F.when(F.col(kind) == k, F.dayofmonth(moment))).alias(f"_{k}") for k in priority]
     )
-    best_by_day = ranked.filter(F.col("day") <= days).groupBy(customer, "month", "day").agg(F.min("rank").alias("rank"))
-    spread = best_by_day.select(customer, "month", "rank", F.explode(F.sequence(F.col("day"), F.lit(days))).alias("day"))
-    upto = spread.groupBy(customer, "month", "day").agg(F.min("rank").alias("rank"))
-    grid = members.select(customer, "month").distinct().select(
-        customer, "month", F.explode(F.sequence(F.lit(1), F.lit(days))).alias("day")
+    grid = members.join(firsts, [customer, "month"], "left").withColumn(
+        "day", F.explode(F.sequence(F.lit(1), F.lit(days)))
     )
-    joined = grid.join(upto, [customer, "month", "day"], "left")
-    return joined.groupBy("month", "day").agg(
+    did = {k: F.coalesce(F.col(f"_{k}") <= F.col("day"), F.lit(False)) for k in priority}
+    some = lambda kinds: reduce(lambda a, b: a | b, [did[k] for k in kinds], F.lit(False))
+    only = {k: did[k] & ~some(priority[:i]) for i, k in enumerate(priority)}
+    eligible = F.when(early, ~some(early_blocking)).otherwise(~some(blocking))
+    return grid.groupBy("month", "day", *dims).agg(
         row_count().alias("members"),
-        *[F.count_if(F.col("rank") == i + 1).alias(k) for i, k in enumerate(priority)],
-        F.count_if(F.col("rank").isNull()).alias("none"),
+        *[F.count_if(did[k]).alias(f"{k}_unique") for k in priority],
+        *[F.count_if(only[k]).alias(f"{k}_only") for k in priority],
+        F.count_if(~some(priority)).alias("none"),
+        F.count_if(eligible).alias("eligible"),
     )
 
 

@@ -44,12 +44,16 @@ def group_list(df: DataFrame, group: Sequence[str], member: str, out: str) -> Da
     return df.join(listed, list(group))
 
 
-def top_k_other(df: DataFrame, grain: Sequence[str], member: str, amount: str, k: int, other: str = "Other Grouping") -> DataFrame:
-    """Totals of the k best members per grain (ties share a rank, a sole member always stays), the rest as one row."""
+def top_k_other(
+    df: DataFrame, grain: Sequence[str], member: str, amount: str, k: int, separator: str = "|", other: str = "Other Grouping"
+) -> DataFrame:
+    """Totals of the k best members per grain (ties share a rank), the rest as one row.
+
+    A member made of a single name, without the separator, keeps its row whatever its rank; an empty name never does.
+    """
     totals = df.groupBy(*grain, member).agg(F.sum(amount).alias("total"))
-    members = totals.groupBy(*grain).agg(F.count(F.lit(1)).alias("members"))
-    ranked = dense_ranks(totals, grain, "total", "r").join(members, list(grain))
-    keep = (F.col("r") <= k) | (F.col("members") == 1)
+    ranked = dense_ranks(totals, grain, "total", "r")
+    keep = ((F.col("r") <= k) | ~F.col(member).contains(separator)) & (F.col(member) != "")
     named = ranked.withColumn(member, F.when(keep, F.col(member)).otherwise(F.lit(other)))
     return named.groupBy(*grain, member).agg(F.sum("total").alias("total"))
 

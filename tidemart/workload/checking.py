@@ -104,11 +104,13 @@ def _(t):
     return Q.stale({"orders": (t.orders, "o_orderdate"), "lines": (t.lineitem, "l_shipdate")}, F.lit("2001-10-01").cast("date"), 20)
 
 
-@query("q11_share_drift", """WITH b AS (SELECT ts::DATE AS day, event_type, SUM(value::DECIMAL(18,2)) AS p FROM events GROUP BY 1, 2), s AS (SELECT day, event_type, p::DOUBLE / (SUM(p) OVER (PARTITION BY day))::DOUBLE AS share FROM b)
- SELECT event_type, MAX(CASE WHEN day = DATE '2024-01-20' THEN share END) AS share_yesterday, ROUND(AVG(CASE WHEN day > DATE '2023-12-20' AND day < DATE '2024-01-20' THEN share END), 6) AS mean_share FROM s GROUP BY 1""")
+@query("q11_share_drift", """WITH d AS (SELECT o_orderdate::DATE AS d, o_orderstatus AS s, (COUNT(*) FILTER (o_orderpriority = '1-URGENT') * 100)::DOUBLE / COUNT(*)::DOUBLE AS p FROM orders WHERE o_orderdate::DATE BETWEEN DATE '2000-04-20' AND DATE '2000-05-20' GROUP BY 1, 2), e AS (SELECT MIN(d) AS a, MAX(d) AS b FROM d)
+ SELECT s AS o_orderstatus, COALESCE(MAX(p) FILTER (d = b), -1) AS previous_date, COALESCE(MAX(p) FILTER (d = a), -1) AS last_month_same_date, ROUND(AVG(p) FILTER (d > a AND d < b), 6) AS mean_percent FROM d, e GROUP BY 1""")
 def _(t):
-    e = t.events.withColumn("v", money("value"))
-    return Q.share_drift(e, "ts", "event_type", "v", F.lit("2024-01-21").cast("date")).drop("share_month_ago")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    out = Q.share_drift(t.orders, "o_orderdate", "o_orderstatus", urgent, F.lit("2000-05-21").cast("date"))
+    none = lambda c: F.coalesce(c, F.lit(-1.0)).alias(c)
+    return out.select("o_orderstatus", none("previous_date"), none("last_month_same_date"), F.round("mean_percent", 6).alias("mean_percent"))
 
 
 @query("q12_hourly_sources", "SELECT h::VARCHAR AS hour, SUM(c)::BIGINT AS clicks, SUM(v)::BIGINT AS views FROM (SELECT date_trunc('hour', ts) AS h, (event_type = 'click')::INT AS c, (event_type = 'view')::INT AS v FROM events WHERE event_type IN ('click', 'view')) GROUP BY 1")
@@ -117,10 +119,13 @@ def _(t):
     return Q.hourly_counts({"clicks": kind("click"), "views": kind("view")})
 
 
-@query("q13_column_drift", "SELECT column_name, 'missing in second' AS drift FROM (DESCRIBE lineitem) WHERE column_name NOT IN ('l_orderkey', 'l_partkey', 'l_tax') UNION ALL SELECT 'extra', 'missing in first'")
+_HIDDEN = ("l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@query("q13_column_drift", " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT({c})::BIGINT AS values_hidden, 'missing in second' AS drift FROM lineitem" for c in _HIDDEN) + " UNION ALL SELECT 'extra', COUNT(*) FILTER (l_tax > 0)::BIGINT, 'missing in first' FROM lineitem")
 def _(t):
-    view = t.lineitem.select("L_ORDERKEY", "l_partkey", "l_tax", F.lit(1).alias("extra"))
-    return t.spark.createDataFrame(Q.column_drift(t.lineitem, view), "column_name string, drift string")
+    view = t.lineitem.select("L_ORDERKEY", "l_partkey", "l_tax", F.when(F.col("l_tax") > 0, 1).alias("extra"))
+    return Q.drift_report(t.lineitem, view)
 
 
 @query("q14_pattern_tags", "SELECT page_id, COALESCE(CASE WHEN url ILIKE '%://m.%' THEN 'mobile' WHEN url ILIKE '%blog%' OR url ILIKE '%/blog/%' THEN 'blog' WHEN url ILIKE '%.html' THEN 'static' END, 'other') AS tag FROM pages")

@@ -125,12 +125,17 @@ def _(t):
     return P.action_periods(acts, "o_custkey", "o_orderdate", "k", ["Purchase", "Skip", "Cancel"], F.lit("2001-08-01").cast("date"))
 
 
-@query("d11_billing_cycle_rates", """WITH b AS (SELECT user_id, date_trunc('month', ts)::DATE AS m, day(ts) AS d, CASE event_type WHEN 'purchase' THEN 1 WHEN 'error' THEN 2 WHEN 'view' THEN 3 END AS r FROM events),
- g AS (SELECT DISTINCT user_id, m, unnest(generate_series(1, 5)) AS d FROM b), x AS (SELECT g.user_id, g.m, g.d, MIN(r) AS r FROM g LEFT JOIN b ON b.user_id = g.user_id AND b.m = g.m AND b.d <= g.d AND r IS NOT NULL GROUP BY ALL)
- SELECT m::VARCHAR AS month, d::BIGINT AS day, COUNT(*)::BIGINT AS members, COUNT(*) FILTER (r = 1)::BIGINT AS purchase, COUNT(*) FILTER (r = 2)::BIGINT AS error, COUNT(*) FILTER (r = 3)::BIGINT AS view, COUNT(*) FILTER (r IS NULL)::BIGINT AS none FROM x GROUP BY 1, 2""")
+@query("d11_billing_cycle_rates", """WITH o AS (SELECT o_custkey AS c, date_trunc('month', o_orderdate)::DATE AS m, day(o_orderdate) AS d, o_orderstatus AS k FROM orders), u AS (SELECT DISTINCT c, m, c_mktsegment AS seg FROM o JOIN customer ON c_custkey = c),
+ f AS (SELECT u.c, u.m, u.seg, MIN(d) FILTER (k = 'F') AS f, MIN(d) FILTER (k = 'O') AS o, MIN(d) FILTER (k = 'P') AS p FROM u JOIN o ON o.c = u.c AND o.m = u.m GROUP BY 1, 2, 3),
+ g AS (SELECT seg, m, i AS day, COALESCE(f <= i, false) AS f, COALESCE(o <= i, false) AS o, COALESCE(p <= i, false) AS p FROM f, generate_series(1, 5) x(i))
+ SELECT m::VARCHAR AS month, day::BIGINT AS day, seg, COUNT(*)::BIGINT AS members, COUNT(*) FILTER (f)::BIGINT AS "F_unique", COUNT(*) FILTER (o)::BIGINT AS "O_unique", COUNT(*) FILTER (p)::BIGINT AS "P_unique", COUNT(*) FILTER (f)::BIGINT AS "F_only", COUNT(*) FILTER (o AND NOT f)::BIGINT AS "O_only", COUNT(*) FILTER (p AND NOT f AND NOT o)::BIGINT AS "P_only", COUNT(*) FILTER (NOT (f OR o OR p))::BIGINT AS none,
+ COUNT(*) FILTER (CASE WHEN (seg = 'BUILDING' AND m < DATE '1998-01-01') OR (seg = 'MACHINERY' AND m < DATE '2000-01-01') THEN NOT (f OR o OR p) ELSE NOT (o OR p) END)::BIGINT AS eligible FROM g GROUP BY 1, 2, 3""")
 def _(t):
-    members = t.events.select("user_id", P.month_of("ts").alias("month"))
-    return P.billing_cycle_rates(members, t.events, "user_id", "ts", "event_type", ["purchase", "error", "view"], 5)
+    segments = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("seg"))
+    members = t.orders.select("o_custkey", P.month_of("o_orderdate").alias("month")).distinct().join(segments, "o_custkey")
+    until = lambda seg, day: (F.col("seg") == seg) & (F.col("month") < F.lit(day).cast("date"))
+    early = until("BUILDING", "1998-01-01") | until("MACHINERY", "2000-01-01")
+    return P.billing_cycle_rates(members, t.orders, "o_custkey", "o_orderdate", "o_orderstatus", ["F", "O", "P"], 5, ["O", "P"], ["F", "O", "P"], early, ["seg"])
 
 
 @query("d12_billing_estimate", """WITH a AS (SELECT ts::DATE AS d, event_type = 'purchase' AS ok, value::DECIMAL(18,2) AS v FROM events WHERE event_type IN ('purchase', 'error') AND ts::DATE BETWEEN DATE '2024-01-15' AND DATE '2024-01-20')
