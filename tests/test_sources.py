@@ -162,3 +162,11 @@ def test_stream_slots_drop_late_rows(spark, tmp_path):
     run()
     got = sorted((r.slot_start.hour, r.n, r.total) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [(1, 2, 3), (3, 1, 9)]
+
+
+def test_case_tags_with_and_without_repeats(spark):
+    rows = [(1, 10, "b", 1), (1, 11, "a", 2), (1, 12, "b", 3)]
+    df = spark.createDataFrame(rows, "case int, cust int, label string, t int")
+    once = LG.case_tags(df, "case", "cust", "label", ["t"]).first()
+    assert (once.tags, once.cust) == ("b, a", 10)
+    assert LG.case_tags(df, "case", "cust", "label", ["t"], repeats=True).first().tags == "b, a, b"

@@ -40,11 +40,15 @@ def milestone_low(tables: Sequence[tuple[DataFrame, str]], look_back_days: int)
 
 
 def lead_times(df: DataFrame, legs: dict[str, tuple[str, str]]) -> DataFrame:
-    """Calendar and business days of each leg between two milestones; NULL while a milestone is missing."""
+    """Calendar and business days of each leg between two milestones; NULL while one is missing or they are reversed."""
     out = []
     for name, (a, b) in legs.items():
         start, end = F.to_date(a), F.to_date(b)
-        out += [calendar_days(start, end).alias(f"{name}_days"), business_days(start, end).alias(f"{name}_work_days")]
+        forward = end >= start
+        out += [
+            F.when(forward, calendar_days(start, end)).alias(f"{name}_days"),
+            F.when(forward, business_days(start, end)).alias(f"{name}_work_days"),
+        ]
     return df.select("*", *out)
 
 
@@ -90,15 +94,20 @@ def latest_segments(segments: DataFrame, keys: Sequence[str], order: Sequence[st
     return latest_by(segments, keys, order)
 
 
-def case_tags(events: DataFrame, case: str, customer: str, label: str, order: Sequence[str]) -> DataFrame:
-    """Labels of a case in order of first appearance as one text, and the customer of its first event.
+def case_tags(
+    events: DataFrame, case: str, customer: str, label: str, order: Sequence[str], repeats: bool = False
+) -> DataFrame:
+    """Labels of a case in time order as one text, and the customer of its first event.
 
-    Labels are reduced to their first place before they are listed, so a list is bounded by the label vocabulary.
+    By default a label counts at its first place, so a list is bounded by the label vocabulary however many events a
+    case has. ``repeats`` lists a label at every moment it was set; use it where cases are known to be short.
     """
     moment = F.struct(*order)
-    first_seen = events.groupBy(case, label).agg(F.min(moment).alias("m"))
-    tags = first_seen.groupBy(case).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("m", label))), lambda x: x[label]), " | ").alias("tags")
-    )
+    if repeats:
+        placed = events.select(case, label, moment.alias("m")).distinct()
+    else:
+        placed = events.groupBy(case, label).agg(F.min(moment).alias("m"))
+    listed = F.array_sort(F.collect_list(F.struct("m", label)))
+    tags = placed.groupBy(case).agg(F.array_join(F.transform(listed, lambda x: x[label]), ", ").alias("tags"))
     owner = events.groupBy(case).agg(F.min_by(customer, moment).alias(customer))
     return tags.join(owner, case)

@@ -11,11 +11,12 @@ from tidemart.streaming.jobs import slot_totals
 from tidemart.workload.base import SQL_SALES, money, query, when
 
 
-@query("d47_lead_times", f"""SELECT orderkey, linenumber::BIGINT AS linenumber, partkey, suppkey, (ship_date::DATE - order_date::DATE)::BIGINT AS ship_days,
- (CASE WHEN ship_date >= order_date THEN 1 ELSE -1 END * (SELECT COUNT(*) FROM generate_series(1, ABS(ship_date::DATE - order_date::DATE)) g(i) WHERE dayofweek(LEAST(order_date, ship_date)::DATE + i::INT) NOT IN (0, 6)))::BIGINT AS ship_work_days FROM {SQL_SALES}""")
+@query("d47_lead_times", f"""SELECT orderkey, linenumber::BIGINT AS linenumber, partkey, suppkey, CASE WHEN ship_date >= order_date THEN ship_date::DATE - order_date::DATE ELSE -1 END::BIGINT AS ship_days,
+ CASE WHEN ship_date >= order_date THEN (SELECT COUNT(*) FROM generate_series(0, ship_date::DATE - order_date::DATE) g(i) WHERE dayofweek(order_date::DATE + i::INT) NOT IN (0, 6)) - CASE WHEN dayofweek(order_date) IN (0, 6) THEN 0 ELSE 1 END ELSE -1 END::BIGINT AS ship_work_days FROM {SQL_SALES}""")
 def _(t):
     s = t.sales().select("orderkey", "linenumber", "partkey", "suppkey", "order_date", "ship_date")
-    return P.lead_times(s, {"ship": ("order_date", "ship_date")}).drop("order_date", "ship_date")
+    out = P.lead_times(s, {"ship": ("order_date", "ship_date")}).drop("order_date", "ship_date")
+    return out.fillna(-1, ["ship_days", "ship_work_days"])
 
 
 @query("d48_milestone_pivot", "SELECT user_id, " + ", ".join(f"COALESCE(MIN(ts) FILTER (event_type = '{k}')::VARCHAR, '-') AS \"{k}\"" for k in ("signup", "view", "click", "purchase")) + " FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 4 DAY FROM events) GROUP BY 1")
@@ -48,7 +49,7 @@ def _(t):
     return apply_merge(early, late, ["conv_id", "role"], lambda t_, s: {"turn": s("turn")}, update_when=lambda t_, s: s("turn") > t_("turn"))
 
 
-@query("d50_case_tags", """WITH f AS (SELECT user_id, event_type, MIN((ts, event_id)) AS m FROM events GROUP BY 1, 2) SELECT user_id, string_agg(event_type, ' | ' ORDER BY m) AS tags, (SELECT event_id FROM events e WHERE e.user_id = f.user_id ORDER BY ts, event_id LIMIT 1) AS owner FROM f GROUP BY 1""")
+@query("d50_case_tags", """WITH f AS (SELECT user_id, event_type, MIN((ts, event_id)) AS m FROM events GROUP BY 1, 2) SELECT user_id, string_agg(event_type, ', ' ORDER BY m) AS tags, (SELECT event_id FROM events e WHERE e.user_id = f.user_id ORDER BY ts, event_id LIMIT 1) AS owner FROM f GROUP BY 1""")
 def _(t):
     return P.case_tags(t.events.withColumn("owner", F.col("event_id")), "user_id", "owner", "event_type", ["ts", "event_id"])
 
