@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import OPEN_END, earliest_by, latest_by, millis_before, ntz, row_hash
 from tidemart.operators.merge import apply_merge
-from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.operators.scan import Scan, key_plan, ordered_scan
 from tidemart.session import reused
 
 
@@ -78,7 +78,10 @@ def change_history(
                 F.when(F.col("t.is_current"), F.struct(*[F.col(f"t.{c}").alias(c) for c in filler])).alias("t_row"),
             )
         )
-    lagged = ordered_scan(joined, keys, [ts], [Scan("lag_hash", "lag", "meta_row_hash"), Scan("_n", "number")])
+    plan = key_plan(stage, keys)
+    lagged = ordered_scan(
+        joined, keys, [ts], [Scan("lag_hash", "lag", "meta_row_hash"), Scan("_n", "number")], plan=plan
+    )
     previous = F.when(F.col("_n") == 1, F.col("t_hash")).otherwise(F.col("lag_hash"))
     changed = lagged.withColumn("previous_hash", previous).filter(
         ~F.col("meta_row_hash").eqNullSafe(F.col("previous_hash"))
@@ -89,6 +92,7 @@ def change_history(
         keys,
         [ts],
         [Scan("next_ts", "lead", ts), Scan("rno", "number"), Scan("_fill", "fill", "_donor")],
+        plan=plan,
     )
     chained = chained.withColumn("_fill", F.coalesce("_fill", "t_row"))
     start = F.col(ts)

@@ -156,6 +156,32 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
 
 
+@dataclass(frozen=True)
+class KeyPlan:
+    """Which keys of a frame are too large for one task: their list, its length, and the rows they hold.
+
+    An empty plan states that no key is large, as when a key has one row per calendar day or month.
+    """
+
+    hot: DataFrame | None = None
+    keys: int = 0
+    rows: int = 0
+
+
+def key_plan(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, small_bytes: int = SMALL_BYTES
+) -> KeyPlan:
+    """Count the keys of a large input once; the plan also holds for frames derived from it with no more rows a key."""
+    if input_bytes(df) <= small_bytes:
+        return KeyPlan()
+    if not keys:
+        rows = df.count()
+        return KeyPlan(None, int(rows > hot_rows), rows)
+    hot = settle(hot_keys(df, keys, hot_rows))
+    found = hot.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows")).first()
+    return KeyPlan(hot, found["n"], found["rows"])
+
+
 def ordered_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -163,29 +189,23 @@ def ordered_scan(
     scans: Sequence[Scan],
     hot_rows: int = HOT_ROWS,
     small_bytes: int = SMALL_BYTES,
+    plan: KeyPlan | None = None,
 ) -> DataFrame:
     """Add scan columns over ``keys`` in ascending ``order`` (which should be total within a key)."""
     keys, order = list(keys), list(order)
-    if input_bytes(df) <= small_bytes:
+    plan = plan or key_plan(df, keys, hot_rows, small_bytes)
+    if not plan.keys:
         return _window_all(df, keys, order, scans)
+    slices = max(2, plan.rows // hot_rows + 1)
     if not keys:
-        rows = df.count()
-        return _sliced(df, [], order, scans, max(2, rows // hot_rows + 1)) if rows > hot_rows else _window_all(
-            df, keys, order, scans
-        )
-    hot = settle(hot_keys(df, keys, hot_rows))
-    found = hot.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("rows")).first()
-    if not found["n"]:
-        return _window_all(df, keys, order, scans)
+        return _sliced(df, [], order, scans, slices)
     match = F.lit(True)
     for k in keys:
         match = match & F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}"))
-    listed = F.broadcast(hot) if found["n"] <= LISTED_KEYS else hot
-    tagged, hot = df.alias("d"), listed.alias("h")
+    tagged = df.alias("d")
+    hot = (F.broadcast(plan.hot) if plan.keys <= LISTED_KEYS else plan.hot).alias("h")
     cold_part = _window_all(tagged.join(hot, match, "left_anti"), keys, order, scans)
-    hot_part = _sliced(
-        tagged.join(hot, match, "left_semi"), keys, order, scans, max(2, found["rows"] // hot_rows + 1)
-    )
+    hot_part = _sliced(tagged.join(hot, match, "left_semi"), keys, order, scans, slices)
     return cold_part.unionByName(hot_part)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import FIRST_START, OPEN_END, latest_by, millis_before, ntz, row_hash
 from tidemart.operators.merge import apply_merge
-from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.operators.scan import Scan, key_plan, ordered_scan
 from tidemart.session import reused
 
 LOAD_FIRST_START = "1970-01-01 00:00:00"
@@ -137,11 +137,13 @@ def scd_mart(target: DataFrame | None, stage: DataFrame, spec: ScdSpec, run_ts:
             )
         )
     order = ["effective_start_datetime", "meta_type_2_hash", "meta_type_1_hash"]
+    plan = key_plan(events, keys)
     scanned = ordered_scan(
         joined,
         keys,
         order,
-        [
+        plan=plan,
+        scans=[
             Scan("lag_1", "lag", "meta_type_1_hash"),
             Scan("lag_2", "lag", "meta_type_2_hash"),
             Scan("lag_start", "lag", "effective_start_datetime"),
@@ -164,6 +166,7 @@ def scd_mart(target: DataFrame | None, stage: DataFrame, spec: ScdSpec, run_ts:
         keys,
         order,
         [Scan("next_start", "lead", "effective_start_datetime"), Scan("seq", "number")],
+        plan=plan,
     )
     inserted = chain.select(
         *body,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions.semantics import row_count
-from tidemart.operators.scan import HOT_ROWS, LISTED_KEYS, Scan, hot_keys, ordered_scan
+from tidemart.operators.scan import HOT_ROWS, LISTED_KEYS, Scan, hot_keys, key_plan, ordered_scan
 from tidemart.session import SMALL_BYTES, input_bytes, settle
 
 VISIT_SECONDS = 300
@@ -19,6 +19,7 @@ VISIT_SECONDS = 300
 
 def islands(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], gap_seconds: int, out: str, **limits) -> DataFrame:
     """Number runs of events whose neighbours are closer than the gap (plain gap sessionisation)."""
+    limits = {"plan": key_plan(df, keys, **limits), **limits}
     lagged = ordered_scan(df, keys, [ts, *order], [Scan("_prev", "lag", ts)], **limits)
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     wide = F.col("_prev").isNull() | (micros(ts) - micros("_prev") >= gap_seconds * 1_000_000)
@@ -150,15 +151,17 @@ def visit_count(
     opened = (opened or _fold_runs(keyed, run, order, limit)).withColumn("_one", F.col("is_first").cast("long"))
     begin = F.struct(F.col(event_key).alias("k"), F.col(ts).alias("t"), *[F.col(c).alias(f"c_{c}") for c in carry])
     opened = opened.withColumn("_begin", F.when(F.col("is_first"), begin))
+    plan = key_plan(df, [visitor], **limits)
     numbered = ordered_scan(
         opened,
         [visitor],
         order,
         [Scan("visit_count", "sum", "_one"), Scan("_visit", "fill", "_begin"), Scan("_rn", "number")],
         **limits,
+        plan=plan,
     )
     first_rn = numbered.withColumn("_first_rn", F.when(F.col("is_first"), F.col("_rn")))
-    placed = ordered_scan(first_rn, [visitor], order, [Scan("_open_rn", "fill", "_first_rn")], **limits)
+    placed = ordered_scan(first_rn, [visitor], order, [Scan("_open_rn", "fill", "_first_rn")], **limits, plan=plan)
     return placed.select(
         *df.columns,
         "is_first",
@@ -195,6 +198,7 @@ def clamped_balance(df: DataFrame, keys: Sequence[str], order: Sequence[str], am
 
     Closed form: with S the plain running total, the balance is S less its lowest value so far (0 at most).
     """
+    limits = {"plan": key_plan(df, keys, **limits), **limits}
     summed = ordered_scan(df, keys, order, [Scan("_s", "sum", amount)], **limits)
     lowest = ordered_scan(summed, keys, order, [Scan("_low", "min", "_s")], **limits)
     zero = F.lit(0).cast(dict(summed.dtypes)["_s"])

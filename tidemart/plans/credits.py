@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import boundaries, ratio, row_count
 from tidemart.functions.text import month_range
-from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.operators.scan import KeyPlan, Scan, ordered_scan
 from tidemart.session import reused
 
 # Activity kinds, and the tenures at which the expected rates are read.
@@ -117,7 +117,9 @@ def breakage(
 
 def booking_changes(bookings: DataFrame, group: Sequence[str], month: str, amount: str) -> DataFrame:
     """Change of a recorded amount against the booking before; the first booking counts whole."""
-    scanned = ordered_scan(bookings, group, [month], [Scan("_before", "lag", amount), Scan("_n", "number")])
+    scanned = ordered_scan(
+        bookings, group, [month], [Scan("_before", "lag", amount), Scan("_n", "number")], plan=KeyPlan()
+    )
     return scanned.select(
         *bookings.columns,
         F.when(F.col("_n") == 1, F.col(amount)).otherwise(F.col(amount) - F.col("_before")).alias("change"),
@@ -150,7 +152,7 @@ def roll_forward(moves: Sequence[DataFrame], group: Sequence[str]) -> DataFrame:
         monthly, [*group, "month"], "left"
     ).fillna(0, ["issued", "used"])
     net = filled.withColumn("_net", F.col("issued") - F.col("used"))
-    closed = ordered_scan(net, list(group), ["month"], [Scan("closing", "sum", "_net")])
+    closed = ordered_scan(net, list(group), ["month"], [Scan("closing", "sum", "_net")], plan=KeyPlan())
     return closed.select(*group, "month", (F.col("closing") - F.col("_net")).alias("opening"), "issued", "used", "closing")
 
 

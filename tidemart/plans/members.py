@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import OPEN_END, boundaries, latest_by, millis_before, ntz, ratio, row_count
 from tidemart.operators.joins import effective_lookup
-from tidemart.operators.scan import Scan, key_tiles, ordered_scan
+from tidemart.operators.scan import KeyPlan, Scan, key_tiles, ordered_scan
 from tidemart.session import reused
 
 
@@ -65,9 +65,9 @@ def cohort_waterfall(
 
 
 def fill_months(monthly: DataFrame, customer: str, month: str, until: Column) -> DataFrame:
-    """Gapless months per customer up to ``until``: every row is repeated up to the month before the customer's next
+    """Gapless months per customer (one row each, so no customer is large) up to ``until``: every row is repeated up to the month before the customer's next
     row, ``_own`` marks the month that really has the row. No scaffold, no join."""
-    ahead = ordered_scan(monthly, [customer], [month], [Scan("_next", "lead", month)])
+    ahead = ordered_scan(monthly, [customer], [month], [Scan("_next", "lead", month)], plan=KeyPlan())
     last = F.coalesce(F.add_months("_next", -1), F.to_date(F.date_trunc("month", until)))
     months = F.sequence(F.col(month), F.greatest(last, F.col(month)), F.expr("INTERVAL 1 MONTH"))
     rows = ahead.select("*", F.explode(months).alias("_month"))
@@ -137,7 +137,7 @@ def period_counts(intervals: DataFrame, start: str, end: str, dims: Sequence[str
     span = moves.groupBy(*dims).agg(F.date_add(F.min("day"), -1).alias("a"), F.max("day").alias("b"))
     days = span.select(*dims, F.explode(F.sequence("a", "b")).alias("day"))
     filled = days.join(moves, [*dims, "day"], "left").fillna(0, ["step"])
-    bop = ordered_scan(filled, list(dims), ["day"], [Scan("bop", "sum", "step")])
+    bop = ordered_scan(filled, list(dims), ["day"], [Scan("bop", "sum", "step")], plan=KeyPlan())
     shifted = bop.select(*dims, F.date_sub("day", 1).alias("day"), F.col("bop").alias("eop"))
     return (
         bop.select(*dims, "day", "bop")
@@ -154,7 +154,11 @@ def lifetime_monthly(
         row_count().alias("orders"), F.sum(amount).alias("margin")
     )
     summed = ordered_scan(
-        monthly, [customer], ["month"], [Scan("orders_to_date", "sum", "orders"), Scan("margin_to_date", "sum", "margin")]
+        monthly,
+        [customer],
+        ["month"],
+        [Scan("orders_to_date", "sum", "orders"), Scan("margin_to_date", "sum", "margin")],
+        plan=KeyPlan(),
     )
     filled = fill_months(summed, customer, "month", until)
     own = lambda c: F.when(F.col("_own"), F.col(c)).otherwise(F.lit(0)).alias(c)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.semantics import ratio, row_count, week_start_sunday
 from tidemart.functions.text import date_range
 from tidemart.operators.joins import effective_lookup
-from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.operators.scan import KeyPlan, Scan, ordered_scan
 from tidemart.session import reused
 
 
@@ -33,7 +33,7 @@ def daily_rates(rates: DataFrame, currency: str, first: Column, last: Column) ->
     known = rates.select(currency, F.to_date("rate_datetime").alias("day"), "rate_datetime", "exchange_rate")
     known = known.groupBy(currency, "day").agg(F.max_by("exchange_rate", "rate_datetime").alias("_r"))
     grid = days.join(known, [currency, "day"], "full")
-    filled = ordered_scan(grid, [currency], ["day"], [Scan("exchange_rate", "fill", "_r")])
+    filled = ordered_scan(grid, [currency], ["day"], [Scan("exchange_rate", "fill", "_r")], plan=KeyPlan())
     return filled.filter(F.col("day").between(first, last)).select(currency, "day", "exchange_rate")
 
 
@@ -59,8 +59,8 @@ def rolling_ratio(monthly: DataFrame, unit: Sequence[str], month: str, amount: s
 
 
 def previous_known(df: DataFrame, unit: Sequence[str], month: str, column: str) -> DataFrame:
-    """NULL replaced by the last known value before it, 0 where there is none."""
-    filled = ordered_scan(df, list(unit), [month], [Scan("_f", "fill", column)])
+    """NULL replaced by the last known value before it, 0 where there is none; one row per unit and month."""
+    filled = ordered_scan(df, list(unit), [month], [Scan("_f", "fill", column)], plan=KeyPlan())
     return filled.withColumn(column, F.coalesce("_f", F.lit(0.0))).drop("_f")
 
 
@@ -92,7 +92,7 @@ def kpi_base(daily: DataFrame, dims: Sequence[str], day: str, measures: Sequence
     grid = units.select(*dims, F.explode(F.sequence(F.col("_s.a"), F.col("_s.b"))).alias(day))
     filled = grid.join(daily, [*dims, day], "left").fillna(0, list(measures))
     filled = filled.withColumn("month", F.to_date(F.date_trunc("month", day)))
-    return ordered_scan(filled, [*dims, "month"], [day], [Scan(f"{m}_mtd", "sum", m) for m in measures])
+    return ordered_scan(filled, [*dims, "month"], [day], [Scan(f"{m}_mtd", "sum", m) for m in measures], plan=KeyPlan())
 
 
 def restated(

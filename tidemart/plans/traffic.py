@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import boundaries, latest_by, ratio, row_count
 from tidemart.operators.reshape import exact_percentile, first_match
-from tidemart.operators.scan import Scan, dense_ranks, ordered_scan
+from tidemart.operators.scan import KeyPlan, Scan, dense_ranks, ordered_scan
 
 
 def fill_known(df: DataFrame, key: str, order: Sequence[str], source: str, out: str) -> DataFrame:
@@ -217,9 +217,10 @@ def repaired_increments(posts: DataFrame, post: str, day: str, metric: str) -> D
     span = daily.groupBy(post).agg(F.min(day).alias("a"), F.max(day).alias("b"))
     days = span.select(post, F.explode(F.sequence("a", "b")).alias(day))
     grid = days.join(daily, [post, day], "left").withColumn("_v", F.nullif("raw", F.lit(0)))
-    filled = ordered_scan(grid, [post], [day], [Scan("_last", "fill", "_v")])
+    plan = KeyPlan()  # a post has one row per calendar day
+    filled = ordered_scan(grid, [post], [day], [Scan("_last", "fill", "_v")], plan=plan)
     level = filled.withColumn("cumulative", F.coalesce("_last", F.lit(0)))
-    lagged = ordered_scan(level, [post], [day], [Scan("_before", "lag", "cumulative")])
+    lagged = ordered_scan(level, [post], [day], [Scan("_before", "lag", "cumulative")], plan=plan)
     return lagged.select(
         post, day, F.coalesce("raw", F.lit(0)).alias("raw"), "cumulative",
         (F.col("cumulative") - F.coalesce("_before", F.lit(0))).alias("increment"),
