@@ -125,25 +125,24 @@ def period_counts(intervals: DataFrame, start: str, end: str, dims: Sequence[str
 
     Intervals become +1/-1 on days and a running sum over the calendar: no row per member and day.
     """
-    first_day = F.date_add(F.to_date(start), 1)  # a start during a day counts from the next day's begin
-    last_day = F.date_add(F.to_date(end), 1)
-    moves = (
-        intervals.select(*dims, first_day.alias("day"), F.lit(1).alias("step"))
-        .unionByName(intervals.filter(F.col(end) < ntz(OPEN_END)).select(*dims, last_day.alias("day"), F.lit(-1).alias("step")))
-        .groupBy(*dims, "day")
-        .agg(F.sum("step").alias("step"))
+    # A start or end during a day counts from the begin of the next day on.
+    closed = F.col(end) < ntz(OPEN_END)
+    steps = F.array(
+        F.struct(F.date_add(F.to_date(start), 1).alias("day"), F.lit(1).alias("step")),
+        F.struct(F.when(closed, F.date_add(F.to_date(end), 1)).alias("day"), F.lit(-1).alias("step")),
+    )
+    moves = reused(
+        intervals.select(*dims, F.explode(steps).alias("_m"))
+        .filter("_m.day IS NOT NULL")
+        .groupBy(*dims, F.col("_m.day").alias("day"))
+        .agg(F.sum("_m.step").alias("step"))
     )
-    moves = reused(moves)
     span = moves.groupBy(*dims).agg(F.date_add(F.min("day"), -1).alias("a"), F.max("day").alias("b"))
     days = span.select(*dims, F.explode(F.sequence("a", "b")).alias("day"))
     filled = days.join(moves, [*dims, "day"], "left").fillna(0, ["step"])
     bop = ordered_scan(filled, list(dims), ["day"], [Scan("bop", "sum", "step")], plan=KeyPlan())
-    shifted = bop.select(*dims, F.date_sub("day", 1).alias("day"), F.col("bop").alias("eop"))
-    return (
-        bop.select(*dims, "day", "bop")
-        .join(shifted, [*dims, "day"], "full")
-        .select(*dims, "day", F.coalesce("bop", F.lit(0)).alias("bop"), F.coalesce("eop", "bop").alias("eop"))
-    )
+    ends = ordered_scan(bop, list(dims), ["day"], [Scan("_next", "lead", "bop")], plan=KeyPlan())
+    return ends.select(*dims, "day", "bop", F.coalesce("_next", "bop").alias("eop"))
 
 
 def lifetime_monthly(

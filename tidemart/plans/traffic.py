@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import boundaries, latest_by, ratio, row_count
+from tidemart.functions.semantics import boundaries, latest_by, ratio
 from tidemart.operators.reshape import exact_percentile, first_match
 from tidemart.operators.scan import KeyPlan, Scan, dense_ranks, ordered_scan
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.semantics import row_count
 
 from tidemart.operators import quality as Q
-from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query, when
+from tidemart.workload.base import SQL_SALES, query, when
 
 
 @query("q01_duplicate_keys", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, COALESCE(CASE WHEN COUNT(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 THEN 'error' END, 'clean') AS quality FROM lineitem")

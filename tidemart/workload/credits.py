@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from tidemart.functions.semantics import row_count
 
 from tidemart.operators.merge import update_from
 from tidemart.operators.visits import clamped_balance, sequential_fold
 from tidemart.plans import credits as P
 from tidemart.plans.members import month_of
-from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query
+from tidemart.workload.base import SQL_SALES, money, query
 
 THRU = "2001-07-01"
 

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from tidemart.functions.semantics import row_count
 
-from tidemart.functions import semantics as S
 from tidemart.functions import text as X
 from tidemart.operators import joins as J
 from tidemart.operators import quality as Q
 from tidemart.operators import watermark as WM
-from tidemart.operators.reshape import ordered_list
 from tidemart.plans import facts as P
 from tidemart.plans import products as PR
 from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query, when

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from tidemart.functions.semantics import row_count
 
 from tidemart.operators.merge import apply_merge
 from tidemart.plans import logistics as P
 from tidemart.streaming.jobs import slot_totals
-from tidemart.workload.base import SQL_SALES, money, query, when
+from tidemart.workload.base import SQL_SALES, money, query
 
 
 @query("d47_lead_times", f"""SELECT orderkey, linenumber::BIGINT AS linenumber, partkey, suppkey, CASE WHEN ship_date >= order_date THEN ship_date::DATE - order_date::DATE ELSE -1 END::BIGINT AS ship_days,

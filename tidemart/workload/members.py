@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from tidemart.functions.semantics import row_count
 
 from tidemart.plans import members as P
-from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query, when
+from tidemart.workload.base import SQL_SALES, money, query
 
 _M = "date_trunc('month', {})::DATE"
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemart.functions import semantics as S
-from tidemart.functions import text as X
 from tidemart.workload.base import money, query
 
 O = "o_orderkey"  # noqa: E741

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from tidemart.functions.semantics import row_count
 
 from tidemart.functions import text as X
 from tidemart.operators import reshape as R
 from tidemart.operators import visits as V
-from tidemart.workload.base import query, when
+from tidemart.workload.base import query
 
 
 @query("u01_date_range", "SELECT o_orderkey, unnest(generate_series(o_orderdate, o_orderdate + INTERVAL 2 DAY, INTERVAL 1 DAY))::DATE::VARCHAR AS day FROM orders")
