@@ -5,14 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemart.llm import mixing, sharding, urls
+from tidemart.llm import mixing, sharding, simhash, urls
 from tidemart.llm.common import documents
 from tidemart.session import load
 
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, folder))
+    return found.select("doc_id", simhash.hexed(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, folder))
 
@@ -29,6 +35,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op4_mixing": op4_mixing,
     "op7_url_filter": op7_url_filter,
     "op10_sharding": op10_sharding,
