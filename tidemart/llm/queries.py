@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import mixing, sharding, simhash, urls
+from tidemart.llm import mixing, neighbours, sharding, simhash, urls
 from tidemart.llm.common import documents
 from tidemart.session import load
 
@@ -28,6 +28,11 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    rows = load(spark, folder, "embeddings")
+    return neighbours.nearest(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's slot and shard, and its shard should the last shard be taken away."""
     placed = sharding.place(documents(spark, folder), ["doc_id"], SHARDS, without=SHARDS[-1:])
@@ -38,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_mixing": op4_mixing,
     "op7_url_filter": op7_url_filter,
+    "op9_neighbours": op9_neighbours,
     "op10_sharding": op10_sharding,
 }
 
