@@ -4,11 +4,12 @@ Vectors are dealt to shards by a hash of their id. Each shard builds one vantage
 chord |a - b|, a metric that orders like cosine. Every query visits every shard's tree. At a node with vantage point v and
 middle distance m, the side that may hold a nearer vector than the current k-th distance t is known from the triangle
 inequality: the inner side can be left out if d(q, v) - m > t, the outer one if m - d(q, v) > t. ``relax`` multiplies that
-bound: 1 is exact, larger values leave out a side if relax * |d - m| > t. Queries go down the tree together, so each node is one matrix
+bound: 1 is exact, larger values leave out a side if relax * |d - m| > t. Equal vectors are one point of the tree. Queries go down the tree together, so each node is one matrix
 product. What is reported is scored again on the original vectors in double precision.
 
 Trees are small rows of arrays. Queries travel in blocks, and a task holds one shard's tree and one block, so neither a
 shard nor the set of queries has to fit with all the rest.
+Rows with equal (id, vector) copies beyond k + 1 in one shard cannot be among a query's k nearest and are not sent on.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, or whose length differs from ``dim`` where
 given, take no part, neither as query nor as candidate; rows with a null id likewise. Rows with an equal id are separate candidates;
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 
 K = 5
-RELAX = 1.0
+RELAX = 5.0
 LEAF = 96
 SHARD_ROWS = 8192
 BLOCK_QUERIES = 2048
@@ -80,15 +81,14 @@ def chord(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Search:
     """The k nearest rows of a tree for many queries at once."""
 
-    def __init__(self, tree: Tree, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, relax: float):
-        self.t, self.ids, self.q, self.own, self.k, self.relax = tree, ids[tree.order], queries, query_ids, k, relax
+    def __init__(self, tree: Tree, ids: np.ndarray, queries: np.ndarray, k: int, relax: float):
+        self.t, self.ids, self.q, self.k, self.relax = tree, ids[tree.order], queries, k, relax
         self.best = np.full((len(queries), k), np.inf)
         self.row = np.full((len(queries), k), -1, np.int64)
         self.visited = 0
 
     def offer(self, who: np.ndarray, d: np.ndarray, rows: np.ndarray) -> None:
         """Merge the distances d[who, rows] into the lists; ties by id."""
-        d = np.where(self.ids[rows][None, :] == self.own[who][:, None], np.inf, d)
         some = (d <= self.best[who, -1][:, None]).any(axis=1)
         if not some.any():
             return
@@ -162,17 +162,27 @@ def nearest(
         if not data.num_rows or not ask.num_rows:
             return empty
         data, ask = data.sort_by("id"), ask.sort_by("id")
-        vectors, q = matrix(data.column("vec")), matrix(ask.column("vec"))
+        vectors, q = matrix(data.column("vec")) + 0.0, matrix(ask.column("vec"))  # + 0.0: a negative zero equals a zero
         if vectors.shape[1] != q.shape[1]:
             raise ValueError("queries and rows differ in their number of components")
         ids, own = data.column("id").to_numpy(), ask.column("id").to_numpy()
-        tree = Tree(unit(vectors), leaf)
-        # A few more than k, so that the exact scores below decide about near ties.
-        s = Search(tree, ids, unit(q), own, k + 3, relax)
+        points, of = np.unique(vectors, axis=0, return_inverse=True)
+        members = np.argsort(of, kind="stable")  # by class, then by id
+        begin = np.searchsorted(of[members], np.arange(len(points) + 1))
+        tree = Tree(unit(points), leaf)
+        # Beside the query's own point a few more than k, so that the exact scores below decide about near ties.
+        s = Search(tree, ids[members[begin[:-1]]], unit(q), k + 4, relax)
         s.run(0, np.arange(len(q)))
         who, place = np.nonzero(s.row >= 0)
-        found = tree.order[s.row[who, place]]
-        return pa.table({"query_id": own[who], "vec_id": ids[found], "score": cosine(q[who], vectors[found])})
+        point = tree.order[s.row[who, place]]
+        score = cosine(q[who], points[point])
+        # Each found point stands for its k + 1 smallest ids, one of which may be the query's own.
+        copies = np.minimum(begin[point + 1] - begin[point], k + 1)
+        each = np.repeat(np.arange(len(who)), copies)
+        nth = np.arange(len(each)) - np.repeat(np.cumsum(copies) - copies, copies)
+        vec_id = ids[members[begin[point[each]] + nth]]
+        other = vec_id != own[who[each]]
+        return pa.table({"query_id": own[who[each]][other], "vec_id": vec_id[other], "score": score[each][other]})
 
     found = points.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(search, "query_id long, vec_id long, score double")
     # The best k of a query over all shards; each shard has sent a few rows only.
