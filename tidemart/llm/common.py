@@ -58,3 +58,14 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def worker_store(name: str) -> dict:
+    """A dictionary that lives as long as the Python worker, so what tasks have worked out is there for the next task.
+
+    Only for caches: nothing may depend on what it holds.
+    """
+    import sys
+    import types
+
+    return sys.modules.setdefault(f"_worker_{name}", types.ModuleType(f"_worker_{name}")).__dict__

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import mixing, neighbours, sharding, simhash, urls
+from tidemart.llm import mixing, neighbours, packing, sharding, simhash, urls
 from tidemart.llm.common import documents
 from tidemart.session import load
 
@@ -19,6 +19,16 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hexed(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(documents(spark, folder), tokenizer_path())
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, folder))
 
@@ -41,6 +51,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_packing": op2_packing,
     "op4_mixing": op4_mixing,
     "op7_url_filter": op7_url_filter,
     "op9_neighbours": op9_neighbours,
