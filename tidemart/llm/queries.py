@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import mixing, neighbours, packing, sharding, simhash, urls
+from tidemart.llm import fingerprints, mixing, neighbours, packing, sharding, simhash, urls
 from tidemart.llm.common import documents
 from tidemart.session import load
 
@@ -29,6 +29,10 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(documents(spark, folder), tokenizer_path())
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, folder))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, folder))
 
@@ -52,6 +56,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
     "op7_url_filter": op7_url_filter,
     "op9_neighbours": op9_neighbours,
