@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import let, stored, words_column
+from tidemart.llm.common import partitions, stored, words_column
 
 WEIGHTS = (5, 2, 1)
 TOTAL, MOST = 1.5, 2
@@ -113,7 +113,7 @@ def slots(plan: DataFrame, block_words: int = BLOCK_WORDS, shard_blocks: int = S
     p = p.withColumn("first", F.coalesce(F.sum("wanted").over(before), F.lit(0))).withColumn("all", F.sum("wanted").over(Window.partitionBy()))
     chunks = p.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("wanted") - 1, F.lit(CHUNK).cast("long"))))
     j = F.explode(F.sequence(F.col("chunk"), F.least(F.col("chunk") + CHUNK, F.col("wanted")) - 1))
-    s = chunks.repartition("source", "chunk").select("source", "blocks", "first", "all", j.alias("j"))
+    s = chunks.repartition(partitions(plan.sparkSession), "source", "chunk").select("source", "blocks", "first", "all", j.alias("j"))
     source_key = F.xxhash64("source")
     s = s.withColumn("pass", F.floor(F.col("j") / F.col("blocks")).cast("int"))
     s = s.withColumn("block", permuted(F.col("j") % F.col("blocks"), F.col("blocks"), source_key, F.col("pass")))
