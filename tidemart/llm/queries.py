@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import fingerprints, mixing, neighbours, packing, sharding, simhash, urls
+from tidemart.llm import fingerprints, mixing, neighbours, packing, sharding, simhash, substrings, urls
 from tidemart.llm.common import documents
 from tidemart.session import load
 
@@ -42,6 +42,11 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    done = substrings.remove_repeats(documents(spark, folder).select("doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     rows = load(spark, folder, "embeddings")
     return neighbours.nearest(rows, rows.where(F.col("vec_id") % 50 == 0))
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
     "op7_url_filter": op7_url_filter,
+    "op8_substrings": op8_substrings,
     "op9_neighbours": op9_neighbours,
     "op10_sharding": op10_sharding,
 }
