@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import fingerprints, mixing, neighbours, packing, sharding, simhash, substrings, urls
+from tidemart.llm import fingerprints, mixing, neighbours, packing, sharding, simhash, substrings, toxicity, urls
 from tidemart.llm.common import documents
 from tidemart.session import load
 
@@ -37,6 +37,13 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, folder))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    model = toxicity.train(docs, load(spark, folder, "labels"))
+    done = toxicity.score(docs, model)
+    return done.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = load(spark, folder, "pages").select("page_id", "url")
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict", "block_score")
@@ -63,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
+    "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_substrings": op8_substrings,
     "op9_neighbours": op9_neighbours,
