@@ -53,7 +53,7 @@ CODE = np.zeros(1 << 16, np.uint8)
 for _i, _c in enumerate(LETTERS):
     CODE[ord(_c)] = _i + 1
 LEET_COST, WILD_COST, DROP_COST, REPEAT_COST = 1.0, 3.0, 2.0, 1.0
-DIGIT_END, DIGIT_DROP, BLANK_END, BLANK_DROP = 3.0, 5.0, 1.5, 0.5
+DIGIT_END, DIGIT_DROP, BLANK_END, BLANK_DROP = 6.0, 10.0, 1.5, 0.5
 BEAM = 48
 
 EDGE = re.compile(r"^[^\w@$€£]+|[^\w]+$|_+$")
