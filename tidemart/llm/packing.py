@@ -13,6 +13,7 @@ documents; ties of scores go to the smaller (doc_id, tokens); an empty table giv
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +28,8 @@ WINDOW = 4096
 END_ID = 2
 SHARD_TOKENS = 1_000_000
 K1, B = 1.2, 0.75
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 1_600_000
+LETTERS_THEN_SIGNS = re.compile(r"([^\W\d_]+)([.,!?;:*#$%&|]+)\Z").match
 GAP = "\x01"  # a character that the tokenizer keeps as one token of its own between words
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -38,8 +40,8 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 class WordTokens:
     """Token ids of a text, worked out once per distinct word.
 
-    The tokenizer drops white space and never joins what white space separates, so a text's ids are its words' ids in a row. New
-    words are encoded many at a time.
+    The tokenizer drops white space, lowers case, and joins neither what white space separates nor letters with signs, so a text's ids are
+    its words' ids in a row, and a word's are those of its letters and of the signs behind them. New ones are encoded many at a time.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -54,9 +56,7 @@ class WordTokens:
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").astype("<u2").tobytes()
 
-    def learn(self, new: list[str]) -> None:
-        if len(self.words) + len(new) > self.cached:
-            self.words.clear()
+    def _encode_all(self, new: list[str]) -> None:
         odd = [w for w in new if GAP in w or "<|" in w] if len(self.gap) == 1 else new
         self.words.update((w, self._encode(w)) for w in odd)
         plain = [w for w in new if w not in self.words]
@@ -71,14 +71,29 @@ class WordTokens:
             for w, end in zip(part, ends, strict=True):
                 self.words[w], begin = raw[2 * begin : 2 * end], end + 1
 
+    def learn(self, new: set[str]) -> None:
+        """Words of letters and signs behind them are put together from the two; the parts are encoded once."""
+        words, split, parts = self.words, [], set()
+        for w in new:
+            m = LETTERS_THEN_SIGNS(w)
+            if m and m.end(1) < len(w):
+                pair = m.groups()
+                split.append((w, pair))
+                parts.update(pair)
+            else:
+                parts.add(w)
+        self._encode_all([p for p in parts if p not in words])
+        words.update((w, words[a] + words[b]) for w, (a, b) in split)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as two-byte integers."""
-        lists = [t.split(" ") for t in texts]
+        # The tokenizer lowers letter by letter; Python differs for one letter only, at a word's end.
+        lists = [(t if "\u03a3" in t else t.lower()).replace("\n", " ").split(" ") for t in texts]
         new = set().union(*lists).difference(self.words)
-        if len(self.words) + len(new) > self.cached:
+        if len(self.words) + 2 * len(new) > self.cached:
             self.words.clear()
             new = set().union(*lists)
-        self.learn(list(new))
+        self.learn(new)
         return [b"".join(map(self.words.__getitem__, words)) for words in lists]
 
 
@@ -121,6 +136,13 @@ def ids_of(raw) -> np.ndarray:
     return np.frombuffer(raw, "<u2")
 
 
+def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct two-byte ids and where they begin in their sorted order (a radix sort)."""
+    s = np.sort(ids, kind="stable")
+    begin = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
+    return s[begin], begin
+
+
 def crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -132,7 +154,7 @@ def document_frequencies(tokens: DataFrame) -> dict[int, int]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
             for raw in batch.column("ids"):
-                total[np.unique(ids_of(raw.as_buffer()))] += 1
+                total[distinct(ids_of(raw.as_buffer()))[0]] += 1
         used = np.flatnonzero(total)
         yield pa.record_batch({"token": pa.array(used, pa.int64()), "n": pa.array(total[used], pa.int64())})
 
@@ -148,23 +170,25 @@ class Index:
 
     def __init__(self, pieces: list[np.ndarray], idf: np.ndarray, mean: float):
         lengths = np.array([len(p) for p in pieces], np.int64)
-        owner = np.repeat(np.arange(len(pieces)), lengths)
-        token = np.concatenate(pieces).astype(np.int64) if len(pieces) else np.zeros(0, np.int64)
+        parts = [distinct(p) for p in pieces]
+        owner = np.repeat(np.arange(len(pieces)), [len(t) for t, _ in parts])
+        token = np.concatenate([t for t, _ in parts] or [np.zeros(0, np.uint16)])
+        tf = np.concatenate([np.diff(np.append(b, n)) for (_, b), n in zip(parts, lengths.tolist(), strict=True)] or [np.zeros(0, np.int64)])
         use = idf[token] > 0  # a term in over half of all documents tells nothing
-        pair, tf = np.unique(token[use] * len(pieces) + owner[use], return_counts=True)
-        self.n, self.doc = len(pieces), pair % max(1, len(pieces))
-        term = pair // max(1, len(pieces))
-        self.terms, self.begin = np.unique(term, return_index=True)
-        self.end = np.append(self.begin[1:], len(pair))
-        self.part = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / mean))
+        order = np.argsort(token[use], kind="stable")
+        token, owner, tf = token[use][order], owner[use][order], tf[use][order]
+        self.n, self.doc = len(pieces), owner
+        # Postings of token t: from begin[t] to begin[t + 1].
+        self.begin = np.searchsorted(token, np.arange((1 << 16) + 1))
+        self.part = idf[token] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[owner] / mean))
 
     def scores(self, ids: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.terms, wanted := np.unique(ids))
-        at = at[(at < len(self.terms))]
-        at = at[np.isin(self.terms[at], wanted)]
-        if not len(at):
+        wanted = distinct(ids)[0].astype(np.int64)
+        a, b = self.begin[wanted], self.begin[wanted + 1]
+        a, size = a[b > a], (b - a)[b > a]
+        if not len(a):
             return np.zeros(self.n)
-        take = np.concatenate([np.arange(a, b) for a, b in zip(self.begin[at].tolist(), self.end[at].tolist(), strict=True)])
+        take = np.arange(size.sum()) + np.repeat(a - (np.cumsum(size) - size), size)
         return np.bincount(self.doc[take], self.part[take], self.n)
 
 
