@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import fingerprints, mixing, neighbours, packing, sharding, simhash, substrings, toxicity, urls
+from tidemart.llm import fingerprints, mixing, neighbours, packing, quality, sharding, simhash, substrings, toxicity, urls
 from tidemart.llm.common import documents
 from tidemart.session import load
 
@@ -37,6 +37,11 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, folder))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    done = quality.assess(documents(spark, folder).select("doc_id", "text"))
+    return done.select("doc_id", "votes", "label_posterior", "quality_score", "keep")
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     model = toxicity.train(docs, load(spark, folder, "labels"))
@@ -65,16 +70,24 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard", "shard_without")
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
+    "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_substrings": op8_substrings,
     "op9_neighbours": op9_neighbours,
     "op10_sharding": op10_sharding,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {}
