@@ -147,7 +147,8 @@ def drawn(sizes: DataFrame, plan: DataFrame, block_words: int = BLOCK_WORDS, by_
     times = slots(plan, block_words).groupBy(*group).agg(F.count(F.lit(1)).alias("times"))
     b = times.select(F.col("source").alias("t_source"), F.col("block").alias("t_block"), *[c for c in times.columns if c not in ("source", "block")])
     pieces = covered(laid_out(sizes), block_words)
-    return pieces.join(b, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("block") == F.col("t_block"))).drop("t_source", "t_block")
+    # Catalyst's estimate does not see that slots multiply the few rows of the plan, and would broadcast them.
+    return pieces.join(b.hint("merge"), F.col("source").eqNullSafe(F.col("t_source")) & (F.col("block") == F.col("t_block"))).drop("t_source", "t_block")
 
 
 def mix_sizes(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -164,7 +165,7 @@ def mix_sizes(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     plan = plan.select(F.col("source").alias("p_source"), "source_size", "target")
     if plan.count() <= BROADCAST_SOURCES:
         plan = F.broadcast(plan)
-    met = ranges.join(taken, F.col("source").eqNullSafe(F.col("k_source")) & (F.col("start") == F.col("k_start")) & (F.col("size") > 0), "left")
+    met = ranges.join(taken.hint("merge"), F.col("source").eqNullSafe(F.col("k_source")) & (F.col("start") == F.col("k_start")) & (F.col("size") > 0), "left")
     met = met.join(plan, F.col("source").eqNullSafe(F.col("p_source")))
     return met.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
@@ -184,7 +185,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     spans = ranges.groupBy("_key", "source", "start").agg(F.sort_array(F.collect_list(F.struct("pass", "lo", "hi"))).alias("_spans"))
     # Of equal rows one text is enough: each of their ranges has a row of its own.
     one = keyed.withColumn("_n", F.row_number().over(Window.partitionBy("_key").orderBy("doc_id"))).where(F.col("_n") == 1)
-    met = one.join(spans.select("_key", "_spans"), "_key")
+    met = one.join(spans.select("_key", "_spans").hint("merge"), "_key")
 
     def piece(words: Column, spans: Column, n: int) -> Column:
         taken = F.filter(spans, lambda s: s["pass"] == n)
