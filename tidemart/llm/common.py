@@ -69,3 +69,14 @@ def worker_store(name: str) -> dict:
     import types
 
     return sys.modules.setdefault(f"_worker_{name}", types.ModuleType(f"_worker_{name}")).__dict__
+
+
+def wrapped(docs: DataFrame, *plain: str) -> DataFrame:
+    """The named columns, and all others in one struct ``_rest``: whatever they are called, they clash with nothing."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in plain]
+    return docs.select(*plain, F.struct(*(rest or [F.lit(None).cast("int").alias("_none")])).alias("_rest"))
+
+
+def unwrapped(df: DataFrame, columns: list[str], **plain: Column) -> DataFrame:
+    """The columns of a wrapped table in their own order; ``plain`` gives those outside the struct."""
+    return df.select(*[(plain[c] if c in plain else F.col("_rest")[c]).alias(c) for c in columns])

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import partitions, stored, words_column
+from tidemart.llm.common import let, partitions, stored, unwrapped, words_column, wrapped
 
 WEIGHTS = (5, 2, 1)
 TOTAL, MOST = 1.5, 2
@@ -177,25 +177,27 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     document that the first pass takes whole keeps its text as it is. Documents of which nothing is drawn go. Only word
     ranges are shuffled; the texts meet them once.
     """
-    # The hash keeps rows apart that share a doc_id; equal rows get equal ranges counted once per row.
-    own = F.xxhash64("doc_id", "source", "text")
-    keyed = docs.withColumn("_key", own)
+    keyed = wrapped(docs, "doc_id", "source", "text").withColumn("_key", F.xxhash64("doc_id", "source", "text"))
     sizes = stored(sized(keyed, "_key"), "mix-sizes")
     ranges = drawn(sizes, targets(sizes), block_words, by_pass=True)
     spans = ranges.groupBy("_key", "source", "start").agg(F.sort_array(F.collect_list(F.struct("pass", "lo", "hi"))).alias("_spans"))
-    # Of equal rows one text is enough: each of their ranges has a row of its own.
+    # Of rows with equal key columns one text is enough: each of their ranges has a row of its own.
     one = keyed.withColumn("_n", F.row_number().over(Window.partitionBy("_key").orderBy("doc_id"))).where(F.col("_n") == 1)
     met = one.join(spans.select("_key", "_spans").hint("merge"), "_key")
 
-    def piece(words: Column, spans: Column, n: int) -> Column:
-        taken = F.filter(spans, lambda s: s["pass"] == n)
+    def piece(words: Column, n: int) -> Column:
+        taken = F.filter("_spans", lambda s: s["pass"] == n)
         parts = F.transform(taken, lambda s: F.array_join(F.slice(words, (s["lo"] + 1).cast("int"), (s["hi"] - s["lo"]).cast("int")), " "))
         return F.array_join(parts, " ")
 
-    spans_of = F.col("_spans")
-    whole = lambda n: F.aggregate(F.filter(spans_of, lambda s: s["pass"] == n), F.lit(0).cast("long"), lambda a, s: a + s["hi"] - s["lo"])
-    n_words = F.size("_words")
-    texts = [F.when(whole(n) == n_words, F.col("text")).otherwise(piece(F.col("_words"), spans_of, n)) for n in range(MOST)]
-    joined = F.array_join(F.filter(F.array(*texts), lambda t: t != ""), "\n\n")
-    out = met.withColumn("_words", words_column(F.col("text"))).withColumn("text", joined)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    def drawn_words(n: int) -> Column:
+        return F.aggregate(F.filter("_spans", lambda s: s["pass"] == n), F.lit(0).cast("long"), lambda a, s: a + s["hi"] - s["lo"])
+
+    def taken_text(words: Column) -> Column:
+        passes = [F.when(drawn_words(n) == F.size(words), F.col("text")).otherwise(piece(words, n)) for n in range(MOST)]
+        return F.array_join(F.filter(F.array(*passes), lambda t: t != ""), "\n\n")
+
+    plain = {"doc_id": F.col("doc_id"), "source": F.col("source"), "text": F.col("_taken")}
+    if "n_chars" in docs.columns:
+        plain["n_chars"] = F.length("_taken").cast("long")
+    return unwrapped(met.withColumn("_taken", let(words_column(F.col("text")), taken_text)), docs.columns, **plain)

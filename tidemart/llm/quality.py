@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import let, words_column, worker_store
+from tidemart.llm.common import let, unwrapped, words_column, worker_store, wrapped
 
 MAX_TRAIN = 6_000
 BITS = 16
@@ -251,4 +251,5 @@ def assess(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    return assess(docs).where(F.col("keep") == 1).select(*docs.columns)
+    kept = assess(wrapped(docs, "doc_id", "text")).where(F.col("keep") == 1)
+    return unwrapped(kept, docs.columns, doc_id=F.col("doc_id"), text=F.col("text"))

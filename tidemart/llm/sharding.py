@@ -85,7 +85,7 @@ def place(
         back = {i: shards.index(s) for i, s in enumerate(left)}
         tables["shard_without"] = [back[i] for i in fill_table(left, table_size, weights)]
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(spread)) if spread > 1 else None
-    placed = df.drop("slot", *tables).withColumn("slot", slot_of([F.col(k) for k in keys], table_size, salt))
+    placed = df.withColumn("slot", slot_of([F.col(k) for k in keys], table_size, salt)).drop(*tables)
     return placed.join(F.broadcast(lookup_frame(df.sparkSession, tables)), "slot").select(*placed.columns, *tables)
 
 

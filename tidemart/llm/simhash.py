@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import LOWER, UPPER, stored
+from tidemart.llm.common import LOWER, UPPER, stored, unwrapped, wrapped
 from tidemart.llm.graph import components
 
 SHINGLE = 4
@@ -269,8 +269,8 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) ->
     found = near_duplicates(docs, shingle, radius)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
     kept = stored(kept.select(F.col("doc_id").alias("_id"), "_rows"), "kept")
-    met = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = met.where(F.col("_rows") == 1).select(*docs.columns)
-    if kept.where(F.col("_rows") > 1).isEmpty():
-        return once
-    return once.unionByName(met.where(F.col("_rows") > 1).dropDuplicates(["doc_id"]).select(*docs.columns))
+    met = wrapped(docs, "doc_id").join(kept, F.col("doc_id").eqNullSafe(F.col("_id")))
+    once = met.where(F.col("_rows") == 1)
+    if not kept.where(F.col("_rows") > 1).isEmpty():
+        once = once.union(met.where(F.col("_rows") > 1).dropDuplicates(["doc_id"]))
+    return unwrapped(once, docs.columns, doc_id=F.col("doc_id"))

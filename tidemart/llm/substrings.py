@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import stored
+from tidemart.llm.common import stored, unwrapped, wrapped
 
 WINDOW = 35
 PAIR_ROUNDS = 2
@@ -347,7 +347,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated words. A text that loses nothing stays as it is; the others are their kept words."""
-    done = remove_repeats(docs).withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")))
+    done = remove_repeats(wrapped(docs, "doc_id", "text"))
+    lost = F.col("n_removed") > 0
+    plain = {"doc_id": F.col("doc_id"), "text": F.when(lost, F.col("kept")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
-    return done.select(*docs.columns)
+        plain["n_chars"] = F.when(lost, F.length("kept")).otherwise(F.col("_rest.n_chars")).cast("long")
+    return unwrapped(done, docs.columns, **plain)

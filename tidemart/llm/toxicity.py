@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import stored, worker_store
+from tidemart.llm.common import stored, unwrapped, worker_store, wrapped
 
 MAX_TRAIN = 20_000
 MAX_FEATURES = 20_000
@@ -330,4 +330,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that the model does not reject."""
-    return score(docs, model).where(F.col("predicted") == 0).select(*docs.columns)
+    return unwrapped(score(wrapped(docs, "text"), model).where(F.col("predicted") == 0), docs.columns, text=F.col("text"))

@@ -27,29 +27,29 @@ RULES = (
 BITS = 13
 GRAMS = (3, 4, 5)
 
-# The small labelled URL table: hosts and paths that a text corpus wants or not.
-LABELLED = {
-    "allow": (
-        "https://www.city-library.example.com/en/120", "https://blog.garden.example.net/en/45.html", "http://history.example.com/en/77/",
-        "https://news.daily.example.net/es/301", "https://docs.software.example.com/en/12#top", "http://m.recipes.example.net/fr/98",
-        "https://science.example.net/de/640", "https://www.university.example.com/en/804?page=2", "http://travel.example.net/es/51/",
-        "https://blog.weather.example.com/es/7", "https://museum.example.net/fr/18.html", "http://m.teacher.example.com/es/92#top",
-        "https://forum.music.example.net/en/411?utm_source=feed", "http://www.health.example.com/en/230", "https://poetry.example.net/de/3/",
-        "https://blog.thonder.example.net/en/960", "http://m.thring.example.com/en/25#top", "https://www.theren.example.net/es/533/",
-        "http://thation.example.com/en/676", "https://ththes.example.net/fr/65.html", "https://erring.example.com/es/148",
-        "https://wiki.example.net/en/1", "http://www.parliament.example.com/en/19", "https://blog.cooking.example.com/en/270.html",
-    ),
-    "block": (
-        "http://www.cheap-pills.example.com/en/450?page=2", "https://spam-farm.example.net/en/728", "http://casino-bonus.example.com/en/9",
-        "https://win-money.example.net/en/88/", "http://m.cheap-pills.example.net/es/15", "https://blog.spam-farm.example.com/de/71",
-        "http://free-casino.example.net/en/500.html", "https://adult-video.example.com/en/31", "http://xxx-live.example.net/fr/7",
-        "https://www.pills-online.example.com/en/640", "http://payday-loans.example.net/en/2", "https://crack-keygen.example.com/en/404",
-        "http://link-farm.example.com/es/11", "https://m.click-bait.example.net/en/92", "http://bet-poker.example.com/en/313",
-        "https://replica-watches.example.net/en/74", "http://free-download-warez.example.com/en/60", "https://viagra-shop.example.net/de/5",
-        "http://spam.example.com/en/17", "https://www.spam-farm.example.com/es/202", "http://cheap-loans.example.com/en/33",
-        "https://porn-tube.example.net/en/8", "http://lottery-winner.example.com/fr/21", "https://ads-tracker.example.net/en/1?ref=x",
-    ),
-}
+# The small labelled URL table is built from words that hosts of wanted and unwanted sites are made of.
+WANTED = (
+    "library", "garden", "history", "news", "daily", "docs", "software", "recipes", "science", "university", "travel", "weather", "museum", "teacher",
+    "forum", "music", "health", "poetry", "wiki", "parliament", "cooking", "nature", "school", "theatre", "stories", "letters", "research", "village",
+    "journal", "archive", "painting", "mountain", "river", "language", "reader", "thought",
+)
+UNWANTED = (
+    "cheap", "pills", "spam", "farm", "casino", "bonus", "win", "money", "free", "bets", "adult", "xxx", "porn", "payday", "loans", "crack", "warez", "poker",
+    "replica", "viagra", "lottery", "clickbait", "keygen", "jackpot",
+)
+
+
+def labelled_urls() -> list[tuple[str, str]]:
+    """url, label (allow or block): each word alone and joined with others, under changing prefixes, domains and paths."""
+    rows = []
+    for label, words, steps in (("allow", WANTED, (0, 1, 7, 11, 17)), ("block", UNWANTED, (0, 1, 7))):
+        for i, word in enumerate(words):
+            for k, step in enumerate(steps):
+                host = word if not step else f"{word}-{words[(i + step) % len(words)]}"
+                for n in range(4):  # the same hosts with other prefixes, domains and paths
+                    prefix, domain, language = ("", "www.", "blog.", "m.")[(i + k + n) % 4], ("com", "net", "org")[(i + n) % 3], ("en", "es", "fr", "de")[(k + n) % 4]
+                    rows.append((f"https://{prefix}{host}.example.{domain}/{language}/{zlib.crc32(f'{i} {n}'.encode()) % 1000}", label))
+    return rows
 
 
 def host_column(url: Column) -> Column:
@@ -88,19 +88,22 @@ def grams(host: str, path: str) -> np.ndarray:
     return np.fromiter(sorted(found), np.int64, len(found))
 
 
-def train(urls: Sequence[tuple[str, str, bool]], rounds: int = 400, rate: float = 0.5, decay: float = 1e-3) -> tuple[np.ndarray, float]:
+def train(urls: Sequence[tuple[str, str, bool]], rounds: int = 200, rate: float = 10.0, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias for (host, path, block) rows: gradient descent with weight decay on length-normalised features."""
     rows = [grams(h, p) for h, p, _ in urls]
-    x = np.zeros((len(rows), 1 << BITS))
-    for i, r in enumerate(rows):
-        x[i, r] = 1 / np.sqrt(max(1, len(r)))
-    y = np.array([float(b) for *_, b in urls])
-    w, bias = np.zeros(1 << BITS), 0.0
+    used, at = np.unique(np.concatenate(rows or [np.zeros(0, np.int64)]), return_inverse=True)
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    x = np.zeros((len(rows), len(used)), np.float32)
+    x[owner, at] = 1 / np.sqrt(np.bincount(owner, minlength=len(rows)))[owner]
+    y = np.array([float(b) for *_, b in urls], np.float32)
+    w, bias = np.zeros(len(used), np.float32), 0.0
     for _ in range(rounds):
         error = 1 / (1 + np.exp(-(x @ w + bias))) - y
-        w -= rate * (x.T @ error / max(1, len(y)) * 10 + decay * w)
-        bias -= rate * error.mean()
-    return w, bias
+        w -= rate * (x.T @ error / max(1, len(y)) + decay * w)
+        bias -= 0.05 * rate * float(error.mean()) if len(y) else 0.0
+    weights = np.zeros(1 << BITS)
+    weights[used] = w
+    return weights, bias
 
 
 def scorer(weights: np.ndarray, bias: float):
@@ -119,11 +122,6 @@ def scorer(weights: np.ndarray, bias: float):
     return score
 
 
-def labelled_table(docs: DataFrame) -> DataFrame:
-    rows = [(u, label) for label, urls in LABELLED.items() for u in urls]
-    return docs.sparkSession.createDataFrame(rows, "url string, label string")
-
-
 def judge(
     pages: DataFrame, labelled: DataFrame | None = None, rules: Sequence[tuple[str, str, str]] = RULES, max_labelled: int = 10_000
 ) -> DataFrame:
@@ -131,7 +129,7 @@ def judge(
 
     ``labelled`` has url and label (allow or block); training takes at most ``max_labelled`` of its rows, the first by hash.
     """
-    table = labelled if labelled is not None else labelled_table(pages)
+    table = labelled if labelled is not None else pages.sparkSession.createDataFrame(labelled_urls(), "url string, label string")
     bounded = table.orderBy(F.xxhash64("url")).limit(max_labelled)
     parts = bounded.select(host_column(F.col("url")).alias("h"), path_column(F.col("url")).alias("p"), (F.col("label") == "block").alias("b")).collect()
     weights, bias = train([(r.h, r.p, bool(r.b)) for r in sorted(parts, key=tuple)])
