@@ -63,12 +63,17 @@ def partitions(spark: SparkSession) -> int:
 def worker_store(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, so what tasks have worked out is there for the next task.
 
-    Only for caches: nothing may depend on what it holds.
+    Only for caches: nothing may depend on what it holds. A worker holds one store at a time: asking for another one empties
+    it, so the stages of a pipeline do not add up.
     """
     import sys
     import types
 
-    return sys.modules.setdefault(f"_worker_{name}", types.ModuleType(f"_worker_{name}")).__dict__
+    held = sys.modules.setdefault("_worker_store", types.ModuleType("_worker_store")).__dict__
+    if held.get("held") != name:
+        held.get("store", {}).clear()
+        held.update(held=name, store={})
+    return held["store"]
 
 
 def wrapped(docs: DataFrame, *plain: str) -> DataFrame:

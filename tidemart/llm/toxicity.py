@@ -36,7 +36,7 @@ MAX_FEATURES = 20_000
 MIN_TOXIC = 3
 PREFIXES = (4, 5, 6)
 STRONGEST = 3
-CACHED = 600_000
+CACHED = 300_000
 
 # The letters of the language model, and what signs may stand for.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœ"
