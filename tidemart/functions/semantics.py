@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,23 @@ def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equally named keys where NULL meets NULL, as in grouping: what was grouped by the keys comes back to its rows."""
+    keys = list(keys)
+    if not keys:
+        return left.crossJoin(right)  # one row of totals
+    other = right.withColumnsRenamed({k: f"_own_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_own_{k}`")) for k in keys])
+    joined = left.join(other, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_own_{k}" for k in keys])
+
+
+def truncated(c: Column | str, digits: int = 0) -> Column:
+    """Digits behind are cut off, toward zero on both sides."""
+    scaled = as_col(c) * F.lit(10**digits)
+    return F.when(scaled < 0, F.ceil(scaled)).otherwise(F.floor(scaled)) / F.lit(10**digits)
+
+
 def millis_before(c: Column) -> Column:
     return c - F.expr("INTERVAL '0.001' SECOND")
 
@@ -137,10 +155,9 @@ def week_start_sunday(day: Column | str) -> Column:
 
 def initcap_any(text: Column | str) -> Column:
     """Capitalise after any non-alphanumeric character, not only after blanks."""
-    pieces = F.regexp_extract_all(F.lower(as_col(text)), F.lit(r"([a-z0-9]+|[^a-z0-9]+)"), F.lit(1))
-    return F.array_join(
-        F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 20))), ""
-    )
+    pieces = F.regexp_extract_all(F.lower(as_col(text)), F.lit(r"([\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}]+)"), F.lit(1))
+    capital = lambda p: F.concat(F.upper(F.left(p, F.lit(1))), F.substring(p, F.lit(2), F.length(p)))
+    return F.array_join(F.transform(pieces, capital), "")
 
 
 def latest_by(

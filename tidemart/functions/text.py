@@ -16,8 +16,13 @@ FORBIDDEN = r"[?~%/<>&\"”\n\r| ']"
 
 
 def date_range(df: DataFrame, start: Column | str, end: Column | str, out: str) -> DataFrame:
-    """One row per day from start to end, both included."""
-    return df.select("*", F.explode(F.sequence(F.to_date(as_col(start)), F.to_date(as_col(end)))).alias(out))
+    """One row per day from start to end, both included; none where the start is after the end."""
+    return _series(df, F.to_date(as_col(start)), F.to_date(as_col(end)), F.expr("INTERVAL 1 DAY"), out)
+
+
+def _series(df: DataFrame, first: Column, last: Column, step: Column, out: str) -> DataFrame:
+    days = F.when(first <= last, F.sequence(first, F.greatest(first, last), step))
+    return df.select("*", F.explode(days).alias(out))
 
 
 def date_range_zoned(df: DataFrame, start: Column | str, end: Column | str, zone: str, out: str) -> DataFrame:
@@ -28,7 +33,7 @@ def date_range_zoned(df: DataFrame, start: Column | str, end: Column | str, zone
 
 def month_range(df: DataFrame, start: Column | str, end: Column | str, out: str) -> DataFrame:
     first = lambda c: F.to_date(F.date_trunc("month", as_col(c)))
-    return df.select("*", F.explode(F.sequence(first(start), first(end), F.expr("INTERVAL 1 MONTH"))).alias(out))
+    return _series(df, first(start), first(end), F.expr("INTERVAL 1 MONTH"), out)
 
 
 def without_company(c: Column | str) -> Column:
@@ -87,7 +92,7 @@ def country_of_shard(shard: Column | str, home_brands: tuple[str, ...] = ()) ->
 
 
 def corrected_region(df: DataFrame, mapping: DataFrame, state: str, country: str) -> DataFrame:
-    """Replace known wrong (state, country) pairs by their correction; the mapping is a small reference table."""
+    """Replace known wrong (state, country) pairs by their correction, and give all others in upper case."""
     key = lambda c: F.upper(F.trim(F.coalesce(F.col(c), F.lit(""))))
     m = mapping.select(
         F.upper("state").alias("_s"), F.upper("country").alias("_c"), "good_state", "good_country"
@@ -95,8 +100,8 @@ def corrected_region(df: DataFrame, mapping: DataFrame, state: str, country: str
     joined = df.withColumn("_s", key(state)).withColumn("_c", key(country)).join(m, ["_s", "_c"], "left")
     return joined.select(
         *[c for c in df.columns if c not in (state, country)],
-        F.coalesce("good_state", state).alias(state),
-        F.coalesce("good_country", country).alias(country),
+        F.coalesce("good_state", F.upper(F.col(state))).alias(state),
+        F.coalesce("good_country", F.upper(F.col(country))).alias(country),
     )
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import OPEN_END, earliest_by, latest_by, millis_before, ntz, row_hash
+from tidemart.functions.semantics import earliest_by, join_keys, latest_by, millis_before, ntz, OPEN_END, row_hash
 from tidemart.operators.merge import apply_merge
 from tidemart.operators.scan import Scan, key_plan, ordered_scan
 from tidemart.session import reused
@@ -127,6 +127,7 @@ def change_history(
         history,
         closing,
         keys,
+        unique_source=True,
         matched=lambda t, s: {
             "effective_end_datetime": millis_before(s("effective_start_datetime")),
             "is_current": F.lit(False),
@@ -154,7 +155,8 @@ def brand_split(
 ) -> DataFrame:
     """Versions of one company's rows, added where (key, start) is not there yet."""
     mine = history.join(owners.filter(F.col("company_id") == company).select(owner_key), owner_key, "left_semi")
-    absent = mine.join(target, [*keys, "effective_start_datetime"], "left_anti")
+    key = [*keys, "effective_start_datetime"]
+    absent = join_keys(mine, target.select(*key), key, "left_anti")
     return target.unionByName(absent.select(*target.columns))
 
 
@@ -223,37 +225,47 @@ def consolidate_delta(
     )
 
 
+def consolidated_keys(columns: Sequence[str], keys: Sequence[str], by_company: bool = False) -> list[str]:
+    """What tells rows of a consolidated table apart: the source, the company where one table holds several, and the original keys."""
+    own = [f"meta_original_{k}" if f"meta_original_{k}" in columns else k for k in keys]
+    return [*(["data_source_id"] if "data_source_id" in columns else []), *(["company_id"] if by_company else []), *own]
+
+
 def consolidate(
-    target: DataFrame | None, deltas: Sequence[DataFrame], key: str, changed: str
+    target: DataFrame | None, deltas: Sequence[DataFrame], keys: Sequence[str], changed: str, by_company: bool = False
 ) -> DataFrame:
-    """Merge the deltas of all sources; a match is replaced only by a newer source row."""
+    """Merge the deltas of all sources; a match by source and original keys is replaced only by a newer source row."""
     union = reduce(lambda a, b: a.unionByName(b), deltas)
     if target is None:
         return union
     return apply_merge(
         target,
         union,
-        [key],
+        consolidated_keys(target.columns, keys, by_company),
         matched=lambda t, s: {c: s(c) for c in target.columns},
         update_when=lambda t, s: s(changed) > t(changed),
     )
 
 
-def consolidate_history(target: DataFrame, deltas: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Add versions absent by (key, start), then re-end the versions of the touched keys.
+def consolidate_history(
+    target: DataFrame, deltas: Sequence[DataFrame], keys: Sequence[str], by_company: bool = False
+) -> DataFrame:
+    """Add versions absent by (source, original keys, start), then re-end the versions of the touched keys.
 
-    A late version between two known ones repairs both ranges. Keys without news keep their rows untouched.
+    A late version between two known ones repairs both ranges. Keys without news keep their rows untouched; NULL is a key like others,
+    so a repeated delivery adds nothing.
     """
-    keys = list(keys)
+    keys = consolidated_keys(target.columns, keys, by_company)
+    starts = [*keys, "effective_start_datetime"]
     union = earliest_by(
         reduce(lambda a, b: a.unionByName(b), deltas),
-        [*keys, "effective_start_datetime"],
+        starts,
         ["effective_end_datetime"],
     )
-    absent = reused(union.join(target, [*keys, "effective_start_datetime"], "left_anti").select(*target.columns))
+    absent = reused(join_keys(union, target.select(*starts), starts, "left_anti").select(*target.columns))
     touched = absent.select(*keys).distinct()
-    untouched = target.join(touched, keys, "left_anti")
-    affected = target.join(touched, keys, "left_semi").unionByName(absent)
+    untouched = join_keys(target, touched, keys, "left_anti")
+    affected = join_keys(target, touched, keys, "left_semi").unionByName(absent)
     scanned = ordered_scan(
         affected, keys, ["effective_start_datetime"], [Scan("_next", "lead", "effective_start_datetime")]
     )
@@ -268,7 +280,7 @@ def consolidate_history(target: DataFrame, deltas: Sequence[DataFrame], keys: Se
 
 def archive_merge(archive: DataFrame, old: DataFrame, keys: Sequence[str], delta: str) -> DataFrame:
     """Rows of an old archive that are missing by (key, version), appended once; unknown columns become NULL."""
-    absent = old.join(archive, [*keys, delta], "left_anti")
+    absent = join_keys(old, archive.select(*keys, delta), [*keys, delta], "left_anti")
     types = dict(archive.dtypes)
     shaped = absent.select(
         *[F.col(c) if c in absent.columns else F.lit(None).cast(types[c]).alias(c) for c in archive.columns]
@@ -285,7 +297,7 @@ def dedupe_archive(archive: DataFrame, keys: Sequence[str], delta: str) -> DataF
 
 def lake_into_archive(archive: DataFrame, lake: DataFrame, keys: Sequence[str], delta: str) -> DataFrame:
     """Insert-only: versions of the lake table the archive does not hold."""
-    absent = lake.join(archive, [*keys, delta], "left_anti")
+    absent = join_keys(lake, archive.select(*keys, delta), [*keys, delta], "left_anti")
     return archive.unionByName(absent.select(*archive.columns))
 
 
@@ -295,6 +307,7 @@ def close_versions(target: DataFrame, keys_to_close: DataFrame, keys: Sequence[s
         target,
         keys_to_close.select(*keys).distinct(),
         keys,
+        unique_source=True,
         matched=lambda t, s: {"effective_end_datetime": at, "is_current": F.lit(False)},
         update_when=lambda t, s: t("is_current"),
         insert=False,

@@ -83,9 +83,13 @@ def apply_merge(
     missing: Callable[[Callable[[str], Column]], dict[str, Column]] | None = None,
     insert: dict[str, Column] | bool = True,
     strategy: str = "auto",
+    unique_source: bool = False,
 ) -> DataFrame:
     """New target content after a merge on null-safe key equality.
 
+    A second source row for a key is an error, as the merge would be ambiguous; ``unique_source`` says that the caller has made the
+    keys unique already.
+
     ``matched(t, s)`` maps target columns to their new value for updated rows, ``t`` and ``s`` being column getters;
     ``update_when(t, s)`` / ``delete_when(t, s)`` restrict the branches; ``missing(t)`` gives new values for target
     rows without a source row; ``insert`` maps target columns to source expressions for new keys (True: same names,
@@ -93,6 +97,7 @@ def apply_merge(
     """
     columns = target.columns
     types = dict(target.dtypes)
+    source = source if unique_source else require_unique(source, keys)
     t = F.col
     s = lambda c: F.col(f"s_{c}")
     hit = F.col("s__hit").isNotNull()
@@ -195,6 +200,7 @@ def insert_update(
         matched=lambda t, s: {c: s(c) for c in [*names, "meta_row_hash", "meta_update_datetime"]},
         update_when=changed,
         strategy=strategy,
+        unique_source=True,
     )
 
 
@@ -241,6 +247,7 @@ def insert_update_delete(
             "meta_update_datetime": F.when(several & ~t("meta_is_deleted"), run_ts).otherwise(t("meta_update_datetime")),
         },
         strategy=strategy,
+        unique_source=True,
     )
 
 
@@ -288,6 +295,7 @@ def brand_merge(
             matched=lambda t, s, names=names: {
                 c: s(c) for c in [*names, "hvr_is_deleted", "hvr_change_time", "meta_row_source"]
             },
+            unique_source=True,
         )
     return out
 
@@ -321,7 +329,7 @@ def update_from(
     """UPDATE ... FROM: rewrite columns of matching rows; a second match for a row is an error."""
     return apply_merge(
         target,
-        require_unique(source, keys),
+        source,
         keys,
         matched=lambda t, s: {c: f(t, s) for c, f in assignments.items()},
         update_when=where,

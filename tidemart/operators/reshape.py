@@ -8,25 +8,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemart.functions.semantics import join_keys
 from tidemart.operators.scan import Scan, ordered_scan
 from tidemart.session import reused
 
-MAX_PIVOT_COLUMNS = 1000
-
-
 def pivot_sum(df: DataFrame, grain: Sequence[str], column: str, values: Sequence[str], amount: str) -> DataFrame:
     """One summed column per listed value, named by the value; missing combinations are NULL."""
     return df.groupBy(*grain).pivot(column, list(values)).agg(F.sum(amount))
 
 
-def pivot_all(df: DataFrame, grain: Sequence[str], column: str, amount: str) -> DataFrame:
-    """One column per key found, holding the least value. The key list is read first and must stay small."""
-    keys = [r[0] for r in df.select(column).distinct().orderBy(column).limit(MAX_PIVOT_COLUMNS + 1).collect()]
-    if len(keys) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"more than {MAX_PIVOT_COLUMNS} keys to pivot")
+def pivot_all(df: DataFrame, grain: Sequence[str], column: str, amount: str, max_columns: int = 1000) -> DataFrame:
+    """One column per key found, holding the least value.
+
+    The key list is read first. A table cannot have any number of columns: above ``max_columns`` keys the call fails, and
+    ``pivot_map`` gives the same content for any number of keys.
+    """
+    keys = [r[0] for r in df.select(column).distinct().orderBy(column).limit(max_columns + 1).collect()]
+    if len(keys) > max_columns:
+        raise ValueError(f"more than {max_columns} keys to pivot")
     return df.groupBy(*grain).pivot(column, keys).agg(F.min(amount))
 
 
+def pivot_map(df: DataFrame, grain: Sequence[str], column: str, amount: str, out: str) -> DataFrame:
+    """The pivot as one map per grain from key to least value, for any number of keys; a NULL key has no entry."""
+    least = df.filter(F.col(column).isNotNull()).groupBy(*grain, column).agg(F.min(amount).alias("_v"))
+    return least.groupBy(*grain).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(column, "_v")))).alias(out))
+
+
 def unpivot(df: DataFrame, grain: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
     """Columns to rows; NULL values give no row."""
     return df.unpivot(list(grain), list(columns), name, value).filter(F.col(value).isNotNull())
@@ -105,9 +113,7 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, share: floa
     running = ordered_scan(counted, keys, [value], [Scan("_upto", "sum", "_n")], **limits)
     totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"))
     place = (F.col("_all") - 1) * F.lit(share)
-    joined = running.join(totals, list(keys)) if keys else running.withColumn(
-        "_all", F.lit(0) + totals.select("_all").scalar()
-    )
+    joined = join_keys(running, totals, keys)
     below, above = F.floor(place), F.ceil(place)
     covers = lambda at: (F.col("_upto") > at) & (F.col("_upto") - F.col("_n") <= at)
     ends = joined.groupBy(*keys).agg(

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemart.functions.semantics import join_keys
 from tidemart.session import SMALL_BYTES, input_bytes, settle
 
 HOT_ROWS = 5_000_000
@@ -232,4 +233,4 @@ def dense_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str, **limi
     """Dense rank of a value per key, highest first; ranked over distinct values, so a group may be large."""
     values = df.select(*keys, value).distinct().withColumn("_down", -F.col(value))
     ranked = ordered_scan(values, keys, ["_down"], [Scan(out, "number")], **limits).drop("_down")
-    return df.join(ranked, [*keys, value])
+    return join_keys(df, ranked, [*keys, value])

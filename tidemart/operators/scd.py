@@ -92,7 +92,7 @@ def scd_load(
         out["meta_is_current"] = t("meta_is_current") & ~closes
         return out
 
-    kept = apply_merge(target, changes, keys, matched=rewritten, insert=False)
+    kept = apply_merge(target, changes, keys, matched=rewritten, insert=False, unique_source=True)
     return kept.unionByName(inserted)
 
 
@@ -189,6 +189,7 @@ def scd_mart(target: DataFrame | None, stage: DataFrame, spec: ScdSpec, run_ts:
             target,
             closing,
             keys,
+            unique_source=True,
             matched=lambda t, s: {
                 "effective_end_datetime": millis_before(s("effective_start_datetime")),
                 "is_current": F.lit(False),
@@ -209,6 +210,7 @@ def scd_mart(target: DataFrame | None, stage: DataFrame, spec: ScdSpec, run_ts:
         versions,
         last,
         keys,
+        unique_source=True,
         matched=lambda t, s: {
             **{c: s(c) for c in spec.type_1},
             "meta_type_1_hash": s("meta_type_1_hash"),

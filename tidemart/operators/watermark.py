@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import ntz
+from tidemart.functions.semantics import join_keys, ntz
 from tidemart.functions.text import zoned_instant
 from tidemart.operators.merge import apply_merge
 from tidemart.sources.tables import VersionedTable
@@ -165,13 +165,14 @@ def changed_keys(
 
 
 def adaptive_look_back(last_load: Column, now: Column, source_max: Column) -> Column:
-    """Start of the look-back: 3 h right after a load, three times the age, or the age plus 18 h when it is old.
+    """Start of the look-back, counted back from the last load: 3 h right after it, three times its age, or the age plus 18 h when it is old.
 
-    Never later than the newest row of the source.
+    Everything since 1900 without a load before, and never later than the newest row of the source.
     """
     age = F.timestamp_diff("MINUTE", F.date_trunc("minute", last_load), F.date_trunc("minute", now))
     back = F.when(age < 60, F.lit(-180)).when(age >= 360, -(age + 1080)).otherwise(-3 * age)
-    return F.least(F.timestamp_add("MINUTE", back.cast("int"), now), source_max)
+    since = F.coalesce(F.timestamp_add("MINUTE", back.cast("int"), last_load), ntz(NEVER))
+    return F.least(since, source_max)
 
 
 def look_back(low: Column, part: str, amount: int) -> Column:
@@ -198,7 +199,7 @@ def insert_since_target(
         F.coalesce(F.timestamp_add("MINUTE", F.lit(-look_back_minutes), F.max(ts)), ntz(NEVER))
     ).scalar()
     recent = source.filter(F.col(ts) >= low)
-    return target.unionByName(recent.join(target, list(keys), "left_anti").select(*target.columns))
+    return target.unionByName(join_keys(recent, target.select(*keys), keys, "left_anti").select(*target.columns))
 
 
 def snapshot(snapshots: DataFrame | None, current: DataFrame, day: Column, keep_months: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import boundaries, ratio, row_count
+from tidemart.functions.semantics import boundaries, join_keys, ratio, row_count
 from tidemart.functions.text import month_range
 from tidemart.operators.scan import KeyPlan, Scan, ordered_scan
 from tidemart.session import reused
@@ -38,7 +38,7 @@ def issuance_grid(activity: DataFrame, group: Sequence[str], thru: Column) -> Da
     )
     grid = month_range(issued, "issued_month", thru, "activity_month")
     return (
-        grid.join(wide, [*by, "activity_month"], "left")
+        join_keys(grid, wide, [*by, "activity_month"], "left")
         .fillna(0, lower)
         .withColumn("tenure", boundaries("month", "issued_month", "activity_month") + 1)
     )
@@ -84,7 +84,7 @@ def breakage(
         F.sum("cancelled").alias("cancelled"),
         F.sum("expired").alias("expired"),
     )
-    rated = to_date.join(expected_rates(grid, rate_group, thru, shift), list(rate_group))
+    rated = join_keys(to_date, expected_rates(grid, rate_group, thru, shift), rate_group)
     d = {c: F.col(c).cast("double") for c in ("issued", "redeemed", "cancelled")}
     unredeemed = d["issued"] - d["redeemed"] - d["cancelled"]
     tenure = boundaries("month", F.col("issued_month"), thru) + 1
@@ -130,8 +130,7 @@ def allocate(amounts: DataFrame, weights: DataFrame, on: Sequence[str], amount:
     """Amount of a group spread over its members by their share of the group's weight."""
     totals = weights.groupBy(*on).agg(F.sum(weight).alias("_total"))
     return (
-        weights.join(totals, list(on))
-        .join(amounts.select(*on, F.col(amount).alias("_amount")), list(on))
+        join_keys(join_keys(weights, totals, on), amounts.select(*on, F.col(amount).alias("_amount")), on)
         .select(
             *weights.columns,
             ratio(weight, "_total").alias("share"),
@@ -148,9 +147,8 @@ def roll_forward(moves: Sequence[DataFrame], group: Sequence[str]) -> DataFrame:
     union = reduce(lambda a, b: a.unionByName(b), moves)
     monthly = union.groupBy(*group, "month").agg(F.sum("issued").alias("issued"), F.sum("used").alias("used"))
     span = monthly.groupBy(*group).agg(F.min("month").alias("a"), F.max("month").alias("b"))
-    filled = month_range(span, "a", "b", "month").select(*group, "month").join(
-        monthly, [*group, "month"], "left"
-    ).fillna(0, ["issued", "used"])
+    months = month_range(span, "a", "b", "month").select(*group, "month")
+    filled = join_keys(months, monthly, [*group, "month"], "left").fillna(0, ["issued", "used"])
     net = filled.withColumn("_net", F.col("issued") - F.col("used"))
     closed = ordered_scan(net, list(group), ["month"], [Scan("closing", "sum", "_net")], plan=KeyPlan())
     return closed.select(*group, "month", (F.col("closing") - F.col("_net")).alias("opening"), "issued", "used", "closing")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import earliest_by, ratio, row_count
+from tidemart.functions.semantics import earliest_by, join_keys, ratio, row_count
 from tidemart.operators.merge import evolve, insert_update, rescue
 from tidemart.operators.reshape import flatten_object
 from tidemart.operators.scd import mart_upsert
@@ -74,7 +74,7 @@ def line_ratios(lines: DataFrame, order: str, amount: str, out: str) -> DataFram
     """Line amount as a share of its order; a free order splits evenly."""
     totals = lines.groupBy(order).agg(F.sum(amount).alias("_total"), row_count().alias("_n"))
     share = F.when(F.col("_total") == 0, F.lit(1.0) / F.col("_n")).otherwise(ratio(amount, "_total"))
-    return lines.join(totals, order).withColumn(out, share).drop("_total", "_n")
+    return join_keys(lines, totals, [order]).withColumn(out, share).drop("_total", "_n")
 
 
 def return_lines(

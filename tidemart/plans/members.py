@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import OPEN_END, boundaries, latest_by, millis_before, ntz, ratio, row_count
+from tidemart.functions.semantics import boundaries, join_keys, latest_by, millis_before, ntz, OPEN_END, ratio, row_count
 from tidemart.operators.joins import effective_lookup
 from tidemart.operators.scan import KeyPlan, Scan, key_tiles, ordered_scan
 from tidemart.session import reused
@@ -139,7 +139,7 @@ def period_counts(intervals: DataFrame, start: str, end: str, dims: Sequence[str
     )
     span = moves.groupBy(*dims).agg(F.date_add(F.min("day"), -1).alias("a"), F.max("day").alias("b"))
     days = span.select(*dims, F.explode(F.sequence("a", "b")).alias("day"))
-    filled = days.join(moves, [*dims, "day"], "left").fillna(0, ["step"])
+    filled = join_keys(days, moves, [*dims, "day"], "left").fillna(0, ["step"])
     bop = ordered_scan(filled, list(dims), ["day"], [Scan("bop", "sum", "step")], plan=KeyPlan())
     ends = ordered_scan(bop, list(dims), ["day"], [Scan("_next", "lead", "bop")], plan=KeyPlan())
     return ends.select(*dims, "day", "bop", F.coalesce("_next", "bop").alias("eop"))
@@ -173,7 +173,7 @@ def lifetime_to_date(
         month_of(F.min(moment)).alias("cohort_month"), F.sum(amount).alias("value")
     )
     cohort = per_customer.groupBy("cohort_month", *dims).agg(row_count().alias("customers"), F.sum("value").alias("value"))
-    return cohort.join(spend, ["cohort_month", *dims], "left").select(
+    return join_keys(cohort, spend, ["cohort_month", *dims], "left").select(
         "cohort_month",
         *dims,
         "customers",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import ratio, week_start_sunday
+from tidemart.functions.semantics import join_keys, ratio, week_start_sunday
 from tidemart.functions.text import date_range
 from tidemart.operators.joins import effective_lookup
 from tidemart.operators.scan import KeyPlan, Scan, ordered_scan
@@ -90,7 +90,7 @@ def kpi_base(daily: DataFrame, dims: Sequence[str], day: str, measures: Sequence
     span = daily.agg(F.struct(F.min(day).alias("a"), F.max(day).alias("b"))).scalar()
     units = daily.select(*dims).distinct().withColumn("_s", span)
     grid = units.select(*dims, F.explode(F.sequence(F.col("_s.a"), F.col("_s.b"))).alias(day))
-    filled = grid.join(daily, [*dims, day], "left").fillna(0, list(measures))
+    filled = join_keys(grid, daily, [*dims, day], "left").fillna(0, list(measures))
     filled = filled.withColumn("month", F.to_date(F.date_trunc("month", day)))
     return ordered_scan(filled, [*dims, "month"], [day], [Scan(f"{m}_mtd", "sum", m) for m in measures], plan=KeyPlan())
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import latest_by
+from tidemart.functions.semantics import join_keys, latest_by
 from tidemart.operators.scan import Scan, dense_ranks, global_tiles, ordered_scan
 
 
@@ -33,7 +33,7 @@ def combination_label(flags: dict[str, Column]) -> Column:
 def preferred_member(df: DataFrame, group: Sequence[str], preference: Sequence[Column], pick: str, out: str) -> DataFrame:
     """Member of each group that comes first in the preference order, on every row of the group."""
     best = df.groupBy(*group).agg(F.min_by(pick, F.struct(*preference)).alias(out))
-    return df.join(best, list(group))
+    return join_keys(df, best, group)
 
 
 def group_list(df: DataFrame, group: Sequence[str], member: str, out: str) -> DataFrame:
@@ -41,7 +41,7 @@ def group_list(df: DataFrame, group: Sequence[str], member: str, out: str) -> Da
     listed = df.select(*group, member).distinct().groupBy(*group).agg(
         F.array_join(F.array_sort(F.collect_list(member)), ", ").alias(out)
     )
-    return df.join(listed, list(group))
+    return join_keys(df, listed, group)
 
 
 def top_k_other(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import earliest_by, latest_by, least_strict, millis_before, ntz, ratio, row_count
+from tidemart.functions.semantics import earliest_by, join_keys, latest_by, least_strict, millis_before, ntz, ratio, row_count
 from tidemart.operators.reshape import exact_percentile
 from tidemart.operators.scan import Scan, ordered_scan
 from tidemart.session import reused
@@ -34,7 +34,7 @@ def day_grid(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
 def stock_status(stock: DataFrame, style: str, size: str, day: str, quantity: str, core: Sequence[str]) -> DataFrame:
     """Per style and day: sizes, sizes in stock, sold out, core size broken; a day without a row counts as 0."""
     grid = day_grid(stock, [style, size], day)
-    filled = grid.join(stock, [style, size, day], "left").fillna(0, [quantity])
+    filled = join_keys(grid, stock, [style, size, day], "left").fillna(0, [quantity])
     has = F.col(quantity) > 0
     is_core = F.col(size).isin(list(core))
     return (
@@ -85,7 +85,7 @@ def trailing(df: DataFrame, keys: Sequence[str], day: str, measures: Sequence[st
 def bottom_threshold(df: DataFrame, group: Sequence[str], value: str, share: float = 0.15) -> DataFrame:
     """Members with their group's low percentile of positive values and a flag when they are under it."""
     edge = exact_percentile(df.filter(F.col(value) > 0), list(group), value, share, "threshold")
-    return df.join(edge, list(group), "left").withColumn(
+    return join_keys(df, edge, group, "left").withColumn(
         "under_threshold", F.coalesce(F.col(value) < F.col("threshold"), F.lit(False))
     )
 
@@ -95,10 +95,10 @@ def percent_rank_of(df: DataFrame, group: Sequence[str], value: str, out: str) -
     counted = reused(df.groupBy(*group, value).agg(row_count().alias("_n")))
     running = ordered_scan(counted, list(group), [value], [Scan("_upto", "sum", "_n")])
     totals = counted.groupBy(*group).agg(F.sum("_n").alias("_all"))
-    ranked = running.join(totals, list(group)).select(
+    ranked = join_keys(running, totals, group).select(
         *group, value, F.coalesce(ratio(F.col("_upto") - F.col("_n"), F.col("_all") - 1), F.lit(0.0)).alias(out)
     )
-    return df.join(ranked, [*group, value], "left")
+    return join_keys(df, ranked, [*group, value], "left")
 
 
 def earliest_of(dates: Sequence[str]) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import boundaries, latest_by, ratio
+from tidemart.functions.semantics import boundaries, join_keys, latest_by, ratio
 from tidemart.operators.reshape import exact_percentile, first_match
 from tidemart.operators.scan import KeyPlan, Scan, dense_ranks, ordered_scan
 
@@ -208,7 +208,7 @@ def split_by_share(df: DataFrame, shares: DataFrame, on: Sequence[str], share: s
 def cost_share(df: DataFrame, group: Sequence[str], cost: str, out: str) -> DataFrame:
     """Cost of a line as a share of its group."""
     totals = df.groupBy(*group).agg(F.sum(cost).alias("_total"))
-    return df.join(totals, list(group)).withColumn(out, ratio(cost, "_total")).drop("_total")
+    return join_keys(df, totals, group).withColumn(out, ratio(cost, "_total")).drop("_total")
 
 
 def repaired_increments(posts: DataFrame, post: str, day: str, metric: str) -> DataFrame:
@@ -216,7 +216,7 @@ def repaired_increments(posts: DataFrame, post: str, day: str, metric: str) -> D
     daily = posts.groupBy(post, day).agg(F.max(metric).alias("raw"))
     span = daily.groupBy(post).agg(F.min(day).alias("a"), F.max(day).alias("b"))
     days = span.select(post, F.explode(F.sequence("a", "b")).alias(day))
-    grid = days.join(daily, [post, day], "left").withColumn("_v", F.nullif("raw", F.lit(0)))
+    grid = join_keys(days, daily, [post, day], "left").withColumn("_v", F.nullif("raw", F.lit(0)))
     plan = KeyPlan()  # a post has one row per calendar day
     filled = ordered_scan(grid, [post], [day], [Scan("_last", "fill", "_v")], plan=plan)
     level = filled.withColumn("cumulative", F.coalesce("_last", F.lit(0)))
@@ -229,18 +229,14 @@ def repaired_increments(posts: DataFrame, post: str, day: str, metric: str) -> D
 
 def impact_weights(periods: DataFrame, group: Sequence[str], metrics: Sequence[str], sigmas: int = 3) -> DataFrame:
     """Mean of each metric per group after values above mean + 3 sigma were replaced by the median."""
-    bounds = periods.groupBy(*group).agg(
-        *[(F.avg(m) + sigmas * F.stddev(m)).alias(f"_upper_{m}") for m in metrics]
-    )
-    for m in metrics:
-        bounds = bounds.join(exact_percentile(periods, group, m, 0.5, f"_median_{m}"), list(group), "left")
-    joined = periods.join(bounds, list(group))
-    return joined.groupBy(*group).agg(
-        *[
-            F.avg(F.when(F.col(m) > F.col(f"_upper_{m}"), F.col(f"_median_{m}")).otherwise(F.col(m))).alias(m)
-            for m in metrics
-        ]
-    )
+    values = periods.select(*group, *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(list(group), list(metrics), "_metric", "_value")
+    by = [*group, "_metric"]
+    upper = values.groupBy(*by).agg((F.avg("_value") + sigmas * F.stddev("_value")).alias("_upper"))
+    medians = exact_percentile(values, by, "_value", 0.5, "_median")
+    joined = join_keys(join_keys(values, upper, by), medians, by, "left")
+    tamed = F.when(F.col("_value") > F.col("_upper"), F.col("_median")).otherwise(F.col("_value"))
+    return joined.groupBy(*group).pivot("_metric", list(metrics)).agg(F.avg(tamed))
+
 
 
 def calibrated(rates: DataFrame, rate: str, sigmas: int = 3, around_mean: bool = False) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Mutable tables as numbered directories of immutable Parquet files.
+"""Mutable tables: numbered directories of immutable Parquet files, or buckets that merges rewrite one by one.
 
 A version counts once Spark's own ``_SUCCESS`` marker is there, so a failed job never becomes visible and earlier
 versions stay readable. One writer per table.
@@ -6,9 +6,13 @@ versions stay readable. One writer per table.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemart.session import settle
 
 
 @dataclass(frozen=True)
@@ -45,3 +49,72 @@ class VersionedTable:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path}/v={number}")
         return number
+
+    def drop_old(self, keep: int) -> None:
+        """Delete all but the newest ``keep`` versions; no reader may still hold one of them."""
+        for number in self.versions()[: -max(1, keep)]:
+            _delete(self.spark, f"{self.path}/v={number}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+BUCKET = "_bucket"
+
+
+@dataclass(frozen=True)
+class BucketedTable:
+    """A merge target as Parquet, partitioned by a hash of its key: a merge reads and rewrites only the buckets its source touches.
+
+    Spark's dynamic partition overwrite stages the new files and swaps them in when the job commits; files of other buckets stay. One
+    writer per table. The number of buckets is fixed when the table is made: it bounds both the list of touched buckets and the
+    size of what a small source rewrites.
+    """
+
+    spark: SparkSession
+    path: str
+    keys: Sequence[str]
+    buckets: int = 64
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def exists(self) -> bool:
+        """A dynamic overwrite moves bucket folders in on commit, and writes no marker of its own."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return fs.exists(root) and any(s.getPath().getName().startswith(f"{BUCKET}=") for s in fs.listStatus(root))
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path).drop(BUCKET)
+
+    def _write(self, df: DataFrame) -> None:
+        placed = df.withColumn(BUCKET, self.bucket()).repartition(BUCKET)
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path)
+
+    def merge(
+        self, source: DataFrame, apply: Callable[[DataFrame | None, DataFrame], DataFrame], deletes: bool = False
+    ) -> list[int]:
+        """Replace the touched buckets by ``apply(their rows, source)``; gives the numbers of these buckets.
+
+        ``deletes``: the merge may remove rows. A bucket left without rows writes no file, so its folder has to go.
+        """
+        if not self.exists():
+            self._write(apply(None, source))
+            return list(range(self.buckets))
+        touched = sorted(r[0] for r in source.select(self.bucket()).distinct().collect())  # at most ``buckets`` numbers
+        if not touched:
+            return []
+        part = self.spark.read.parquet(self.path).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        new = apply(part, source)
+        if deletes:
+            new = settle(new)
+            filled = {r[0] for r in new.select(self.bucket()).distinct().collect()}
+            self._write(new)
+            for number in set(touched) - filled:
+                _delete(self.spark, f"{self.path}/{BUCKET}={number}")
+        else:
+            self._write(new)
+        return touched

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.operators.merge import insert_update
-from tidemart.sources.tables import VersionedTable
+from tidemart.sources.tables import BucketedTable, VersionedTable
 
 
 def ingest_json(spark: SparkSession, folder: str, target: str, checkpoint: str) -> StreamingQuery:
@@ -31,7 +31,7 @@ def ingest_json(spark: SparkSession, folder: str, target: str, checkpoint: str)
 
 def merge_stream(
     stream: DataFrame,
-    table: VersionedTable,
+    table: BucketedTable,
     keys: Sequence[str],
     delta_cols: Sequence[str],
     checkpoint: str,
@@ -39,12 +39,14 @@ def merge_stream(
     select: Callable[[DataFrame], DataFrame] = lambda df: df,
     tie: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Micro-batches merged into a table. Repeating a batch changes nothing, since a merge needs a newer version."""
+    """Micro-batches merged into a table, each rewriting the buckets of its keys only.
+
+    Repeating a batch changes nothing, since a merge needs a newer version.
+    """
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        target = table.read() if table.exists() else None
         now = F.lit(run_ts).cast("timestamp_ntz")
-        table.publish(insert_update(target, select(batch), keys, delta_cols, now, tie))
+        table.merge(select(batch), lambda target, source: insert_update(target, source, keys, delta_cols, now, tie))
 
     return (
         stream.writeStream.foreachBatch(merge)

@@ -8,7 +8,7 @@ from tidemart.functions.semantics import row_count
 from tidemart.sources import export as E
 from tidemart.sources import extract as X
 from tidemart.sources import files as L
-from tidemart.sources.tables import VersionedTable
+from tidemart.sources.tables import BucketedTable, VersionedTable
 from tidemart.streaming import jobs as ST
 from tidemart.workload.base import money, query, when
 
@@ -115,7 +115,7 @@ def _(t):
     src, ckpt = t.scratch("l12-in"), t.scratch("l12-ckpt")
     t.events.select("event_id", "user_id", "ts").repartition(4).write.parquet(src)
     stream = t.spark.readStream.schema("event_id long, user_id long, ts timestamp_ntz").option("maxFilesPerTrigger", 2).parquet(src)
-    table = VersionedTable(t.spark, t.scratch("l12-table"))
+    table = BucketedTable(t.spark, t.scratch("l12-table"), ["user_id"], buckets=8)
     ST.merge_stream(stream, table, ["user_id"], ["ts"], ckpt, NOW).awaitTermination()
     return table.read().select("user_id", "event_id", "ts")
 

@@ -317,34 +317,48 @@ def _consolidated_deltas(t, low):
     ]
 
 
-@query("m15_consolidate", f"SELECT source_id::BIGINT AS source_id, company::BIGINT AS company, k::BIGINT AS k, original, (balance + CASE WHEN chg > TIMESTAMP '2024-01-01 20:00:00' THEN 1 ELSE 0 END)::DOUBLE AS balance FROM ({_M15_SRC}) WHERE k IS NOT NULL")
+@query("m15_consolidate", f"SELECT source_id::BIGINT AS source_id, company::BIGINT AS company, k::BIGINT AS k, original, (balance + CASE WHEN chg > TIMESTAMP '2024-01-01 20:00:00' THEN 1 ELSE 0 END)::DOUBLE AS balance FROM ({_M15_SRC}) UNION ALL SELECT source_id + 1, company, k, original, 0 FROM ({_M15_SRC})")
 def _(t):
-    first = t.stored(H.consolidate(None, _consolidated_deltas(t, when(LOW)), "c_custkey", "chg"), "consolidated")
-    # A second delivery is newer only for the customers that changed after 20:00.
+    first = t.stored(H.consolidate(None, _consolidated_deltas(t, when(LOW)), ["c_custkey"], "chg"), "consolidated")
+    # Every key stands once more under another source, with rows of its own; key 0 has no tagged key at all.
+    twins = first.withColumn("data_source_id", F.col("data_source_id") + 1).withColumn("balance", F.lit(0).cast("decimal(18,2)"))
+    both = t.stored(H.consolidate(first, [twins], ["c_custkey"], "chg"), "consolidated-twins")
+    # A second delivery is newer only for the customers that changed after 20:00; repeating it changes nothing.
     newer = F.col("chg") > when("2024-01-01 20:00:00")
     again = first.withColumn("balance", (F.col("balance") + 1).cast("decimal(18,2)")).withColumn(
         "chg", F.when(newer, F.timestamp_add("DAY", F.lit(1), F.col("chg"))).otherwise(F.col("chg"))
     )
-    out = H.consolidate(first.filter("c_custkey IS NOT NULL"), [again.filter("c_custkey IS NOT NULL")], "c_custkey", "chg")
+    once = t.stored(H.consolidate(both, [again], ["c_custkey"], "chg"), "consolidated-once")
+    out = H.consolidate(once, [again], ["c_custkey"], "chg")
     return out.select(F.col("data_source_id").alias("source_id"), F.col("company_id").alias("company"), F.col("c_custkey").alias("k"), F.col("meta_original_c_custkey").alias("original"), "balance")
 
 
-@query("m16_consolidated_history", f"SELECT o_custkey, o_orderdate::VARCHAR AS start_at, COALESCE(LEAD(o_orderdate) OVER w - INTERVAL 1 MILLISECOND, TIMESTAMP '9999-12-31')::VARCHAR AS end_at, LEAD(o_orderdate) OVER w IS NULL AS is_current FROM {_SQL_ORDER_HIST} WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate)")
+_M16_KEYS = f"""(SELECT src AS data_source_id, CASE WHEN o_custkey % 5 = 0 THEN NULL WHEN o_custkey % 5 = 1 THEN 0 ELSE o_custkey END AS original, o_orderdate FROM {_SQL_ORDER_HIST} CROSS JOIN (VALUES (1), (2)) v(src))"""
+
+
+@query("m16_consolidated_history", f"SELECT data_source_id::BIGINT AS data_source_id, original AS meta_original_o_custkey, o_orderdate::VARCHAR AS start_at, COALESCE(LEAD(o_orderdate) OVER w - INTERVAL 1 MILLISECOND, TIMESTAMP '9999-12-31')::VARCHAR AS end_at, LEAD(o_orderdate) OVER w IS NULL AS is_current FROM (SELECT DISTINCT * FROM {_M16_KEYS}) WINDOW w AS (PARTITION BY data_source_id, original ORDER BY o_orderdate)")
 def _(t):
-    v = _order_history(t).select("o_custkey", "effective_start_datetime")
+    # Two sources with the same keys; many rows have the key NULL or 0, which are keys of a source like others.
+    k = F.when(F.col("o_custkey") % 5 == 0, F.lit(None)).when(F.col("o_custkey") % 5 == 1, F.lit(0)).otherwise(F.col("o_custkey")).cast("long")
+    v = _order_history(t).select(k.alias("meta_original_o_custkey"), "effective_start_datetime").distinct()
+    v = v.withColumn("data_source_id", F.explode(F.array(F.lit(1), F.lit(2))))
     late = F.col("effective_start_datetime").between(when("1997-01-01"), when("1999-06-30"))
-    scanned = ordered_scan(v.filter(~late), ["o_custkey"], ["effective_start_datetime"], [Scan("n", "lead", "effective_start_datetime")])
+    scanned = ordered_scan(v.filter(~late), ["data_source_id", "meta_original_o_custkey"], ["effective_start_datetime"], [Scan("n", "lead", "effective_start_datetime")])
     ended = lambda df, nxt: df.withColumn("effective_end_datetime", F.coalesce(S.millis_before(nxt), when("9999-12-31"))).withColumn("is_current", nxt.isNull())
     target = ended(scanned, F.col("n")).drop("n")
     delta = ended(v.filter(late), F.lit(None).cast("timestamp_ntz"))
     out = H.consolidate_history(target, [delta], ["o_custkey"])
+    out = H.consolidate_history(out, [delta], ["o_custkey"])  # delivered twice
     return out.withColumnsRenamed({"effective_start_datetime": "start_at", "effective_end_datetime": "end_at"})
 
 
-@query("m17_adaptive_look_back", "SELECT o_orderkey, LEAST(CASE WHEN age < 60 THEN now - INTERVAL 180 MINUTE WHEN age >= 360 THEN now - INTERVAL 1 MINUTE * (age + 1080) ELSE now - INTERVAL 1 MINUTE * (3 * age) END, now - INTERVAL 200 MINUTE)::VARCHAR AS low FROM (SELECT o_orderkey, o_custkey AS age, o_orderdate + INTERVAL 1 MINUTE * o_custkey AS now FROM orders)")
+@query("m17_adaptive_look_back", "SELECT o_orderkey, LEAST(COALESCE(CASE WHEN age < 60 THEN loaded - INTERVAL 180 MINUTE WHEN age >= 360 THEN loaded - INTERVAL 1 MINUTE * (age + 1080) ELSE loaded - INTERVAL 1 MINUTE * (3 * age) END, TIMESTAMP '1900-01-01'), newest)::VARCHAR AS low FROM (SELECT o_orderkey, o_custkey % 600 AS age, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate END AS loaded, o_orderdate - INTERVAL 1 MINUTE * (o_custkey % 900) AS newest FROM orders)")
 def _(t):
-    now = F.timestamp_add("MINUTE", F.col("o_custkey").cast("int"), F.col("o_orderdate"))
-    return t.orders.select("o_orderkey", adaptive_look_back(F.col("o_orderdate"), now, F.timestamp_add("MINUTE", F.lit(-200), now)).alias("low"))
+    # The last load is up to ten hours ago, or there was none; the source's newest row lies before or after the look-back.
+    o, k = t.orders, F.col("o_custkey").cast("int")
+    loaded = F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderdate"))
+    now, newest = F.timestamp_add("MINUTE", k % 600, F.col("o_orderdate")), F.timestamp_add("MINUTE", -(k % 900), F.col("o_orderdate"))
+    return o.select("o_orderkey", adaptive_look_back(loaded, now, newest).alias("low"))
 
 
 @query("m18_archive_merge", f"SELECT o_orderkey, version::VARCHAR AS version, CASE WHEN version < TIMESTAMP '1998-01-01' THEN 0 ELSE total END::DOUBLE AS total FROM {_SQL_O}")

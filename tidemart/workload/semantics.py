@@ -100,11 +100,11 @@ def _(t):
     return t.events.select("event_id", ((kind == "BIGINT") & k.try_cast("long").isNotNull()).alias("is_integer"))
 
 
-@query("c12_round_abs_trunc_mod", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, ROUND(CAST(l_extendedprice AS DECIMAL(18,2)), 0)::DOUBLE AS r, ABS(-l_linenumber)::BIGINT AS a, TRUNC(l_extendedprice)::DOUBLE AS tr, (l_orderkey % 7)::BIGINT AS m FROM lineitem")
+@query("c12_round_abs_trunc_mod", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, ROUND(CAST(l_extendedprice AS DECIMAL(18,2)), 0)::DOUBLE AS r, ABS(-l_linenumber)::BIGINT AS a, TRUNC(l_extendedprice - 30000)::DOUBLE AS tr, (CASE WHEN l_extendedprice < 30000 THEN CEIL((l_extendedprice::DECIMAL(18,2) - 30000) * 10) ELSE FLOOR((l_extendedprice::DECIMAL(18,2) - 30000) * 10) END / 10)::DOUBLE AS tr1, (l_orderkey % 7)::BIGINT AS m FROM lineitem")
 def _(t):
     return t.lineitem.select(
         "l_orderkey", "l_linenumber", F.round(money("l_extendedprice"), 0).alias("r"),
-        F.abs(-F.col("l_linenumber")).alias("a"), F.floor("l_extendedprice").cast("double").alias("tr"), (F.col("l_orderkey") % 7).alias("m"),
+        F.abs(-F.col("l_linenumber")).alias("a"), S.truncated(F.col("l_extendedprice") - 30000).cast("double").alias("tr"), S.truncated(money("l_extendedprice") - 30000, 1).cast("double").alias("tr1"), (F.col("l_orderkey") % 7).alias("m"),
     )
 
 
@@ -147,9 +147,9 @@ def _(t):
     return t.customer.select("c_custkey", F.md5("c_name").alias("m"), F.sha2("c_name", 256).alias("s"))
 
 
-@query("t01_case_functions", "SELECT p_partkey, lower(p_type) AS lo, upper(p_name) AS up, list_aggregate(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ') AS ic FROM part")
+@query("t01_case_functions", "SELECT p_partkey, lower(p_type) AS lo, upper(p_name) AS up, list_aggregate(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ') AS ic, upper(replace(p_type, 'O', 'é')[1]) || lower(replace(p_type, 'O', 'é')[2:]) || '-' || 'Élan' AS accented FROM part")
 def _(t):
-    return t.part.select("p_partkey", F.lower("p_type").alias("lo"), F.upper("p_name").alias("up"), S.initcap_any("p_name").alias("ic"))
+    return t.part.select("p_partkey", F.lower("p_type").alias("lo"), F.upper("p_name").alias("up"), S.initcap_any("p_name").alias("ic"), S.initcap_any(F.concat(F.replace("p_type", F.lit("O"), F.lit("é")), F.lit("-éLAN"))).alias("accented"))
 
 
 @query("t02_trim", "SELECT c_custkey, ltrim(replace(c_name, 'Customer#', ''), '0') AS l, rtrim(c_name, '0') AS r, trim('  ' || c_mktsegment || ' ') AS b FROM customer")
