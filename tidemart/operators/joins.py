@@ -12,8 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.functions.semantics import join_keys
 from tidemart.operators.scan import Scan, ordered_scan
-from tidemart.session import broadcast_limit, plan_bytes
+from tidemart.session import broadcast_limit, plan_bytes, reused
 
 
 FEW_VERSIONS = 64
@@ -67,6 +68,42 @@ def as_of(
     )
 
 
+def _beside(c: Column, kind: str, step: int) -> Column:
+    """The next moment (``step`` 1) or the one before (-1) in a type's own resolution."""
+    if kind == "date":
+        return F.date_add(c, step)
+    if kind.startswith("timestamp"):
+        return F.timestamp_add("MICROSECOND", F.lit(step), c)
+    return c + F.lit(step).cast(kind)
+
+
+def disjoint_versions(
+    dim: DataFrame, keys: Sequence[str], start: str, end: str, half_open: bool = False, **limits: int
+) -> DataFrame:
+    """Versions of which no two of a key hold the same moment.
+
+    Where ranges overlap, the version that starts last holds (of equal starts the one that ends last); one that it interrupts holds again
+    after it. Ranges without a moment go. One ordered scan finds the keys that have overlaps; usually there are none. Only their
+    versions are cut at each other's bounds, which pairs the bounds of a key with its versions.
+    """
+    kind = dict(dim.dtypes)[start]
+    stop = F.col(end) if half_open else _beside(F.col(end), kind, 1)
+    real = dim.filter(F.col(start) < stop).withColumn("_stop", stop)
+    scanned = ordered_scan(real, keys, [start], [Scan("_upto", "max", "_stop"), Scan("_next", "lead", start)], **limits)
+    overlapping = reused(scanned.filter(F.col("_next") < F.col("_upto")).select(*keys).distinct())
+    if overlapping.isEmpty():
+        return real.drop("_stop")
+    mixed = reused(join_keys(real, overlapping, keys, "left_semi"))
+    bounds = mixed.select(*keys, F.col(start).alias("_at")).union(mixed.select(*keys, F.col("_stop").alias("_at"))).distinct()
+    parts = ordered_scan(bounds, keys, ["_at"], [Scan("_until", "lead", "_at")], **limits).filter("_until IS NOT NULL")
+    held = join_keys(parts, mixed, keys).filter((F.col(start) <= F.col("_at")) & (F.col("_at") < F.col("_stop")))
+    best = held.groupBy(*keys, "_at", "_until").agg(F.max_by(F.struct(*dim.columns), F.struct(start, "_stop")).alias("_row"))
+    last = F.col("_until") if half_open else _beside(F.col("_until"), kind, -1)
+    place = {start: F.col("_at"), end: last}
+    cut = best.select(*[place.get(c, F.col("_row")[c]).alias(c) for c in dim.columns])
+    return join_keys(real, overlapping, keys, "left_anti").drop("_stop").unionByName(cut)
+
+
 def effective_lookup(
     fact: DataFrame,
     dim: DataFrame,
@@ -78,12 +115,16 @@ def effective_lookup(
     half_open: bool = False,
     strategy: str = "auto",
     prefix: str = "",
+    disjoint: bool = False,
 ) -> DataFrame:
-    """Left join to the version valid at ``ts``. Ranges of a key must not overlap.
+    """Left join to the version valid at ``ts``; where several are, to the one that starts last.
 
-    A dimension that fits a broadcast and has few versions per key: equi key plus range predicate. Otherwise the as-of
+    Every fact row comes back once, whichever plan runs: overlaps are resolved before, unless ``disjoint`` states that there are none. A
+    dimension that fits a broadcast and has few versions per key: equi key plus range predicate. Otherwise the as-of
     scan finds the last version started and its end is tested, so no key ever pairs all rows with all versions.
     """
+    if not disjoint:
+        dim = reused(disjoint_versions(dim.select(*dict.fromkeys([*keys, start, end, *carry])), keys, start, end, half_open))
     if strategy == "auto":
         strategy = "scan"
         if plan_bytes(dim) <= broadcast_limit(fact.sparkSession):
@@ -156,8 +197,13 @@ def nearest_in_time(
         # One representative per moment is enough: the lowest id wins a tie.
         points = other.groupBy(*keys, F.col(other_ts).alias("o_ts")).agg(F.min(other_id).alias("o_id"))
         base = own.select(*keys, F.col(own_id).alias("own"), F.col(own_ts).alias("at"))
-        back = as_of(base, points, keys, "at", "o_ts", ["o_id", "o_ts"], prefix="b_", **limits)
-        both = as_of(back, points, keys, "at", "o_ts", ["o_id", "o_ts"], forward=True, prefix="n_", **limits)
+        # One time line serves both directions: points stand before rows of the same moment.
+        line = base.select("*", F.lit(1).alias("_side"), F.lit(None).cast(points.select(F.struct("o_id", "o_ts").alias("p")).schema["p"].dataType).alias("_p"))
+        there = points.select(*keys, F.lit(None).cast(dict(base.dtypes)["own"]).alias("own"), F.col("o_ts").alias("at"), F.lit(0).alias("_side"), F.struct("o_id", "o_ts").alias("_p"))
+        scanned = ordered_scan(line.unionByName(there), keys, ["at", "_side"], [Scan("_b", "fill", "_p"), Scan("_n", "fill_next", "_p")], **limits)
+        both = scanned.filter("_side = 1").select(
+            *keys, "own", "at", F.col("_b.o_id").alias("b_o_id"), F.col("_b.o_ts").alias("b_o_ts"), F.col("_n.o_id").alias("n_o_id"), F.col("_n.o_ts").alias("n_o_ts")
+        )
         gap_b = micros(F.col("at")) - micros(F.col("b_o_ts"))
         gap_n = micros(F.col("n_o_ts")) - micros(F.col("at"))
         limit = F.lit(tolerance_seconds * 1_000_000)

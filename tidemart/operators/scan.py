@@ -192,10 +192,17 @@ def ordered_scan(
     small_bytes: int = SMALL_BYTES,
     plan: KeyPlan | None = None,
 ) -> DataFrame:
-    """Add scan columns over ``keys`` in ascending ``order`` (which should be total within a key)."""
+    """Add scan columns over ``keys`` in ascending ``order`` (which should be total within a key).
+
+    A large input is settled before its keys are counted, so it is computed once, whatever the scan then needs of it.
+    """
     keys, order = list(keys), list(order)
-    plan = plan or key_plan(df, keys, hot_rows, small_bytes)
-    if not plan.keys:
+    if plan is None and input_bytes(df) > small_bytes:
+        df = settle(df)
+        plan = key_plan(df, keys, hot_rows, -1)
+    elif plan is not None and plan.keys:
+        df = settle(df)
+    if plan is None or not plan.keys:
         return _window_all(df, keys, order, scans)
     slices = max(2, plan.rows // hot_rows + 1)
     if not keys:

@@ -16,6 +16,7 @@ def get_session(app: str = "tidemart", master: str | None = None, **conf: str) -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
     )
     if master:
@@ -28,19 +29,39 @@ def get_session(app: str = "tidemart", master: str | None = None, **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (tests, a laptop) gets a folder of its own.
+    Only a local session without that setting (tests, a laptop) gets a folder of its own; on a cluster its lack is an error, since
+    executors would write where others cannot read.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not configured and not (spark.sparkContext.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemart-"))
         current = spark.sparkContext.getCheckpointDir()
     return configured or current
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder for a table that has to be written and read back."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this process has made, once nothing reads them any more; how many there were.
+
+    Checkpoints go by themselves where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on, as in ``get_session``.
+    """
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        where = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return n
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -197,6 +197,29 @@ def _(t):
     return hit.drop("ship_date")
 
 
+# Ranges that overlap and nest: one long version per part, and one per year that lasts one to three years.
+_OVERLAPS = "(SELECT p_partkey AS partkey, TIMESTAMP '1990-01-01' AS s, TIMESTAMP '2000-06-01' AS e, 0 AS v FROM part UNION ALL SELECT p_partkey, make_timestamp(y, 1 + p_partkey % 12, 1, 0, 0, 0), make_timestamp(y + 1 + (p_partkey + y) % 3, 1, 1, 0, 0, 0), y FROM part, range(1994, 2000, 2) r(y))"
+
+
+def _overlapping_versions(t):
+    long = t.part.select(F.col("p_partkey").alias("partkey"), when("1990-01-01").alias("s"), when("2000-06-01").alias("e"), F.lit(0).alias("v"))
+    y = t.part.select(F.col("p_partkey").alias("partkey"), F.explode(F.array(F.lit(1994), F.lit(1996), F.lit(1998))).alias("v"))
+    zero = F.lit(0)
+    begins = F.make_timestamp_ntz(F.col("v"), (F.col("partkey") % 12 + 1).cast("int"), F.lit(1), zero, zero, zero)
+    ends = F.make_timestamp_ntz(F.col("v") + 1 + ((F.col("partkey") + F.col("v")) % 3).cast("int"), F.lit(1), F.lit(1), zero, zero, zero)
+    return long.unionByName(y.select("partkey", begins.alias("s"), ends.alias("e"), "v"))
+
+
+@query("j10_overlapping_ranges", f"SELECT plan, orderkey, linenumber::BIGINT AS linenumber, l.partkey, suppkey, v::BIGINT AS v FROM (VALUES ('range'), ('scan'), ('auto')) p(plan) CROSS JOIN (SELECT orderkey, linenumber, partkey, suppkey, (SELECT arg_max(v, epoch(s)) FROM {_OVERLAPS} o WHERE o.partkey = x.partkey AND ship_date >= s AND ship_date < e) AS v FROM {SQL_LINES} x) l")
+def _(t):
+    lines, versions = t.lines().select("orderkey", "linenumber", "partkey", "suppkey", "ship_date"), _overlapping_versions(t)
+    found = [
+        J.effective_lookup(lines, versions, ["partkey"], "ship_date", "s", "e", ["v"], half_open=True, strategy=plan).withColumn("plan", F.lit(plan))
+        for plan in ("range", "scan", "auto")
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2]).drop("ship_date")
+
+
 @query("j11_day_count_theta", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, (SELECT COUNT(*) FROM generate_series(1, date_diff('day', o_orderdate, l_shipdate)) g(i) WHERE dayofweek(o_orderdate::DATE + i::INT) NOT IN (0, 6))::BIGINT AS work_days FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def _(t):
     from tidemart.plans.logistics import business_days
