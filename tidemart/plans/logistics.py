@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import boundaries, latest_by
+from tidemart.functions.semantics import boundaries, join_keys, latest_by
 
 
 def business_days(start: Column, end: Column) -> Column:
@@ -62,18 +62,26 @@ def split_by_hour(df: DataFrame, start: str, end: str) -> DataFrame:
     return rows.withColumn("seconds", seconds).filter("seconds > 0")
 
 
-def usage_cost(usage: DataFrame, credits: DataFrame, rates: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    """Cost of each usage interval: its share of the seconds of an hour x the hour's credits x the day's rate."""
-    parts = split_by_hour(usage, start, end)
-    per_hour = parts.groupBy("hour").agg(F.sum(F.col("seconds").cast("decimal(24,6)")).alias("hour_seconds"))
-    share = F.col("seconds") / F.col("hour_seconds").cast("double")
-    return (
-        parts.join(per_hour, "hour")
-        .join(credits, "hour")
-        .withColumn("day", F.to_date("hour"))
-        .join(rates, "day")
-        .groupBy(*keys)
-        .agg(F.sum((share * F.col("credits") * F.col("rate")).cast("decimal(24,6)")).alias("cost"))
+def usage_cost(
+    usage: DataFrame, credits: DataFrame, rates: DataFrame, keys: Sequence[str], start: str, end: str,
+    warehouse: str = "warehouse_id", scanned: str = "scanned_bytes",
+) -> DataFrame:
+    """Cost and credits of each usage interval, hour by hour of its warehouse.
+
+    Compute credits of an hour are shared by the seconds in it, acceleration credits by the bytes the interval had scanned per
+    hour of its time; both are priced at the rate of the day the interval began.
+    """
+    parts = split_by_hour(usage.withColumn("day", F.to_date(start)), start, end)
+    length = (F.unix_micros(F.col(end).cast("timestamp")) - F.unix_micros(F.col(start).cast("timestamp"))) / F.lit(1_000_000)
+    parts = parts.withColumn("bytes", (F.col(scanned) * F.col("seconds") / length).cast("decimal(28,6)"))
+    exact = F.col("seconds").cast("decimal(24,6)")
+    per_hour = parts.groupBy(warehouse, "hour").agg(F.sum(exact).alias("hour_seconds"), F.sum("bytes").alias("hour_bytes"))
+    compute = F.col("seconds") / F.col("hour_seconds").cast("double") * F.col("credits")
+    fast = F.coalesce(F.col("bytes").cast("double") / F.nullif(F.col("hour_bytes").cast("double"), F.lit(0.0)), F.lit(0.0)) * F.col("acceleration_credits")
+    total = lambda c, name: F.sum(c.cast("decimal(28,12)")).alias(name)
+    met = join_keys(join_keys(parts, per_hour, [warehouse, "hour"]), credits, [warehouse, "hour"]).join(rates, "day")
+    return met.groupBy(*keys).agg(
+        total(compute * F.col("rate"), "cost"), total(compute, "compute_credits"), total(fast * F.col("rate"), "acceleration_cost"), total(fast, "acceleration_credits_used")
     )
 
 
@@ -95,19 +103,19 @@ def latest_segments(segments: DataFrame, keys: Sequence[str], order: Sequence[st
 
 
 def case_tags(
-    events: DataFrame, case: str, customer: str, label: str, order: Sequence[str], repeats: bool = False
+    events: DataFrame, number: str, case: str, customer: str, label: str, order: Sequence[str], repeats: bool = True
 ) -> DataFrame:
-    """Labels of a case in time order as one text, and the customer of its first event.
+    """Labels of a case number in time order as one text, how many cases share the number, and the customer of the first event.
 
-    By default a label counts at its first place, so a list is bounded by the label vocabulary however many events a
-    case has. ``repeats`` lists a label at every moment it was set; use it where cases are known to be short.
+    A label stands at every moment it was set; the text of a number is as long as its own history. ``repeats=False`` keeps a label's
+    first place only, which bounds the text by the label vocabulary.
     """
     moment = F.struct(*order)
     if repeats:
-        placed = events.select(case, label, moment.alias("m")).distinct()
+        placed = events.select(number, label, moment.alias("m")).distinct()
     else:
-        placed = events.groupBy(case, label).agg(F.min(moment).alias("m"))
+        placed = events.groupBy(number, label).agg(F.min(moment).alias("m"))
     listed = F.array_sort(F.collect_list(F.struct("m", label)))
-    tags = placed.groupBy(case).agg(F.array_join(F.transform(listed, lambda x: x[label]), ", ").alias("tags"))
-    owner = events.groupBy(case).agg(F.min_by(customer, moment).alias(customer))
-    return tags.join(owner, case)
+    tags = placed.groupBy(number).agg(F.array_join(F.transform(listed, lambda x: x[label]), ", ").alias("tags"))
+    owner = events.groupBy(number).agg(F.min_by(customer, moment).alias(customer), F.count_distinct(case).alias("case_count"))
+    return join_keys(tags, owner, [number])

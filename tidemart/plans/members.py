@@ -278,26 +278,44 @@ def billing_cycle_rates(
 
 
 def billing_estimate(
-    attempts: DataFrame, moment: str, ok: str, amount: str, as_of: Column, window_days: int = 5
-) -> DataFrame:
-    """Attempts and successes of a day, the success rate of the days before it, and the expected successes."""
+    attempts: DataFrame, store: str, moment: str, ok: str, retry: str, amount: str, as_of: Column, window_days: int = 5,
+    budget: DataFrame | None = None,
+) -> DataFrame:
+    """Estimate of a day's billing per store: attempts, successes and amount of the day, and the rates of the days before it.
+
+    First-time successes count against all attempts, retry successes against retries, each over ``window_days``; a rate without a
+    success or without an attempt is unknown. ``budget`` (store, budget, forecast) is set beside the amount.
+    """
     day = F.to_date(as_of)
     marked = attempts.withColumn("_d", F.to_date(moment)).filter(
         (F.col("_d") <= day) & (F.col("_d") >= F.date_sub(day, window_days))
     )
-    today = F.col("_d") == day
-    totals = marked.agg(
+    today, good, again = F.col("_d") == day, F.col(ok), F.col(retry)
+    totals = marked.groupBy(store).agg(
         F.count_if(today).alias("attempted"),
-        F.count_if(today & F.col(ok)).alias("succeeded"),
-        F.coalesce(F.sum(F.when(today & F.col(ok), F.col(amount))), F.lit(0)).alias("billed"),
-        F.count_if(~today).alias("prior_attempts"),
-        F.count_if(~today & F.col(ok)).alias("prior_successes"),
+        F.count_if(today & good).alias("succeeded"),
+        F.count_if(today & good & again).alias("retry_successes"),
+        F.coalesce(F.sum(F.when(today & good, F.col(amount))), F.lit(0)).alias("billed"),
+        F.count_if(~today).alias("_all"),
+        F.count_if(~today & good & ~again).alias("_first"),
+        F.count_if(~today & again).alias("_retries"),
+        F.count_if(~today & good & again).alias("_retried"),
     )
-    return totals.select(
-        day.alias("estimate_day"),
-        "attempted",
-        "succeeded",
-        "billed",
-        ratio("prior_successes", "prior_attempts").alias("prior_rate"),
-        F.round(F.col("attempted") * ratio("prior_successes", "prior_attempts"), 4).alias("expected_successes"),
+    rate = lambda n, d: ratio(F.nullif(F.col(n), F.lit(0)), d)
+    out = totals.select(
+        day.alias("estimate_day"), store, "attempted", "succeeded", "retry_successes", "billed",
+        rate("_first", "_all").alias("first_time_success_rate"), rate("_retried", "_retries").alias("retry_success_rate"),
+        F.round(F.col("attempted") * (rate("_first", "_all") + rate("_retried", "_all")), 4).alias("expected_successes"),
+    )
+    if budget is None:
+        return out
+    return join_keys(out, budget.select(store, "budget", "forecast"), [store], "left").withColumns(
+        {"to_budget": ratio("billed", "budget"), "to_forecast": ratio("billed", "forecast")}
     )
+
+
+def append_estimate(estimates: DataFrame | None, new: DataFrame, run_ts: Column) -> DataFrame:
+    """Estimates are kept: each run adds its rows with the moment it was made."""
+    stamped = new.withColumn("estimate_created", run_ts)
+    return stamped if estimates is None else estimates.unionByName(stamped)
+

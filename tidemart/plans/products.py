@@ -45,17 +45,17 @@ def group_list(df: DataFrame, group: Sequence[str], member: str, out: str) -> Da
 
 
 def top_k_other(
-    df: DataFrame, grain: Sequence[str], member: str, amount: str, k: int, separator: str = "|", other: str = "Other Grouping"
+    df: DataFrame, grain: Sequence[str], member: str, amounts: Sequence[str], k: int, separator: str = "|", other: str = "Other Grouping"
 ) -> DataFrame:
-    """Totals of the k best members per grain (ties share a rank), the rest as one row.
+    """All amounts summed over the k best members per grain by the first amount (ties share a rank), the rest as one row.
 
     A member made of a single name, without the separator, keeps its row whatever its rank; an empty name never does.
     """
-    totals = df.groupBy(*grain, member).agg(F.sum(amount).alias("total"))
-    ranked = dense_ranks(totals, grain, "total", "r")
+    totals = df.groupBy(*grain, member).agg(*[F.sum(a).alias(a) for a in amounts])
+    ranked = dense_ranks(totals, grain, amounts[0], "r")
     keep = ((F.col("r") <= k) | ~F.col(member).contains(separator)) & (F.col(member) != "")
     named = ranked.withColumn(member, F.when(keep, F.col(member)).otherwise(F.lit(other)))
-    return named.groupBy(*grain, member).agg(F.sum("total").alias("total"))
+    return named.groupBy(*grain, member).agg(*[F.sum(a).alias(a) for a in amounts])
 
 
 def rfm(orders: DataFrame, customer: str, moment: str, amount: str, as_of: Column, tiles: int = 10) -> DataFrame:

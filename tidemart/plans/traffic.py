@@ -167,30 +167,37 @@ MICROS = 1_000_000
 def platform_spend(
     raw: DataFrame,
     metadata: DataFrame,
-    usd_rates: DataFrame,
+    rates: DataFrame,
     fees: Sequence[tuple[str, str, str, float]],
+    counts: Sequence[str] = ("impressions", "clicks"),
     ad: str = "ad_id",
     day: str = "day",
 ) -> DataFrame:
-    """Spend rows of an ad platform in one shape for all platforms.
+    """Spend of an ad platform, one row per ad and day in one shape for all platforms.
 
-    raw: ad_id, account_id, day, currency, spend_micros, impressions, clicks, conversions 1d/7d/28d click and 1d view.
-    Vendor fees are ``(account pattern, from day, to day, percent)``, first match decides. The running spend per ad
-    includes all rows of the same day.
+    raw: ad, account_id, day, currency, spend_micros and the ``counts``; rates: currency, usd_rate, local_rate (1 where unknown).
+    Vendor fees are ``(account pattern, from day, to day, percent)``, first match decides. Running sums per ad: spend in account
+    currency and USD, each with and without fees, and the counts.
     """
-    units = (F.col("spend_micros") / F.lit(MICROS)).cast("decimal(18,4)")
-    priced = raw.join(usd_rates, ["currency"], "left").withColumns(
-        {"spend_account": units, "spend_usd": (units * F.coalesce("usd_rate", F.lit(1))).cast("decimal(18,4)")}
-    )
+    units = (F.coalesce("spend_micros", F.lit(0)) / F.lit(MICROS)).cast("decimal(18,4)")
+    known = raw.join(rates, ["currency"], "left")
+    in_rate = lambda r: F.sum((units * F.coalesce(r, F.lit(1))).cast("decimal(18,4)"))
+    priced = known.groupBy(ad, "account_id", day).agg(
+        F.sum(units).alias("spend_account"), in_rate("usd_rate").alias("spend_usd"), in_rate("local_rate").alias("spend_local"),
+        *[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in counts],
+    )
     rate = lambda v: F.lit(str(v)).cast("decimal(6,4)")
     percent = rate(0)
     for pattern, low, high, value in reversed(list(fees)):
         hit = F.col("account_id").ilike(pattern) & F.col(day).between(F.lit(low).cast("date"), F.lit(high).cast("date"))
         percent = F.when(hit, rate(value)).otherwise(percent)
-    priced = priced.withColumn("vendor_fee_usd", F.round(F.col("spend_usd") * percent, 4))
-    daily = priced.groupBy(ad, day).agg(F.sum("spend_usd").alias("_spent"))
-    running = ordered_scan(daily, [ad], [day], [Scan("spend_to_date", "sum", "_spent")]).drop("_spent")
-    return priced.join(running, [ad, day]).join(latest_by(metadata, [ad], ["updated_at"]).drop("updated_at"), ad, "left")
+    with_fee = lambda c: (F.col(c) + F.round(F.col(c) * percent, 4)).cast("decimal(28,4)")
+    priced = priced.withColumns({"vendor_fee_usd": F.round(F.col("spend_usd") * percent, 4), "account_with_fees": with_fee("spend_account"), "usd_with_fees": with_fee("spend_usd")})
+    summed = ["spend_account", "spend_usd", "account_with_fees", "usd_with_fees", *counts]
+    # An ad of several accounts has several rows a day; all of them count for the day.
+    daily = priced.groupBy(ad, day).agg(*[F.sum(c).alias(c) for c in summed])
+    running = ordered_scan(daily, [ad], [day], [Scan(f"{c}_to_date", "sum", c) for c in summed]).drop(*summed)
+    return join_keys(priced, running, [ad, day]).join(latest_by(metadata, [ad], ["updated_at"]).drop("updated_at"), ad, "left")
 
 
 def split_by_share(df: DataFrame, shares: DataFrame, on: Sequence[str], share: str, cost: str, counts: Sequence[str]) -> DataFrame:
@@ -257,19 +264,36 @@ def decayed_score(engagement: str, hours: str, exponent: float) -> Column:
 def tiered_ranking(
     tiers: Sequence[tuple[int, DataFrame]], member: str, engagement: str, hours: str, exponent: float,
     incumbents: DataFrame | None = None, places: int | None = None,
+    collaborators: DataFrame | None = None, activity: DataFrame | None = None, most_collaborators: int | None = None,
+    left_out: dict[int, DataFrame] | None = None,
 ) -> DataFrame:
     """Members ranked tier by tier on engagement decayed by age; a member counts in its first tier only.
 
-    ``incumbents`` (member, ranking_score) keep their place ahead of all tiers. ``places`` is the size of the report.
+    ``collaborators`` come first (tier -1), at most so many of them, scored on their ``activity`` or, without any, on engagement 100
+    and 1000 hours. ``incumbents`` (member, ranking_score) keep their place (tier 1) unless they are collaborators. ``left_out``
+    names members that a tier does not take, such as those calibrated lately. ``places`` is the size of the report.
     """
     parts = []
+    score = decayed_score("engagement", "hours", exponent)
+    if collaborators is not None:
+        known = activity.groupBy(member).agg(F.max(engagement).alias("engagement"), F.min(hours).alias("hours"))
+        cast = {n: dict(known.dtypes)[n] for n in ("engagement", "hours")}
+        filled = collaborators.select(member).distinct().join(known, member, "left").withColumns(
+            {"engagement": F.coalesce("engagement", F.lit(100).cast(cast["engagement"])), "hours": F.coalesce("hours", F.lit(1000).cast(cast["hours"]))}
+        )
+        first = filled.select(member, score.alias("ranking_score"), F.lit(-1).alias("tier"))
+        if most_collaborators:
+            first = first.orderBy(F.col("ranking_score").desc(), member).limit(most_collaborators)
+        parts.append(first)
     for tier, df in tiers:
+        if left_out and tier in left_out:
+            df = df.join(left_out[tier].select(member).distinct(), member, "left_anti")
         per = df.groupBy(member).agg(F.max(engagement).alias("engagement"), F.min(hours).alias("hours"))
         parts.append(
-            per.select(member, decayed_score("engagement", "hours", exponent).alias("ranking_score"), F.lit(tier).alias("tier"))
+            per.select(member, score.alias("ranking_score"), F.lit(tier).alias("tier"))
         )
     if incumbents is not None:
-        parts.append(incumbents.select(member, "ranking_score", F.lit(-1).alias("tier")))
+        parts.append(incumbents.select(member, "ranking_score", F.lit(1).alias("tier")))
     every = reduce(lambda a, b: a.unionByName(b), parts)
     single = every.groupBy(member).agg(F.min("tier").alias("tier"), F.min_by("ranking_score", "tier").alias("ranking_score"))
     by_tier = dense_ranks(single, ["tier"], "ranking_score", "tier_rank").withColumn("_down", -F.col("ranking_score"))

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.functions.semantics import join_keys
 from tidemart.operators.merge import delete_where
 
+# Fixed values of the feed: rows and bytes of a part.
 FEED_PART_ROWS = 500_000
+FEED_PART_BYTES = 150 * 1024 * 1024
 
 
 def write_delimited(
@@ -44,14 +48,41 @@ def write_delimited(
     writer.csv(path)
 
 
-def write_feed(df: DataFrame, path: str, part_rows: int = FEED_PART_ROWS) -> None:
-    """Pipe-delimited feed in parts of a bounded row count."""
-    write_delimited(df, path, delimiter="|", part_rows=part_rows)
+def write_feed(
+    df: DataFrame, path: str, name: str = "feed", part_rows: int = FEED_PART_ROWS, part_bytes: int = FEED_PART_BYTES
+) -> list[str]:
+    """Pipe-delimited feed in numbered parts (``name-000.csv`` ...) of bounded rows and bytes; a single part has no number.
+
+    Rows and text size are measured first and dealt evenly, so all parts are written in parallel. Should a part still be
+    too large, the feed is written again in more parts.
+    """
+    size = reduce(lambda a, b: a + b, [F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 1 for c in df.columns])
+    whole = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    parts = max(1, -(-whole.n // part_rows), -(-whole.bytes // part_bytes))
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    while True:
+        write_delimited(df.repartition(parts), path, delimiter="|", part_rows=part_rows)
+        files = sorted((f for f in fs.listStatus(hadoop(path)) if f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName())
+        if all(f.getLen() <= part_bytes for f in files) or parts >= whole.n:
+            break
+        parts *= 2
+    names = [f"{name}.csv"] if len(files) == 1 else [f"{name}-{i:03}.csv" for i in range(len(files))]
+    for f, new in zip(files, names, strict=True):
+        fs.rename(f.getPath(), hadoop(path, new))
+    return names
 
 
 def write_per_key(df: DataFrame, path: str, key: str, part_rows: int = FEED_PART_ROWS) -> None:
-    """Files per batch key. Rows of one key stay spread over tasks, so a large key gives several files."""
-    write_delimited(df, path, partition_by=[key], part_rows=part_rows)
+    """One file per batch key value, in a folder of its own; the key stays a column of the file.
+
+    A key above ``part_rows`` rows is dealt to as many files as it needs, so a large key is never one task.
+    """
+    files = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(part_rows)).alias("_files"))
+    dealt = join_keys(df, files, [key]).withColumn("_part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("_files")))
+    placed = dealt.withColumn("_key", F.col(key)).repartition("_key", "_part").drop("_files", "_part")
+    write_delimited(placed, path, partition_by=["_key"])
 
 
 def backup(df: DataFrame, path: str, fmt: str, where: Column | None = None, delete: bool = False) -> DataFrame:

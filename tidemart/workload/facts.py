@@ -171,12 +171,12 @@ def _(t):
     return fact.groupBy("credit_activity_type", "activity_rank", F.to_date(F.date_trunc("year", "at")).alias("year")).agg(row_count().alias("n"), F.sum("amount").alias("amount"))
 
 
-@query("d66_top_k_other", f"""WITH s AS (SELECT date_trunc('year', order_date)::DATE AS y, CASE WHEN p_size > 45 THEN '' WHEN p_size > 40 THEN p_brand ELSE p_brand || '|' || p_type END AS member, SUM(net) AS v FROM {SQL_SALES} JOIN part ON p_partkey = partkey GROUP BY 1, 2), r AS (SELECT *, DENSE_RANK() OVER (PARTITION BY y ORDER BY v DESC) AS k FROM s)
- SELECT y::VARCHAR AS y, CASE WHEN (k <= 10 OR member NOT LIKE '%|%') AND member <> '' THEN member ELSE 'Other Grouping' END AS member, SUM(v)::DOUBLE AS total FROM r GROUP BY 1, 2""")
+@query("d66_top_k_other", f"""WITH s AS (SELECT CASE WHEN year(order_date) = 1997 THEN NULL ELSE date_trunc('year', order_date)::DATE END AS y, CASE WHEN p_size > 45 THEN '' WHEN p_size > 40 THEN p_brand ELSE p_brand || '|' || p_type END AS member, SUM(net) AS v, SUM(gross) AS g, SUM(qty) AS q FROM {SQL_SALES} JOIN part ON p_partkey = partkey GROUP BY 1, 2), r AS (SELECT *, DENSE_RANK() OVER (PARTITION BY y ORDER BY v DESC) AS k FROM s)
+ SELECT y::VARCHAR AS y, CASE WHEN (k <= 10 OR member NOT LIKE '%|%') AND member <> '' THEN member ELSE 'Other Grouping' END AS member, SUM(v)::DOUBLE AS net, SUM(g)::DOUBLE AS gross, SUM(q)::BIGINT AS qty FROM r GROUP BY 1, 2""")
 def _(t):
-    s = t.sales().join(t.part, F.col("partkey") == F.col("p_partkey")).withColumn("y", F.to_date(F.date_trunc("year", "order_date")))
+    s = t.sales().join(t.part, F.col("partkey") == F.col("p_partkey")).withColumn("y", F.when(F.year("order_date") != 1997, F.to_date(F.date_trunc("year", "order_date"))))
     member = F.when(F.col("p_size") > 45, "").when(F.col("p_size") > 40, F.col("p_brand")).otherwise(F.concat_ws("|", "p_brand", "p_type"))
-    return PR.top_k_other(s.withColumn("member", member), ["y"], "member", "net", 10)
+    return PR.top_k_other(s.withColumn("member", member), ["y"], "member", ["net", "gross", "qty"], 10)
 
 
 @query("d69_reactivation", "WITH c AS (SELECT user_id, MIN(ts) AS c FROM events WHERE event_type = 'error' GROUP BY 1) SELECT c.user_id, c::VARCHAR AS first_cancel, COALESCE(MIN(ts)::VARCHAR, '-') AS next_activation FROM c LEFT JOIN events e ON e.user_id = c.user_id AND event_type = 'signup' AND ts > c GROUP BY 1, 2")

@@ -58,7 +58,7 @@ def _ragged(t, path):
     """One file folder per order status; in status F every urgent order is broken, in P every order."""
     bad = (F.col("o_orderstatus") == "P") | ((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT"))
     key = F.when(bad, F.concat(F.lit("x"), F.col("o_orderkey").cast("string"))).otherwise(F.col("o_orderkey").cast("string"))
-    t.orders.coalesce(1).select(F.concat_ws(",", key, F.col("o_totalprice").cast("string")).alias("value"), "o_orderstatus").write.partitionBy("o_orderstatus").text(path)
+    t.orders.select(F.concat_ws(",", key, F.col("o_totalprice").cast("string")).alias("value"), "o_orderstatus").write.partitionBy("o_orderstatus").text(path)
     return L.read_csv(t.spark, path, "o_orderkey long, o_totalprice double")
 
 
@@ -156,19 +156,30 @@ def _(t):
     return t.spark.read.schema("c_custkey long, c_name string, c_mktsegment string").option("header", "true").option("sep", ";").csv(path)
 
 
-@query("l17_export_parts", "SELECT COUNT(*)::BIGINT AS n, true AS within_part_size FROM lineitem")
+@query("l17_export_parts", "SELECT COUNT(*)::BIGINT AS n, true AS within_part_size, true AS numbered FROM lineitem UNION ALL SELECT COUNT(*), true, false FROM nation")
 def _(t):
-    path = t.scratch("l17")
-    E.write_feed(t.lineitem.select("l_orderkey", "l_partkey", "l_quantity"), path, part_rows=5000)
-    rows = t.spark.read.option("header", "true").option("sep", "|").csv(path).withColumn("f", F.col("_metadata.file_name"))
-    return rows.groupBy("f").agg(row_count().alias("n")).agg(F.sum("n").alias("n"), (F.max("n") <= 5000).alias("within_part_size"))
+    many, one = t.scratch("l17"), t.scratch("l17-one")
+    E.write_feed(t.lineitem.select("l_orderkey", "l_partkey", "l_quantity"), many, "lines", part_rows=20_000, part_bytes=100_000)
+    E.write_feed(t.nation, one, "nations")
 
+    def report(path):
+        rows = t.spark.read.option("header", "true").option("sep", "|").csv(path).select(F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_size").alias("size"))
+        per = rows.groupBy("f").agg(row_count().alias("n"), F.max("size").alias("size"))
+        return per.agg(
+            F.sum("n").alias("n"), (F.max("n") <= 20_000).alias("rows_fit"), (F.max("size") <= 100_000).alias("bytes_fit"), F.bool_and(F.col("f").rlike("-[0-9]{3}.csv$")).alias("numbered")
+        )
 
-@query("l18_file_per_key", "SELECT p_brand, COUNT(*)::BIGINT AS n FROM part GROUP BY 1")
+    both = report(many).unionByName(report(one))
+    return both.select("n", (F.col("rows_fit") & F.col("bytes_fit")).alias("within_part_size"), "numbered")
+
+
+@query("l18_file_per_key", "SELECT p_brand, COUNT(*)::BIGINT AS n, 1::BIGINT AS files FROM part GROUP BY 1")
 def _(t):
     path = t.scratch("l18")
-    E.write_per_key(t.part.select("p_partkey", "p_brand"), path, "p_brand")
-    return t.spark.read.option("header", "true").csv(path).groupBy("p_brand").agg(row_count().alias("n"))
+    E.write_per_key(t.part.select("p_partkey", "p_brand").repartition(4), path, "p_brand")
+    # The key is read from the files, not from the folder names.
+    rows = t.spark.read.option("header", "true").schema("p_partkey long, p_brand string").option("recursiveFileLookup", "true").csv(path)
+    return rows.select("p_brand", F.col("_metadata.file_path").alias("f")).groupBy("p_brand").agg(row_count().alias("n"), F.count_distinct("f").alias("files"))
 
 
 @query("l19_backup_and_delete", "SELECT 'kept' AS place, COUNT(*)::BIGINT AS n FROM orders WHERE (NULLIF(o_orderstatus, 'P') = 'F') IS NOT TRUE UNION ALL SELECT 'saved', COUNT(*) FROM orders WHERE NULLIF(o_orderstatus, 'P') = 'F'")

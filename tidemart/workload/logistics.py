@@ -48,9 +48,10 @@ def _(t):
     return apply_merge(early, late, ["conv_id", "role"], lambda t_, s: {"turn": s("turn")}, update_when=lambda t_, s: s("turn") > t_("turn"))
 
 
-@query("d50_case_tags", """WITH f AS (SELECT user_id, event_type, MIN((ts, event_id)) AS m FROM events GROUP BY 1, 2) SELECT user_id, string_agg(event_type, ', ' ORDER BY m) AS tags, (SELECT event_id FROM events e WHERE e.user_id = f.user_id ORDER BY ts, event_id LIMIT 1) AS owner FROM f GROUP BY 1""")
+@query("d50_case_tags", """WITH f AS (SELECT user_id % 40 AS number, user_id, event_type, (ts, event_id) AS m FROM events WHERE event_type <> 'view') SELECT number, string_agg(event_type, ', ' ORDER BY m) AS tags, COUNT(DISTINCT user_id)::BIGINT AS case_count, arg_min(m[2], m) AS owner FROM f GROUP BY 1""")
 def _(t):
-    return P.case_tags(t.events.withColumn("owner", F.col("event_id")), "user_id", "owner", "event_type", ["ts", "event_id"])
+    e = t.events.filter("event_type <> 'view'").withColumns({"owner": F.col("event_id"), "number": F.col("user_id") % 40})
+    return P.case_tags(e, "number", "user_id", "owner", "event_type", ["ts", "event_id"])
 
 
 @query("d60_realtime_slots", "SELECT time_bucket(INTERVAL 30 MINUTE, ts)::VARCHAR AS slot_start, event_type, COUNT(*)::BIGINT AS n, SUM(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY 1, 2")
@@ -58,14 +59,17 @@ def _(t):
     return slot_totals(t.events.select("ts", "event_type", money("value").alias("v")), "ts", ["event_type"], "v")
 
 
-@query("d65_usage_cost", """WITH u AS (SELECT user_id, ts AS s, ts + INTERVAL 1 SECOND * (value * 60)::BIGINT AS e FROM events WHERE value > 1), h AS (SELECT user_id, unnest(generate_series(date_trunc('hour', s), date_trunc('hour', e), INTERVAL 1 HOUR)) AS h, s, e FROM u),
- p AS (SELECT user_id, h, (epoch_us(LEAST(e, h + INTERVAL 1 HOUR)) - epoch_us(GREATEST(s, h)))::HUGEINT AS us FROM h), q AS (SELECT * FROM p WHERE us > 0), t AS (SELECT h, SUM(us) AS total FROM q GROUP BY 1)
- SELECT user_id, SUM(CAST((us::DOUBLE / total::DOUBLE) * (1 + hour(h)) * (2 + day(h) / 10.0::DOUBLE) AS DECIMAL(24,6)))::DOUBLE AS cost FROM q JOIN t USING (h) GROUP BY 1""")
+@query("d65_usage_cost", """WITH u AS (SELECT event_id, user_id % 7 AS w, (event_id % 50) * 1000 AS b, ts AS s, ts + INTERVAL 1 SECOND * (1 + (value * 60)::BIGINT) AS e FROM events), h AS (SELECT *, unnest(generate_series(date_trunc('hour', s), date_trunc('hour', e), INTERVAL 1 HOUR)) AS h FROM u),
+ p AS (SELECT *, (epoch_us(LEAST(e, h + INTERVAL 1 HOUR)) - epoch_us(GREATEST(s, h)))::HUGEINT AS us FROM h), q AS (SELECT *, CAST(b * (us::DOUBLE / 1000000) / ((epoch_us(e) - epoch_us(s))::DOUBLE / 1000000) AS DECIMAL(28,6)) AS by_ FROM p WHERE us > 0), t AS (SELECT w, h, SUM(us) AS total, SUM(by_) AS all_ FROM q GROUP BY 1, 2),
+ x AS (SELECT event_id, (us::DOUBLE / total::DOUBLE) * (1 + hour(h) + w) AS c, COALESCE(by_::DOUBLE / NULLIF(all_::DOUBLE, 0), 0) * (w + 0.5::DOUBLE) AS f, (2 + day(s) / 10.0::DOUBLE) AS rate FROM q JOIN t USING (w, h))
+ SELECT event_id, ROUND(SUM(CAST(c * rate AS DECIMAL(28,12)))::DOUBLE, 4) AS cost, ROUND(SUM(CAST(c AS DECIMAL(28,12)))::DOUBLE, 4) AS compute_credits, ROUND(SUM(CAST(f * rate AS DECIMAL(28,12)))::DOUBLE, 4) AS acceleration_cost, ROUND(SUM(CAST(f AS DECIMAL(28,12)))::DOUBLE, 4) AS acceleration_credits FROM x GROUP BY 1""")
 def _(t):
-    e = t.events.filter("value > 1")
-    end = F.timestamp_add("SECOND", F.round(F.col("value") * 60).cast("int"), F.col("ts"))
-    usage = e.select("user_id", F.col("ts").alias("s"), end.alias("e"))
-    hours = P.split_by_hour(usage, "s", "e").select("hour").distinct()
-    credits = hours.select("hour", (F.hour("hour") + 1).alias("credits"))
-    rates = hours.select(F.to_date("hour").alias("day")).distinct().withColumn("rate", F.lit(2) + F.dayofmonth("day") / F.lit(10.0))
-    return P.usage_cost(usage, credits, rates, ["user_id"], "s", "e")
+    end = F.timestamp_add("SECOND", F.round(F.col("value") * 60).cast("int") + 1, F.col("ts"))
+    usage = t.events.select("event_id", (F.col("user_id") % 7).alias("warehouse_id"), ((F.col("event_id") % 50) * 1000).alias("scanned_bytes"), F.col("ts").alias("s"), end.alias("e"))
+    hours = P.split_by_hour(usage, "s", "e").select("warehouse_id", "hour").distinct()
+    credits = hours.select("warehouse_id", "hour", (F.hour("hour") + 1 + F.col("warehouse_id")).alias("credits"), (F.col("warehouse_id") + F.lit(0.5)).alias("acceleration_credits"))
+    rates = usage.select(F.to_date("s").alias("day")).distinct().withColumn("rate", F.lit(2) + F.dayofmonth("day") / F.lit(10.0))
+    out = P.usage_cost(usage, credits, rates, ["event_id"], "s", "e")
+    four = lambda c, name: F.round(F.col(c).cast("double"), 4).alias(name)
+    return out.select("event_id", four("cost", "cost"), four("compute_credits", "compute_credits"), four("acceleration_cost", "acceleration_cost"), four("acceleration_credits_used", "acceleration_credits"))
+

@@ -137,9 +137,27 @@ def _(t):
     return P.billing_cycle_rates(members, t.orders, "o_custkey", "o_orderdate", "o_orderstatus", ["F", "O", "P"], 5, ["O", "P"], ["F", "O", "P"], early, ["seg"])
 
 
-@query("d12_billing_estimate", """WITH a AS (SELECT ts::DATE AS d, event_type = 'purchase' AS ok, value::DECIMAL(18,2) AS v FROM events WHERE event_type IN ('purchase', 'error') AND ts::DATE BETWEEN DATE '2024-01-15' AND DATE '2024-01-20')
- SELECT '2024-01-20' AS estimate_day, COUNT(*) FILTER (d = DATE '2024-01-20')::BIGINT AS attempted, COUNT(*) FILTER (d = DATE '2024-01-20' AND ok)::BIGINT AS succeeded, COALESCE(SUM(v) FILTER (d = DATE '2024-01-20' AND ok), 0)::DOUBLE AS billed,
- (COUNT(*) FILTER (d < DATE '2024-01-20' AND ok))::DOUBLE / (COUNT(*) FILTER (d < DATE '2024-01-20'))::DOUBLE AS prior_rate, ROUND(COUNT(*) FILTER (d = DATE '2024-01-20') * ((COUNT(*) FILTER (d < DATE '2024-01-20' AND ok))::DOUBLE / (COUNT(*) FILTER (d < DATE '2024-01-20'))::DOUBLE), 4) AS expected_successes FROM a""")
+def _sql_estimate(d: str) -> str:
+    before, today = f"d < DATE '{d}'", f"d = DATE '{d}'"
+    n = lambda c: f"COUNT(*) FILTER ({c})"
+    first, retried = f"NULLIF({n(before + ' AND ok AND NOT rt')}, 0)::DOUBLE", f"NULLIF({n(before + ' AND ok AND rt')}, 0)::DOUBLE"
+    every, retries = f"NULLIF({n(before)}, 0)::DOUBLE", f"NULLIF({n(before + ' AND rt')}, 0)::DOUBLE"
+    return f"""SELECT '{d}' AS estimate_day, store, {n(today)}::BIGINT AS attempted, {n(today + ' AND ok')}::BIGINT AS succeeded, {n(today + ' AND ok AND rt')}::BIGINT AS retry_successes, COALESCE(SUM(v) FILTER ({today} AND ok), 0)::DOUBLE AS billed,
+ {first} / {every} AS first_time_success_rate, {retried} / {retries} AS retry_success_rate, ROUND({n(today)} * ({first} / {every} + {retried} / {every}), 4) AS expected_successes FROM a WHERE d BETWEEN DATE '{d}' - 5 AND DATE '{d}' GROUP BY store"""
+
+
+@query("d12_billing_estimate", f"""WITH a AS (SELECT ts::DATE AS d, CASE WHEN user_id % 4 < 3 THEN user_id % 4 END AS store, event_type = 'purchase' AS ok, user_id % 3 = 0 AS rt, value::DECIMAL(18,2) AS v FROM events WHERE event_type IN ('purchase', 'error')),
+ x AS ({_sql_estimate('2024-01-20')} UNION ALL {_sql_estimate('2024-01-21')}), b AS (SELECT * FROM (VALUES (0, 1000.0::DOUBLE, 900.0::DOUBLE), (1, 500.0, 0.0), (NULL, 250.0, 300.0)) v(store, budget, forecast))
+ SELECT estimate_day, x.store::BIGINT AS store, attempted, succeeded, retry_successes, billed, first_time_success_rate, retry_success_rate, expected_successes, budget, forecast, ROUND(billed / budget, 8) AS to_budget, ROUND(billed / NULLIF(forecast, 0), 8) AS to_forecast FROM x LEFT JOIN b ON x.store IS NOT DISTINCT FROM b.store""")
 def _(t):
-    tries = t.events.filter("event_type IN ('purchase', 'error')").select("ts", (F.col("event_type") == "purchase").alias("ok"), money("value").alias("v"))
-    return P.billing_estimate(tries, "ts", "ok", "v", F.lit("2024-01-20").cast("date"))
+    store = F.when(F.col("user_id") % 4 < 3, F.col("user_id") % 4)
+    tries = t.events.filter("event_type IN ('purchase', 'error')").select(
+        "ts", store.alias("store"), (F.col("event_type") == "purchase").alias("ok"), (F.col("user_id") % 3 == 0).alias("again"), money("value").alias("v")
+    )
+    plan = t.spark.sql("SELECT * FROM VALUES (0L, 1000D, 900D), (1L, 500D, 0D), (NULL, 250D, 300D) AS v(store, budget, forecast)")
+    out = None
+    for day in ("2024-01-20", "2024-01-21"):
+        new = P.billing_estimate(tries, "store", "ts", "ok", "again", "v", F.lit(day).cast("date"), budget=plan)
+        out = P.append_estimate(out, new, F.lit(day).cast("timestamp_ntz"))
+    return out.drop("estimate_created").withColumns({c: F.round(c, 8) for c in ("to_budget", "to_forecast")})
+

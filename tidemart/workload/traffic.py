@@ -126,20 +126,21 @@ def _(t):
     return P.target_scaffold(j.select("seg", "p"), (F.lit("1995-01-01").cast("date"), F.lit("1995-06-01").cast("date")), targets, ["seg", "p"])
 
 
-@query("d26_platform_spend", f"""WITH r AS (SELECT partkey AS ad_id, p_type AS account_id, ship_date::DATE AS day, CASE WHEN returnflag = 'A' THEN 'EUR' ELSE 'USD' END AS currency, CAST(gross AS DECIMAL(18,4)) AS units, qty, p_name, orderkey, linenumber, suppkey FROM {SQL_LINES} JOIN part ON p_partkey = partkey),
- u AS (SELECT *, CAST(units * CASE WHEN currency = 'EUR' THEN 1.25 ELSE 1.00 END AS DECIMAL(18,4)) AS usd FROM r)
- SELECT ad_id, orderkey, linenumber::BIGINT AS linenumber, suppkey, usd::DOUBLE AS spend_usd, ROUND(usd * CAST(CASE WHEN account_id ILIKE 'promo%' AND day BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' THEN 0.05 WHEN account_id ILIKE '%e' THEN 0.01 ELSE 0 END AS DECIMAL(6,4)), 4)::DOUBLE AS vendor_fee_usd, (SUM(usd) OVER (PARTITION BY ad_id ORDER BY day))::DOUBLE AS spend_to_date, p_name AS ad_name FROM u""")
+@query("d26_platform_spend", f"""WITH r AS (SELECT partkey AS ad_id, p_type AS account_id, ship_date::DATE AS day, CASE WHEN returnflag = 'A' THEN 'EUR' WHEN returnflag = 'R' THEN 'USD' ELSE 'XXX' END AS currency, CAST(gross AS DECIMAL(18,4)) AS units, qty, p_name FROM {SQL_LINES} JOIN part ON p_partkey = partkey),
+ u AS (SELECT ad_id, account_id, day, p_name, SUM(units) AS acc, SUM(CAST(units * CASE WHEN currency = 'EUR' THEN 1.25 ELSE 1.00 END AS DECIMAL(18,4))) AS usd, SUM(CAST(units * CASE WHEN currency = 'USD' THEN 0.80 ELSE 1.00 END AS DECIMAL(18,4))) AS loc, SUM(qty) AS impressions FROM r GROUP BY 1, 2, 3, 4),
+ f AS (SELECT *, CAST(CASE WHEN account_id ILIKE 'promo%' AND day BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' THEN 0.05 WHEN account_id ILIKE '%e' THEN 0.01 ELSE 0 END AS DECIMAL(6,4)) AS p FROM u)
+ SELECT ad_id, account_id, day::VARCHAR AS day, acc::DOUBLE AS spend_account, usd::DOUBLE AS spend_usd, loc::DOUBLE AS spend_local, impressions::BIGINT AS impressions, ROUND(usd * p, 4)::DOUBLE AS vendor_fee_usd, (SUM(acc) OVER w)::DOUBLE AS spend_account_to_date, (SUM(usd) OVER w)::DOUBLE AS spend_usd_to_date, (SUM(acc + ROUND(acc * p, 4)) OVER w)::DOUBLE AS account_with_fees_to_date, (SUM(usd + ROUND(usd * p, 4)) OVER w)::DOUBLE AS usd_with_fees_to_date, (SUM(impressions) OVER w)::BIGINT AS impressions_to_date, p_name AS ad_name FROM f WINDOW w AS (PARTITION BY ad_id ORDER BY day)""")
 def _(t):
     raw = t.lines().join(t.part, F.col("partkey") == F.col("p_partkey")).select(
         F.col("partkey").alias("ad_id"), F.col("p_type").alias("account_id"), F.to_date("ship_date").alias("day"),
-        F.when(F.col("returnflag") == "A", "EUR").otherwise("USD").alias("currency"),
-        (F.col("gross") * P.MICROS).cast("long").alias("spend_micros"), "orderkey", "linenumber", "suppkey",
+        F.when(F.col("returnflag") == "A", "EUR").when(F.col("returnflag") == "R", "USD").otherwise("XXX").alias("currency"),
+        (F.col("gross") * P.MICROS).cast("long").alias("spend_micros"), F.col("qty").alias("impressions"),
     )
-    rates = t.spark.sql("SELECT * FROM VALUES ('EUR', 1.25), ('USD', 1.00) AS v(currency, usd_rate)")
+    rates = t.spark.sql("SELECT * FROM VALUES ('EUR', 1.25, 1.00), ('USD', 1.00, 0.80) AS v(currency, usd_rate, local_rate)")
     names = t.part.select(F.col("p_partkey").alias("ad_id"), F.col("p_name").alias("ad_name"), F.lit(1).alias("updated_at"))
     fees = [("promo%", "1996-01-01", "1999-12-31", 0.05), ("%e", "1990-01-01", "2010-01-01", 0.01)]
-    out = P.platform_spend(raw, names, rates, fees)
-    return out.select("ad_id", "orderkey", "linenumber", "suppkey", "spend_usd", "vendor_fee_usd", "spend_to_date", "ad_name")
+    out = P.platform_spend(raw, names, rates, fees, ["impressions"])
+    return out.drop("account_with_fees", "usd_with_fees")
 
 
 @query("d27_split_by_share", """WITH s AS (SELECT o_orderdate::DATE AS d, CAST((COUNT(*) FILTER (o_orderpriority <> '1-URGENT'))::DOUBLE / COUNT(*)::DOUBLE AS DECIMAL(18,9)) AS share FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
@@ -181,13 +182,18 @@ def _(t):
     return P.calibrated(r, "rate").withColumn("rate", F.round("rate", 8))
 
 
-@query("d30_tiered_ranking", """WITH e AS (SELECT user_id, value, date_diff('hour', ts, TIMESTAMP '2024-02-01') AS h, event_type FROM events),
- a AS (SELECT user_id, 1 AS tier, MAX(value) / (1 + POWER(MIN(h)::DOUBLE, 0.8)) AS score FROM e WHERE event_type = 'purchase' AND value > 80 GROUP BY 1), b AS (SELECT user_id, 2 AS tier, MAX(value) / (1 + POWER(MIN(h)::DOUBLE, 0.8)) AS score FROM e WHERE event_type = 'click' GROUP BY 1),
- i AS (SELECT user_id, -1 AS tier, 99.0::DOUBLE AS score FROM e WHERE value > 400 GROUP BY 1), u AS (SELECT * FROM (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM i) QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY tier) = 1)
- SELECT user_id, tier::BIGINT AS tier, ROUND(score, 8) AS ranking_score, DENSE_RANK() OVER (PARTITION BY tier ORDER BY score DESC)::BIGINT AS tier_rank, ROW_NUMBER() OVER (ORDER BY tier, score DESC, user_id)::BIGINT AS place FROM u QUALIFY place <= 60""")
+@query("d30_tiered_ranking", """WITH e AS (SELECT user_id, value, date_diff('hour', ts, TIMESTAMP '2024-02-01') AS h, event_type FROM events), co AS (SELECT DISTINCT user_id FROM events WHERE user_id % 9 = 0 UNION SELECT 900000 + n_nationkey FROM nation WHERE n_nationkey < 2),
+ m AS (SELECT user_id, MAX(value) AS v, MIN(h) AS h FROM e WHERE event_type = 'view' GROUP BY 1), c AS (SELECT co.user_id, -1 AS tier, COALESCE(v, 100) / (1 + POWER(COALESCE(h, 1000)::DOUBLE, 0.8)) AS score FROM co LEFT JOIN m USING (user_id) ORDER BY score DESC, user_id LIMIT 8),
+ a AS (SELECT user_id, 2 AS tier, MAX(value) / (1 + POWER(MIN(h)::DOUBLE, 0.8)) AS score FROM e WHERE event_type = 'purchase' AND value > 80 AND user_id % 7 <> 3 GROUP BY 1), b AS (SELECT user_id, 3 AS tier, MAX(value) / (1 + POWER(MIN(h)::DOUBLE, 0.8)) AS score FROM e WHERE event_type = 'click' GROUP BY 1),
+ i AS (SELECT user_id, 1 AS tier, 99.0::DOUBLE AS score FROM e WHERE value > 400 GROUP BY 1), u AS (SELECT * FROM (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM i UNION ALL SELECT * FROM c) QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY tier) = 1)
+ SELECT user_id, tier::BIGINT AS tier, ROUND(score, 8) AS ranking_score, DENSE_RANK() OVER (PARTITION BY tier ORDER BY score DESC)::BIGINT AS tier_rank, ROW_NUMBER() OVER (ORDER BY tier, score DESC, user_id)::BIGINT AS place FROM u QUALIFY place <= 100""")
 def _(t):
     e = t.events.select("user_id", "value", "event_type", S.boundaries("hour", F.col("ts"), when("2024-02-01")).alias("h"))
     kept = e.filter("value > 400").select("user_id", F.lit(99.0).alias("ranking_score")).distinct()
-    tiers = [(1, e.filter("event_type = 'purchase' AND value > 80")), (2, e.filter("event_type = 'click'"))]
-    out = P.tiered_ranking(tiers, "user_id", "value", "h", 0.8, kept, 60)
+    tiers = [(2, e.filter("event_type = 'purchase' AND value > 80")), (3, e.filter("event_type = 'click'"))]
+    newcomers = t.nation.filter("n_nationkey < 2").select((F.lit(900000) + F.col("n_nationkey")).cast("long").alias("user_id"))
+    collaborators = e.filter("user_id % 9 = 0").select("user_id").unionByName(newcomers)
+    calibrated = e.filter("user_id % 7 = 3").select("user_id")
+    out = P.tiered_ranking(tiers, "user_id", "value", "h", 0.8, kept, 100, collaborators, e.filter("event_type = 'view'"), 8, {2: calibrated})
     return out.withColumn("ranking_score", F.round("ranking_score", 8))
+
