@@ -8,11 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import earliest_by, join_keys, ratio, row_count
-from tidemart.operators.merge import evolve, insert_update, rescue
-from tidemart.operators.reshape import flatten_object
+from tidemart.functions.semantics import earliest_by, join_keys, latest_by, ratio, row_count
+from tidemart.functions.text import country_of_shard, local_time
+from tidemart.operators.joins import as_of, effective_lookup
+from tidemart.operators.merge import evolve, insert_update, replace_groups, rescue
+from tidemart.operators.reshape import first_match, flatten_object
 from tidemart.operators.scd import mart_upsert
-from tidemart.session import reused, settle
+from tidemart.session import scratch_path, settle
 
 STEPS_PER_CUT = 15
 
@@ -52,20 +54,128 @@ def add_first(details: DataFrame, key: str, order: Sequence[Column | str], colum
     return step
 
 
-def master_status(child_rank: dict[str, int], key: str, master: str, status: str, out: str) -> Callable:
-    """Step: a split master takes the status of the child that ranks first; other rows keep their own."""
+def only(details: DataFrame, keys: DataFrame | None, key: str) -> DataFrame:
+    """Detail rows of the changed keys: details are reduced before anything is computed from them."""
+    return details if keys is None else details.join(keys.select(key).distinct(), key, "left_semi")
+
+
+def master_status(child_rank: dict[str, int], orders: DataFrame, key: str, master: str, status: str, out: str) -> Callable:
+    """Step: a split master takes the status of the child that ranks first; other rows keep their own.
+
+    ``orders`` holds all children, also those that have not changed themselves.
+    """
 
     def step(df: DataFrame) -> DataFrame:
         rank = F.lit(len(child_rank) + 1)
         for value, place in child_rank.items():
             rank = F.when(F.col(status) == value, F.lit(place)).otherwise(rank)
-        children = df.filter(F.col(key) != F.col(master))
+        children = orders.filter(F.col(key) != F.col(master))
         best = children.groupBy(F.col(master).alias("_master")).agg(F.min_by(status, F.struct(rank, F.col(key))).alias("_best"))
         return df.join(best, F.col(key) == F.col("_master"), "left").withColumn(out, F.coalesce("_best", status)).drop("_master", "_best")
 
     return step
 
 
+def add_split(details: DataFrame, key: str, kind: str, amounts: dict[str, str], kinds: Sequence[str]) -> Callable:
+    """Step: amounts per kind as columns ``name_kind``, 0 where there are none; one pass over the details."""
+
+    def step(df: DataFrame) -> DataFrame:
+        sums = details.groupBy(key).agg(
+            *[F.coalesce(F.sum(F.when(F.col(kind) == k, F.col(c))), F.lit(0)).alias(f"{name}_{k}") for name, c in amounts.items() for k in kinds]
+        )
+        return df.join(sums, key, "left").fillna(0, [f"{name}_{k}" for name in amounts for k in kinds])
+
+    return step
+
+
+def add_effective(dim: DataFrame, keys: Sequence[str], ts: str, start: str, end: str, column: str, otherwise) -> Callable:
+    """Step: a value valid at the row's moment (a rate, a price), or a default."""
+
+    def step(df: DataFrame) -> DataFrame:
+        return effective_lookup(df, dim, keys, ts, start, end, [column]).withColumn(column, F.coalesce(column, F.lit(otherwise)))
+
+    return step
+
+
+def add_local(ts: str, zones: dict[str, str], place: str, out: str) -> Callable:
+    """Step: a UTC moment in the local time of its place; the zones are a short list."""
+
+    def step(df: DataFrame) -> DataFrame:
+        local = F.col(ts)
+        for value, zone in zones.items():
+            local = F.when(F.col(place) == value, local_time(ts, zone).cast("timestamp_ntz")).otherwise(local)
+        return df.withColumn(out, local)
+
+    return step
+
+
+def add_activation(activations: DataFrame, member: str, ts: str, at: str) -> Callable:
+    """Step: the member's last activation up to the row's moment, and whether the row is the activation itself."""
+
+    def step(df: DataFrame) -> DataFrame:
+        hit = as_of(df, activations.withColumn("activated_at", F.col(at)), [member], ts, at, ["activated_at"])
+        known = F.when(F.col(member).isNotNull(), F.col("activated_at"))
+        return hit.withColumn("activated_at", known).withColumn("is_activating", F.coalesce(known == F.col(ts), F.lit(False)))
+
+    return step
+
+
+def add_flag(members: DataFrame, key: str, out: str) -> Callable:
+    """Step: whether the key is in a list, such as test customers."""
+
+    def step(df: DataFrame) -> DataFrame:
+        listed = members.select(key).distinct().withColumn(out, F.lit(True))
+        return df.join(listed, key, "left").withColumn(out, F.coalesce(out, F.lit(False)))
+
+    return step
+
+
+def order_fact(
+    keys: DataFrame | None, orders: DataFrame, lines: DataFrame, payments: DataFrame, credits: DataFrame, vat: DataFrame, rates: DataFrame,
+    activations: DataFrame, test_customers: DataFrame, zones: dict[str, str], channels: Sequence[tuple[Column, str]],
+    child_rank: dict[str, int], line_states: Sequence[str], payment_kinds: Sequence[str], credit_kinds: Sequence[str],
+) -> DataFrame:
+    """Orders of the changed keys with everything the order fact holds: status, dates, units, amounts, payments, credits, VAT, USD
+    rate, local time, channel, activation.
+
+    orders: order_id, master_id, customer_id, country, currency, ordered_at, status; lines: order_id, state, units, gross, discount,
+    tax, shipped_at; payments: order_id, kind, amount, paid_at; credits: order_id, kind, amount; vat and rates: country or
+    currency with start_at, end_at and the value.
+    """
+    mine = lambda df: only(df, keys, "order_id")
+    lines, payments, credits = mine(lines), mine(payments), mine(credits)
+    masters = None if keys is None else mine(orders).select("master_id")
+    split = [*[f"units_{s}" for s in line_states]]
+
+    def amounts(df: DataFrame) -> DataFrame:
+        without = lambda c: F.round(F.col(c).cast("double") / (1 + F.col("vat_rate")), 4)
+        paid = reduce(lambda a, b: a + b, [F.col(f"paid_{k}") for k in payment_kinds])
+        return df.withColumns({
+            "units": reduce(lambda a, b: a + b, [F.col(c) for c in split]),
+            "subtotal_without_vat": without("gross"), "discount_without_vat": without("discount"),
+            "paid_total": paid, "cash_gross": paid - F.col("credit_noncash") if "noncash" in credit_kinds else paid,
+            "gross_usd": F.round(F.col("gross").cast("double") * F.col("usd_rate"), 4),
+        })
+
+    steps = [
+        master_status(child_rank, only(orders, masters, "master_id"), "order_id", "master_id", "status", "order_status"),
+        add_totals(lines, "order_id", gross=F.sum("gross"), discount=F.sum("discount"), tax=F.sum("tax"), lines=row_count()),
+        add_split(lines, "order_id", "state", {"units": "units"}, line_states),
+        lambda df: df.join(lines.groupBy("order_id").agg(F.min("shipped_at").alias("first_shipped"), F.max("shipped_at").alias("last_shipped")), "order_id", "left"),
+        add_split(payments, "order_id", "kind", {"paid": "amount"}, payment_kinds),
+        lambda df: df.join(payments.groupBy("order_id").agg(F.min("paid_at").alias("first_paid"), F.max_by("kind", F.struct("amount", "kind")).alias("payment_method")), "order_id", "left"),
+        add_split(credits, "order_id", "kind", {"credit": "amount"}, credit_kinds),
+        add_effective(vat, ["country"], "ordered_at", "start_at", "end_at", "vat_rate", 0.0),
+        add_effective(rates, ["currency"], "ordered_at", "start_at", "end_at", "usd_rate", 1.0),
+        add_local("ordered_at", zones, "country", "ordered_local"),
+        add_activation(activations, "customer_id", "ordered_at", "at"),
+        add_flag(test_customers, "customer_id", "is_test"),
+        amounts,
+        lambda df: first_match(df, channels, "channel", "other"),
+    ]
+    return assemble(keys, orders, "order_id", steps)
+
+
 def load_fact(target: DataFrame | None, delta: DataFrame, key: Sequence[str], run_ts: Column, newer_by: str | None = None) -> DataFrame:
     return mart_upsert(target, delta, key, run_ts, newer_by)
 
@@ -96,6 +206,54 @@ def discount_keys(
     return reduce(lambda a, b: a.unionByName(b), [df.select(key) for df in (changed, deleted, errored)]).distinct()
 
 
+def order_line_fact(keys: DataFrame | None, lines: DataFrame, orders: DataFrame, discounts: DataFrame) -> DataFrame:
+    """Lines of the changed orders: their share of the order, each kind of discount, and the order's payments and credits spread by it.
+
+    lines: order_id, line_id, gross, units; discounts: order_id, line_id, kind, amount; orders: order_id, paid_total, credit_total.
+    """
+    mine = lambda df: only(df, keys, "order_id")
+    base = line_ratios(mine(lines), "order_id", "gross", "line_share")
+    off = mine(discounts).groupBy("order_id", "line_id").agg(F.sum("amount").alias("discount"), F.count_distinct("kind").alias("discount_kinds"))
+    joined = join_keys(base, off, ["order_id", "line_id"], "left").fillna(0, ["discount", "discount_kinds"])
+    joined = join_keys(joined, mine(orders).select("order_id", "paid_total", "credit_total"), ["order_id"], "left")
+    spread = lambda c: F.round(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * F.col("line_share"), 4)
+    return joined.withColumns({"paid_share": spread("paid_total"), "credit_share": spread("credit_total"), "net": F.col("gross") - F.col("discount")})
+
+
+def refund_fact(
+    keys: DataFrame | None, refunds: DataFrame, returns: DataFrame, orders: DataFrame, vat: DataFrame, chargebacks: DataFrame,
+    methods: dict[str, str],
+) -> DataFrame:
+    """Refunds of the changed keys with their return, order, VAT-free amounts, kind of money and chargeback.
+
+    A return that several refunds name belongs to the latest of them. refunds: refund_id, order_id, method, product, shipping, tax,
+    refunded_at; returns: refund_id, return_id, requested_at; orders: order_id, country, ordered_at.
+    """
+    mine = only(refunds, keys, "refund_id")
+    named = latest_by(returns, ["return_id"], ["requested_at", "refund_id"]).select("refund_id", "return_id", "requested_at")
+    first = only(latest_by(named, ["refund_id"], ["requested_at", "return_id"]), keys, "refund_id")
+    joined = join_keys(mine, first, ["refund_id"], "left").join(orders.select("order_id", "country", "ordered_at"), "order_id", "left")
+    rated = effective_lookup(joined, vat, ["country"], "ordered_at", "start_at", "end_at", ["vat_rate"])
+    flagged = add_flag(chargebacks, "order_id", "is_chargeback")(rated)
+    without = lambda c: F.round(F.col(c).cast("double") / (1 + F.coalesce("vat_rate", F.lit(0.0))), 4)
+    kind = F.lit("Unknown")
+    for method, name in methods.items():
+        kind = F.when(F.lower(F.col("method")) == method, F.lit(name)).otherwise(kind)
+    return flagged.withColumns({
+        "return_id": F.coalesce("return_id", F.lit(-1)), "requested_at": F.coalesce("requested_at", "refunded_at"), "payment_kind": kind,
+        "product_without_vat": without("product"), "shipping_without_vat": without("shipping"),
+        "total_without_vat": F.round(without("product") + without("shipping"), 4),
+    })
+
+
+def load_credit_events(target: DataFrame | None, kinds: dict[str, DataFrame], columns: Sequence[str], changed: DataFrame | None, key: str) -> DataFrame:
+    """The event fact after a run: all events of the changed credits are computed anew and replace the old ones."""
+    events = credit_events({name: only(df, changed, key) for name, df in kinds.items()}, columns)
+    if target is None:
+        return events
+    return replace_groups(target, changed.select(key), [key]).unionByName(events.select(*target.columns))
+
+
 def credit_events(kinds: dict[str, DataFrame], columns: Sequence[str]) -> DataFrame:
     """Issue, redemption, cancellation and expiry rows as one event fact, numbered kinds in the given order."""
     parts = [
@@ -114,18 +272,27 @@ def event_tables(
     received: str,
     run_ts: Column,
     known: dict[str, DataFrame] | None = None,
+    shard: str | None = None,
+    home_brands: tuple[str, ...] = (),
 ) -> dict[str, DataFrame]:
     """Raw event documents as one typed table per event.
 
     Copies of a message are reduced to the first received. Each event's document is flattened, declared columns are
     cast, the rest goes to the rescue column; new columns extend a known table, and rows merge by message id and place
-    in the exploded list.
+    in the exploded list. ``shard`` names the column with the source's shard, which tells the country. The reduced stream is
+    written once, partitioned by event, so each table reads its own part only.
     """
-    unique = reused(earliest_by(raw, [message_id], [received]))
+    if shard:
+        raw = raw.withColumn("country", country_of_shard(shard, home_brands)).drop(shard)
+    path = scratch_path(raw.sparkSession, "events")
+    earliest_by(raw, [message_id], [received]).write.partitionBy(event).parquet(path)
+    unique = raw.sparkSession.read.schema(raw.schema).parquet(path)
     out = {}
     for name, types in declared.items():
         flat = flatten_object(unique.filter(F.col(event) == name).drop(event), body, position="item_position")
         fixed = {message_id: dict(raw.dtypes)[message_id], "item_position": "int", received: dict(raw.dtypes)[received]}
+        if shard:
+            fixed["country"] = "string"
         typed = rescue(flat, {**fixed, **types})
         keys = [message_id, "item_position"]
         table = (known or {}).get(name)
