@@ -349,10 +349,10 @@ def _(t):
     return flat.groupBy("k", "event_type").agg(row_count().alias("n"))
 
 
-@query("v05_attribute_history", "SELECT user_id, " + ", ".join(f"COALESCE(arg_max(event_id, (ts, event_id)) FILTER (event_type = '{k}'), -1)::BIGINT AS \"{k}\"" for k in ("click", "view", "signup")) + " FROM events WHERE event_type IN ('click', 'view', 'signup') GROUP BY 1")
+@query("v05_attribute_history", "SELECT user_id, " + ", ".join(f"COALESCE(arg_max(event_id, (ts, event_id)) FILTER (event_type = '{k}'), -1)::BIGINT AS \"{k}\"" for k in ("click", "view", "signup", "purchase", "error")) + " FROM events GROUP BY 1")
 def _(t):
-    kinds = ["click", "view", "signup"]
-    wide = t.events.filter(F.col("event_type").isin(kinds)).groupBy("user_id").pivot("event_type", kinds).agg(F.max_by("event_id", F.struct("ts", "event_id")))
+    kinds = ["click", "view", "signup", "purchase", "error"]
+    wide = t.events.groupBy("user_id").pivot("event_type", kinds).agg(F.max_by("event_id", F.struct("ts", "event_id")))
     return wide.fillna(-1, kinds)
 
 

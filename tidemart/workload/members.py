@@ -64,9 +64,8 @@ _TL = "(SELECT user_id, event_type AS state, ts AS s, COALESCE(LEAD(ts) OVER (PA
  SELECT state, day::DATE::VARCHAR AS day, bop::BIGINT AS bop, COALESCE(LEAD(bop) OVER (PARTITION BY state ORDER BY day), bop)::BIGINT AS eop FROM c""")
 def _(t):
     active = _timeline(t).filter(F.col("state").isin(*ACTIVE))
-    counts = P.period_counts(active, "start_at", "end_at", ["state"])
     # The calendar starts the day before the first begin-of-day count, which is the day of the first event.
-    return counts.filter(F.col("day") >= F.lit("2024-01-01").cast("date"))
+    return P.period_counts(active, "start_at", "end_at", ["state"])
 
 
 @query("d05_lifetime_monthly", f"""WITH cm AS ({_CM}), f AS (SELECT o_custkey, MIN(m) AS cohort FROM cm GROUP BY 1),

@@ -76,7 +76,7 @@ def _parts(t):
     return t.part.select("p_partkey", "p_type", "p_size", money("p_retailprice").alias("price"))
 
 
-@query("m02_insert_update_delete", f"SELECT p_partkey, (CASE WHEN p_size > 10 AND p_type = 'PROMO' THEN p_retailprice::DECIMAL(18,2) + 1 ELSE p_retailprice::DECIMAL(18,2) END)::DOUBLE AS price, p_size <= 5 AS is_deleted, CASE WHEN p_size <= 10 OR p_type = 'PROMO' THEN '{T2}' ELSE '{T1}' END AS first_change FROM part")
+@query("m02_insert_update_delete", f"SELECT p_partkey, (CASE WHEN p_size > 10 AND p_type = 'PROMO' THEN p_retailprice::DECIMAL(18,2) + 1 ELSE p_retailprice::DECIMAL(18,2) END)::DOUBLE AS price, p_size <= 5 AS is_deleted, CASE WHEN p_size <= 5 THEN '{T2}' WHEN p_size <= 10 THEN '2002-01-03 00:00:00' WHEN p_type = 'PROMO' THEN '{T2}' ELSE '{T1}' END AS last_change FROM part")
 def _(t):
     p, now1, now2, now3 = _parts(t), when(T1), when(T2), when("2002-01-03 00:00:00")
     raised = p.withColumn("price", F.when(F.col("p_type") == "PROMO", F.col("price") + 1).otherwise(F.col("price")).cast("decimal(18,2)"))
@@ -86,8 +86,7 @@ def _(t):
     third_feed = raised.filter("p_size > 10").unionByName(p.filter("p_size BETWEEN 6 AND 10"))
     third = t.stored(M.insert_update_delete(second, third_feed, ["p_partkey"], now3), "parts")
     fourth = M.insert_update_delete(third, third_feed.orderBy("p_partkey").limit(1), ["p_partkey"], now3)
-    changed = F.when((F.col("p_size") <= 10) | (F.col("p_type") == "PROMO"), T2).otherwise(F.lit(T1))
-    return fourth.select("p_partkey", "price", F.col("meta_is_deleted").alias("is_deleted"), changed.alias("first_change"))
+    return fourth.select("p_partkey", "price", F.col("meta_is_deleted").alias("is_deleted"), F.col("meta_update_datetime").alias("last_change"))
 
 
 _LINE_KEY = "PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC"
@@ -452,11 +451,11 @@ def _(t):
     return out.withColumnsRenamed({"effective_start": "start_at", "effective_end": "end_at"})
 
 
-@query("m28_schema_evolution", "SELECT event_id, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN value ELSE NULL END IS NULL AS no_value, COALESCE(CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN event_type END, '-') AS new_column FROM events")
+@query("m28_schema_evolution", "SELECT event_id, COALESCE(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN value END, -1) AS value, COALESCE(CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN event_type END, '-') AS new_column FROM events")
 def _(t):
     old = t.events.filter(F.col("ts") < when(CUT)).select("event_id", "value")
     new = t.events.filter(F.col("ts") >= when(CUT)).select("event_id", F.col("event_type").alias("new_column"))
-    return M.evolve(old, new).select("event_id", F.col("value").isNull().alias("no_value"), F.coalesce("new_column", F.lit("-")).alias("new_column"))
+    return M.evolve(old, new).select("event_id", F.coalesce("value", F.lit(-1.0)).alias("value"), F.coalesce("new_column", F.lit("-")).alias("new_column"))
 
 
 @query("m28_rescued_data", "SELECT c_custkey, COALESCE(TRY_CAST(CASE WHEN c_acctbal < 0 THEN 'owing' ELSE c_nationkey::VARCHAR END AS BIGINT), -1) AS nation, CASE WHEN c_acctbal < 0 THEN '{\"nation\":\"owing\",\"segment\":\"' ELSE '{\"segment\":\"' END || c_mktsegment || '\"}' AS rescued FROM customer")

@@ -13,11 +13,11 @@ from tidemart.workload.base import SQL_SALES, money, query, when
 
 
 # Rates: one currency per order status, re-fixed every quarter from the number of orders.
-_RATES = """(SELECT o_orderstatus AS cur, date_trunc('quarter', o_orderdate) AS q, CAST(1 + COUNT(*) / 1000 AS DECIMAL(18,6)) AS r FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01' GROUP BY 1, 2)"""
+_RATES = """(SELECT o_orderstatus AS cur, date_trunc('quarter', o_orderdate) AS q, CAST(1 + COUNT(*) / 1000 AS DECIMAL(18,6)) AS r FROM orders GROUP BY 1, 2)"""
 
 
 def _rates(t):
-    q = t.orders.filter(F.col("o_orderdate") < when("2001-01-01")).groupBy(
+    q = t.orders.groupBy(
         F.col("o_orderstatus").alias("src_currency"), F.date_trunc("quarter", "o_orderdate").cast("timestamp_ntz").alias("rate_datetime")
     )
     return q.agg((F.lit(1) + row_count() / F.lit(1000)).cast("decimal(18,6)").alias("exchange_rate"))
@@ -31,18 +31,19 @@ def _(t):
     return P.convert(amounts, ranged, "currency", "o_orderdate", "amount", "converted").select("o_orderkey", "converted")
 
 
-@query("d42_monthly_rates", f"""WITH d AS (SELECT cur, unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '1999-12-31', INTERVAL 1 DAY)) AS day FROM (SELECT DISTINCT cur FROM {_RATES})), x AS (SELECT d.cur, day, arg_max(r, q) AS r FROM d JOIN {_RATES} v ON v.cur = d.cur AND q <= day GROUP BY 1, 2)
+@query("d42_monthly_rates", f"""WITH d AS (SELECT cur, unnest(generate_series(a::DATE::TIMESTAMP, b::DATE::TIMESTAMP, INTERVAL 1 DAY)) AS day FROM (SELECT DISTINCT cur FROM {_RATES}) CROSS JOIN (SELECT MIN(q) AS a, MAX(q) AS b FROM {_RATES})), x AS (SELECT d.cur, day, arg_max(r, q) AS r FROM d JOIN {_RATES} v ON v.cur = d.cur AND q <= day GROUP BY 1, 2)
  SELECT cur AS src_currency, date_trunc('month', day)::DATE::VARCHAR AS month, SUM(r)::DOUBLE / COUNT(*)::DOUBLE AS average_rate FROM x GROUP BY 1, 2""")
 def _(t):
-    d = lambda text: F.lit(text).cast("date")
-    return P.monthly_average(P.daily_rates(_rates(t), "src_currency", d("1996-01-01"), d("1999-12-31")), "src_currency")
+    rates = _rates(t)
+    first, last = (rates.agg(F.to_date(f("rate_datetime"))).scalar() for f in (F.min, F.max))
+    return P.monthly_average(P.daily_rates(rates, "src_currency", first, last), "src_currency")
 
 
-_MON = "(SELECT o_orderpriority AS bu, date_trunc('month', o_orderdate)::DATE AS m, SUM(o_totalprice::DECIMAL(18,2)) AS v, COUNT(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-01' GROUP BY 1, 2)"
+_MON = "(SELECT o_orderpriority AS bu, date_trunc('month', o_orderdate)::DATE AS m, SUM(o_totalprice::DECIMAL(18,2)) AS v, COUNT(*) AS n FROM orders GROUP BY 1, 2)"
 
 
 def _monthly(t):
-    return t.orders.filter(F.col("o_orderdate") < when("2001-07-01")).groupBy(F.col("o_orderpriority").alias("bu"), month_of("o_orderdate").alias("m")).agg(F.sum(money("o_totalprice")).alias("v"), row_count().alias("n"))
+    return t.orders.groupBy(F.col("o_orderpriority").alias("bu"), month_of("o_orderdate").alias("m")).agg(F.sum(money("o_totalprice")).alias("v"), row_count().alias("n"))
 
 
 @query("d43_carry_forward", f"""WITH a AS (SELECT * FROM {_MON} UNION ALL SELECT bu, (m + INTERVAL 1 MONTH * k)::DATE, v, n FROM {_MON}, generate_series(1, 3) g(k) WHERE m = (SELECT MAX(m) FROM {_MON}))

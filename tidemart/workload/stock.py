@@ -17,13 +17,13 @@ def _(t):
 
 
 # Brands as styles, part types as sizes, monthly net moves of quantity as stock on the first of the month.
-_STOCK = f"(SELECT p_brand AS style, p_type AS size, date_trunc('month', ship_date)::DATE AS day, SUM(CASE returnflag WHEN 'R' THEN qty ELSE -qty END) AS q FROM {SQL_LINES} JOIN part ON p_partkey = partkey WHERE ship_date < TIMESTAMP '1996-01-01' GROUP BY 1, 2, 3)"
+_STOCK = f"(SELECT p_brand AS style, p_type AS size, date_trunc('month', ship_date)::DATE AS day, SUM(CASE returnflag WHEN 'R' THEN qty ELSE -qty END) AS q FROM {SQL_LINES} JOIN part ON p_partkey = partkey GROUP BY 1, 2, 3)"
 _STATUS = f"""(WITH g AS (SELECT style, size, unnest(generate_series(MIN(day)::TIMESTAMP, MAX(day)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM {_STOCK} GROUP BY 1, 2), f AS (SELECT g.style, g.size, g.day, COALESCE(q, 0) AS q FROM g LEFT JOIN {_STOCK} USING (style, size, day))
  SELECT style, day, COUNT(*) AS sizes, COUNT(*) FILTER (q > 0) AS sizes_in_stock, COUNT(*) FILTER (size IN ('MEDIUM', 'LARGE') AND q <= 0) AS core_out FROM f GROUP BY 1, 2)"""
 
 
 def _stock(t):
-    moved = t.lines().filter(F.col("ship_date") < when("1996-01-01")).join(t.part, F.col("partkey") == F.col("p_partkey"))
+    moved = t.lines().join(t.part, F.col("partkey") == F.col("p_partkey"))
     signed = F.when(F.col("returnflag") == "R", F.col("qty")).otherwise(-F.col("qty"))
     return moved.groupBy(F.col("p_brand").alias("style"), F.col("p_type").alias("size"), F.to_date(F.date_trunc("month", "ship_date")).alias("day")).agg(F.sum(signed).alias("q"))
 

@@ -118,12 +118,12 @@ def _(t):
     return P.missing_today(e, "user_id", "day", "v", F.lit("2024-01-20").cast("date"))
 
 
-@query("d25_target_scaffold", """SELECT seg, p, m::DATE::VARCHAR AS month, COALESCE(n, 0)::BIGINT AS target FROM (SELECT DISTINCT c_mktsegment AS seg, o_orderpriority AS p FROM orders JOIN customer ON c_custkey = o_custkey) CROSS JOIN generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '1995-06-01', INTERVAL 1 MONTH) x(m)
+@query("d25_target_scaffold", """SELECT seg, p, m::DATE::VARCHAR AS month, COALESCE(n, 0)::BIGINT AS target FROM (SELECT DISTINCT c_mktsegment AS seg, o_orderpriority AS p FROM orders JOIN customer ON c_custkey = o_custkey) CROSS JOIN (SELECT unnest(generate_series(date_trunc('month', MIN(o_orderdate)), date_trunc('month', MAX(o_orderdate)), INTERVAL 1 MONTH)) AS m FROM orders) x
  LEFT JOIN (SELECT c_mktsegment AS seg, o_orderpriority AS p, date_trunc('month', o_orderdate) AS m, COUNT(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_totalprice > 400000 GROUP BY 1, 2, 3) USING (seg, p, m)""")
 def _(t):
     j = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_mktsegment").alias("seg"), F.col("o_orderpriority").alias("p"), month_of("o_orderdate").alias("month"), "o_totalprice")
     targets = j.filter("o_totalprice > 400000").groupBy("seg", "p", "month").agg(row_count().alias("target"))
-    return P.target_scaffold(j.select("seg", "p"), (F.lit("1995-01-01").cast("date"), F.lit("1995-06-01").cast("date")), targets, ["seg", "p"])
+    return P.target_scaffold(j.select("seg", "p"), (j.agg(F.min("month")).scalar(), j.agg(F.max("month")).scalar()), targets, ["seg", "p"])
 
 
 @query("d26_platform_spend", f"""WITH r AS (SELECT partkey AS ad_id, p_type AS account_id, ship_date::DATE AS day, CASE WHEN returnflag = 'A' THEN 'EUR' WHEN returnflag = 'R' THEN 'USD' ELSE 'XXX' END AS currency, CAST(gross AS DECIMAL(18,4)) AS units, qty, p_name FROM {SQL_LINES} JOIN part ON p_partkey = partkey),
@@ -158,17 +158,18 @@ def _(t):
     return P.cost_share(t.lines(), ["orderkey"], "gross", "share").select("orderkey", "linenumber", "partkey", "suppkey", "share")
 
 
-@query("d28_repaired_increments", f"""WITH d AS (SELECT partkey, date_trunc('month', ship_date)::DATE AS m, SUM(qty) AS q, COUNT(*) FILTER (returnflag = 'R') AS r FROM {SQL_LINES} GROUP BY 1, 2),
- c AS (SELECT partkey, m, CASE WHEN r > 0 THEN 0 ELSE SUM(q) OVER (PARTITION BY partkey ORDER BY m) END AS raw FROM d), k AS (SELECT partkey, m - INTERVAL 0 DAY AS day, raw FROM c WHERE m < DATE '1995-07-01'),
- g AS (SELECT partkey, unnest(generate_series(MIN(day), MAX(day), INTERVAL 1 DAY)) AS day FROM k GROUP BY 1), f AS (SELECT g.partkey, g.day, COALESCE(raw, 0) AS raw, COALESCE(LAST_VALUE(NULLIF(raw, 0) IGNORE NULLS) OVER (PARTITION BY g.partkey ORDER BY g.day ROWS UNBOUNDED PRECEDING), 0) AS cumulative FROM g LEFT JOIN k ON k.partkey = g.partkey AND k.day = g.day)
- SELECT partkey, day::DATE::VARCHAR AS day, raw::BIGINT AS raw, cumulative::BIGINT AS cumulative, (cumulative - COALESCE(LAG(cumulative) OVER (PARTITION BY partkey ORDER BY day), 0))::BIGINT AS increment FROM f""")
+@query("d28_repaired_increments", f"""WITH d AS (SELECT p_brand || ' ' || p_type AS post, date_trunc('month', ship_date)::DATE AS m, SUM(qty) AS q, COUNT(*) FILTER (returnflag = 'R') % 3 AS r FROM {SQL_LINES} JOIN part ON p_partkey = partkey GROUP BY 1, 2),
+ c AS (SELECT post, m, CASE WHEN r > 0 THEN 0 ELSE SUM(q) OVER (PARTITION BY post ORDER BY m) END AS raw FROM d), k AS (SELECT post, m - INTERVAL 0 DAY AS day, raw FROM c),
+ g AS (SELECT post, unnest(generate_series(MIN(day), MAX(day), INTERVAL 1 DAY)) AS day FROM k GROUP BY 1), f AS (SELECT g.post, g.day, COALESCE(raw, 0) AS raw, COALESCE(LAST_VALUE(NULLIF(raw, 0) IGNORE NULLS) OVER (PARTITION BY g.post ORDER BY g.day ROWS UNBOUNDED PRECEDING), 0) AS cumulative FROM g LEFT JOIN k ON k.post = g.post AND k.day = g.day)
+ SELECT post, day::DATE::VARCHAR AS day, raw::BIGINT AS raw, cumulative::BIGINT AS cumulative, (cumulative - COALESCE(LAG(cumulative) OVER (PARTITION BY post ORDER BY day), 0))::BIGINT AS increment FROM f""")
 def _(t):
     from tidemart.operators.scan import Scan, ordered_scan
 
-    monthly = t.lines().groupBy("partkey", month_of("ship_date").alias("day")).agg(F.sum("qty").alias("q"), F.count_if(F.col("returnflag") == "R").alias("r"))
-    summed = ordered_scan(monthly, ["partkey"], ["day"], [Scan("upto", "sum", "q")])
-    posts = summed.filter(F.col("day") < F.lit("1995-07-01").cast("date")).select("partkey", "day", F.when(F.col("r") > 0, F.lit(0)).otherwise(F.col("upto")).alias("metric"))
-    return P.repaired_increments(posts, "partkey", "day", "metric")
+    sold = t.lines().join(t.part, F.col("partkey") == F.col("p_partkey")).withColumn("post", F.concat_ws(" ", "p_brand", "p_type"))
+    monthly = sold.groupBy("post", month_of("ship_date").alias("day")).agg(F.sum("qty").alias("q"), (F.count_if(F.col("returnflag") == "R") % 3).alias("r"))
+    summed = ordered_scan(monthly, ["post"], ["day"], [Scan("upto", "sum", "q")])
+    posts = summed.select("post", "day", F.when(F.col("r") > 0, F.lit(0)).otherwise(F.col("upto")).alias("metric"))
+    return P.repaired_increments(posts, "post", "day", "metric")
 
 
 @query("d29_impact_weights", """WITH x AS (SELECT event_type, value, AVG(value) OVER p + 3 * STDDEV_SAMP(value) OVER p AS hi, MEDIAN(value) OVER p AS md FROM events WINDOW p AS (PARTITION BY event_type)) SELECT event_type, ROUND(AVG(CASE WHEN value > hi THEN md ELSE value END), 6) AS value FROM x GROUP BY 1""")
