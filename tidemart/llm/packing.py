@@ -28,7 +28,7 @@ WINDOW = 4096
 END_ID = 2
 SHARD_TOKENS = 1_000_000
 K1, B = 1.2, 0.75
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 500_000
 LETTERS_THEN_SIGNS = re.compile(r"([^\W\d_]+)([.,!?;:*#$%&|]+)\Z").match
 GAP = "\x01"  # a character that the tokenizer keeps as one token of its own between words
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

@@ -35,7 +35,7 @@ ROUNDS = 60
 PRIOR = 0.85
 WRONG, CAUGHT = 0.002, 0.3
 KEEP_FROM = 0.35  # in doubt a document stays
-CACHED = 400_000
+CACHED = 200_000
 
 
 def measures(text: Column, words: Column) -> dict[str, Column]:

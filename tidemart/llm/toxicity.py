@@ -36,7 +36,7 @@ MAX_FEATURES = 20_000
 MIN_TOXIC = 3
 PREFIXES = (4, 5, 6)
 STRONGEST = 3
-CACHED = 300_000
+CACHED = 200_000
 
 # The letters of the language model, and what signs may stand for.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœ"
@@ -183,7 +183,7 @@ def restored(token: str, model: np.ndarray) -> list[str]:
     return decode(bare, model).split()
 
 
-def spaced_out(text: str, size: np.ndarray | None = None) -> list[str]:
+def spaced_out(text: str) -> list[str]:
     """Runs of three single characters or more, as tokens with blanks inside."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     gaps = np.diff(np.flatnonzero((raw == 32) | (raw == 10) | (raw == 9)), prepend=-1, append=len(raw))
@@ -193,13 +193,16 @@ def spaced_out(text: str, size: np.ndarray | None = None) -> list[str]:
     return [m.group() for m in SPACED.finditer(text)]
 
 
+def tokens_of(text: str | None) -> set[str]:
+    """The distinct tokens of a text in lower case, runs of single characters as one more token each."""
+    lower = (text or "").lower()
+    return {*lower.split(), *spaced_out(lower)}
+
+
 def words_of(text: str | None, model: np.ndarray, cache: dict[str, list[str]]) -> set[str]:
     """The distinct words of the restored text."""
-    if not text:
-        return set()
-    lower = text.lower()
     out: set[str] = set()
-    for token in [*set(lower.split()), *spaced_out(lower)]:
+    for token in tokens_of(text):
         found = cache.get(token)
         if found is None:
             if len(cache) > CACHED:
@@ -223,17 +226,22 @@ class Model:
     slope: float = 0.0
     base: float = -2.0
 
-    def evidence_of(self, words: Iterable[str], cache: dict[str, float]) -> float:
-        best: list[float] = []
-        for w in words:
-            x = cache.get(w)
-            if x is None:
+    def weighed(self, token: str) -> tuple[tuple[str, float], ...] | None:
+        """The words of a token that are evidence, with their weight; mostly none."""
+        found = ((w, max(self.weights.get(f, 0.0) for f in features(w))) for w in restored(token, self.language))
+        return tuple((w, x) for w, x in found if x) or None
+
+    def evidence_of(self, text: str | None, cache: dict[str, tuple | None]) -> float:
+        """The sum of the strongest distinct words of a text."""
+        best: dict[str, float] = {}
+        for token in tokens_of(text):
+            if token not in cache:
                 if len(cache) > CACHED:
                     cache.clear()
-                cache[w] = x = max((self.weights.get(f, 0.0) for f in features(w)), default=0.0)
-            if x:
-                best.append(x)
-        return sum(sorted(best)[-STRONGEST:])
+                cache[token] = self.weighed(token)
+            if found := cache[token]:
+                best.update(found)
+        return sum(sorted(best.values())[-STRONGEST:])
 
     def score(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * evidence + self.base))))
@@ -298,9 +306,9 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_fe
     model.weights = {f: w for w, f in scored if w > 0.5}
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, weighed = {}, {}
+        cache: dict[str, tuple | None] = {}
         for batch in batches:
-            found = [model.evidence_of(words_of(t, model.language, cache), weighed) for t in batch.column("text").to_pylist()]
+            found = [model.evidence_of(t, cache) for t in batch.column("text").to_pylist()]
             yield pa.record_batch({"evidence": pa.array(found, pa.float64()), "toxic": batch.column("toxic")})
 
     seen = rows.mapInArrow(weigh, "evidence double, toxic int").groupBy("evidence", "toxic").count().collect()  # at most max_train rows
@@ -317,10 +325,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = worker_store("toxicity")
         if store.get("weights") != model.weights or store.get("at") != (model.slope, model.base):
-            store.update(weights=model.weights, at=(model.slope, model.base), tokens={}, evidence={})
+            store.update(weights=model.weights, at=(model.slope, model.base), tokens={})
         for batch in batches:
             texts = batch.column("text")
-            found = [model.score(model.evidence_of(words_of(t.as_py(), model.language, store["tokens"]), store["evidence"])) for t in texts]
+            found = [model.score(model.evidence_of(t.as_py(), store["tokens"])) for t in texts]
             columns = {c: batch.column(c) for c in batch.schema.names}
             yield pa.record_batch(columns | {"score": pa.array(found, pa.float64()), "predicted": pa.array([int(s >= 0.5) for s in found], pa.int32())})
 
