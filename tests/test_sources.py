@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from tidemart.operators import quality as Q
 from tidemart.operators import watermark as WM
-from tidemart.operators.merge import insert_update
+from tidemart.functions.semantics import join_keys
+from tidemart.operators.merge import apply_merge, insert_update
 from tidemart.plans import logistics as LG
 from tidemart.sources import export as E
 from tidemart.sources import extract as X
 from tidemart.sources import files as L
-from tidemart.sources.tables import VersionedTable
+from tidemart.sources.tables import BucketedTable, VersionedTable
 from tidemart.streaming import jobs as ST
 
 
@@ -138,7 +139,7 @@ def test_feed_parts_and_backup(spark, tmp_path):
 def test_stream_merge_is_repeatable(spark, tmp_path):
     src = str(tmp_path / "in")
     spark.createDataFrame([(1, 1), (2, 1)], "k int, ver int").write.parquet(src)
-    table = VersionedTable(spark, str(tmp_path / "t"))
+    table = BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=4)
     stream = lambda: spark.readStream.schema("k int, ver int").parquet(src)
     ST.merge_stream(stream(), table, ["k"], ["ver"], str(tmp_path / "c1"), "2024-01-01 00:00:00").awaitTermination()
     spark.createDataFrame([(1, 2), (3, 1)], "k int, ver int").write.mode("append").parquet(src)
@@ -165,8 +166,46 @@ def test_stream_slots_drop_late_rows(spark, tmp_path):
 
 
 def test_case_tags_with_and_without_repeats(spark):
-    rows = [(1, 10, "b", 1), (1, 11, "a", 2), (1, 12, "b", 3)]
-    df = spark.createDataFrame(rows, "case int, cust int, label string, t int")
-    once = LG.case_tags(df, "case", "cust", "label", ["t"]).first()
-    assert (once.tags, once.cust) == ("b, a", 10)
-    assert LG.case_tags(df, "case", "cust", "label", ["t"], repeats=True).first().tags == "b, a, b"
+    rows = [(1, 5, 10, "b", 1), (1, 6, 11, "a", 2), (1, 5, 12, "b", 3)]
+    df = spark.createDataFrame(rows, "number int, case int, cust int, label string, t int")
+    every = LG.case_tags(df, "number", "case", "cust", "label", ["t"]).first()
+    assert (every.tags, every.cust, every.case_count) == ("b, a, b", 10, 2)
+    assert LG.case_tags(df, "number", "case", "cust", "label", ["t"], repeats=False).first().tags == "b, a"
+
+
+def test_bucketed_merge_leaves_other_files(spark, tmp_path):
+    table = BucketedTable(spark, str(tmp_path / "t"), ["k"], buckets=8)
+    rows = spark.range(200).select(F.col("id").alias("k"), F.lit(1).alias("ver"))
+    load = lambda target, source: insert_update(target, source, ["k"], ["ver"], now())
+    table.merge(rows, load)
+    files = lambda: {f"{d}/{f}" for d, _, names in os.walk(tmp_path / "t") for f in names if f.endswith(".parquet")}
+    before = files()
+    news = rows.where("k = 7").withColumn("ver", F.lit(2))
+    touched = table.merge(news, load)
+    assert len(touched) == 1
+    assert {f for f in before if f"_bucket={touched[0]}/" not in f} <= files()
+    assert sorted((r.k, r.ver) for r in table.read().select("k", "ver").collect()) == [(k, 2 if k == 7 else 1) for k in range(200)]
+    # A merge that empties a bucket removes its files.
+    gone = table.read().where(table.bucket() == touched[0]).select("k")
+    table.merge(gone, lambda target, source: target.join(source, "k", "left_anti"), deletes=True)
+    assert not any(f"_bucket={touched[0]}/" in f for f in files()) and table.read().count() < 200
+
+
+def test_join_keys_meets_null(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, v int")
+    totals = rows.groupBy("g").agg(F.sum("v").alias("s"))
+    assert sorted((r.v, r.s) for r in join_keys(rows, totals, ["g"]).collect()) == [(1, 3), (2, 3), (3, 3)]
+    assert join_keys(rows, totals, ["g"], "left_anti").count() == 0
+
+
+def test_a_second_source_row_fails_the_merge(spark):
+    target = spark.createDataFrame([(1, 1), (2, 2)], "k int, v int")
+    source = spark.createDataFrame([(1, 5), (1, 6)], "k int, v int")
+    with pytest.raises(Exception, match="several rows for one key"):
+        apply_merge(target, source, ["k"], matched=lambda t, s: {"v": s("v")}).collect()
+
+
+def test_feed_has_no_number_for_one_part(spark, tmp_path):
+    assert E.write_feed(spark.range(5), str(tmp_path / "one"), "f") == ["f.csv"]
+    names = E.write_feed(spark.range(1000), str(tmp_path / "many"), "f", part_bytes=900)
+    assert names[0] == "f-000.csv" and all(os.path.getsize(tmp_path / "many" / n) <= 900 for n in names)

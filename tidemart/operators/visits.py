@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,22 +33,40 @@ def _known(key) -> list:
 
 
 def _fold_runs(keyed: DataFrame, run: Sequence[str], order: Sequence[str], limit: int) -> DataFrame:
-    """Mark visit starts run by run, as a stream in constant memory over sorted partitions."""
+    """Mark visit starts. A run that is shorter than a visit has one, its first event, and stays in generated code.
+
+    Longer runs are streamed over sorted partitions in constant memory; from one start the next is found by a search, not event by event.
+    """
+    own = Window.partitionBy(*run)
+    named = keyed.columns
+    spans = keyed.withColumns({
+        "_span": F.coalesce(F.max("_at").over(own) - F.min("_at").over(own), F.lit(0)),
+        "is_first": F.row_number().over(own.orderBy(*order)) == 1,
+    })
+    short = spans.filter(F.col("_span") < limit).drop("_span")
     schema = T.StructType([*keyed.schema.fields, T.StructField("is_first", T.BooleanType())])
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, start = None, 0
         for pdf in batches:
-            flags = []
-            for *who, at in zip(*[pdf[c] for c in run], pdf["_at"]):
-                who = _known(who)
-                opens = who != last or at - start >= limit
-                if opens:
-                    last, start = who, at
-                flags.append(opens)
+            at, flags = pdf["_at"].to_numpy(), np.zeros(len(pdf), dtype=bool)
+            moved = np.zeros(len(pdf), dtype=bool)
+            for c in run:
+                now, before = pdf[c], pdf[c].shift()
+                moved |= ((now != before) & ~(now.isna() & before.isna())).to_numpy(dtype=bool, na_value=False)
+            begins = np.flatnonzero(moved)
+            for begin, end in zip([0, *begins[begins > 0]], [*begins[begins > 0], len(pdf)], strict=True):
+                who = _known(pdf[c].iloc[begin] for c in run)
+                i = begin if who != last else begin + np.searchsorted(at[begin:end], start + limit, "left")
+                last = who
+                while i < end:
+                    flags[i], start = True, at[i]
+                    i = i + np.searchsorted(at[i:end], start + limit, "left")
             yield pdf.assign(is_first=flags)
 
-    return keyed.repartition(*run).sortWithinPartitions(*run, *order).mapInPandas(fold, schema)
+    long = spans.filter(F.col("_span") >= limit).select(*named)
+    folded = long.repartition(*run).sortWithinPartitions(*run, *order).mapInPandas(fold, schema)
+    return short.select(*named, "is_first").unionByName(folded)
 
 
 def _fold_long_runs(keyed: DataFrame, run: Sequence[str], order: Sequence[str], limit: int, slices: int) -> DataFrame:
@@ -208,7 +226,9 @@ def clamped_balance(df: DataFrame, keys: Sequence[str], order: Sequence[str], am
 def sequential_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], step, initial, out: str, out_type: str) -> DataFrame:
     """Generic state along an ordered key: ``step(state, row) -> state``, the state after each row as a column.
 
-    Rows arrive in sorted batches and only the state is kept, so the memory of a task does not grow with a key.
+    Rows arrive in sorted batches and only the state is kept, so the memory of a task does not grow with a key. One task walks a
+    key from end to end: a rule that is any function of the state cannot be cut. Rules with a closed form or a summary
+    per slice (``clamped_balance``, ``ordered_scan``, ``visit_count``) have operators of their own that split hot keys; use those.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(out, T._parse_datatype_string(out_type))])
 
