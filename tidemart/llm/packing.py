@@ -14,6 +14,8 @@ documents; ties of scores go to the smaller (doc_id, tokens); an empty table giv
 from __future__ import annotations
 
 import re
+import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -29,19 +31,26 @@ END_ID = 2
 SHARD_TOKENS = 1_000_000
 K1, B = 1.2, 0.75
 CACHED_WORDS = 500_000
-LETTERS_THEN_SIGNS = re.compile(r"([^\W\d_]+)([.,!?;:*#$%&|]+)\Z").match
-GAP = "\x01"  # a character that the tokenizer keeps as one token of its own between words
+LETTERS_THEN_SIGNS = re.compile(r"([^\W\d_]*)([.,!?;:*#$%&|]*)\Z").match
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 # --- tokens
 
 
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies spell a byte: printable ones as themselves, the others as letters from U+0100 on, in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordTokens:
     """Token ids of a text, worked out once per distinct word.
 
     The tokenizer drops white space, lowers case, and joins neither what white space separates nor letters with signs, so a text's ids are
-    its words' ids in a row, and a word's are those of its letters and of the signs behind them. New ones are encoded many at a time.
+    its words' ids in a row. Words of plain letters with signs behind them go to the tokenizer's merge model directly, letters and signs apart;
+    all other words go through the whole tokenizer.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -49,41 +58,35 @@ class WordTokens:
 
         store = worker_store("tokens")
         if store.get("path") != path:
-            store.update(path=path, tokenizer=Tokenizer.from_file(path), words={})
-        self.tokenizer, self.words, self.cached = store["tokenizer"], store["words"], cached
-        self.gap = self.tokenizer.encode(GAP, add_special_tokens=False).ids
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").astype("<u2").tobytes()
-
-    def _encode_all(self, new: list[str]) -> None:
-        odd = [w for w in new if GAP in w or "<|" in w] if len(self.gap) == 1 else new
-        self.words.update((w, self._encode(w)) for w in odd)
-        plain = [w for w in new if w not in self.words]
-        for i in range(0, len(plain), 2000):
-            part = plain[i : i + 2000]
-            ids = np.array(self.tokenizer.encode(f" {GAP} ".join(part) + f" {GAP}", add_special_tokens=False).ids, dtype="<u2")
-            ends = np.flatnonzero(ids == self.gap[0]).tolist()
-            if len(ends) != len(part):
-                self.words.update((w, self._encode(w)) for w in part)
-                continue
-            raw, begin = ids.tobytes(), 0
-            for w, end in zip(part, ends, strict=True):
-                self.words[w], begin = raw[2 * begin : 2 * end], end + 1
+            tokenizer = Tokenizer.from_file(path)
+            store.update(path=path, tokenizer=tokenizer, model=tokenizer.model, words={})
+        self.tokenizer, self.model, self.words, self.cached = store["tokenizer"], store["model"], store["words"], cached
+        self.spelling = byte_letters()
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}H", *ids)
+
+    def _part(self, part: str) -> bytes:
+        """Ids of a run of letters or of signs."""
+        spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.spelling)
+        return self._pack([t.id for t in self.model.tokenize(spelled)])
 
     def learn(self, new: set[str]) -> None:
-        """Words of letters and signs behind them are put together from the two; the parts are encoded once."""
-        words, split, parts = self.words, [], set()
+        words = self.words
         for w in new:
             m = LETTERS_THEN_SIGNS(w)
-            if m and m.end(1) < len(w):
-                pair = m.groups()
-                split.append((w, pair))
-                parts.update(pair)
-            else:
-                parts.add(w)
-        self._encode_all([p for p in parts if p not in words])
-        words.update((w, words[a] + words[b]) for w, (a, b) in split)
+            letters, signs = m.groups() if m else ("", "")
+            if not m or letters and not (letters.isalpha() and (letters.isascii() or unicodedata.is_normalized("NFC", letters)) and letters == letters.lower()):
+                words[w] = self._pack(self.tokenizer.encode(w, add_special_tokens=False).ids)
+                continue
+            if letters and letters not in words:
+                words[letters] = self._part(letters)
+            if signs and signs not in words:
+                words[signs] = self._part(signs)
+            if letters and signs:
+                words[w] = words[letters] + words[signs]
+            elif not letters and not signs:
+                words[w] = b""
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as two-byte integers."""
