@@ -77,29 +77,23 @@ def click_attribution(
     measures are stacked and summed once, so no chain of joins on a key scaffold is needed. ``previous_`` columns hold
     the same day shifted (a year, a week).
     """
-    by_session = sessions.select("session_id", *dims).dropDuplicates(["session_id"])
     measures = ("sessions", "leads", "conversions_from_leads", "same_session_conversions")
 
-    def stack(df: DataFrame, day: Column, name: str) -> DataFrame:
-        return df.select(
-            F.to_date(day).alias("day"), *dims, *[F.lit(1 if m == name else 0).cast("long").alias(m) for m in measures]
-        )
-
-    lead_rows = leads.join(by_session, "session_id")
-    reached = lead_rows.join(conversions.select("customer", F.col("at").alias("converted")), "customer")
-    delay = boundaries("day", "at", "converted")
-    same = conversions.join(by_session, "session_id").join(
-        leads.select("customer", "session_id"), ["customer", "session_id"], "left_semi"
-    )
-    current = reduce(
-        lambda a, b: a.unionByName(b),
-        [
-            stack(sessions.dropDuplicates(["session_id"]), F.col("at"), "sessions"),
-            stack(lead_rows, F.col("at"), "leads"),
-            stack(reached.filter((delay >= 0) & (delay < within_days)), F.col("at"), "conversions_from_leads"),
-            stack(same, F.col("at"), "same_session_conversions"),
-        ],
-    )
+    def counted(day: Column, name: str) -> Column:
+        return F.struct(F.to_date(day).alias("day"), *[F.lit(1 if m == name else 0).cast("long").alias(m) for m in measures])
+
+    unique = sessions.select("session_id", "at", *dims).dropDuplicates(["session_id"])
+    # A lead meets its customer's conversion and its own session once; a conversion in the lead's session has that session's dimensions.
+    won = conversions.select("customer", F.col("session_id").alias("c_session"), F.col("at").alias("c_at"))
+    lead_rows = leads.select("customer", "session_id", "at").join(won, "customer", "left").join(unique.select("session_id", *dims), "session_id")
+    delay = boundaries("day", "at", "c_at")
+    hits = F.array_compact(F.array(
+        counted(F.col("at"), "leads"),
+        F.when((delay >= 0) & (delay < within_days), counted(F.col("at"), "conversions_from_leads")),
+        F.when(F.col("c_session") == F.col("session_id"), counted(F.col("c_at"), "same_session_conversions")),
+    ))
+    rows = lead_rows.select(*dims, F.explode(hits).alias("_m")).unionByName(unique.select(*dims, counted(F.col("at"), "sessions").alias("_m")))
+    current = rows.select(*dims, "_m.*")
     daily = current.groupBy("day", *dims).agg(*[F.sum(m).alias(m) for m in measures])
     # Each day counts for itself and, shifted, as the earlier day of a later one.
     twice = daily.withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(shift_days))))

@@ -12,7 +12,7 @@ from tidemart.operators import merge as M
 from tidemart.operators import scd as D
 from tidemart.operators.scan import Scan, ordered_scan
 from tidemart.operators.watermark import adaptive_look_back
-from tidemart.sources.tables import VersionedTable
+from tidemart.sources.tables import BucketedTable, VersionedTable
 from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query, when
 
 T1, T2 = "2002-01-01 00:00:00", "2002-01-02 00:00:00"
@@ -72,6 +72,19 @@ def _(t):
     return _m01(t, "lookup")
 
 
+@query("m01_insert_update_buckets", _M01)
+def _(t):
+    """The merge into a table that rewrites the touched buckets only."""
+    keys, delta = ["o_orderkey"], ["version"]
+    table = BucketedTable(t.spark, t.scratch("orders-buckets"), keys, buckets=16)
+    load = lambda now: lambda target, source: M.insert_update(target, source, keys, delta, when(now))
+    table.merge(_orders(t).filter(F.col("version") < when("1999-01-01")), load(T1))
+    table.merge(_order_batch(t), load(T2))
+    return table.read().select(
+        "o_orderkey", "total", "version", F.col("meta_create_datetime").alias("created"), F.col("meta_update_datetime").alias("updated")
+    )
+
+
 def _parts(t):
     return t.part.select("p_partkey", "p_type", "p_size", money("p_retailprice").alias("price"))
 

@@ -78,8 +78,10 @@ _HOUR = "user_id * 100000 + date_diff('hour', TIMESTAMP '2024-01-01', ts)"
 def _(t):
     e = t.events.withColumn("session_id", F.col("user_id") * 100000 + S.boundaries("hour", when("2024-01-01"), F.col("ts")))
     sessions = e.groupBy("session_id").agg(F.min("ts").alias("at"), F.min((F.col("user_id") < 75).cast("long")).alias("grp"))
-    first = lambda k: e.filter(F.col("event_type") == k).groupBy(F.col("user_id").alias("customer")).agg(F.min_by("session_id", "ts").alias("session_id"), F.min("ts").alias("at"))
-    return P.click_attribution(sessions, first("signup"), first("purchase"), ["grp"], 7)
+    kind = lambda k: F.when(F.col("event_type") == k, F.struct("ts", "session_id"))
+    people = e.groupBy(F.col("user_id").alias("customer")).agg(F.min(kind("signup")).alias("lead"), F.min(kind("purchase")).alias("won"))
+    first = lambda c: people.filter(F.col(c).isNotNull()).select("customer", F.col(f"{c}.session_id").alias("session_id"), F.col(f"{c}.ts").alias("at"))
+    return P.click_attribution(sessions, first("lead"), first("won"), ["grp"], 7)
 
 
 _MLEADS = "(SELECT c_mktsegment AS seg, date_trunc('quarter', o_orderdate)::DATE AS m, COUNT(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2)"
