@@ -64,13 +64,6 @@ def row_hash(*cols: Column | str) -> Column:
     return F.xxhash64(*[F.coalesce(as_col(c).cast("string"), F.lit(NULL_MARK)) for c in cols])
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def version_order(cols: Sequence[str], df: DataFrame) -> Column:
     """Several version columns in rank order; the first that is set counts, absent means oldest."""
     kind = dict(df.dtypes)[cols[0]]

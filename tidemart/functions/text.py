@@ -110,12 +110,6 @@ def clean_address(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.upper(as_col(c)), r"[^A-Z0-9 ]", " "), r" +", " "))
 
 
-def zip5(c: Column | str) -> Column:
-    """Five-digit code of a ZIP or ZIP+4, NULL for anything else."""
-    hit = F.regexp_extract(F.trim(as_col(c)), r"^([0-9]{5})(?:-[0-9]{4})?$", 1)
-    return F.when(hit != "", hit)
-
-
 def standard_state(c: Column | str) -> Column:
     """Letters of the state in upper case, 'Unknown' when none is left."""
     letters = F.regexp_replace(F.upper(as_col(c)), "[^A-Z]", "")

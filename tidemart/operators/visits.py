@@ -245,9 +245,3 @@ def sequential_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], st
             yield pdf.assign(**{out: states})
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(fold, schema)
-
-
-def first_nonzero_carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], metric: str, out: str, **limits) -> DataFrame:
-    """Cumulative metric with spurious zeros and gaps replaced by the last value that was not 0."""
-    given = df.withColumn("_v", F.nullif(F.col(metric), F.lit(0)))
-    return ordered_scan(given, keys, order, [Scan(out, "fill", "_v")], **limits).drop("_v")

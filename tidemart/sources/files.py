@@ -83,12 +83,6 @@ def read_json(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
     )
 
 
-def strip_json_nulls(c: Column | str) -> Column:
-    """JSON null as SQL NULL."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.when(c != "null", c)
-
-
 def stage_rows(rows: DataFrame, run_ts: Column, path: str) -> DataFrame:
     """Parsed rows with their file columns, written once as the stage table of a load.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.semantics import row_count
 
 from tidemart.plans import stock as P
-from tidemart.workload.base import SQL_LINES, query, when
+from tidemart.workload.base import SQL_LINES, query
 
 
 @query("d37_inventory_snapshot", f"""WITH a AS (SELECT user_id, ts::DATE AS d, arg_min(event_id, (ts, event_id)) AS e, 0 AS r FROM events WHERE event_type = 'view' GROUP BY 1, 2), b AS (SELECT user_id, ts::DATE AS d, arg_min(event_id, (ts, event_id)) AS e, 1 AS r FROM events WHERE event_type = 'click' GROUP BY 1, 2)
