@@ -20,42 +20,47 @@ RATE_TENURE, LAST_TENURE = 12, 13
 RATE_MONTHS = 24
 
 
-def issuance_grid(activity: DataFrame, group: Sequence[str], thru: Column) -> DataFrame:
-    """Issue month x activity month up to ``thru`` with the four activities as columns.
+def cohorts(activity: DataFrame, group: Sequence[str], thru: Column) -> DataFrame:
+    """One row per issue month: amount issued, the four activities to date, and the months of the rate window as a list.
 
-    ``activity``: group columns, issued_month, activity_month, kind, amount.
+    ``activity``: group columns, issued_month, activity_month, kind, amount. All that breakage needs comes from these two aggregates.
     """
     by = [*group, "issued_month"]
     lower = [k.lower() for k in KINDS]
-    wide = reused(
-        activity.groupBy(*by, "activity_month")
-        .pivot("kind", list(KINDS))
-        .agg(F.sum("amount"))
-        .withColumnsRenamed(dict(zip(KINDS, lower)))
+    wide = (
+        activity.groupBy(*by, "activity_month").pivot("kind", list(KINDS)).agg(F.sum("amount")).withColumnsRenamed(dict(zip(KINDS, lower, strict=True)))
     )
-    issued = wide.filter(F.col("issued").isNotNull() & (F.col("issued_month") <= thru)).groupBy(*by).agg(
-        F.sum("issued").alias("issued_amount")
-    )
-    grid = month_range(issued, "issued_month", thru, "activity_month")
+    low = F.add_months(thru, -(RATE_MONTHS - 1))
+    inside = (F.col("activity_month") >= F.col("issued_month")) & (F.col("activity_month") <= thru)
+    recent = inside & (F.col("issued_month") >= low)  # so at most RATE_MONTHS entries a row
+    tenure = boundaries("month", "issued_month", "activity_month") + 1
+    value = lambda k: F.coalesce(k, F.lit(0))
     return (
-        join_keys(grid, wide, [*by, "activity_month"], "left")
-        .fillna(0, lower)
-        .withColumn("tenure", boundaries("month", "issued_month", "activity_month") + 1)
+        wide.groupBy(*by)
+        .agg(
+            F.sum("issued").alias("issued_amount"),
+            *[F.sum(F.when(inside, value(k)).otherwise(F.lit(0))).alias(f"{k}_to_date") for k in lower],
+            F.collect_list(F.when(recent, F.struct(tenure.alias("tenure"), *[value(k).alias(k) for k in lower[:3]]))).alias("months"),
+        )
+        .filter(F.col("issued_amount").isNotNull() & (F.col("issued_month") <= thru))
+        .withColumnsRenamed({f"{k}_to_date": k for k in lower})
     )
 
 
-def expected_rates(grid: DataFrame, rate_group: Sequence[str], thru: Column, shift: Column | None = None) -> DataFrame:
+def expected_rates(issued: DataFrame, rate_group: Sequence[str], thru: Column, shift: Column | None = None) -> DataFrame:
     """Cumulative redeemed and unredeemed shares by tenure over the last 24 months, read at tenures 12 and 13.
 
-    ``shift`` moves share from unredeemed to redeemed at tenure 13 (a temporary adjustment).
+    ``issued`` are the cohorts; a cohort counts at every tenure it has reached, active or not. ``shift`` moves share from
+    unredeemed to redeemed at tenure 13 (a temporary adjustment).
     """
     low = F.add_months(thru, -(RATE_MONTHS - 1))
-    recent = grid.filter((F.col("activity_month") >= low) & (F.col("issued_month") >= low))
+    reached = F.sequence(F.lit(1), (boundaries("month", "issued_month", thru) + 1).cast("int"))
+    recent = issued.filter(F.col("issued_month") >= low).select(*rate_group, "issued_amount", "months", F.explode(reached).alias("tenure"))
+    month = F.get(F.filter("months", lambda m: m["tenure"] == F.col("tenure")), F.lit(0))
+    at_tenure = lambda k: F.sum(F.coalesce(month[k], F.lit(0)))
     by_tenure = recent.groupBy(*rate_group, "tenure").agg(
-        F.coalesce(ratio(F.sum("redeemed"), F.sum("issued_amount")), F.lit(0.0)).alias("r"),
-        F.coalesce(
-            ratio(F.sum("issued") - F.sum("redeemed") - F.sum("cancelled"), F.sum("issued_amount")), F.lit(0.0)
-        ).alias("u"),
+        F.coalesce(ratio(at_tenure("redeemed"), F.sum("issued_amount")), F.lit(0.0)).alias("r"),
+        F.coalesce(ratio(at_tenure("issued") - at_tenure("redeemed") - at_tenure("cancelled"), F.sum("issued_amount")), F.lit(0.0)).alias("u"),
     )
     # At most 24 tenures per group: a plain window over aggregated rows.
     upto = W.partitionBy(*rate_group).orderBy("tenure").rowsBetween(W.unboundedPreceding, 0)
@@ -77,14 +82,8 @@ def breakage(
     Up to tenure 13 the unredeemed amount is capped by the expected share and scaled by how far redemption has come
     against expectation (at most fully); after it all that is unredeemed counts.
     """
-    grid = reused(issuance_grid(activity, group, thru))
-    to_date = grid.groupBy(*group, "issued_month", "issued_amount").agg(
-        F.sum("issued").alias("issued"),
-        F.sum("redeemed").alias("redeemed"),
-        F.sum("cancelled").alias("cancelled"),
-        F.sum("expired").alias("expired"),
-    )
-    rated = join_keys(to_date, expected_rates(grid, rate_group, thru, shift), rate_group)
+    issued = reused(cohorts(activity, group, thru))
+    rated = join_keys(issued.drop("months"), expected_rates(issued, rate_group, thru, shift), rate_group)
     d = {c: F.col(c).cast("double") for c in ("issued", "redeemed", "cancelled")}
     unredeemed = d["issued"] - d["redeemed"] - d["cancelled"]
     tenure = boundaries("month", F.col("issued_month"), thru) + 1
