@@ -159,14 +159,14 @@ def _(t):
 @query("l17_export_parts", "SELECT COUNT(*)::BIGINT AS n, true AS within_part_size, true AS numbered FROM lineitem UNION ALL SELECT COUNT(*), true, false FROM nation")
 def _(t):
     many, one = t.scratch("l17"), t.scratch("l17-one")
-    E.write_feed(t.lineitem.select("l_orderkey", "l_partkey", "l_quantity"), many, "lines", part_rows=20_000, part_bytes=100_000)
+    E.write_feed(t.lineitem.select("l_orderkey", "l_partkey", "l_quantity"), many, "lines", part_rows=2_000, part_bytes=20_000)
     E.write_feed(t.nation, one, "nations")
 
     def report(path):
         rows = t.spark.read.option("header", "true").option("sep", "|").csv(path).select(F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_size").alias("size"))
         per = rows.groupBy("f").agg(row_count().alias("n"), F.max("size").alias("size"))
         return per.agg(
-            F.sum("n").alias("n"), (F.max("n") <= 20_000).alias("rows_fit"), (F.max("size") <= 100_000).alias("bytes_fit"), F.bool_and(F.col("f").rlike("-[0-9]{3}.csv$")).alias("numbered")
+            F.sum("n").alias("n"), (F.max("n") <= 2_000).alias("rows_fit"), (F.max("size") <= 20_000).alias("bytes_fit"), F.bool_and(F.col("f").rlike("-[0-9]{3}.csv$")).alias("numbered")
         )
 
     both = report(many).unionByName(report(one))
