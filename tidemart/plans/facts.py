@@ -76,14 +76,17 @@ def master_status(child_rank: dict[str, int], orders: DataFrame, key: str, maste
     return step
 
 
-def add_split(details: DataFrame, key: str, kind: str, amounts: dict[str, str], kinds: Sequence[str]) -> Callable:
-    """Step: amounts per kind as columns ``name_kind``, 0 where there are none; one pass over the details."""
+def by_kind(name: str, kind: str, amount: str, kinds: Sequence[str]) -> dict[str, Column]:
+    """Sums of an amount per kind as columns ``name_kind``, for ``add_details``."""
+    return {f"{name}_{k}": F.coalesce(F.sum(F.when(F.col(kind) == k, F.col(amount))), F.lit(0)) for k in kinds}
+
+
+def add_details(details: DataFrame, key: str, totals: dict[str, Column], others: dict[str, Column] | None = None) -> Callable:
+    """Step: everything a detail table tells of a key, in one aggregate and one join; totals are 0 where there are no details."""
 
     def step(df: DataFrame) -> DataFrame:
-        sums = details.groupBy(key).agg(
-            *[F.coalesce(F.sum(F.when(F.col(kind) == k, F.col(c))), F.lit(0)).alias(f"{name}_{k}") for name, c in amounts.items() for k in kinds]
-        )
-        return df.join(sums, key, "left").fillna(0, [f"{name}_{k}" for name in amounts for k in kinds])
+        sums = details.groupBy(key).agg(*[c.alias(n) for n, c in (totals | (others or {})).items()])
+        return df.join(sums, key, "left").fillna(0, list(totals))
 
     return step
 
@@ -159,12 +162,16 @@ def order_fact(
 
     steps = [
         master_status(child_rank, only(orders, masters, "master_id"), "order_id", "master_id", "status", "order_status"),
-        add_totals(lines, "order_id", gross=F.sum("gross"), discount=F.sum("discount"), tax=F.sum("tax"), lines=row_count()),
-        add_split(lines, "order_id", "state", {"units": "units"}, line_states),
-        lambda df: df.join(lines.groupBy("order_id").agg(F.min("shipped_at").alias("first_shipped"), F.max("shipped_at").alias("last_shipped")), "order_id", "left"),
-        add_split(payments, "order_id", "kind", {"paid": "amount"}, payment_kinds),
-        lambda df: df.join(payments.groupBy("order_id").agg(F.min("paid_at").alias("first_paid"), F.max_by("kind", F.struct("amount", "kind")).alias("payment_method")), "order_id", "left"),
-        add_split(credits, "order_id", "kind", {"credit": "amount"}, credit_kinds),
+        add_details(
+            lines, "order_id",
+            {"gross": F.sum("gross"), "discount": F.sum("discount"), "tax": F.sum("tax"), "lines": row_count()} | by_kind("units", "state", "units", line_states),
+            {"first_shipped": F.min("shipped_at"), "last_shipped": F.max("shipped_at")},
+        ),
+        add_details(
+            payments, "order_id", by_kind("paid", "kind", "amount", payment_kinds),
+            {"first_paid": F.min("paid_at"), "payment_method": F.max_by("kind", F.struct("amount", "kind"))},
+        ),
+        add_details(credits, "order_id", by_kind("credit", "kind", "amount", credit_kinds)),
         add_effective(vat, ["country"], "ordered_at", "start_at", "end_at", "vat_rate", 0.0),
         add_effective(rates, ["currency"], "ordered_at", "start_at", "end_at", "usd_rate", 1.0),
         add_local("ordered_at", zones, "country", "ordered_local"),
