@@ -39,7 +39,7 @@ WINDOW = 35
 PAIR_ROUNDS = 2
 CONTEXT = 8  # 2 words for the run round, then the 2 and 4 words of a neighbouring symbol
 LONGEST = 8
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 TABLE = 1 << 16
 BUCKET_ROWS = 20_000
 LENGTH_BITS = 32
@@ -183,16 +183,15 @@ def repeats(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def batches_of(batch: pa.RecordBatch, limit: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Parts of an Arrow batch with about so many bytes of text, and their texts."""
-    raws = [x.as_buffer().to_pybytes() if x.is_valid else b"" for x in batch.column("text").cast(pa.binary())]
+    """Parts of an Arrow batch with about so many bytes of text, and their texts; only a part's texts are copied at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
     begin = size = 0
-    for i, r in enumerate(raws):
-        if i > begin and size + len(r) > limit:
-            yield batch.slice(begin, i - begin), raws[begin:i]
+    for i, n in enumerate([*sizes, limit + 1]):
+        if i > begin and (size + n > limit or i == len(sizes)):
+            part = batch.slice(begin, i - begin)
+            yield part, [x or b"" for x in part.column("text").cast(pa.binary()).to_pylist()]
             begin, size = i, 0
-        size += len(r)
-    if begin < len(raws):
-        yield batch.slice(begin), raws[begin:]
+        size += n
 
 
 # --- the passes over the texts
