@@ -119,6 +119,16 @@ def test_simhash_equals_brute_force(docs, rows):
     assert simhash.near_duplicates(none(docs)).count() == 0 and simhash.keep_first(none(docs)).count() == 0
 
 
+def test_one_document_of_each_component_stays(spark):
+    rng = np.random.default_rng(23)
+    a, b, c, d, e, f = (prose(rng, 8000) for _ in range(6))
+    near = c + " more"
+    # Unlike texts without id; one id on two unlike texts; one id on a text of its own and on a near copy of a smaller id.
+    table = [(None, a), (None, b), (None, b), (7, d), (7, e), (3, c), (9, near), (9, f)]
+    kept = simhash.keep_first(spark.createDataFrame(table, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, a), (0, b), (7, d), (7, e), (3, c), (9, f)])
+
+
 @pytest.mark.parametrize("kind", ["sparse", "dense"])
 def test_bit_sliced_comparison(kind):
     rng = np.random.default_rng(2)

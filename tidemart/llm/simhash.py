@@ -253,24 +253,32 @@ def links(classes: DataFrame, n: int, radius: int = RADIUS, bucket: int = BUCKET
 # --- the operator
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp (64 bits as a long), component_id: the smallest doc_id of all documents linked to it."""
-    fps = stored(docs.select("doc_id", fingerprint_of(shingle)("text").alias("fp")), "fingerprints")
+def linked(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, *keys: Column) -> DataFrame:
+    """doc_id, the keys, fp, root (one fingerprint of the component, which tells it from all others) and component_id."""
+    fps = stored(docs.select("doc_id", *keys, fingerprint_of(shingle)("text").alias("fp")), "fingerprints")
     classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(links(classes, classes.count(), radius))
     placed = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = placed.join(smallest, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(placed.join(smallest, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fp (64 bits as a long), component_id: the smallest doc_id of all documents linked to it."""
+    return linked(docs, shingle, radius).select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One document of each component: the one whose id names it. Of several rows with that id one stays."""
-    found = near_duplicates(docs, shingle, radius)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    kept = stored(kept.select(F.col("doc_id").alias("_id"), "_rows"), "kept")
-    met = wrapped(docs, "doc_id").join(kept, F.col("doc_id").eqNullSafe(F.col("_id")))
+    """One document of each component, also of one without ids: of the rows with its smallest id the one whose id and text
+    have the smallest hash. Ids are not keys: a row comes back by its hash and its id. Of equal rows one stays."""
+    row = F.xxhash64("doc_id", "text").alias("_row")
+    first = linked(docs, shingle, radius, row).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = first.groupBy("root", "_row", "doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    kept = first.groupBy("root").agg(F.min(F.struct("_row", "doc_id", "_rows")).alias("k"))
+    kept = stored(kept.select(F.col("k._row").alias("_key"), F.col("k.doc_id").alias("_id"), F.col("k._rows").alias("_rows")), "kept")
+    met = wrapped(docs, "doc_id", "text").withColumn("_row", row)
+    met = met.join(kept, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     once = met.where(F.col("_rows") == 1)
     if not kept.where(F.col("_rows") > 1).isEmpty():
-        once = once.union(met.where(F.col("_rows") > 1).dropDuplicates(["doc_id"]))
-    return unwrapped(once, docs.columns, doc_id=F.col("doc_id"))
+        once = once.union(met.where(F.col("_rows") > 1).dropDuplicates(["_row", "doc_id"]))
+    return unwrapped(once, docs.columns, doc_id=F.col("doc_id"), text=F.col("text"))
