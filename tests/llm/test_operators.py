@@ -468,6 +468,18 @@ def test_viterbi_finds_the_cheapest_path():
         assert toxicity.decode(token, model).split() == best[1].split()
 
 
+def test_disguises_of_any_length():
+    model = toxicity.language_model(toxicity.trigrams(["you are the idiot and the river of the idiom " * 50]))
+    plain = ["you", "are", "the", "idiot"] * 8
+    for gap in (" ", "."):
+        token = gap.join("".join(plain))
+        assert len(token) > 64 and toxicity.restored(token, model).count("idiot") == 8
+    assert toxicity.spaced_out("x " + " ".join("youaretheidiot" * 8)) == ["x " + " ".join("youaretheidiot" * 8)]
+    assert toxicity.restored("idio" + 100 * "o" + "t", model) == ["idiot"]
+    long = ".".join("idiot" * 20_000)  # linear: some seconds
+    assert len(toxicity.decode(long, model)) >= 100_000
+
+
 def test_held_out_fifth(spark):
     got = spark.range(200).select("id", toxicity.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)

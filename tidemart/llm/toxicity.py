@@ -4,7 +4,8 @@
    counted grows with the input.
 2. A token that may be disguised (digits or signs among letters, a letter three times or more in a row, separators inside, letters set
    apart by blanks) becomes a lattice: each place offers the letters its character may stand for, with a cost. Viterbi decoding
-   finds the cheapest path under the language model; a separator may be dropped or stay as a word's end.
+   finds the cheapest path under the language model; a separator may be dropped or stay as a word's end. Tokens of any length are decoded
+   in one pass: a run of one character is one place, and paths share what they have in common.
 3. Words of the restored text have features (the word, its first 4 to 6 letters). Their weights are lower bounds of log odds, counted over
    labelled documents, and a document's evidence is the sum of its three strongest words; a logistic curve turns it into a score.
 
@@ -18,6 +19,7 @@ of the input that clash with those added are replaced.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
@@ -57,7 +59,7 @@ DIGIT_END, DIGIT_DROP, BLANK_END, BLANK_DROP = 6.0, 10.0, 1.5, 0.5
 BEAM = 48
 
 EDGE = re.compile(r"^[^\w@$€£]+|[^\w]+$|_+$")
-ODD = re.compile(r"[^\W\d_].*[\W\d_]|[\W\d_].*[^\W\d_]|([^\W\d_])\1\1")
+LETTER, OTHER, TRIPLE = re.compile(r"[^\W\d_]"), re.compile(r"[\W\d_]"), re.compile(r"([^\W\d_])\1\1")
 REPEATS = re.compile(r"(.)\1*", re.S)
 SPACED = re.compile(r"(?:(?<=\s)|^)\S(?:[ \t]\S){2,}(?=\s|$)")
 
@@ -153,9 +155,10 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 def decode(token: str, model: np.ndarray) -> str:
     """The cheapest reading of a token: words, with blanks where it falls apart."""
     code = {c: int(CODE[ord(c)]) if ord(c) < 1 << 16 else 0 for c in set(token) | set(LETTERS)}
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for options in [*lattice(token), [(" ", 0.0)]]:
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+    # A path is what was said last and the path before it, so a place costs the same wherever it stands.
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    for options in itertools.chain(lattice(token), [[(" ", 0.0)]]):
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (cost, said) in states.items():
             for letters, extra in options:
                 x, y, total = a, b, cost + extra
@@ -166,19 +169,28 @@ def decode(token: str, model: np.ndarray) -> str:
                     total -= float(model[x, y, k])
                     x, y = y, k
                 if (x, y) not in after or total < after[x, y][0]:
-                    after[x, y] = (total, said + letters)
+                    after[x, y] = (total, (said, letters) if letters else said)
         if len(after) > BEAM:
             after = dict(sorted(after.items(), key=lambda s: s[1][0])[:BEAM])
         states = after
-    return min(states.values())[1].strip()
+    path, parts = min(states.values(), key=lambda s: s[0])[1], []
+    while path:
+        path, letters = path
+        parts.append(letters)
+    return "".join(reversed(parts)).strip()
+
+
+def odd(token: str) -> bool:
+    """Whether letters stand among other characters, or one three times in a row."""
+    return bool((LETTER.search(token) and OTHER.search(token)) or TRIPLE.search(token))
 
 
 def restored(token: str, model: np.ndarray) -> list[str]:
     """The words of a lower-case token. Most tokens are words as they stand."""
     bare = EDGE.sub("", token)
-    if bare.isalpha() and not ODD.search(bare):
+    if bare.isalpha() and not TRIPLE.search(bare):
         return [bare]
-    if not ODD.search(bare) or len(bare) > 64 or not any(c.isalpha() or c in LOOKALIKE for c in bare):
+    if not odd(bare) or not any(c.isalpha() or c in LOOKALIKE for c in bare):
         return [w for w in re.split(r"[\W\d_]+", bare) if w]
     return decode(bare, model).split()
 
