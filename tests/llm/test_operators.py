@@ -468,6 +468,54 @@ def test_viterbi_finds_the_cheapest_path():
         assert toxicity.decode(token, model).split() == best[1].split()
 
 
+def test_every_reading_is_a_candidate():
+    model = toxicity.language_model(toxicity.trigrams(["the idiot is the clown and the ass and the evil river and the idiom " * 50]))
+    for token, word in {"!diot": "idiot", "|diot": "idiot", "(lown": "clown", "idio+": "idiot", "a$$": "ass", "id**t": "idiot", '"(lown,"': "clown", "ev11": "evil"}.items():
+        assert word in toxicity.restored(token, model), token
+    for token in ("(the", "idiot!", "river?", "clown."):  # the plain reading stays
+        assert token.strip("(!?.") in toxicity.restored(token, model)
+    assert {"ii", "il", "li", "ll"} <= {x + y for x, _ in toxicity.lattice("a11")[1] for y, _ in toxicity.lattice("a11")[2]}
+
+    def cheapest(token):
+        """All paths, told apart by nothing: the cost of every state without the beam, letter by letter."""
+        costs = {(0, 0): 0.0}
+        for options in [*toxicity.lattice(token), [(" ", 0.0)]]:
+            after = defaultdict(lambda: math.inf)
+            for ((x, y), cost), (letters, extra) in ((s, o) for s in costs.items() for o in options):
+                total, p, q = cost + extra, x, y
+                for c in letters if letters != " " or y else "":
+                    z = int(toxicity.CODE[ord(c)]) if c != " " else 0
+                    total, p, q = total - float(model[p, q, z]), q, z
+                after[p, q] = min(after[p, q], total)
+            costs = dict(after)
+        return min(costs.values())
+
+    def spoken(token, said):
+        """The cost of a reading: the cheapest way to say it."""
+        costs = {(0, 0, 0): 0.0}
+        for options in [*toxicity.lattice(token), [(" ", 0.0)]]:
+            after = defaultdict(lambda: math.inf)
+            for ((n, x, y), cost), (letters, extra) in ((s, o) for s in costs.items() for o in options):
+                total, p, q, at = cost + extra, x, y, n
+                for c in letters if letters != " " or y else "":
+                    if (said + " ")[at : at + 1] != c:
+                        break
+                    z = int(toxicity.CODE[ord(c)]) if c != " " else 0
+                    total, p, q, at = total - float(model[p, q, z]), q, z, at + 1
+                else:
+                    after[at, p, q] = min(after[at, p, q], total)
+            costs = dict(after)
+        return min(c for (n, _, _), c in costs.items() if n >= len(said))
+
+    for token in ("i#*?t", "*#?*iot", "r**%r", "a?#*?#b", "cl#*#?n"):
+        assert abs(spoken(token, toxicity.decode(token, model)) - cheapest(token)) < 1e-6, token
+    for bare in ("idio", "the", "river", "clow", "evi", "as", "a", "x"):  # the short way out agrees with decoding
+        for signs in ("?", "***", "+", ",%%", "$$", "!!", "|"):
+            if toxicity.ends_there(bare, bare + signs, model):
+                assert toxicity.decode(bare + signs, model) == bare, bare + signs
+    assert toxicity.ends_there("the", "the***", model) and not toxicity.ends_there("idio", "idio+", model)
+
+
 def test_disguises_of_any_length():
     model = toxicity.language_model(toxicity.trigrams(["you are the idiot and the river of the idiom " * 50]))
     plain = ["you", "are", "the", "idiot"] * 8

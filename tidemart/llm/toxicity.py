@@ -5,7 +5,9 @@
 2. A token that may be disguised (digits or signs among letters, a letter three times or more in a row, separators inside, letters set
    apart by blanks) becomes a lattice: each place offers the letters its character may stand for, with a cost. Viterbi decoding
    finds the cheapest path under the language model; a separator may be dropped or stay as a word's end. Tokens of any length are decoded
-   in one pass: a run of one character is one place, and paths share what they have in common.
+   in one pass, paths share what they have in common, and every state (the last two letters) that a cheapest path may pass is kept. A run of one letter is one
+   place; each sign of a run has a place of its own, or the run stands for one letter or a double one. Signs at a token's
+   ends that may stand for letters are read both ways, as signs and as letters.
 3. Words of the restored text have features (the word, its first 4 to 6 letters). Their weights are lower bounds of log odds, counted over
    labelled documents, and a document's evidence is the sum of its three strongest words; a logistic curve turns it into a score.
 
@@ -19,7 +21,7 @@ of the input that clash with those added are replaced.
 
 from __future__ import annotations
 
-import itertools
+import heapq
 import math
 import re
 from collections import Counter
@@ -56,10 +58,11 @@ for _i, _c in enumerate(LETTERS):
     CODE[ord(_c)] = _i + 1
 LEET_COST, WILD_COST, DROP_COST, REPEAT_COST = 1.0, 3.0, 2.0, 1.0
 DIGIT_END, DIGIT_DROP, BLANK_END, BLANK_DROP = 6.0, 10.0, 1.5, 0.5
-BEAM = 48
+DENSE, PROBES = 256, 2  # more transitions of a place are worked out as one matrix; states that probe for a bound
 
-EDGE = re.compile(r"^[^\w@$€£]+|[^\w]+$|_+$")
-LETTER, OTHER, TRIPLE = re.compile(r"[^\W\d_]"), re.compile(r"[\W\d_]"), re.compile(r"([^\W\d_])\1\1")
+FRONT, READABLE = frozenset("_@$€£"), frozenset([*LEET, *WILD])
+LETTER, OTHER = re.compile(r"[^\W\d_]"), re.compile(r"[\W\d_]")
+DOUBLE, TRIPLE = re.compile(r"(.)\1"), re.compile(r"([^\W\d_])\1\1")
 REPEATS = re.compile(r"(.)\1*", re.S)
 SPACED = re.compile(r"(?:(?<=\s)|^)\S(?:[ \t]\S){2,}(?=\s|$)")
 
@@ -146,33 +149,75 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         options += [(letter, WILD_COST) for letter in LETTERS[:26]] if c in WILD else []
         end, drop = (DIGIT_END, DIGIT_DROP) if c.isdigit() else (BLANK_END, BLANK_DROP) if c.isspace() else (0.0, DROP_COST)
         options += [(" ", end), ("", drop)]
-        if n > 1 and options[0][0].isalpha():
-            options += [(o * min(n, 2), cost + LEET_COST) for o, cost in options if o.isalpha()]
-        places.append(options)
+        readings = [(o, cost) for o, cost in options if o.isalpha()]
+        if n == 1 or not readings:
+            places.append(options)
+            continue
+        places.append(options + [(o * 2, cost + LEET_COST) for o, cost in readings])
+        places += [[*readings, (" ", end), ("", 0.0)]] * (n - 1)
     return places
 
 
+def dense(states: dict, single: list[tuple[str, float]], code: dict[str, int], model: np.ndarray, after: dict) -> None:
+    """The best way to each state by one letter; for each last letter all states that end in it are compared at once."""
+    listed = sorted(states.items(), key=lambda s: s[0][1])
+    a, b = (np.array([s[0][i] for s in listed]) for i in (0, 1))
+    k = np.array([code.get(c, 0) for c, _ in single])
+    total = np.array([s[1][0] for s in listed])[:, None] + np.array([extra for _, extra in single])[None] - model[a[:, None], b[:, None], k[None]].astype(float)
+    begins = np.flatnonzero(np.diff(b, prepend=-1))
+    for begin, end in zip(begins.tolist(), [*begins[1:].tolist(), len(listed)], strict=True):
+        first = total[begin:end].argmin(axis=0) + begin
+        for i, cost, to, (c, _) in zip(first.tolist(), total[first, np.arange(len(k))].tolist(), k.tolist(), single, strict=True):
+            at = (listed[i][0][1], to)
+            if at not in after or cost < after[at][0]:
+                after[at] = (cost, (listed[i][1][1], c))
+
+
+def step(states: dict, options: list[tuple[str, float]], code: dict[str, int], model: np.ndarray) -> dict[tuple[int, int], tuple[float, tuple | None]]:
+    """The states after a place, each with its cheapest path. A path is what was said last and the path before it."""
+    after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+    if len(states) * len(options) > DENSE:
+        single = [(c, extra) for c, extra in options if len(c) == 1 and c != " "]
+        if single:
+            dense(states, single, code, model, after)
+            options = [o for o in options if len(o[0]) != 1 or o[0] == " "]
+    for (a, b), (cost, said) in states.items():
+        for letters, extra in options:
+            x, y, total = a, b, cost + extra
+            if letters == " " and y == 0:
+                letters = ""
+            for c in letters:
+                k = code.get(c, 0) if c != " " else 0
+                total -= float(model[x, y, k])
+                x, y = y, k
+            if (x, y) not in after or total < after[x, y][0]:
+                after[x, y] = (total, (said, letters) if letters else said)
+    return after
+
+
+def reach(states: dict, places: list, i: int, code: dict[str, int], model: np.ndarray) -> tuple[int, float]:
+    """The next place where all paths meet (behind two plain letters, or the end), and what some path costs up to there."""
+    plain = lambda options: len(options) == 1 and len(options[0][0]) == 1 and options[0][0] != " "
+    for j in range(i, len(places)):
+        states = step(dict(heapq.nsmallest(PROBES, states.items(), key=lambda s: s[1][0])), places[j], code, model)
+        if j > i and plain(places[j]) and plain(places[j - 1]):
+            break
+    return j + 1, min(s[0] for s in states.values())
+
+
 def decode(token: str, model: np.ndarray) -> str:
-    """The cheapest reading of a token: words, with blanks where it falls apart."""
+    """The cheapest reading of a token: words, with blanks where it falls apart. Costs never fall along a path, so a state that
+    costs more than some path up to where all meet is on no cheapest path; no other state is left out."""
     code = {c: int(CODE[ord(c)]) if ord(c) < 1 << 16 else 0 for c in set(token) | set(LETTERS)}
-    # A path is what was said last and the path before it, so a place costs the same wherever it stands.
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    for options in itertools.chain(lattice(token), [[(" ", 0.0)]]):
-        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-        for (a, b), (cost, said) in states.items():
-            for letters, extra in options:
-                x, y, total = a, b, cost + extra
-                if letters == " " and y == 0:
-                    letters = ""
-                for c in letters:
-                    k = code.get(c, 0) if c != " " else 0
-                    total -= float(model[x, y, k])
-                    x, y = y, k
-                if (x, y) not in after or total < after[x, y][0]:
-                    after[x, y] = (total, (said, letters) if letters else said)
-        if len(after) > BEAM:
-            after = dict(sorted(after.items(), key=lambda s: s[1][0])[:BEAM])
-        states = after
+    places = [*lattice(token), [(" ", 0.0)]]
+    until, bound = 0, math.inf
+    for i, options in enumerate(places):
+        if len(states) * len(options) > DENSE:
+            if i >= until:
+                until, bound = reach(states, places, i, code, model)
+            states = {s: v for s, v in states.items() if v[0] <= bound}
+        states = step(states, options, code, model)
     path, parts = min(states.values(), key=lambda s: s[0])[1], []
     while path:
         path, letters = path
@@ -185,14 +230,44 @@ def odd(token: str) -> bool:
     return bool((LETTER.search(token) and OTHER.search(token)) or TRIPLE.search(token))
 
 
+def trimmed(token: str, front: frozenset[str], back: frozenset[str]) -> str:
+    """A token without the signs at its ends, but for those in ``front`` and ``back``."""
+    i, j = 0, len(token)
+    while i < j and not (token[i].isalnum() or token[i] in front):
+        i += 1
+    while i < j and not (token[j - 1].isalnum() or token[j - 1] in back):
+        j -= 1
+    return token[i:j]
+
+
+def ends_there(bare: str, whole: str, model: np.ndarray) -> bool:
+    """Whether a plain word ends before the signs behind it: any other reading goes on with one of their letters, and no
+    such letter is cheaper than the word's end, after which signs cost nothing. What is left open is decoded."""
+    behind = whole[len(bare) :]
+    if not whole.startswith(bare) or DOUBLE.search(bare) or any(c.isspace() for c in behind):
+        return False
+    known = codes(bare)
+    if not known.all():
+        return False
+    row = model[known[-2] if len(known) > 1 else 0, known[-1]]
+    costs = [LEET_COST - row[CODE[ord(letter)]] for c in {*behind} for letter in LEET.get(c, "")]
+    if any(c in WILD for c in behind):
+        costs.append(WILD_COST - row[1:27].max())
+    return -row[0] < min(costs)
+
+
 def restored(token: str, model: np.ndarray) -> list[str]:
-    """The words of a lower-case token. Most tokens are words as they stand."""
-    bare = EDGE.sub("", token)
+    """The words of a lower-case token. Most tokens are words as they stand. One with signs at its ends that may be letters has
+    the words of both readings."""
+    bare, whole = trimmed(token, FRONT, frozenset()), trimmed(token, READABLE, READABLE)
+    disguised = lambda t: odd(t) and any(c.isalpha() or c in LOOKALIKE for c in t)
     if bare.isalpha() and not TRIPLE.search(bare):
-        return [bare]
-    if not odd(bare) or not any(c.isalpha() or c in LOOKALIKE for c in bare):
-        return [w for w in re.split(r"[\W\d_]+", bare) if w]
-    return decode(bare, model).split()
+        found = [bare]
+    else:
+        found = decode(bare, model).split() if disguised(bare) else [w for w in re.split(r"[\W\d_]+", bare) if w]
+    if whole != bare and disguised(whole) and not (found == [bare] and ends_there(bare, whole, model)):
+        found = list(dict.fromkeys([*found, *decode(whole, model).split()]))
+    return found
 
 
 def spaced_out(text: str) -> list[str]:
