@@ -636,6 +636,28 @@ def test_anchors_depend_on_the_window_alone():
         assert len(places) == 1
 
 
+@pytest.mark.parametrize("hot", [3, 10_000])
+def test_frequent_line_in_different_surroundings(spark, monkeypatch, hot):
+    """A line shorter than a window is one anchor of many unlike windows; hot anchors deal them by their hashes."""
+    rng = np.random.default_rng(5)
+    line = prose(rng, 20)
+    rows_ = [(i, f"{prose(rng, 40)} {line} {prose(rng, 40)}") for i in range(60)]
+    rows_ += [(100 + i, rows_[i % 7][1]) for i in range(20)] + [(200 + i, f"{line} {rows_[i][1]} {line}") for i in range(9)]
+    monkeypatch.setattr(substrings, "HOT", hot)
+    df = spark.createDataFrame(rows_, "doc_id long, text string").repartition(5)
+    got = substrings.remove_repeats(df).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()
+    assert Counter(map(tuple, got)) == Counter(brute_repeats(rows_))
+    texts = df.withColumn("row", F.xxhash64("doc_id", "text")).select("row", "text")
+    told = substrings.repeated(texts.mapInArrow(substrings.symbols, substrings.OCCURRENCES), hot).where("key is not null").select("key").distinct().collect()
+    assert bool(told) == (hot == 3)
+    if told:
+        names = np.sort(np.array([r.key for r in told], np.int64).view(np.uint64))
+        found = substrings.repeated(texts.mapInArrow(substrings.symbols, substrings.OCCURRENCES), hot).where("row is not null")
+        listed = texts.join(substrings.listed(found), F.col("row") == F.col("l_row"))
+        most = lambda h: listed.mapInArrow(lambda b: substrings.windows(b, h), substrings.CANDIDATES).where("hashes is not null").groupBy("key").count().agg(F.max("count")).first()[0]
+        assert most(names) < 10 < 40 < most(names[:0])
+
+
 # --- neighbours
 
 

@@ -15,7 +15,8 @@ window's anchor. Equal windows have equal anchors at equal places.
 3. Words covered by an equal window go.
 
 What repeats inside one batch of a task is settled there, and one row tells the other batches: a passage that a third of all
-documents share costs a row per batch, and no key gathers rows in proportion to its number of copies.
+documents share costs a row per batch, and no key gathers rows in proportion to its number of copies. Windows that differ can share an anchor, such
+as a line of 8 to 34 words that stands in many surroundings: the windows of an anchor with over ``HOT`` occurrences are dealt by their own hashes.
 
 Defined cases: null text has no words; texts shorter than a window lose nothing; rows with equal doc_id or equal in all columns are separate
 occurrences; runs of one word repeat themselves; an empty table gives an empty result; columns with clashing names are replaced.
@@ -42,6 +43,7 @@ LONGEST = 8
 BATCH_BYTES = 2 << 20
 TABLE = 1 << 16
 BUCKET_ROWS = 20_000
+HOT = 10_000
 LENGTH_BITS = 32
 
 _rng = np.random.default_rng(20240607)
@@ -201,7 +203,7 @@ OCCURRENCES = "key long, row long, place long, weight int"
 
 def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of anchors. One that repeats in this batch is known to be repeated: it gets a key of its own and weight 2, and
-    a row without a document tells the other batches."""
+    a row without a document, which weighs as much as they are, tells the other batches."""
     word_powers = powers(WORD_BASE, TABLE)
     for batch in batches:
         for part, raws in batches_of(batch):
@@ -212,14 +214,15 @@ def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             place = place[changes(place)]
             key, owner = p.names(place), p.owner[place]
             row, place = part.column("row").to_numpy()[owner], place - p.doc[owner]
-            again, lead = repeats(key)
+            again, _ = repeats(key)
+            told, times = np.unique(key[again], return_counts=True)
             own = np.where(again, mixed(key + mixed(row.view(np.uint64) ^ place.astype(np.uint64))), key)
-            n, told = len(key), int(lead.sum())
+            none = np.zeros(len(told), np.int64)
             yield pa.record_batch({
-                "key": pa.array(np.concatenate([own, key[lead]]).view(np.int64)),
-                "row": pa.array(np.concatenate([row, np.zeros(told, np.int64)]), mask=np.repeat([False, True], [n, told])),
-                "place": pa.array(np.concatenate([place, np.zeros(told, np.int64)])),
-                "weight": pa.array(np.concatenate([np.where(again, 2, 1), np.full(told, 2)]).astype(np.int32)),
+                "key": pa.array(np.concatenate([own, told]).view(np.int64)),
+                "row": pa.array(np.concatenate([row, none]), mask=np.repeat([False, True], [len(key), len(told)])),
+                "place": pa.array(np.concatenate([place, none])),
+                "weight": pa.array(np.concatenate([np.where(again, 2, 1), times]).astype(np.int32)),
             })
 
 
@@ -236,9 +239,9 @@ def runs(key: np.ndarray, row: np.ndarray, begins: np.ndarray, hashes: np.ndarra
     return key[cut].view(np.int64).tolist(), row[cut].tolist(), begins[cut].tolist(), blobs
 
 
-def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def windows(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The windows of repeated anchors with their hashes. Windows that repeat in this batch are settled: they come as ranges of
-    words without hashes, and a row without a document tells the other batches."""
+    words without hashes, and a row without a document tells the other batches. ``hot`` anchors (sorted names) give their windows keys of their own."""
     word_powers = powers(WORD_BASE, TABLE)
     for batch in batches:
         for part, raws in batches_of(batch):
@@ -253,6 +256,9 @@ def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begins, place = begins[use := known[place]], place[use]
             hashes, key, owner = p.window_hashes(begins), p.names(place), p.owner[begins]
             row, at = part.column("row").to_numpy()[owner], begins - p.doc[owner]
+            if len(hot):
+                spread = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key
+                key = np.where(spread, mixed(key ^ hashes), key)
             again, lead = repeats(hashes)
             keys, rows, places, blobs = runs(key[~again], row[~again], at[~again], hashes[~again])
             k, _, a, b = runs(key[lead], row[lead], at[lead], hashes[lead])
@@ -320,10 +326,13 @@ def removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- the operator
 
 
-def repeated(occurrences: DataFrame) -> DataFrame:
-    """row, place of the occurrences whose key weighs at least 2 over all documents."""
+def repeated(occurrences: DataFrame, hot: int) -> DataFrame:
+    """row, place of the occurrences whose key weighs at least 2 over all documents; key and weight of those that weigh over ``hot``,
+    also without a row."""
     weighed = occurrences.withColumn("weight", F.sum("weight").over(Window.partitionBy("key")))
-    return weighed.where((F.col("weight") >= 2) & F.col("row").isNotNull()).select("row", "place")
+    above = F.col("weight") > hot
+    kept = weighed.where((F.col("weight") >= 2) & (F.col("row").isNotNull() | above))
+    return kept.select("row", "place", F.when(above, F.col("key")).alias("key"), F.when(above, F.col("weight")).alias("weight"))
 
 
 def listed(places: DataFrame) -> DataFrame:
@@ -335,10 +344,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with kept (the words that stay, joined by one space), n_words and n_removed."""
     base = docs.drop("row", "places", "kept", "n_words", "n_removed")
     texts = base.withColumn("row", F.xxhash64("doc_id", "text"))
-    found = stored(repeated(texts.select("row", "text").mapInArrow(symbols, OCCURRENCES)), "repeated-symbols")
-    buckets = max(1, -(-found.count() // BUCKET_ROWS))
-    with_list = texts.join(listed(found), F.col("row") == F.col("l_row")).drop("l_row")
-    candidates = with_list.mapInArrow(windows, CANDIDATES).withColumn("bucket", F.pmod("key", F.lit(buckets)))
+    found = stored(repeated(texts.select("row", "text").mapInArrow(symbols, OCCURRENCES), HOT), "repeated-symbols")
+    places = found.where(F.col("row").isNotNull()).select("row", "place")
+    # An anchor counts if it has over HOT occurrences, so there are at most a HOT-th as many as occurrences.
+    told = found.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("weight").alias("weight")).collect()
+    hot = np.sort(np.array([r.key for r in told], np.int64).view(np.uint64))
+    buckets = max(1, -(-(places.count() + CONTEXT * sum(r.weight for r in told)) // BUCKET_ROWS))
+    with_list = texts.join(listed(places), F.col("row") == F.col("l_row")).drop("l_row")
+    candidates = with_list.mapInArrow(lambda b: windows(b, hot), CANDIDATES).withColumn("bucket", F.pmod("key", F.lit(buckets)))
     covered = candidates.groupBy("bucket").applyInArrow(lambda t: verify(t), "row long, place long")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema) + ", kept string, n_words long, n_removed long"
     return texts.join(listed(covered), F.col("row") == F.col("l_row"), "left").drop("l_row").mapInArrow(removal, schema)
