@@ -661,6 +661,19 @@ def test_frequent_line_in_different_surroundings(spark, monkeypatch, hot):
 # --- neighbours
 
 
+def test_repeated_query_rows(spark):
+    rng = np.random.default_rng(4)
+    table = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(60)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    asked = df.where("vec_id in (0, 50)")
+    other = spark.createDataFrame([(50, [1.0, 2.0, 3.0, 4.0])], df.schema)
+    rank = lambda found: sorted((r.query_id, r.rank, r.vec_id) for r in found.collect())
+    once = rank(neighbours.nearest(df, asked, relax=1.0))
+    assert rank(neighbours.nearest(df, asked.union(asked).union(asked), relax=1.0)) == once
+    both = rank(neighbours.nearest(df, asked.union(other), relax=1.0))
+    assert both == sorted(once + rank(neighbours.nearest(df, other, relax=1.0))) and len(both) == 15
+
+
 def brute_nearest(vectors, k=5):
     ok = {i: np.array(v, float) for i, v in vectors if v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)}
     for q in ok:

@@ -13,7 +13,8 @@ Rows with equal (id, vector) copies beyond k + 1 in one shard cannot be among a
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, or whose length differs from ``dim`` where
 given, take no part, neither as query nor as candidate; rows with a null id likewise. Rows with an equal id are separate candidates;
-a query never meets rows of its own id. Ties go to the smaller id. With fewer candidates than k all are returned. An empty table gives
+a query never meets rows of its own id. Query rows that are equal in id and vector are one query with one result; an id on
+different vectors is a query for each of them, and each has its own ranks under that id. Ties go to the smaller id. With fewer candidates than k all are returned. An empty table gives
 an empty result.
 """
 
@@ -145,7 +146,7 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for each query its k nearest rows, nearest first."""
     clean = lambda df: df.select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec")).where(F.col("id").isNotNull() & valid(F.col("vec")))
-    points, asked = clean(rows), clean(queries)
+    points, asked = clean(rows), clean(queries).dropDuplicates(["id", "vec"]).withColumn("ask", F.xxhash64("id", "vec"))
     shape = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("hi"), F.min(F.size("vec")).alias("lo")).first()
     if shape.n and shape.hi != shape.lo:
         raise ValueError("the vectors differ in their number of components")
@@ -154,18 +155,18 @@ def nearest(
     # Equal ids are dealt by their vector too, so repeated rows do not fill one shard.
     points = points.withColumn("shard", F.pmod(F.xxhash64("id", "vec"), F.lit(shards)).cast("int"))
     points = points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    asked = asked.withColumn("block", F.pmod(F.col("ask"), F.lit(blocks)).cast("int"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
     def search(data: pa.Table, ask: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        empty = pa.table({"query_id": pa.array([], pa.int64()), "ask": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not data.num_rows or not ask.num_rows:
             return empty
         data, ask = data.sort_by("id"), ask.sort_by("id")
         vectors, q = matrix(data.column("vec")) + 0.0, matrix(ask.column("vec"))  # + 0.0: a negative zero equals a zero
         if vectors.shape[1] != q.shape[1]:
             raise ValueError("queries and rows differ in their number of components")
-        ids, own = data.column("id").to_numpy(), ask.column("id").to_numpy()
+        ids, own, name = data.column("id").to_numpy(), ask.column("id").to_numpy(), ask.column("ask").to_numpy()
         points, of = np.unique(vectors, axis=0, return_inverse=True)
         members = np.argsort(of, kind="stable")  # by class, then by id
         begin = np.searchsorted(of[members], np.arange(len(points) + 1))
@@ -182,12 +183,12 @@ def nearest(
         nth = np.arange(len(each)) - np.repeat(np.cumsum(copies) - copies, copies)
         vec_id = ids[members[begin[point[each]] + nth]]
         other = vec_id != own[who[each]]
-        return pa.table({"query_id": own[who[each]][other], "vec_id": vec_id[other], "score": score[each][other]})
+        return pa.table({"query_id": own[who[each]][other], "ask": name[who[each]][other], "vec_id": vec_id[other], "score": score[each][other]})
 
-    found = points.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(search, "query_id long, vec_id long, score double")
+    found = points.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(search, "query_id long, ask long, vec_id long, score double")
     # The best k of a query over all shards; each shard has sent a few rows only.
     best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id", "score"))), 1, k)
-    top = found.groupBy("query_id").agg(best.alias("best"))
+    top = found.groupBy("query_id", "ask").agg(best.alias("best"))
     return top.select("query_id", F.posexplode("best").alias("rank", "b")).select(
         "query_id", (F.col("rank") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), F.col("b.score").alias("score")
     )
