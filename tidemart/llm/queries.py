@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import fingerprints, mixing, neighbours, packing, quality, sharding, simhash, substrings, toxicity, urls
+from tidemart.llm import conversations, fingerprints, mixing, neighbours, packing, quality, sharding, simhash, substrings, toxicity, urls
 from tidemart.llm.common import documents
 from tidemart.session import load
 
@@ -70,6 +70,10 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard", "shard_without")
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_damaged(load(spark, folder, "conversations"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_neighbours": op9_neighbours,
     "op10_sharding": op10_sharding,
+    "op11_conversations": op11_conversations,
     "pipeline": pipeline,
 }
 
