@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import conversations, fingerprints, mixing, neighbours, packing, quality, sharding, simhash, substrings, toxicity, urls
+from tidemart.llm import conversations, fingerprints, mixing, neighbours, packing, quality, sharding, simhash, substrings, toxicity, urls, variants, warc
 from tidemart.llm.common import documents
-from tidemart.session import load
+from tidemart.session import load, scratch_path
 
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
 
@@ -74,6 +74,19 @@ def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.repair_damaged(load(spark, folder, "conversations"))
 
 
+def op12_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variants(variants.vocabulary(documents(spark, folder)))
+
+
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to archives in the shared folder and read back from them."""
+    archives = scratch_path(spark, "warc")
+    warc.write(load(spark, folder, "pages"), archives)
+    found = warc.resolve(warc.read_records(spark, archives))
+    ids = [F.col(c).cast("long").alias(c) for c in ("page_id", "refers_to")]
+    return found.select(ids[0], "payload_bytes", "payload_digest", "record_type", ids[1])
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_neighbours": op9_neighbours,
     "op10_sharding": op10_sharding,
     "op11_conversations": op11_conversations,
+    "op12_variants": op12_variants,
+    "op13_warc": op13_warc,
     "pipeline": pipeline,
 }
 
