@@ -14,9 +14,9 @@ documents; ties of scores go to the smaller (doc_id, tokens); an empty table giv
 from __future__ import annotations
 
 import re
-import struct
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +30,8 @@ WINDOW = 4096
 END_ID = 2
 SHARD_TOKENS = 1_000_000
 K1, B = 1.2, 0.75
-CACHED_WORDS = 500_000
+# A worker holds two generations of at most so many words, none longer than this: about 60 MB in all.
+CACHED_WORDS, CACHED_LENGTH = 170_000, 40
 LETTERS_THEN_SIGNS = re.compile(r"([^\W\d_]*)([.,!?;:*#$%&|]*)\Z").match
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -45,6 +46,45 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Words(dict):
+    """Ids of lower-case words as two-byte integers, worked out when a word is first asked for.
+
+    What is held is bounded: a full generation becomes the old one, whose words come back when they are asked for again.
+    """
+
+    def __init__(self, tokenizer, cached: int):
+        super().__init__()
+        self.tokenizer, self.model, self.spelling, self.cached = tokenizer, tokenizer.model, byte_letters(), cached
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.learn(word)
+        if len(word) <= CACHED_LENGTH:
+            if len(self) >= self.cached:
+                self.old = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        """Ids of a run of letters or of signs."""
+        spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.spelling)
+        return array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def learn(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha() and word.islower():
+            return array("H", [t.id for t in self.model.tokenize(word)]).tobytes()
+        m = LETTERS_THEN_SIGNS(word)
+        letters, signs = m.groups() if m else ("", "")
+        if not m or letters and not (letters.isalpha() and (letters.isascii() or unicodedata.is_normalized("NFC", letters)) and letters == letters.lower()):
+            return array("H", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if letters and signs:
+            return self[letters] + self[signs]
+        return self._part(word) if word else b""
+
+
 class WordTokens:
     """Token ids of a text, worked out once per distinct word.
 
@@ -58,45 +98,13 @@ class WordTokens:
 
         store = worker_store("tokens")
         if store.get("path") != path:
-            tokenizer = Tokenizer.from_file(path)
-            store.update(path=path, tokenizer=tokenizer, model=tokenizer.model, words={})
-        self.tokenizer, self.model, self.words, self.cached = store["tokenizer"], store["model"], store["words"], cached
-        self.spelling = byte_letters()
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}H", *ids)
-
-    def _part(self, part: str) -> bytes:
-        """Ids of a run of letters or of signs."""
-        spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.spelling)
-        return self._pack([t.id for t in self.model.tokenize(spelled)])
-
-    def learn(self, new: set[str]) -> None:
-        words = self.words
-        for w in new:
-            m = LETTERS_THEN_SIGNS(w)
-            letters, signs = m.groups() if m else ("", "")
-            if not m or letters and not (letters.isalpha() and (letters.isascii() or unicodedata.is_normalized("NFC", letters)) and letters == letters.lower()):
-                words[w] = self._pack(self.tokenizer.encode(w, add_special_tokens=False).ids)
-                continue
-            if letters and letters not in words:
-                words[letters] = self._part(letters)
-            if signs and signs not in words:
-                words[signs] = self._part(signs)
-            if letters and signs:
-                words[w] = words[letters] + words[signs]
-            elif not letters and not signs:
-                words[w] = b""
+            store.update(path=path, words=Words(Tokenizer.from_file(path), cached))
+        self.words = store["words"]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as two-byte integers."""
         # The tokenizer lowers letter by letter; Python differs for one letter only, at a word's end.
         lists = [(t if "\u03a3" in t else t.lower()).replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*lists).difference(self.words)
-        if len(self.words) + 2 * len(new) > self.cached:
-            self.words.clear()
-            new = set().union(*lists)
-        self.learn(new)
         return [b"".join(map(self.words.__getitem__, words)) for words in lists]
 
 
@@ -262,6 +270,7 @@ def packed_tokens(tokens: DataFrame, window: int = WINDOW, shard_tokens: int = S
     shards = max(1, -(-total // shard_tokens))
 
     def run(table: pa.Table) -> pa.Table:
+        worker_store("packing")  # the words of the stage before go
         raw, shard = table.column("ids").to_pylist(), table.column("shard")[0].as_py()
         keys = table.column("doc_id").to_pylist()
         order = sorted(range(len(raw)), key=lambda i: (keys[i] is None, keys[i] or 0, raw[i]))
