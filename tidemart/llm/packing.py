@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +31,10 @@ WINDOW = 4096
 END_ID = 2
 SHARD_TOKENS = 1_000_000
 K1, B = 1.2, 0.75
-# A worker holds two generations of at most so many words, none longer than this: about 60 MB in all.
-CACHED_WORDS, CACHED_LENGTH = 170_000, 40
+# A worker holds at most so many words, none longer than this: about 80 MB in all.
+CACHED_WORDS, CACHED_LENGTH = 340_000, 40
+# Texts are worked on together up to so many characters.
+TOGETHER = 6 << 20
 LETTERS_THEN_SIGNS = re.compile(r"([^\W\d_]*)([.,!?;:*#$%&|]*)\Z").match
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -49,21 +52,17 @@ def byte_letters() -> dict[int, str]:
 class Words(dict):
     """Ids of lower-case words as two-byte integers, worked out when a word is first asked for.
 
-    What is held is bounded: a full generation becomes the old one, whose words come back when they are asked for again.
+    What is held is bounded: a full table is begun anew.
     """
 
     def __init__(self, tokenizer, cached: int):
         super().__init__()
         self.tokenizer, self.model, self.spelling, self.cached = tokenizer, tokenizer.model, byte_letters(), cached
-        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.learn(word)
+        ids = self.learn(word)
         if len(word) <= CACHED_LENGTH:
             if len(self) >= self.cached:
-                self.old = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -101,11 +100,24 @@ class WordTokens:
             store.update(path=path, words=Words(Tokenizer.from_file(path), cached))
         self.words = store["words"]
 
+    def together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many there are up to the end of each text."""
+        # The tokenizer lowers letter by letter; Python differs for one letter only, at a word's end.
+        lower = pa.array([(t if "\u03a3" in t else t.lower()).replace("\n", " ") for t in texts], pa.string())
+        split = pc.split_pattern(lower, " ")
+        coded = split.flatten().dictionary_encode()
+        known = [*map(self.words.__getitem__, coded.dictionary.to_pylist())]
+        pool, lengths = ids_of(b"".join(known)), np.fromiter(map(len, known), np.int32, len(known)) >> 1
+        word = coded.indices.to_numpy()
+        size, starts = lengths[word], (np.cumsum(lengths, dtype=np.int32) - lengths)[word]
+        after = np.cumsum(size, dtype=np.int32)
+        take = np.repeat(starts - (after - size), size) + np.arange(after[-1], dtype=np.int32)
+        return pool[take], np.concatenate([[0], after]).astype(np.int64)[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as two-byte integers."""
-        # The tokenizer lowers letter by letter; Python differs for one letter only, at a word's end.
-        lists = [(t if "\u03a3" in t else t.lower()).replace("\n", " ").split(" ") for t in texts]
-        return [b"".join(map(self.words.__getitem__, words)) for words in lists]
+        ids, ends = self.together(texts)
+        return [x.tobytes() for x in np.split(ids, ends[:-1])]
 
 
 def slices(text: str, size: int = 1 << 19) -> Iterator[str]:
@@ -124,21 +136,28 @@ def tokenised(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, ids (two bytes each, with the end token), tokens, salt (deals rows with one doc_id to different shards)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end, seen = WordTokens(tokenizer_path), np.array([END_ID], "<u2").tobytes(), 0
+        coder, end, seen = WordTokens(tokenizer_path), np.array([END_ID], "<u2"), 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 128):
-                part = batch.slice(i, 128)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                short = [t if len(t) < 1 << 20 else "" for t in texts]
-                raw = [x + end for x in coder.encode(short)]
-                for k, t in enumerate(texts):
-                    if len(t) >= 1 << 20:
-                        raw[k] = b"".join(coder.encode([s])[0] for s in slices(t)) + end
+            texts, first = [t or "" for t in batch.column("text").to_pylist()], 0
+            while first < batch.num_rows:
+                last, held = first, 0
+                while last < batch.num_rows and (held := held + len(texts[last])) <= TOGETHER:
+                    last += 1
+                if last == first:  # one that is longer
+                    last += 1
+                    ids = np.concatenate([coder.together([part])[0] for part in slices(texts[first])])
+                    ends = np.array([len(ids)])
+                else:
+                    ids, ends = coder.together(texts[first:last])
+                n = last - first
+                begin = np.concatenate([[0], 2 * (ends + np.arange(1, n + 1))])
+                raw = pa.py_buffer(np.insert(ids, ends, end[0]).tobytes())
+                packed = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(begin.astype(np.int32).tobytes()), raw])
                 yield pa.record_batch({
-                    "doc_id": part.column("doc_id"), "ids": pa.array(raw, pa.binary()),
-                    "tokens": pa.array([len(x) // 2 for x in raw], pa.int64()), "salt": pa.array(range(seen, seen + len(raw)), pa.int64()),
+                    "doc_id": batch.column("doc_id").slice(first, n), "ids": packed, "tokens": pa.array(np.diff(begin) >> 1, pa.int64()),
+                    "salt": pa.array(np.arange(seen, seen + n), pa.int64()),
                 })
-                seen += len(raw)
+                first, seen = last, seen + n
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary, tokens long, salt long")
 
