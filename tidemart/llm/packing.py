@@ -31,8 +31,8 @@ WINDOW = 4096
 END_ID = 2
 SHARD_TOKENS = 1_000_000
 K1, B = 1.2, 0.75
-# A worker holds at most so many words, none longer than this: about 80 MB in all.
-CACHED_WORDS, CACHED_LENGTH = 340_000, 40
+# A worker holds at most so many words, none longer than this: about 130 MB in all.
+CACHED_WORDS, CACHED_LENGTH = 600_000, 40
 # Texts are worked on together up to so many characters.
 TOGETHER = 6 << 20
 LETTERS_THEN_SIGNS = re.compile(r"([^\W\d_]*)([.,!?;:*#$%&|]*)\Z").match
