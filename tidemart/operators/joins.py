@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import join_keys
 from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.operators.sweep import held_versions
 from tidemart.session import broadcast_limit, plan_bytes, reused
 
 
@@ -84,7 +85,7 @@ def disjoint_versions(
 
     Where ranges overlap, the version that starts last holds (of equal starts the one that ends last); one that it interrupts holds again
     after it. Ranges without a moment go. One ordered scan finds the keys that have overlaps; usually there are none. Only their
-    versions are cut at each other's bounds, which pairs the bounds of a key with its versions.
+    versions are swept, with a stack of open versions (``sweep.held_versions``); a key with many of them in slices.
     """
     kind = dict(dim.dtypes)[start]
     stop = F.col(end) if half_open else _beside(F.col(end), kind, 1)
@@ -94,10 +95,10 @@ def disjoint_versions(
     if overlapping.isEmpty():
         return real.drop("_stop")
     mixed = reused(join_keys(real, overlapping, keys, "left_semi"))
-    bounds = mixed.select(*keys, F.col(start).alias("_at")).union(mixed.select(*keys, F.col("_stop").alias("_at"))).distinct()
-    parts = ordered_scan(bounds, keys, ["_at"], [Scan("_until", "lead", "_at")], **limits).filter("_until IS NOT NULL")
-    held = join_keys(parts, mixed, keys).filter((F.col(start) <= F.col("_at")) & (F.col("_at") < F.col("_stop")))
-    best = held.groupBy(*keys, "_at", "_until").agg(F.max_by(F.struct(*dim.columns), F.struct(start, "_stop")).alias("_row"))
+    # Of versions with equal bounds one stands for all, the same in every run.
+    one = mixed.groupBy(*keys, start, "_stop").agg(F.max_by(F.struct(*dim.columns), F.xxhash64(*dim.columns)).alias("_row"))
+    held = held_versions(mixed, keys, start, "_stop", **limits)
+    best = join_keys(held, one, [*keys, start, "_stop"])
     last = F.col("_until") if half_open else _beside(F.col("_until"), kind, -1)
     place = {start: F.col("_at"), end: last}
     cut = best.select(*[place.get(c, F.col("_row")[c]).alias(c) for c in dim.columns])
