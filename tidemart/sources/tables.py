@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.session import settle
+from tidemart.session import input_bytes, settle
 
 
 @dataclass(frozen=True)
@@ -62,6 +62,9 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 BUCKET = "_bucket"
+BUCKET_BYTES = 256 << 20
+# Bounds the list of touched buckets, which reaches the driver.
+MOST_BUCKETS = 20_000
 
 
 @dataclass(frozen=True)
@@ -70,7 +73,8 @@ class BucketedTable:
 
     Spark's dynamic partition overwrite stages the new files and swaps them in when the job commits; files of other buckets stay. One
     writer per table. The number of buckets is fixed when the table is made: it bounds both the list of touched buckets and the
-    size of what a small source rewrites.
+    size of what a small source rewrites; ``sized`` lets it follow the rows. A bucket is written by as many tasks as its size needs
+    (Spark rebalances by size), so none of them is one task's.
     """
 
     spark: SparkSession
@@ -78,6 +82,12 @@ class BucketedTable:
     keys: Sequence[str]
     buckets: int = 64
 
+    @classmethod
+    def sized(cls, spark: SparkSession, path: str, keys: Sequence[str], first: DataFrame) -> BucketedTable:
+        """A table with a bucket per ``BUCKET_BYTES`` of what it will hold, by Catalyst's estimate of the first load."""
+        wanted = input_bytes(first) // BUCKET_BYTES
+        return cls(spark, path, keys, int(min(MOST_BUCKETS, max(16, wanted))))
+
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
@@ -90,8 +100,16 @@ class BucketedTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path).drop(BUCKET)
 
+    def _touched(self, source: DataFrame) -> list[int]:
+        return sorted(r[0] for r in source.select(self.bucket()).distinct().collect())  # at most ``buckets`` numbers
+
+    def read_touched(self, source: DataFrame) -> DataFrame:
+        """The rows of the buckets that the keys of ``source`` fall into; the others are not read."""
+        touched = self._touched(source)
+        return self.spark.read.parquet(self.path).where(F.col(BUCKET).isin(touched) if touched else F.lit(False)).drop(BUCKET)
+
     def _write(self, df: DataFrame) -> None:
-        placed = df.withColumn(BUCKET, self.bucket()).repartition(BUCKET)
+        placed = df.withColumn(BUCKET, self.bucket()).hint("rebalance", BUCKET)
         placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path)
 
     def merge(
@@ -104,7 +122,7 @@ class BucketedTable:
         if not self.exists():
             self._write(apply(None, source))
             return list(range(self.buckets))
-        touched = sorted(r[0] for r in source.select(self.bucket()).distinct().collect())  # at most ``buckets`` numbers
+        touched = self._touched(source)
         if not touched:
             return []
         part = self.spark.read.parquet(self.path).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
