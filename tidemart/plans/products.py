@@ -9,20 +9,61 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import join_keys, latest_by
 from tidemart.operators.scan import Scan, dense_ranks, global_tiles, ordered_scan
+from tidemart.session import reused
 
 
-def co_occurrence(items: DataFrame, basket: str, item: str, dims: Sequence[str] = ()) -> DataFrame:
-    """Number of baskets each unordered pair of items shares, per dimension of the basket.
+BLOCK = 1024
+PAIR_SLOTS = 1 << 22
 
-    For items of a bounded vocabulary (departments, brands). Baskets become distinct item lists, equal lists are
-    counted once with their weight, and only one representative of each list gives pairs.
+
+def _pairs(unique: DataFrame, by: Sequence[str], item: str, block: int) -> DataFrame:
+    """Pairs ``item_a`` < ``item_b`` of every basket's distinct items with a weight ``w``, not yet summed.
+
+    Baskets of up to ``block`` items become lists; equal lists count once with their weight. A larger basket's items are dealt to blocks, and
+    each cell of two blocks makes the pairs between them, so one basket is as many groups as it has cells.
     """
-    by = [*dims, basket]
-    lists = items.select(*by, item).distinct().groupBy(*by).agg(F.array_sort(F.collect_list(item)).alias("set"))
+    dims = by[:-1]
+    sizes = unique.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    large = reused(sizes.filter(F.col("_n") > block))
+    some = not large.isEmpty()
+    plain = join_keys(unique, large, by, "left_anti") if some else unique
+    lists = plain.groupBy(*by).agg(F.array_sort(F.collect_list(item)).alias("set"))
     weighted = lists.groupBy(*dims, "set").agg(F.count(F.lit(1)).alias("w")).filter(F.size("set") > 1)
     firsts = weighted.select(*dims, "set", "w", F.posexplode("set").alias("i", "item_a"))
-    pairs = firsts.select(*dims, "w", "item_a", F.explode(F.expr("slice(set, i + 2, size(set))")).alias("item_b"))
-    return pairs.groupBy(*dims, "item_a", "item_b").agg(F.sum("w").alias("baskets"))
+    pairs = firsts.select(*dims, "item_a", F.explode(F.expr("slice(set, i + 2, size(set))")).alias("item_b"), "w")
+    if not some:
+        return pairs
+    blocks = F.ceil(F.col("_n") / block).cast("int")
+    placed = join_keys(unique, large, by).withColumn("_b", F.pmod(F.xxhash64(item), blocks).cast("int"))
+    beside = placed.withColumn("_o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    cells = beside.select(*by, F.col(item).alias("_item"), F.least("_b", "_o").alias("_i"), F.greatest("_b", "_o").alias("_j"), "_b")
+    mine = lambda c: F.collect_list(F.when(F.col("_b") == F.col(c), F.col("_item")))
+    sides = cells.groupBy(*by, "_i", "_j").agg(mine("_i").alias("left"), mine("_j").alias("right"))
+    one = sides.select(*dims, "_i", "_j", "right", F.explode("left").alias("x"))
+    both = one.select(*dims, "_i", "_j", "x", F.explode("right").alias("y")).filter((F.col("_i") != F.col("_j")) | (F.col("x") < F.col("y")))
+    tiled = both.select(*dims, F.least("x", "y").alias("item_a"), F.greatest("x", "y").alias("item_b"), F.lit(1).cast("long").alias("w"))
+    return pairs.unionByName(tiled)
+
+
+def co_occurrence(
+    items: DataFrame, basket: str, item: str, dims: Sequence[str] = (), min_baskets: int = 1, block: int = BLOCK, slots: int = PAIR_SLOTS
+) -> DataFrame:
+    """Number of baskets each unordered pair of items shares, per dimension of the basket; pairs in ``min_baskets`` at least.
+
+    With a minimum, items that are in fewer baskets go first, and pairs are counted in hashed slots before they are counted themselves: a slot
+    below the minimum holds no pair that reaches it. The counts are exact either way.
+    """
+    by = [*dims, basket]
+    unique = items.select(*by, item).filter(F.col(item).isNotNull()).distinct()
+    total = F.sum("w").alias("baskets")
+    if min_baskets <= 1:
+        return _pairs(unique, by, item, block).groupBy(*dims, "item_a", "item_b").agg(total)
+    known = unique.groupBy(*dims, item).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_baskets)
+    kept = reused(join_keys(unique, known, [*dims, item], "left_semi"))
+    pairs = _pairs(kept, by, item, block).withColumn("_slot", F.pmod(F.xxhash64("item_a", "item_b"), F.lit(slots)))
+    full = pairs.groupBy(*dims, "_slot").agg(total).filter(F.col("baskets") >= min_baskets)
+    likely = join_keys(pairs, full, [*dims, "_slot"], "left_semi")
+    return likely.groupBy(*dims, "item_a", "item_b").agg(total).filter(F.col("baskets") >= min_baskets)
 
 
 def combination_label(flags: dict[str, Column]) -> Column:
