@@ -4,7 +4,7 @@ from importlib import import_module
 
 MODULES = (
     "semantics", "relational", "loading", "merging", "increments", "checking", "surface",
-    "members", "credits", "traffic", "experiments", "stock", "money", "logistics", "facts",
+    "members", "credits", "traffic", "experiments", "stock", "money", "logistics", "facts", "mechanisms",
 )
 
 
