@@ -91,11 +91,58 @@ def add_details(details: DataFrame, key: str, totals: dict[str, Column], others:
     return step
 
 
-def add_effective(dim: DataFrame, keys: Sequence[str], ts: str, start: str, end: str, column: str, otherwise) -> Callable:
-    """Step: a value valid at the row's moment (a rate, a price), or a default."""
+def add_effective(dim: DataFrame, keys: Sequence[str], ts: str, start: str, end: str, column: str, otherwise, disjoint: bool = False) -> Callable:
+    """Step: a value valid at the row's moment (a rate, a price), or a default.
+
+    ``disjoint``: the dimension was published without overlaps (``joins.disjoint_versions``), so they are not looked for again.
+    """
+
+    def step(df: DataFrame) -> DataFrame:
+        return effective_lookup(df, dim, keys, ts, start, end, [column], disjoint=disjoint).withColumn(column, F.coalesce(column, F.lit(otherwise)))
+
+    return step
+
+
+def add_shipments(shipments: DataFrame, done: str) -> Callable:
+    """Step: cost and carrier of the shipments that were carried out. shipments: order_id, carrier, rate, status."""
+    carried = F.col("status") == done
+    sums = shipments.filter(carried).groupBy("order_id").agg(F.sum("rate").alias("shipping_cost"), F.max("carrier").alias("carrier"))
+
+    def step(df: DataFrame) -> DataFrame:
+        return df.join(sums, "order_id", "left").fillna(0, ["shipping_cost"])
+
+    return step
+
+
+def add_cancellation(cancels: DataFrame, fees: DataFrame) -> Callable:
+    """Step: the first cancellation of an order with its reason, and its delivery fees, which a cancelled order does not pay.
+
+    cancels: order_id, at, reason; fees: order_id, fee.
+    """
+    first = earliest_by(cancels, ["order_id"], ["at", "reason"]).select("order_id", F.col("at").alias("cancelled_at"), F.col("reason").alias("cancel_reason"))
+    paid = fees.groupBy("order_id").agg(F.sum("fee").alias("_fee"))
+
+    def step(df: DataFrame) -> DataFrame:
+        joined = df.join(first, "order_id", "left").join(paid, "order_id", "left")
+        none = F.lit(0).cast(dict(paid.dtypes)["_fee"])
+        fee = F.when(F.col("cancelled_at").isNull(), F.coalesce("_fee", none)).otherwise(none)
+        return joined.withColumn("delivery_fee", fee).drop("_fee")
+
+    return step
+
+
+def add_assumption(assumptions: DataFrame, keys: Sequence[str], ts: str, cost: str, units: str) -> Callable:
+    """Step: an estimated cost from the assumption of the row's month where the real one is not known yet.
+
+    assumptions: keys, month, per_unit; a month without its own takes the last one before it.
+    """
 
     def step(df: DataFrame) -> DataFrame:
-        return effective_lookup(df, dim, keys, ts, start, end, [column]).withColumn(column, F.coalesce(column, F.lit(otherwise)))
+        dated = assumptions.withColumn("_month", F.col("month").cast("timestamp_ntz"))
+        hit = as_of(df, dated, keys, ts, "_month", ["per_unit"], prefix="_a_")
+        estimate = F.coalesce(F.col("_a_per_unit"), F.lit(0.0)) * F.col(units)
+        known = F.col(cost).cast("double")
+        return hit.withColumn(f"{cost}_or_estimate", F.when(known > 0, known).otherwise(estimate)).drop("_a_per_unit")
 
     return step
 
@@ -137,13 +184,15 @@ def order_fact(
     keys: DataFrame | None, orders: DataFrame, lines: DataFrame, payments: DataFrame, credits: DataFrame, vat: DataFrame, rates: DataFrame,
     activations: DataFrame, test_customers: DataFrame, zones: dict[str, str], channels: Sequence[tuple[Column, str]],
     child_rank: dict[str, int], line_states: Sequence[str], payment_kinds: Sequence[str], credit_kinds: Sequence[str],
+    more: Sequence[Callable[[DataFrame], DataFrame]] = (), disjoint: bool = False,
 ) -> DataFrame:
     """Orders of the changed keys with everything the order fact holds: status, dates, units, amounts, payments, credits, VAT, USD
     rate, local time, channel, activation.
 
     orders: order_id, master_id, customer_id, country, currency, ordered_at, status; lines: order_id, state, units, gross, discount,
     tax, shipped_at; payments: order_id, kind, amount, paid_at; credits: order_id, kind, amount; vat and rates: country or
-    currency with start_at, end_at and the value.
+    currency with start_at, end_at and the value (``disjoint``: without overlaps). ``more``: further steps, such as shipments, cancellations
+    and assumptions.
     """
     mine = lambda df: only(df, keys, "order_id")
     lines, payments, credits = mine(lines), mine(payments), mine(credits)
@@ -172,13 +221,14 @@ def order_fact(
             {"first_paid": F.min("paid_at"), "payment_method": F.max_by("kind", F.struct("amount", "kind"))},
         ),
         add_details(credits, "order_id", by_kind("credit", "kind", "amount", credit_kinds)),
-        add_effective(vat, ["country"], "ordered_at", "start_at", "end_at", "vat_rate", 0.0),
-        add_effective(rates, ["currency"], "ordered_at", "start_at", "end_at", "usd_rate", 1.0),
+        add_effective(vat, ["country"], "ordered_at", "start_at", "end_at", "vat_rate", 0.0, disjoint),
+        add_effective(rates, ["currency"], "ordered_at", "start_at", "end_at", "usd_rate", 1.0, disjoint),
         add_local("ordered_at", zones, "country", "ordered_local"),
         add_activation(activations, "customer_id", "ordered_at", "at"),
         add_flag(test_customers, "customer_id", "is_test"),
         amounts,
         lambda df: first_match(df, channels, "channel", "other"),
+        *more,
     ]
     return assemble(keys, orders, "order_id", steps)
 

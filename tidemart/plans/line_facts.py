@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import join_keys, latest_by, row_count
 from tidemart.operators.joins import as_of, effective_lookup
+from tidemart.session import settle
 
 BUNDLE, COMPONENT = "bundle", "component"
 
@@ -62,9 +63,11 @@ def line_tokens(lines: DataFrame, tokens: DataFrame, amounts: Sequence[str]) ->
     return every.groupBy("order_id", "line_id").agg(*[F.sum(a).cast(dict(tokens.dtypes)[a]).alias(a) for a in amounts])
 
 
-def _over(df: DataFrame, column: str, out: str) -> DataFrame:
-    totals = df.groupBy("order_id").agg(F.sum(column).alias(out))
-    return join_keys(df, totals, ["order_id"])
+def _over(df: DataFrame, **columns: str) -> DataFrame:
+    """Sums per order on every line. The lines are computed once: they are read by the sums and by the join."""
+    df = settle(df)
+    totals = df.groupBy("order_id").agg(*[F.sum(c).alias(out) for out, c in columns.items()])
+    return df.join(totals, "order_id")
 
 
 def credit_breakout(lines: DataFrame) -> DataFrame:
@@ -78,16 +81,16 @@ def credit_breakout(lines: DataFrame) -> DataFrame:
     """
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     token = zero("cash_token") + zero("noncash_token")
-    base = _over(_over(_over(lines.withColumn("_token", token), "_token", "_tokens"), "cash_token", "_cash_tokens"), "noncash_token", "_noncash_tokens")
+    base = _over(lines.withColumn("_token", token), _tokens="_token", _cash_tokens="cash_token", _noncash_tokens="noncash_token")
     due = F.when(F.col("cancelled"), F.lit(0.0)).otherwise(zero("subtotal") - zero("discount") + zero("tax") - token)
-    open_ = _over(base.filter(F.col("_tokens") > 0).withColumn("_due", due), "_due", "_order_due")
+    open_ = _over(base.filter(F.col("_tokens") > 0).withColumn("_due", due), _order_due="_due")
     ratio = F.coalesce(F.col("_due") / F.nullif(F.col("_order_due"), F.lit(0.0)), F.lit(0.0))
     credited = open_.withColumns({
         "cash_credit": zero("cash_token") + (F.col("order_cash_credit") - zero("_cash_tokens")) * ratio,
         "noncash_credit": zero("noncash_token") + (F.col("order_noncash_credit") - zero("_noncash_tokens")) * ratio,
     })
     cash = F.when(F.col("cancelled"), F.lit(0.0)).otherwise(zero("subtotal") - zero("discount") + zero("tax") - F.col("cash_credit") - F.col("noncash_credit"))
-    paid = _over(credited.withColumn("_cash", cash), "_cash", "_order_cash")
+    paid = _over(credited.withColumn("_cash", cash), _order_cash="_cash")
     part = F.coalesce(F.col("_cash") / F.nullif(F.col("_order_cash"), F.lit(0.0)), F.lit(0.0))
     return paid.select("order_id", "line_id", "cash_credit", "noncash_credit", (F.col("order_paid") * part).alias("payment"))
 
@@ -121,8 +124,8 @@ def line_costs(
     def settle_part(found: DataFrame, source: str) -> None:
         nonlocal left
         hit = found.filter(F.col("cost").isNotNull()).select(*line, F.col("cost").cast("double").alias("cost"), F.lit(source).alias("cost_source"))
-        known.append(hit)
-        left = join_keys(left, hit.select(*line), line, "left_anti")
+        known.append(settle(hit))
+        left = join_keys(left, known[-1].select(*line), line, "left_anti")
 
     settle_part(join_keys(left, fixed, line), "fixed")
     last = latest_by(feed, line, ["number"]).select(*line, "cost", F.col("currency").alias("_paid_in"))
@@ -151,11 +154,12 @@ def line_fact(
     """
     mine = lambda df: df if keys is None else join_keys(df, keys.select("order_id").distinct(), ["order_id"], "left_semi")
     line = ["order_id", "line_id"]
-    base = bundle_discounts(mine(lines))
+    base = settle(bundle_discounts(mine(lines)))
     own = line_tokens(base, mine(tokens), ["cash_token", "noncash_token"])
     wide = join_keys(join_keys(base, own, line, "left").fillna(0, ["cash_token", "noncash_token"]), mine(orders), ["order_id"], "left")
     amounts = ("cash_token", "noncash_token", "tax", "order_paid", "order_cash_credit", "order_noncash_credit")
     wide = wide.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in amounts} | {"subtotal": F.col("price").cast("double")})
+    wide = settle(wide)
     split = credit_breakout(wide).withColumn("_by_tokens", F.lit(True))
     sums = wide.groupBy("order_id").agg(F.sum("subtotal").alias("_subtotal"), row_count().alias("_n"))
     joined = join_keys(join_keys(wide, sums, ["order_id"]), split, line, "left")

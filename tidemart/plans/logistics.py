@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import boundaries, join_keys, latest_by
+from tidemart.operators.scan import Scan, ordered_scan
 
 
 def business_days(start: Column, end: Column) -> Column:
@@ -119,3 +120,15 @@ def case_tags(
     tags = placed.groupBy(number).agg(F.array_join(F.transform(listed, lambda x: x[label]), ", ").alias("tags"))
     owner = events.groupBy(number).agg(F.min_by(customer, moment).alias(customer), F.count_distinct(case).alias("case_count"))
     return join_keys(tags, owner, [number])
+
+
+def case_labels(events: DataFrame, number: str, case: str, customer: str, label: str, order: Sequence[str], **limits: int) -> DataFrame:
+    """The labels of a case number in time order as rows (number, position, label), with how many cases share the number and the customer of its first event.
+
+    A label stands at every moment it was set, once a moment. A number with a long history is many rows, numbered in slices, and never one list.
+    """
+    moment = F.struct(*order)
+    placed = events.select(number, label, *order).distinct()
+    ranked = ordered_scan(placed, [number], [*order, label], [Scan("position", "number")], **limits)
+    owner = events.groupBy(number).agg(F.min_by(customer, moment).alias(customer), F.count_distinct(case).alias("case_count"))
+    return join_keys(ranked.select(number, "position", label), owner, [number])

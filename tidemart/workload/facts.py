@@ -14,6 +14,7 @@ from tidemart.operators import joins as J
 from tidemart.operators import quality as Q
 from tidemart.operators import watermark as WM
 from tidemart.plans import facts as P
+from tidemart.plans import line_facts as LF
 from tidemart.plans import products as PR
 from tidemart.workload.base import SQL_LINES, SQL_SALES, money, query, when
 
@@ -171,13 +172,17 @@ _D61 = f"""WITH o AS {_ORDERS}, l AS {_LINES}, ch AS (SELECT master_id, arg_min(
  p AS (SELECT order_id, CASE state WHEN 'A' THEN 'card' WHEN 'R' THEN 'token' ELSE 'cash' END AS kind, gross - discount + tax AS amount, shipped_at AS paid_at FROM l),
  la AS (SELECT order_id, SUM(gross) AS gross, SUM(discount) AS discount, SUM(tax) AS tax, COUNT(*) AS lines, SUM(units) AS units, SUM(units) FILTER (state = 'R') AS units_r, MIN(shipped_at) AS fs, MAX(shipped_at) AS ls, SUM(discount) FILTER (discount > 0 AND line_id % 2 = 0) AS noncash, SUM(discount) FILTER (discount > 0 AND line_id % 2 = 1) AS cashcredit FROM l GROUP BY 1),
  pa AS (SELECT order_id, SUM(amount) AS paid, SUM(amount) FILTER (kind = 'card') AS card, arg_max(kind, (amount, kind)) AS method FROM p GROUP BY 1),
+ sh AS (SELECT order_id, SUM(tax) AS ship, MAX('carrier ' || (line_id % 3)::VARCHAR) AS carrier FROM l WHERE state = 'N' GROUP BY 1), ca AS (SELECT order_id, MIN(shipped_at) AS cat, arg_min(CASE WHEN units > 25 THEN 'too many' ELSE 'unwanted' END, (shipped_at, CASE WHEN units > 25 THEN 'too many' ELSE 'unwanted' END)) AS why FROM l WHERE state = 'R' AND line_id = 1 GROUP BY 1), fe AS (SELECT order_id, SUM(discount) AS fee FROM l WHERE line_id <= 2 GROUP BY 1),
  x AS (SELECT o.*, COALESCE((SELECT r FROM {_VAT} v WHERE v.country = o.country AND ordered_at BETWEEN a AND b), 0) AS vat, COALESCE((SELECT r FROM {_USD} v WHERE v.country = o.country AND ordered_at BETWEEN a AND b), 1) AS usd,
    (SELECT MAX(o_orderdate) FROM orders a WHERE a.o_custkey = o.customer_id AND a.o_orderpriority = '1-URGENT' AND a.o_orderdate <= o.ordered_at) AS act FROM o)
  SELECT x.order_id, COALESCE(best, status) AS order_status, COALESCE(lines, 0)::BIGINT AS lines, COALESCE(units, 0)::BIGINT AS units, COALESCE(units_r, 0)::BIGINT AS units_returned, COALESCE(gross, 0)::DOUBLE AS gross, COALESCE(tax, 0)::DOUBLE AS tax, fs::VARCHAR AS first_shipped, ls::VARCHAR AS last_shipped, COALESCE(card, 0)::DOUBLE AS paid_card, method AS payment_method,
   COALESCE(noncash, 0)::DOUBLE AS credit_noncash, COALESCE(cashcredit, 0)::DOUBLE AS credit_cash, (COALESCE(paid, 0) - COALESCE(noncash, 0))::DOUBLE AS cash_gross, ROUND(COALESCE(gross, 0)::DOUBLE / (1 + vat), 4) AS subtotal_without_vat, ROUND(COALESCE(gross, 0)::DOUBLE * usd, 4) AS gross_usd,
   (timezone(CASE country WHEN 'DE' THEN 'Europe/Berlin' WHEN 'GB' THEN 'Europe/London' ELSE 'America/Los_Angeles' END, timezone('UTC', ordered_at)))::VARCHAR AS ordered_local, act::VARCHAR AS activated_at, COALESCE(act = ordered_at, false) AS is_activating, customer_id % 50 = 7 AS is_test,
-  CASE WHEN priority = '5-LOW' THEN 'billing' WHEN units_r > 20 THEN 'exchange' WHEN country = 'US' THEN 'home' ELSE 'other' END AS channel, CASE WHEN ordered_at < TIMESTAMP '2001-01-01' THEN '{T1}' ELSE '{T2}' END AS created
- FROM x LEFT JOIN ch ON ch.master_id = x.order_id LEFT JOIN la ON la.order_id = x.order_id LEFT JOIN pa ON pa.order_id = x.order_id"""
+  CASE WHEN priority = '5-LOW' THEN 'billing' WHEN units_r > 20 THEN 'exchange' WHEN country = 'US' THEN 'home' ELSE 'other' END AS channel,
+  COALESCE(ship, 0)::DOUBLE AS shipping_cost, carrier, cat::VARCHAR AS cancelled_at, why AS cancel_reason, CASE WHEN cat IS NULL THEN COALESCE(fee, 0) ELSE 0 END::DOUBLE AS delivery_fee,
+  ROUND(CASE WHEN COALESCE(ship, 0) > 0 THEN ship::DOUBLE ELSE COALESCE(units, 0) * CASE WHEN country = 'DE' AND ordered_at >= TIMESTAMP '1999-07-01' THEN 0.75::DOUBLE WHEN country = 'DE' AND ordered_at >= TIMESTAMP '1996-01-01' THEN 0.5 WHEN country = 'GB' AND ordered_at >= TIMESTAMP '1998-01-01' THEN 0.25 ELSE 0 END END, 4) AS shipping_or_estimate,
+  CASE WHEN ordered_at < TIMESTAMP '2001-01-01' THEN '{T1}' ELSE '{T2}' END AS created
+ FROM x LEFT JOIN ch ON ch.master_id = x.order_id LEFT JOIN la ON la.order_id = x.order_id LEFT JOIN pa ON pa.order_id = x.order_id LEFT JOIN sh ON sh.order_id = x.order_id LEFT JOIN ca ON ca.order_id = x.order_id LEFT JOIN fe ON fe.order_id = x.order_id"""
 
 
 @query("d61_order_fact", _D61)
@@ -185,13 +190,22 @@ def _(t):
     orders, lines = t.stored(_fact_orders(t), "orders"), _fact_lines(t)
     activations = t.orders.filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("at")).distinct()
     usd = _ranges(t, "usd_rate", [("DE", "1990-01-01", "1998-06-30", 1.1), ("DE", "1998-07-01", "2010-01-01", 1.2), ("GB", "1990-01-01", "2010-01-01", 1.5)]).withColumnRenamed("place", "currency")
+    # The dimensions are published without overlaps, so no lookup of any run looks for them.
+    published = lambda dim, key: t.stored(J.disjoint_versions(dim, [key], "start_at", "end_at"), "dimension")
+    vat, usd = published(_vat(t), "country"), published(usd, "currency")
+    carrier = F.concat(F.lit("carrier "), (F.col("line_id") % 3).cast("string"))
+    shipments = lines.select("order_id", carrier.alias("carrier"), F.col("tax").alias("rate"), F.col("state").alias("status"))
+    cancels = lines.filter("state = 'R' AND line_id = 1").select("order_id", F.col("shipped_at").alias("at"), F.when(F.col("units") > 25, "too many").otherwise("unwanted").alias("reason"))
+    fees = lines.filter("line_id <= 2").select("order_id", F.col("discount").alias("fee"))
+    assumed = t.spark.sql("SELECT * FROM VALUES ('DE', date '1996-01-01', 0.5D), ('DE', date '1999-07-01', 0.75D), ('GB', date '1998-01-01', 0.25D) AS v(country, month, per_unit)")
     tests = t.customer.filter("c_custkey % 50 = 7").select(F.col("c_custkey").alias("customer_id"))
     channels = [(F.col("priority") == "5-LOW", "billing"), (F.col("units_R") > 20, "exchange"), (F.col("country") == "US", "home")]
     zones = {"DE": "Europe/Berlin", "GB": "Europe/London", "US": "America/Los_Angeles"}
 
     def fact(keys):
+        more = [P.add_shipments(P.only(shipments, keys, "order_id"), "N"), P.add_cancellation(P.only(cancels, keys, "order_id"), P.only(fees, keys, "order_id")), P.add_assumption(assumed, ["country"], "ordered_at", "shipping_cost", "units")]
         return P.order_fact(
-            keys, orders, lines, _payments(t), _credits(t), _vat(t), usd, activations, tests, zones, channels, {"P": 1, "O": 2, "F": 3}, ["A", "N", "R"], ["card", "token", "cash"], ["cash", "noncash"]
+            keys, orders, lines, _payments(t), _credits(t), vat, usd, activations, tests, zones, channels, {"P": 1, "O": 2, "F": 3}, ["A", "N", "R"], ["card", "token", "cash"], ["cash", "noncash"], more, disjoint=True
         )
 
     early = orders.filter(F.col("ordered_at") < when("2001-01-01")).select("order_id")
@@ -204,24 +218,110 @@ def _(t):
     out = P.load_fact(first, fact(t.stored(changed, "changed")), ["order_id"], when(T2))
     return out.select(
         "order_id", "order_status", "lines", "units", F.col("units_R").alias("units_returned"), "gross", "tax", "first_shipped", "last_shipped", "paid_card", "payment_method", "credit_noncash", "credit_cash",
-        "cash_gross", "subtotal_without_vat", "gross_usd", "ordered_local", "activated_at", "is_activating", "is_test", "channel", F.col("meta_create_datetime").alias("created"),
+        "cash_gross", "subtotal_without_vat", "gross_usd", "ordered_local", "activated_at", "is_activating", "is_test", "channel", "shipping_cost", "carrier", "cancelled_at", "cancel_reason", "delivery_fee",
+        F.round("shipping_cost_or_estimate", 4).alias("shipping_or_estimate"), F.col("meta_create_datetime").alias("created"),
     )
 
 
 @query("d62_order_lines", f"""WITH l AS (SELECT * FROM {_LINES} QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id, line_id ORDER BY shipped_at, gross, units) = 1), d AS (SELECT order_id, line_id, SUM(discount) AS discount, COUNT(DISTINCT state)::BIGINT AS kinds FROM {_LINES} WHERE discount > 0 GROUP BY 1, 2),
  o AS (SELECT order_id, SUM(gross + tax) AS paid, SUM(discount) AS credit FROM {_LINES} GROUP BY 1), s AS (SELECT *, CASE WHEN SUM(gross) OVER w = 0 THEN 1.0 / COUNT(*) OVER w ELSE gross::DOUBLE / (SUM(gross) OVER w)::DOUBLE END AS share FROM l WINDOW w AS (PARTITION BY order_id))
- SELECT s.order_id, s.line_id::BIGINT AS line_id, units, COALESCE(d.discount, 0)::DOUBLE AS discount, COALESCE(kinds, 0) AS discount_kinds, (gross - COALESCE(d.discount, 0))::DOUBLE AS net, ROUND(paid::DOUBLE * share, 4) AS paid_share, ROUND(credit::DOUBLE * share, 4) AS credit_share FROM s LEFT JOIN d USING (order_id, line_id) JOIN o USING (order_id) WHERE order_id % 4 <> 0""")
+ SELECT s.order_id, s.line_id::BIGINT AS line_id, units, COALESCE(d.discount, 0)::DOUBLE AS discount, COALESCE(kinds, 0) AS discount_kinds, (gross - COALESCE(d.discount, 0))::DOUBLE AS net, ROUND(paid::DOUBLE * share, 4) AS paid_share, ROUND(credit::DOUBLE * share, 4) AS credit_share FROM s LEFT JOIN d USING (order_id, line_id) JOIN o USING (order_id)""")
 def _(t):
-    every = _fact_lines(t)
-    lines = S.earliest_by(every.select("order_id", "line_id", "shipped_at", "gross", "units"), ["order_id", "line_id"], ["shipped_at", "gross", "units"])
-    discounts = every.filter("discount > 0").select("order_id", "line_id", F.col("state").alias("kind"), F.col("discount").alias("amount"))
-    orders = every.groupBy("order_id").agg(F.sum(F.col("gross") + F.col("tax")).alias("paid_total"), F.sum("discount").alias("credit_total"))
-    # Orders whose number four divides have not changed.
-    changed = every.filter("order_id % 4 <> 0").select("order_id").distinct()
-    out = P.order_line_fact(changed, lines, orders, discounts)
+    """First load of the lines known at the time, then the orders that got further lines are rebuilt and merged."""
+
+    def fact(every, keys):
+        lines = S.earliest_by(every.select("order_id", "line_id", "shipped_at", "gross", "units"), ["order_id", "line_id"], ["shipped_at", "gross", "units"])
+        discounts = every.filter("discount > 0").select("order_id", "line_id", F.col("state").alias("kind"), F.col("discount").alias("amount"))
+        orders = every.groupBy("order_id").agg(F.sum(F.col("gross") + F.col("tax")).alias("paid_total"), F.sum("discount").alias("credit_total"))
+        done = P.order_line_fact(keys, lines, orders, discounts)
+        return done.select("order_id", "line_id", "units", "discount", "discount_kinds", "net", "paid_share", "credit_share")
+
+    every, key = _fact_lines(t), ["order_id", "line_id"]
+    first = t.stored(P.load_fact(None, fact(every.filter(F.col("shipped_at") < when("2000-07-01")), None), key, when(T1)), "line-fact")
+    changed = every.filter(F.col("shipped_at") >= when("2000-07-01")).select("order_id").distinct()
+    out = P.load_fact(first, fact(every, changed), key, when(T2))
     return out.select("order_id", "line_id", "units", "discount", "discount_kinds", "net", "paid_share", "credit_share")
 
 
+_KINDED = f"""(SELECT *, CASE WHEN kind <> 'normal' THEN 'g' END AS group_key FROM (SELECT *, CASE WHEN order_id % 3 = 0 AND line_id = 1 THEN 'bundle' WHEN order_id % 3 = 0 AND line_id IN (2, 4) THEN 'component' ELSE 'normal' END AS kind, state = 'R' AND line_id = 7 AS cancelled
+  FROM {_LINES} QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id, line_id ORDER BY shipped_at, gross, units, state, discount, tax) = 1))"""
+
+
+def _kinded_lines(t):
+    order = ["shipped_at", "gross", "units", "state", "discount", "tax"]
+    lines = S.earliest_by(_fact_lines(t), ["order_id", "line_id"], order)
+    third, line = F.col("order_id") % 3 == 0, F.col("line_id")
+    kind = F.when(third & (line == 1), LF.BUNDLE).when(third & line.isin(2, 4), LF.COMPONENT).otherwise("normal")
+    return lines.select(
+        "order_id", "line_id", kind.alias("kind"), F.when(kind != "normal", "g").alias("group_key"), ((F.col("state") == "R") & (line == 7)).alias("cancelled"), "units",
+        F.col("gross").alias("price"), F.col("discount").alias("own_discount"), "tax", F.col("shipped_at").alias("modified"), "state",
+    )
+
+
+@query("d62_line_amounts", f"""WITH l AS {_KINDED}, t AS (SELECT order_id, line_id, CAST(gross * 0.05::DECIMAL(4,2) AS DECIMAL(18,2)) AS cash, CASE WHEN line_id % 2 = 1 THEN CAST(gross * 0.02::DECIMAL(4,2) AS DECIMAL(18,2)) ELSE 0::DECIMAL(18,2) END AS noncash FROM l WHERE state = 'A'),
+ b AS (SELECT order_id, gross AS whole, discount AS off FROM l WHERE kind = 'bundle'), d AS (SELECT l.*, l.discount::DOUBLE + COALESCE(CASE WHEN kind <> 'normal' THEN off::DOUBLE * l.gross::DOUBLE / NULLIF(whole::DOUBLE, 0) END, 0) AS off_all, whole FROM l LEFT JOIN b USING (order_id)),
+ c AS (SELECT order_id, line_id, gross FROM l WHERE kind = 'component'), h AS (SELECT c.order_id, c.line_id, t.cash AS all_cash, t.noncash AS all_noncash, CAST(COALESCE(ROUND(t.cash::DOUBLE * (c.gross::DOUBLE / NULLIF(b.whole::DOUBLE, 0)), 2), 0) AS DECIMAL(18,2)) AS cash, CAST(COALESCE(ROUND(t.noncash::DOUBLE * (c.gross::DOUBLE / NULLIF(b.whole::DOUBLE, 0)), 2), 0) AS DECIMAL(18,2)) AS noncash FROM c JOIN b USING (order_id) JOIN t ON t.order_id = c.order_id AND t.line_id = 1),
+ hp AS (SELECT order_id, line_id, CASE WHEN line_id = MAX(line_id) OVER w THEN all_cash - SUM(cash) OVER w + cash ELSE cash END AS cash, CASE WHEN line_id = MAX(line_id) OVER w THEN all_noncash - SUM(noncash) OVER w + noncash ELSE noncash END AS noncash FROM h WINDOW w AS (PARTITION BY order_id)),
+ tk AS (SELECT order_id, line_id, SUM(cash) AS cash, SUM(noncash) AS noncash FROM (SELECT t.* FROM t JOIN l USING (order_id, line_id) WHERE NOT (kind = 'bundle' AND order_id IN (SELECT order_id FROM c)) UNION ALL SELECT * FROM hp) GROUP BY 1, 2),
+ o AS (SELECT l.order_id, SUM(gross + tax)::DOUBLE AS paid, COALESCE(SUM(t.cash), 0)::DOUBLE + 10 AS oc, COALESCE(SUM(t.noncash), 0)::DOUBLE + 5 AS onc FROM l LEFT JOIN t USING (order_id, line_id) GROUP BY 1),
+ x AS (SELECT d.order_id, d.line_id, kind, units, cancelled, gross::DOUBLE AS sub, tax::DOUBLE AS tax, off_all, COALESCE(tk.cash, 0)::DOUBLE AS ct, COALESCE(tk.noncash, 0)::DOUBLE AS nt, paid, oc, onc FROM d LEFT JOIN tk USING (order_id, line_id) JOIN o USING (order_id)),
+ y AS (SELECT *, SUM(ct + nt) OVER w AS tokens, SUM(ct) OVER w AS cts, SUM(nt) OVER w AS nts, CASE WHEN cancelled THEN 0 ELSE sub - off_all + tax - ct - nt END AS due, CASE WHEN SUM(sub) OVER w = 0 THEN 1.0 / COUNT(*) OVER w ELSE sub / SUM(sub) OVER w END AS even FROM x WINDOW w AS (PARTITION BY order_id)),
+ z AS (SELECT *, COALESCE(due / NULLIF(SUM(due) OVER (PARTITION BY order_id), 0), 0) AS r FROM y), q AS (SELECT *, CASE WHEN tokens > 0 THEN ct + (oc - cts) * r ELSE oc * even END AS cc, CASE WHEN tokens > 0 THEN nt + (onc - nts) * r ELSE onc * even END AS nc FROM z),
+ p AS (SELECT *, CASE WHEN cancelled THEN 0 ELSE sub - off_all + tax - cc - nc END AS cash FROM q)
+ SELECT order_id, line_id::BIGINT AS line_id, kind, units, ROUND(off_all, 4) AS discount, ct AS cash_token, nt AS noncash_token, ROUND(cc, 4) AS cash_credit, ROUND(nc, 4) AS noncash_credit, ROUND(CASE WHEN tokens > 0 THEN paid * COALESCE(cash / NULLIF(SUM(cash) OVER (PARTITION BY order_id), 0), 0) ELSE paid * even END, 4) AS payment FROM p""")
+def _(t):
+    """The whole fact, then the orders with late lines rebuilt; tokens of bundles go to their components."""
+    lines = t.stored(_kinded_lines(t), "kinded-lines")
+    part = lambda c, where=None: ((F.col("price") * F.lit(c).cast("decimal(4,2)")).cast("decimal(18,2)"))
+    odd = F.when(F.col("line_id") % 2 == 1, part("0.02")).otherwise(F.lit(0).cast("decimal(18,2)"))
+    tokens = lines.filter("state = 'A'").select("order_id", "line_id", part("0.05").alias("cash_token"), odd.alias("noncash_token"))
+    of_order = lines.join(tokens, ["order_id", "line_id"], "left").groupBy("order_id").agg(
+        F.sum(F.col("price") + F.col("tax")).cast("double").alias("order_paid"), (F.coalesce(F.sum("cash_token"), F.lit(0)).cast("double") + 10).alias("order_cash_credit"),
+        (F.coalesce(F.sum("noncash_token"), F.lit(0)).cast("double") + 5).alias("order_noncash_credit"),
+    )
+    costs = lines.select("order_id", "line_id", F.lit(None).cast("double").alias("cost"), F.lit(None).cast("string").alias("cost_source")).limit(0)
+    key = ["order_id", "line_id"]
+    early = lines.filter(F.col("modified") < when("2000-07-01")).select("order_id").distinct()
+    first = t.stored(P.load_fact(None, LF.line_fact(early, lines, tokens, of_order, costs), key, when(T1)), "line-amounts")
+    changed = lines.filter(F.col("modified") >= when("2000-07-01")).select("order_id").distinct()
+    out = P.load_fact(first, LF.line_fact(changed, lines, tokens, of_order, costs), key, when(T2))
+    return out.select("order_id", "line_id", "kind", "units", "discount", "cash_token", "noncash_token", "cash_credit", "noncash_credit", "payment")
+
+
+_COSTED = "(SELECT l_orderkey AS order_id, l_linenumber AS line_id, l_partkey AS item, l_suppkey % 5 AS store, l_suppkey % 2 AS region, CASE WHEN l_suppkey % 5 < 2 THEN 'EUR' ELSE 'USD' END AS currency, l_shipdate AS day, CASE WHEN l_quantity > 45 THEN 0 ELSE l_quantity END AS units, l_extendedprice AS gross, l_returnflag AS state FROM lineitem QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_extendedprice, l_quantity, l_suppkey, l_partkey) = 1)"
+
+
+@query("d62_line_costs", f"""WITH l AS (SELECT *, CASE WHEN units = 0 THEN 1 ELSE units END AS n, CASE WHEN day(day) <= 15 THEN 1.1::DOUBLE ELSE 1.0 END AS eur_usd FROM {_COSTED}), p AS (SELECT l.*, p_retailprice AS price FROM l JOIN part ON p_partkey = item),
+ c AS (SELECT order_id, line_id, CASE WHEN order_id % 10 = 0 THEN gross * 0.5::DOUBLE END AS a, CASE WHEN state = 'N' AND line_id > 2 THEN gross * 0.45::DOUBLE * CASE WHEN currency = 'EUR' THEN 1.0::DOUBLE ELSE eur_usd END END AS b,
+  CASE WHEN item % 3 = 0 AND store = item % 5 AND day < TIMESTAMP '2000-07-01' THEN n * (CASE WHEN day < TIMESTAMP '1999-01-01' THEN price / 10 ELSE price / 9 END) * CASE WHEN currency = 'USD' THEN 1.0::DOUBLE ELSE 1.0 END END AS s,
+  CASE WHEN item % 3 <> 2 AND region = item % 2 THEN n * (price / 8) * CASE WHEN currency = 'EUR' THEN 1.0::DOUBLE ELSE eur_usd END END AS r,
+  CASE WHEN item % 2 = 0 AND day >= TIMESTAMP '1997-05-05' THEN n * CASE WHEN day >= TIMESTAMP '2000-05-05' THEN price / 7 ELSE price / 6 END END AS w, CASE WHEN item % 2 = 0 AND day < TIMESTAMP '1997-05-05' THEN n * (price / 6) END AS x FROM p)
+ SELECT order_id, line_id::BIGINT AS line_id, ROUND(COALESCE(a, b, s, r, w, x), 5) AS cost, CASE WHEN a IS NOT NULL THEN 'fixed' WHEN b IS NOT NULL THEN 'feed' WHEN s IS NOT NULL THEN 'same store' WHEN r IS NOT NULL THEN 'same region' WHEN w IS NOT NULL THEN 'last purchase' ELSE 'next purchase' END AS cost_source FROM c WHERE COALESCE(a, b, s, r, w, x) IS NOT NULL""")
+def _(t):
+    raw = t.lineitem.select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_id"), F.col("l_partkey").alias("part"), (F.col("l_suppkey") % 5).alias("store"), (F.col("l_suppkey") % 2).alias("region"),
+        F.col("l_shipdate").alias("day"), F.when(F.col("l_quantity") > 45, 0).otherwise(F.col("l_quantity")).alias("units"), F.col("l_extendedprice").alias("gross"), F.col("l_returnflag").alias("state"),
+        "l_quantity", F.col("l_suppkey").alias("supplier"),
+    )
+    one = S.earliest_by(raw, ["order_id", "line_id"], ["day", "gross", "l_quantity", "supplier", "part"])
+    lines = t.stored(one.withColumns({"item": F.concat(F.lit("Item"), "part"), "currency": F.when(F.col("store") < 2, "EUR").otherwise("USD")}), "cost-lines")
+    fixed = lines.filter("order_id % 10 = 0").select("order_id", "line_id", (F.col("gross") * 0.5).alias("cost"))
+    fed = lines.filter("state = 'N' AND line_id > 2").select("order_id", "line_id", "gross", F.explode(F.array(F.lit(1), F.lit(2))).alias("number"))
+    feed = fed.select("order_id", "line_id", (F.col("gross") * F.when(F.col("number") == 2, 0.45).otherwise(0.4)).alias("cost"), F.lit("EUR").alias("currency"), "number")
+    parts = t.part.select(F.col("p_partkey").alias("part"), F.upper(F.concat(F.lit("item"), "p_partkey")).alias("item"), F.col("p_retailprice").alias("price"))
+    span = lambda a, b, c: F.struct(when(a).alias("start_at"), when(b).alias("end_at"), c.alias("unit_cost"))
+    price = F.col("price")
+    stores = parts.filter("part % 3 = 0").select("item", (F.col("part") % 5).alias("store"), F.when(F.col("part") % 5 < 2, "EUR").otherwise("USD").alias("currency"), F.explode(F.array(span("1995-01-01", "1998-12-31", price / 10), span("1999-01-01", "2000-06-30", price / 9))).alias("v"))
+    regions = parts.filter("part % 3 <> 2").select("item", (F.col("part") % 2).alias("region"), F.lit("EUR").alias("currency"), F.explode(F.array(span("1990-01-01", "2010-01-01", price / 8), span("1990-01-01", "2010-01-01", F.lit(0.0)))).alias("v"))
+    bought = parts.filter("part % 2 = 0").select("item", F.explode(F.array(F.struct(when("1997-05-05").alias("day"), (price / 6).alias("unit_cost")), F.struct(when("2000-05-05").alias("day"), (price / 7).alias("unit_cost")))).alias("v"))
+    # Purchases are in the store's own currency here, so the two stores with a rate of their own buy apart.
+    purchases = bought.select("item", "v.day", "v.unit_cost", F.lit("own").alias("currency"))
+    rates = lines.filter("day(day) <= 15").select(F.lit("eur").alias("source"), F.lit("usd").alias("target"), "day", F.lit(1.1).alias("rate")).distinct()
+    flat = lambda df, place: df.select("item", place, "currency", "v.*")
+    out = LF.line_costs(lines, fixed, feed, flat(stores, "store"), flat(regions, "region"), purchases, rates)
+    return out.select("order_id", "line_id", F.round("cost", 5).alias("cost"), "cost_source")
+
+
 @query("d62_refunds", f"""WITH r AS (SELECT order_id * 10 + line_id AS refund_id, order_id, CASE line_id % 4 WHEN 0 THEN 'Check_Request' WHEN 1 THEN 'store_credit' WHEN 2 THEN 'membership_token' ELSE 'barter' END AS method, SUM(gross) AS product, CAST(SUM(tax) AS DECIMAL(18,2)) AS shipping, MIN(shipped_at) AS refunded_at FROM {_LINES} WHERE state = 'R' GROUP BY 1, 2, line_id),
  t AS (SELECT order_id * 10 + line_id AS refund_id, order_id * 10 + line_id // 2 AS return_id, MIN(shipped_at) AS requested_at FROM {_LINES} WHERE state = 'R' AND line_id > 1 GROUP BY 1, 2), k AS (SELECT * FROM t QUALIFY ROW_NUMBER() OVER (PARTITION BY return_id ORDER BY requested_at DESC, refund_id DESC) = 1),
  x AS (SELECT r.*, o.country, ordered_at, COALESCE((SELECT r FROM {_VAT} v WHERE v.country = o.country AND ordered_at BETWEEN a AND b), 0) AS vat FROM r LEFT JOIN {_ORDERS} o USING (order_id))

@@ -48,10 +48,17 @@ def _(t):
     return apply_merge(early, late, ["conv_id", "role"], lambda t_, s: {"turn": s("turn")}, update_when=lambda t_, s: s("turn") > t_("turn"))
 
 
-@query("d50_case_tags", """WITH f AS (SELECT user_id % 40 AS number, user_id, event_type, (ts, event_id) AS m FROM events WHERE event_type <> 'view') SELECT number, string_agg(event_type, ', ' ORDER BY m) AS tags, COUNT(DISTINCT user_id)::BIGINT AS case_count, arg_min(m[2], m) AS owner FROM f GROUP BY 1""")
+@query("d50_case_tags", """WITH f AS (SELECT user_id AS number, event_id // 3 AS case_id, event_type, ts, event_id FROM events), o AS (SELECT number, arg_min(event_id, (ts, event_id)) AS owner, COUNT(DISTINCT case_id)::BIGINT AS case_count FROM f GROUP BY 1)
+ SELECT number, ROW_NUMBER() OVER (PARTITION BY number ORDER BY ts, event_id)::BIGINT AS position, event_type AS tag, owner, case_count FROM f JOIN o USING (number)""")
 def _(t):
-    e = t.events.filter("event_type <> 'view'").withColumns({"owner": F.col("event_id"), "number": F.col("user_id") % 40})
-    return P.case_tags(e, "number", "user_id", "owner", "event_type", ["ts", "event_id"])
+    e = t.events.select(F.col("user_id").alias("number"), F.floor(F.col("event_id") / 3).alias("case_id"), F.col("event_type").alias("tag"), "ts", "event_id", F.col("event_id").alias("owner"))
+    return P.case_labels(e, "number", "case_id", "owner", "tag", ["ts", "event_id"])
+
+
+@query("d50_distinct_tags", """WITH f AS (SELECT user_id, event_type, MIN((ts, event_id)) AS m FROM events GROUP BY 1, 2) SELECT user_id AS number, string_agg(event_type, ', ' ORDER BY m) AS tags, (SELECT COUNT(DISTINCT event_id // 3) FROM events e WHERE e.user_id = f.user_id)::BIGINT AS case_count, (SELECT arg_min(event_id, (ts, event_id)) FROM events e WHERE e.user_id = f.user_id) AS owner FROM f GROUP BY user_id""")
+def _(t):
+    e = t.events.withColumns({"owner": F.col("event_id"), "number": F.col("user_id"), "case_id": F.floor(F.col("event_id") / 3)})
+    return P.case_tags(e, "number", "case_id", "owner", "event_type", ["ts", "event_id"], repeats=False)
 
 
 @query("d60_realtime_slots", "SELECT time_bucket(INTERVAL 30 MINUTE, ts)::VARCHAR AS slot_start, event_type, COUNT(*)::BIGINT AS n, SUM(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY 1, 2")

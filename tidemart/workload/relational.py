@@ -45,11 +45,14 @@ def _(t):
     return days.join(counts, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("r06_step_tables", f"SELECT priority, COUNT(*)::BIGINT AS n, SUM(total)::DOUBLE AS total FROM (SELECT orderkey, priority, SUM(net) AS total FROM {SQL_SALES} GROUP BY 1, 2) WHERE total > 100000 GROUP BY 1")
-def _(t):
-    per_order = t.sales().groupBy("orderkey", "priority").agg(F.sum("net").alias("total"))
-    large = per_order.filter("total > 100000")
-    return large.groupBy("priority").agg(row_count().alias("n"), F.sum("total").alias("total"))
+@query("r06_step_tables", f"""WITH o AS (SELECT orderkey, priority, SUM(net) AS total, COUNT(*) AS lines FROM {SQL_SALES} GROUP BY 1, 2), l AS (SELECT * FROM o WHERE total > 100000)
+ SELECT l.priority, COUNT(*)::BIGINT AS n, SUM(l.total)::DOUBLE AS total, MAX(p.lines)::BIGINT AS lines, MAX(p.n)::BIGINT AS all_orders FROM l JOIN (SELECT priority, SUM(lines) AS lines, COUNT(*) AS n FROM o GROUP BY 1) p USING (priority) GROUP BY 1""")
+def _(t):
+    """Each step is a table of its own; the first is read by two later ones."""
+    per_order = t.stored(t.sales().groupBy("orderkey", "priority").agg(F.sum("net").alias("total"), row_count().alias("lines")), "r06-orders")
+    large = t.stored(per_order.filter("total > 100000"), "r06-large")
+    per_priority = t.stored(per_order.groupBy("priority").agg(F.sum("lines").alias("lines"), row_count().alias("all_orders")), "r06-priorities")
+    return large.groupBy("priority").agg(row_count().alias("n"), F.sum("total").alias("total")).join(per_priority, "priority")
 
 
 @query("r07_view_and_insert", "SELECT n_name, COUNT(*)::BIGINT AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 GROUP BY 1")
