@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.session import load, scratch_path
 
@@ -78,10 +79,20 @@ def worker_store(name: str) -> dict:
 
 def wrapped(docs: DataFrame, *plain: str) -> DataFrame:
     """The named columns, and all others in one struct ``_rest``: whatever they are called, they clash with nothing."""
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in plain]
+    rest = [quoted(c) for c in docs.columns if c not in plain]
     return docs.select(*plain, F.struct(*(rest or [F.lit(None).cast("int").alias("_none")])).alias("_rest"))
 
 
+def with_fields(schema: T.StructType, **kinds: T.DataType) -> T.StructType:
+    """A schema with further fields at its end; whatever its columns are called, nothing is spelled out and parsed."""
+    return T.StructType([*schema.fields, *[T.StructField(name, kind) for name, kind in kinds.items()]])
+
+
+def quoted(name: str) -> Column:
+    """A top-level column of any name."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def unwrapped(df: DataFrame, columns: list[str], **plain: Column) -> DataFrame:
     """The columns of a wrapped table in their own order; ``plain`` gives those outside the struct."""
-    return df.select(*[(plain[c] if c in plain else F.col("_rest")[c]).alias(c) for c in columns])
+    return df.select(*[(plain[c] if c in plain else F.col("_rest").getField(c)).alias(c) for c in columns])

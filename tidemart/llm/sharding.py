@@ -20,6 +20,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.llm.common import quoted
+
 SEED = 20240
 
 
@@ -84,9 +86,9 @@ def place(
         left = [s for s in shards if s not in set(without)]
         back = {i: shards.index(s) for i, s in enumerate(left)}
         tables["shard_without"] = [back[i] for i in fill_table(left, table_size, weights)]
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(spread)) if spread > 1 else None
-    placed = df.withColumn("slot", slot_of([F.col(k) for k in keys], table_size, salt)).drop(*tables)
-    return placed.join(F.broadcast(lookup_frame(df.sparkSession, tables)), "slot").select(*placed.columns, *tables)
+    salt = F.pmod(F.xxhash64(*[quoted(c) for c in spread_by]), F.lit(spread)) if spread > 1 else None
+    placed = df.withColumn("slot", slot_of([quoted(k) for k in keys], table_size, salt)).drop(*tables)
+    return placed.join(F.broadcast(lookup_frame(df.sparkSession, tables)), "slot").select(*[quoted(c) for c in placed.columns], *tables)
 
 
 def write_shards(placed: DataFrame, path: str, files_per_shard: int = 1) -> None:
