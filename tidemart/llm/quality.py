@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemart.llm.common import let, unwrapped, words_column, worker_store, wrapped
+from tidemart.llm.common import let, unwrapped, with_fields, words_column, worker_store, wrapped
 
 MAX_TRAIN = 6_000
 BITS = 16
@@ -138,7 +139,7 @@ def shape(token: str) -> str:
     """Runs of capitals, of other letters and of digits as one mark each."""
     for pattern, mark in _SHAPES:
         token = pattern.sub(mark, token)
-    return token[:12]
+    return token
 
 
 def place(feature: str) -> int:
@@ -211,8 +212,10 @@ def label_model(all_votes: DataFrame) -> tuple[Labellers | None, dict[str, float
 
 def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> tuple[dict[str, float], Scorer]:
     _, posterior = label_model(voted(docs.select("text")))
-    ids = docs.select(F.col("doc_id").alias("c_id")).distinct().orderBy(F.xxhash64("c_id"), "c_id").limit(max_train)
-    chosen = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("c_id")), "left_semi")
+    # Rows are chosen by id and text, so an id on many rows does not bring them all; equal rows are one.
+    marked = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("mark"))
+    marks = marked.select("doc_id", "mark").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "mark").limit(max_train).select(F.col("mark").alias("c_mark"))
+    chosen = marked.join(F.broadcast(marks), F.col("mark") == F.col("c_mark"), "left_semi").groupBy("mark").agg(F.first("text").alias("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes, places = {}, {}
@@ -246,7 +249,7 @@ def assess(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
             yield pa.record_batch(columns)
 
     labelled = voted(base)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in labelled.schema) + ", label_posterior double, quality_score double, keep int"
+    schema = with_fields(labelled.schema, label_posterior=T.DoubleType(), quality_score=T.DoubleType(), keep=T.IntegerType())
     return labelled.mapInArrow(run, schema)
 
 
