@@ -32,8 +32,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemart.llm.common import stored, unwrapped, worker_store, wrapped
+from tidemart.llm.common import stored, unwrapped, with_fields, worker_store, wrapped
 
 MAX_TRAIN = 20_000
 MAX_FEATURES = 20_000
@@ -351,11 +352,17 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """Text and label of at most ``max_train`` labelled documents outside the held-out fifth."""
+    """Text and label of at most ``max_train`` labelled documents outside the held-out fifth.
+
+    Documents are told apart by id and text, so an id on many rows does not bring them all; equal rows are one.
+    """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train).withColumnRenamed("doc_id", "l_id")
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("text", "toxic")
+    marked = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("mark"))
+    marks = marked.select("doc_id", "mark").distinct().join(known, "doc_id")
+    chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id", "mark").limit(max_train).select(F.col("mark").alias("c_mark"), "toxic")
+    met = marked.join(F.broadcast(chosen), F.col("mark") == F.col("c_mark"))
+    return met.groupBy("mark").agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_features: int = MAX_FEATURES) -> Model:
@@ -419,8 +426,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             columns = {c: batch.column(c) for c in batch.schema.names}
             yield pa.record_batch(columns | {"score": pa.array(found, pa.float64()), "predicted": pa.array([int(s >= 0.5) for s in found], pa.int32())})
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema) + ", score double, predicted int"
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(run, with_fields(base.schema, score=T.DoubleType(), predicted=T.IntegerType()))
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
