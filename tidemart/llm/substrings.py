@@ -33,8 +33,9 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemart.llm.common import stored, unwrapped, wrapped
+from tidemart.llm.common import stored, unwrapped, with_fields, wrapped
 
 WINDOW = 35
 PAIR_ROUNDS = 2
@@ -198,12 +199,12 @@ def batches_of(batch: pa.RecordBatch, limit: int = BATCH_BYTES) -> Iterator[tupl
 
 # --- the passes over the texts
 
-OCCURRENCES = "key long, row long, place long, weight int"
+OCCURRENCES = "key long, row long, place long, weight int, name long"
 
 
 def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of anchors. One that repeats in this batch is known to be repeated: it gets a key of its own and weight 2, and
-    a row without a document, which weighs as much as they are, tells the other batches."""
+    a row without a document, which weighs as much as they are, tells the other batches. Its name stays beside the key of its own."""
     word_powers = powers(WORD_BASE, TABLE)
     for batch in batches:
         for part, raws in batches_of(batch):
@@ -223,6 +224,7 @@ def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "row": pa.array(np.concatenate([row, none]), mask=np.repeat([False, True], [len(key), len(told)])),
                 "place": pa.array(np.concatenate([place, none])),
                 "weight": pa.array(np.concatenate([np.where(again, 2, 1), times]).astype(np.int32)),
+                "name": pa.array(np.concatenate([key, told]).view(np.int64), mask=np.concatenate([~again, np.ones(len(told), bool)])),
             })
 
 
@@ -239,9 +241,9 @@ def runs(key: np.ndarray, row: np.ndarray, begins: np.ndarray, hashes: np.ndarra
     return key[cut].view(np.int64).tolist(), row[cut].tolist(), begins[cut].tolist(), blobs
 
 
-def windows(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows of repeated anchors with their hashes. Windows that repeat in this batch are settled: they come as ranges of
-    words without hashes, and a row without a document tells the other batches. ``hot`` anchors (sorted names) give their windows keys of their own."""
+    words without hashes, and a row without a document tells the other batches. Hot anchors give their windows keys of their own."""
     word_powers = powers(WORD_BASE, TABLE)
     for batch in batches:
         for part, raws in batches_of(batch):
@@ -250,15 +252,14 @@ def windows(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.R
             if not len(begins):
                 continue
             lists = part.column("places")
-            flat = np.concatenate([x.values.to_numpy() + d if x.is_valid else np.zeros(0, np.int64) for x, d in zip(lists, p.doc.tolist(), strict=False)])
-            known = np.zeros(p.n, bool)
-            known[flat] = True
+            flat = np.concatenate([x.values.to_numpy() + 2 * d if x.is_valid else np.zeros(0, np.int64) for x, d in zip(lists, p.doc.tolist(), strict=False)])
+            known, hot = np.zeros(p.n, bool), np.zeros(p.n, bool)
+            known[flat >> 1] = True
+            hot[flat[flat & 1 == 1] >> 1] = True
             begins, place = begins[use := known[place]], place[use]
             hashes, key, owner = p.window_hashes(begins), p.names(place), p.owner[begins]
             row, at = part.column("row").to_numpy()[owner], begins - p.doc[owner]
-            if len(hot):
-                spread = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key
-                key = np.where(spread, mixed(key ^ hashes), key)
+            key = np.where(hot[place], mixed(key ^ hashes), key)
             again, lead = repeats(hashes)
             keys, rows, places, blobs = runs(key[~again], row[~again], at[~again], hashes[~again])
             k, _, a, b = runs(key[lead], row[lead], at[lead], hashes[lead])
@@ -327,33 +328,43 @@ def removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated(occurrences: DataFrame, hot: int) -> DataFrame:
-    """row, place of the occurrences whose key weighs at least 2 over all documents; key and weight of those that weigh over ``hot``,
-    also without a row."""
+    """row, place and name of the occurrences whose key weighs at least 2 over all documents; names that weigh over ``hot``, also without a row.
+
+    The window streams: a key has two rows of a few bytes per batch of texts at most, however often it occurs.
+    """
     weighed = occurrences.withColumn("weight", F.sum("weight").over(Window.partitionBy("key")))
     above = F.col("weight") > hot
     kept = weighed.where((F.col("weight") >= 2) & (F.col("row").isNotNull() | above))
-    return kept.select("row", "place", F.when(above, F.col("key")).alias("key"), F.when(above, F.col("weight")).alias("weight"))
+    return kept.select("row", "place", F.coalesce("name", "key").alias("name"), F.when(above, F.col("key")).alias("key"))
+
+
+def flagged(found: DataFrame) -> DataFrame:
+    """row, place: the last bit of a place tells that its anchor is hot. The hot names meet the places in a join; they stay a table."""
+    places = found.where(F.col("row").isNotNull())
+    hot = stored(found.where(F.col("key").isNotNull()).select(F.col("key").alias("h_name")).distinct(), "hot-anchors")
+    if hot.isEmpty():
+        return places.select("row", F.shiftleft("place", 1).alias("place"))
+    met = places.join(hot, F.col("name") == F.col("h_name"), "left")
+    return met.select("row", F.shiftleft("place", 1).bitwiseOR(F.col("h_name").isNotNull().cast("long")).alias("place"))
 
 
 def listed(places: DataFrame) -> DataFrame:
-    """The places of a row; no more than its text has words."""
-    return places.groupBy("row").agg(F.collect_list("place").alias("places")).withColumnRenamed("row", "l_row")
+    """The distinct places of a row, no more than its text has words: rows that repeat have equal places, which are one."""
+    return places.groupBy("row").agg(F.collect_set("place").alias("places")).withColumnRenamed("row", "l_row")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with kept (the words that stay, joined by one space), n_words and n_removed."""
     base = docs.drop("row", "places", "kept", "n_words", "n_removed")
     texts = base.withColumn("row", F.xxhash64("doc_id", "text"))
-    found = stored(repeated(texts.select("row", "text").mapInArrow(symbols, OCCURRENCES), HOT), "repeated-symbols")
-    places = found.where(F.col("row").isNotNull()).select("row", "place")
-    # An anchor counts if it has over HOT occurrences, so there are at most a HOT-th as many as occurrences.
-    told = found.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("weight").alias("weight")).collect()
-    hot = np.sort(np.array([r.key for r in told], np.int64).view(np.uint64))
-    buckets = max(1, -(-(places.count() + CONTEXT * sum(r.weight for r in told)) // BUCKET_ROWS))
+    places = flagged(stored(repeated(texts.select("row", "text").mapInArrow(symbols, OCCURRENCES), HOT), "repeated-symbols"))
+    hot = F.col("place").bitwiseAND(F.lit(1))
+    size = places.agg(F.coalesce(F.sum(1 + CONTEXT * hot), F.lit(0))).first()[0]
+    buckets = max(1, -(-size // BUCKET_ROWS))
     with_list = texts.join(listed(places), F.col("row") == F.col("l_row")).drop("l_row")
-    candidates = with_list.mapInArrow(lambda b: windows(b, hot), CANDIDATES).withColumn("bucket", F.pmod("key", F.lit(buckets)))
+    candidates = with_list.mapInArrow(windows, CANDIDATES).withColumn("bucket", F.pmod("key", F.lit(buckets)))
     covered = candidates.groupBy("bucket").applyInArrow(lambda t: verify(t), "row long, place long")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema) + ", kept string, n_words long, n_removed long"
+    schema = with_fields(base.schema, kept=T.StringType(), n_words=T.LongType(), n_removed=T.LongType())
     return texts.join(listed(covered), F.col("row") == F.col("l_row"), "left").drop("l_row").mapInArrow(removal, schema)
 
 
