@@ -259,7 +259,8 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, *keys:
     classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(links(classes, classes.count(), radius))
     placed = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Written once, so that both sides of the join are plain shuffles and Spark can split a giant component.
+    smallest = stored(placed.groupBy("root").agg(F.min("first_id").alias("component_id")), "component-ids")
     return fps.join(placed.join(smallest, "root").select("fp", "root", "component_id"), "fp")
 
 
