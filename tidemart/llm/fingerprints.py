@@ -1,8 +1,9 @@
 """Document fingerprints by order MinHash, in DataFrame expressions.
 
 A text's k-mers are its runs of ``K`` words, each numbered by how often it has occurred before, so repeats count. A hash of
-k-mer and number deals them to ``BINS`` bins (one permutation for all bins instead of one for each) and ranks them there.
-Each bin selects its ``LENGTH`` smallest, puts them back into the order they have in the text, and hashes the tuple. Texts that
+k-mer and number deals them to bins (one permutation for all bins instead of one for each) and ranks them there.
+Each bin selects its ``LENGTH`` smallest, one that has fewer borrows from the next bin with any, puts them back into the order they have in
+the text, and hashes the tuple. Texts that
 share a tuple share these k-mers in this order, so the share of equal tuples falls with the edit distance, not just with
 the overlap of word sets. A fingerprint lists (bin, 16 bits of the tuple's hash) as six hex digits each; bins
 without a k-mer are left out.
@@ -10,7 +11,7 @@ without a k-mer are left out.
 The work of a text stays in its row: sorting is done on arrays of packed longs, and nothing is exploded.
 
 Defined cases: a null text counts as empty; a text without words has the empty fingerprint, and two of them have likeness 1; a text of fewer
-words than a k-mer is one k-mer; rows with equal or null doc_id are separate documents, ordered by text, null ids last; a table of
+words than a k-mer is one k-mer; positions are told apart up to 33,554,432 words, beyond them the order of a text's k-mers wraps around; rows with equal or null doc_id are separate documents, ordered by text, null ids last; a table of
 one row is its own next document; an empty table gives an empty result.
 """
 
@@ -79,7 +80,10 @@ def tuples(chosen: Column) -> Column:
 
     def one(start: Column) -> Column:
         at = _bin(F.get(chosen, start))
-        own = F.filter(F.slice(chosen, start + 1, LENGTH), lambda x: _bin(x) == at)
+        alone = F.filter(F.slice(chosen, start + 1, LENGTH), lambda x: _bin(x) == at)
+        # A bin with one k-mer borrows the first of the next bin that has any, so that every tuple carries an order.
+        other = F.array(F.coalesce(F.get(chosen, start + 1), F.get(chosen, F.lit(0))))
+        own = F.when((F.size(alone) < LENGTH) & (F.size(chosen) > 1), F.concat(alone, other)).otherwise(alone)
         # The position moves to the front for the sort by text order; what stays behind it names the k-mer.
         placed = F.transform(
             own, lambda x: F.shiftleft(x.bitwiseAND(F.lit(_POSITION)), 63 - POSITION_BITS).bitwiseOR(F.shiftright(x, POSITION_BITS).bitwiseAND(F.lit(_KEPT)))
