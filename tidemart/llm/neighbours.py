@@ -7,12 +7,12 @@ inequality: the inner side can be left out if d(q, v) - m > t, the outer one if
 bound: 1 is exact, larger values leave out a side if relax * |d - m| > t. Equal vectors are one point of the tree. Queries go down the tree together, so each node is one matrix
 product. What is reported is scored again on the original vectors in double precision.
 
-Trees are small rows of arrays. Queries travel in blocks, and a task holds one shard's tree and one block, so neither a
-shard nor the set of queries has to fit with all the rest.
+A shard's tree is built once, from the shard's rows, which come first in a task's stream; the queries stream past it in batches, so a task
+holds one shard and one batch of queries. The best of a query are reduced per group of shards, and then over the groups.
 Rows with equal (id, vector) copies beyond k + 1 in one shard cannot be among a query's k nearest and are not sent on.
 
-Defined cases: vectors that are null, empty, zero or hold null or non-finite components, or whose length differs from ``dim`` where
-given, take no part, neither as query nor as candidate; rows with a null id likewise. Rows with an equal id are separate candidates;
+Defined cases: vectors that are null, empty, zero or hold null or non-finite components, or whose length is not ``dim`` (by default
+the most frequent length of the rows, of equally frequent ones the larger), take no part, neither as query nor as candidate; rows with a null id likewise. Rows with an equal id are separate candidates;
 a query never meets rows of its own id. Query rows that are equal in id and vector are one query with one result; an id on
 different vectors is a query for each of them, and each has its own ranks under that id. Ties go to the smaller id. With fewer candidates than k all are returned. An empty table gives
 an empty result.
@@ -20,6 +20,8 @@ an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,7 +32,6 @@ K = 5
 RELAX = 5.0
 LEAF = 96
 SHARD_ROWS = 8192
-BLOCK_QUERIES = 2048
 SEED = 11
 
 
@@ -135,60 +136,88 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
-def matrix(column: pa.ChunkedArray) -> np.ndarray:
-    flat = column.combine_chunks()
-    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
+def matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def nearest(
-    rows: DataFrame, queries: DataFrame, id_column: str = "vec_id", vector: str = "embedding", k: int = K, relax: float = RELAX,
-    shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES, leaf: int = LEAF,
-) -> DataFrame:
-    """query_id, rank, vec_id, score: for each query its k nearest rows, nearest first."""
-    clean = lambda df: df.select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec")).where(F.col("id").isNotNull() & valid(F.col("vec")))
-    points, asked = clean(rows), clean(queries).dropDuplicates(["id", "vec"]).withColumn("ask", F.xxhash64("id", "vec"))
-    shape = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("hi"), F.min(F.size("vec")).alias("lo")).first()
-    if shape.n and shape.hi != shape.lo:
-        raise ValueError("the vectors differ in their number of components")
-    shards = max(1, -(-shape.n // shard_rows))
-    blocks = max(1, -(-asked.count() // block_queries))
-    # Equal ids are dealt by their vector too, so repeated rows do not fill one shard.
-    points = points.withColumn("shard", F.pmod(F.xxhash64("id", "vec"), F.lit(shards)).cast("int"))
-    points = points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = asked.withColumn("block", F.pmod(F.col("ask"), F.lit(blocks)).cast("int"))
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-    def search(data: pa.Table, ask: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "ask": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        if not data.num_rows or not ask.num_rows:
-            return empty
-        data, ask = data.sort_by("id"), ask.sort_by("id")
-        vectors, q = matrix(data.column("vec")) + 0.0, matrix(ask.column("vec"))  # + 0.0: a negative zero equals a zero
-        if vectors.shape[1] != q.shape[1]:
-            raise ValueError("queries and rows differ in their number of components")
-        ids, own, name = data.column("id").to_numpy(), ask.column("id").to_numpy(), ask.column("ask").to_numpy()
-        points, of = np.unique(vectors, axis=0, return_inverse=True)
-        members = np.argsort(of, kind="stable")  # by class, then by id
-        begin = np.searchsorted(of[members], np.arange(len(points) + 1))
-        tree = Tree(unit(points), leaf)
+class Shard:
+    """The rows of a shard as a tree over their distinct vectors."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int):
+        first = np.argsort(ids, kind="stable")
+        self.ids, vectors = ids[first], vectors[first] + 0.0  # a negative zero equals a zero
+        self.points, of = np.unique(vectors, axis=0, return_inverse=True)
+        self.members = np.argsort(of, kind="stable")  # by class, then by id
+        self.begin = np.searchsorted(of[self.members], np.arange(len(self.points) + 1))
+        self.tree = Tree(unit(self.points), leaf)
+
+    def find(self, own: np.ndarray, q: np.ndarray, k: int, relax: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the query, id and score of what is near it."""
+        begin, members = self.begin, self.members
         # Beside the query's own point a few more than k, so that the exact scores below decide about near ties.
-        s = Search(tree, ids[members[begin[:-1]]], unit(q), k + 4, relax)
+        s = Search(self.tree, self.ids[members[begin[:-1]]], unit(q), k + 4, relax)
         s.run(0, np.arange(len(q)))
         who, place = np.nonzero(s.row >= 0)
-        point = tree.order[s.row[who, place]]
-        score = cosine(q[who], points[point])
+        point = self.tree.order[s.row[who, place]]
+        score = cosine(q[who], self.points[point])
         # Each found point stands for its k + 1 smallest ids, one of which may be the query's own.
         copies = np.minimum(begin[point + 1] - begin[point], k + 1)
         each = np.repeat(np.arange(len(who)), copies)
         nth = np.arange(len(each)) - np.repeat(np.cumsum(copies) - copies, copies)
-        vec_id = ids[members[begin[point[each]] + nth]]
+        vec_id = self.ids[members[begin[point[each]] + nth]]
         other = vec_id != own[who[each]]
-        return pa.table({"query_id": own[who[each]][other], "ask": name[who[each]][other], "vec_id": vec_id[other], "score": score[each][other]})
+        return who[each][other], vec_id[other], score[each][other]
+
+
+FOUND = pa.schema([("query_id", pa.int64()), ("ask", pa.int64()), ("part", pa.int32()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+
+def searched(batches: Iterator[pa.RecordBatch], k: int, relax: float, leaf: int, groups: int) -> Iterator[pa.RecordBatch]:
+    """Streams shard after shard: first its rows (no ``ask``), then the queries."""
+    now, held, shard = None, [], None
+    for batch in batches:
+        numbers = batch.column("shard").to_numpy()
+        asked = batch.column("ask").is_valid().to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.append(True, (numbers[1:] != numbers[:-1]) | (asked[1:] != asked[:-1])))
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), batch.num_rows], strict=True):
+            part = batch.slice(a, b - a)
+            if numbers[a] != now:
+                now, held, shard = int(numbers[a]), [], None
+            own, q = part.column("id").to_numpy(), matrix(part.column("vec"))
+            if not asked[a]:
+                held.append((own, q))
+                continue
+            if held:
+                shard, held = Shard(np.concatenate([x for x, _ in held]), np.concatenate([v for _, v in held]), leaf), []
+            if shard is None:  # a shard without rows
+                continue
+            who, vec_id, score = shard.find(own, q, k, relax)
+            name = part.column("ask").to_numpy()
+            columns = [own[who], name[who], np.full(len(who), now % groups, np.int32), vec_id, score]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, FOUND, strict=True)], schema=FOUND)
+
 
-    found = points.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(search, "query_id long, ask long, vec_id long, score double")
-    # The best k of a query over all shards; each shard has sent a few rows only.
-    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id", "score"))), 1, k)
-    top = found.groupBy("query_id", "ask").agg(best.alias("best"))
+def nearest(
+    rows: DataFrame, queries: DataFrame, id_column: str = "vec_id", vector: str = "embedding", k: int = K, relax: float = RELAX,
+    shard_rows: int = SHARD_ROWS, leaf: int = LEAF, dim: int | None = None,
+) -> DataFrame:
+    """query_id, rank, vec_id, score: for each query its k nearest rows, nearest first."""
+    clean = lambda df: df.select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec")).where(F.col("id").isNotNull() & valid(F.col("vec")))
+    sized = clean(rows).groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    found = (sized.where(F.col("d") == dim) if dim else sized).orderBy(F.desc("n"), F.desc("d")).first()
+    length, n = (found.d, found.n) if found else (dim or 1, 0)
+    whole = lambda df: clean(df).where(F.size("vec") == length)
+    shards = max(1, -(-n // shard_rows))
+    groups = max(1, int(shards**0.5))
+    # Equal ids are dealt by their vector too, so repeated rows do not fill one shard.
+    points = whole(rows).select("id", "vec", F.lit(None).cast("long").alias("ask"), F.pmod(F.xxhash64("id", "vec"), F.lit(shards)).cast("int").alias("shard"))
+    asked = whole(queries).dropDuplicates(["id", "vec"]).select("id", "vec", F.xxhash64("id", "vec").alias("ask"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    stream = points.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", F.col("ask").asc_nulls_first())
+    schema = "query_id long, ask long, part int, vec_id long, score double"
+    near = stream.mapInArrow(lambda batches: searched(batches, k, relax, leaf, groups), schema)
+    best = lambda c: F.slice(F.sort_array(F.collect_list(c)), 1, k)
+    first = near.groupBy("query_id", "ask", "part").agg(best(F.struct((-F.col("score")).alias("far"), "vec_id", "score")).alias("best"))
+    top = first.groupBy("query_id", "ask").agg(F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
     return top.select("query_id", F.posexplode("best").alias("rank", "b")).select(
         "query_id", (F.col("rank") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), F.col("b.score").alias("score")
     )
