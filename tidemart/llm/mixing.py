@@ -36,7 +36,8 @@ BLOCK_WORDS = 64
 SHARD_BLOCKS = 4096
 SEED = 7
 ROUNDS = 24
-SLICES = 1024
+# Slices of a source: at least so many, and one for each ``SLICE_ROWS`` rows of all.
+SLICES, SLICE_ROWS = 1024, 10_000
 CHUNK = 8192
 # A row per source is broadcast up to so many sources (a few MB); beyond, the join shuffles.
 BROADCAST_SOURCES = 20_000
@@ -52,9 +53,9 @@ def permuted(x: Column, n: Column, *keys: Column) -> Column:
     return F.when(n > 1, F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x.cast("long"), step)).otherwise(x.cast("long"))
 
 
-def sized(docs: DataFrame, *keep: str) -> DataFrame:
-    """Document, source and number of words; only sizes move in the steps that follow."""
-    return docs.select("doc_id", "source", *keep, F.size(words_column(F.col("text"))).cast("long").alias("size"))
+def sized(docs: DataFrame) -> DataFrame:
+    """Document, source, a hash of id, source and text, and the number of words; only these move in the steps that follow."""
+    return docs.select("doc_id", "source", F.xxhash64("doc_id", "source", "text").alias("_key"), F.size(words_column(F.col("text"))).cast("long").alias("size"))
 
 
 def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, total: float = TOTAL, most: int = MOST) -> DataFrame:
@@ -85,22 +86,27 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, total: float = T
 
 
 def laid_out(sizes: DataFrame) -> DataFrame:
-    """``sizes`` with ``start``: the words of the source before the document, in the order of a hash of doc_id.
+    """``sizes`` with ``start``: the words of the source before the document, in the order of a hash of its id and text.
 
     Each source is cut into slices by that hash; slice totals give the slices' starts, so a source of any size is scanned by many
-    tasks.
+    tasks. Rows that are equal in all columns are laid out as one of so many times their size, and told apart afterwards.
     """
-    order = F.xxhash64(F.lit(SEED), "doc_id")
-    s = sizes.withColumn("order", order).withColumn("slice", F.pmod(F.shiftright("order", 32), F.lit(SLICES)))
+    counted = sizes.groupBy(*sizes.columns).agg(F.count(F.lit(1)).alias("copies"))
+    slices = max(SLICES, sizes.count() // SLICE_ROWS)
+    order = F.xxhash64(F.lit(SEED), "doc_id", "_key")
+    s = counted.withColumnRenamed("size", "each").withColumn("size", F.col("each") * F.col("copies"))
+    s = s.withColumn("order", order).withColumn("slice", F.pmod(F.shiftright("order", 32), F.lit(slices)))
     per_slice = s.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_slice.select(
         F.col("source").alias("s_source"), F.col("slice").alias("s_slice"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base")
-    )  # at most SLICES rows per source
-    inside = Window.partitionBy("source", "slice").orderBy("order", *sizes.columns).rowsBetween(Window.unboundedPreceding, -1)
+    )  # a row per slice of a source
+    inside = Window.partitionBy("source", "slice").orderBy("order", "doc_id", "_key", "each").rowsBetween(Window.unboundedPreceding, -1)
     within = s.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     met = within.join(starts, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("slice") == F.col("s_slice")))
-    return met.withColumn("start", F.col("base") + F.col("within")).select(*sizes.columns, "start")
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
+    every = met.withColumn("copy", copy).drop("size").withColumnRenamed("each", "size")
+    return every.withColumn("start", F.col("base") + F.col("within") + F.col("copy") * F.col("size")).select(*sizes.columns, "start")
 
 
 def slots(plan: DataFrame, block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS, most: int = MOST) -> DataFrame:
@@ -178,7 +184,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     ranges are shuffled; the texts meet them once.
     """
     keyed = wrapped(docs, "doc_id", "source", "text").withColumn("_key", F.xxhash64("doc_id", "source", "text"))
-    sizes = stored(sized(keyed, "_key"), "mix-sizes")
+    sizes = stored(sized(keyed), "mix-sizes")
     ranges = drawn(sizes, targets(sizes), block_words, by_pass=True)
     spans = ranges.groupBy("_key", "source", "start").agg(F.sort_array(F.collect_list(F.struct("pass", "lo", "hi"))).alias("_spans"))
     # Of rows with equal key columns one text is enough: each of their ranges has a row of its own.
