@@ -651,11 +651,66 @@ def test_frequent_line_in_different_surroundings(spark, monkeypatch, hot):
     told = substrings.repeated(texts.mapInArrow(substrings.symbols, substrings.OCCURRENCES), hot).where("key is not null").select("key").distinct().collect()
     assert bool(told) == (hot == 3)
     if told:
-        names = np.sort(np.array([r.key for r in told], np.int64).view(np.uint64))
-        found = substrings.repeated(texts.mapInArrow(substrings.symbols, substrings.OCCURRENCES), hot).where("row is not null")
-        listed = texts.join(substrings.listed(found), F.col("row") == F.col("l_row"))
-        most = lambda h: listed.mapInArrow(lambda b: substrings.windows(b, h), substrings.CANDIDATES).where("hashes is not null").groupBy("key").count().agg(F.max("count")).first()[0]
-        assert most(names) < 10 < 40 < most(names[:0])
+        found = substrings.repeated(texts.mapInArrow(substrings.symbols, substrings.OCCURRENCES), hot)
+        plain = found.where("row is not null").select("row", F.shiftleft("place", 1).alias("place"))
+
+        def most(places):
+            listed = texts.join(substrings.listed(places), F.col("row") == F.col("l_row"))
+            return listed.mapInArrow(substrings.windows, substrings.CANDIDATES).where("hashes is not null").groupBy("key").count().agg(F.max("count")).first()[0]
+
+        assert most(substrings.flagged(found)) < 10 < 40 < most(plain)
+
+
+def test_rows_that_repeat_share_one_list(spark):
+    rng = np.random.default_rng(6)
+    text = prose(rng, 120)
+    rows_ = [(1, text)] * 400 + [(None, text)] * 50 + [(i, prose(rng, 60)) for i in range(2, 40)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string").repartition(5)
+    got = substrings.remove_repeats(df).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()
+    assert Counter(map(tuple, got)) == Counter(brute_repeats(rows_))
+    texts = df.select(F.xxhash64("doc_id", "text").alias("row"), "text")
+    places = substrings.flagged(substrings.repeated(texts.mapInArrow(substrings.symbols, substrings.OCCURRENCES), 10))
+    assert substrings.listed(places).agg(F.max(F.size("places"))).first()[0] <= 120
+
+
+def test_columns_with_odd_names(spark, insults):
+    """Blanks, dots and quotes in the names of further columns."""
+    rng = np.random.default_rng(7)
+    rows_ = [(i, prose(rng, 60), "s", i) for i in range(40)]
+    odd = spark.createDataFrame(rows_, "doc_id long, text string, source string, `a.b` long").withColumns({"my col": F.lit(1), "it's \"quoted\"": F.lit("x"), "row": F.lit(2)})
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    kept = (
+        toxicity.keep_clean(odd, toxicity.train(odd, labels)), simhash.keep_first(odd), substrings.deduplicate(odd), mixing.mix(odd), quality.keep_good(odd), sharding.place(odd, ["a.b"], ["x", "y"]).drop("slot", "shard"),
+    )
+    for df in kept:
+        assert df.columns == odd.columns and df.count() <= 40
+    fingerprints.fingerprints(odd).count()
+
+
+def test_one_id_on_many_rows_stays_within_the_training_bound(spark):
+    rng = np.random.default_rng(8)
+    rows_ = [(1, prose(rng, 30)) for _ in range(300)] + [(None, prose(rng, 30)) for _ in range(100)] + [(i, "same text") for i in range(50, 90)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, toxic int")
+    assert toxicity.training_rows(df, labels, 21).count() <= 21
+    seen = []
+    fit, quality.fit = quality.fit, lambda rows, target: seen.append(len(rows)) or fit(rows, target)
+    try:
+        quality.train(df, 21)
+    finally:
+        quality.fit = fit
+    assert seen == [21]
+
+
+def test_swapped_halves_differ_in_short_texts(spark):
+    rng = np.random.default_rng(9)
+    for n, most in ((30, 0.75), (100, 0.6), (300, 0.6), (1500, 0.6)):
+        words_ = [prose(rng, n).split(" ") for _ in range(20)]
+        rows_ = [(" ".join(w), " ".join(w[len(w) // 2 :] + w[: len(w) // 2])) for w in words_]
+        df = spark.createDataFrame(rows_, "a string, b string")
+        near = df.select(F.avg(fingerprints.likeness(fingerprints.signature(F.col("a")), fingerprints.signature(F.col("b"))))).first()[0]
+        assert near < most, (n, near)
+        print(n, near)
 
 
 # --- neighbours
@@ -682,13 +737,47 @@ def brute_nearest(vectors, k=5):
             yield from ((q, n + 1, i) for n, (_, i) in enumerate(near))
 
 
+def test_vectors_of_other_lengths_take_no_part(spark):
+    rows_ = [(i, [float(i), 1.0, 2.0]) for i in range(1, 30)] + [(100 + i, [1.0, float(i)]) for i in range(10)] + [(1, [5.0])]
+    df = spark.createDataFrame(rows_, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, df, relax=1.0, shard_rows=4).collect()
+    assert {r.query_id for r in got} == set(range(1, 30)) and {r.vec_id for r in got} <= set(range(1, 30))
+    two = neighbours.nearest(df, df, relax=1.0, dim=2).collect()
+    assert {r.query_id for r in two} == {100 + i for i in range(10)}
+    assert neighbours.nearest(df, df, dim=9).count() == 0 and neighbours.nearest(df.limit(0), df).count() == 0
+
+
+def test_one_id_on_a_third_of_the_mixed_rows(spark):
+    rng = np.random.default_rng(4)
+    rows_ = [(None, prose(rng, 20), "a") for _ in range(300)] + [(7, "the same few words", "a")] * 200 + [(i, prose(rng, 20), "b") for i in range(300)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, source string").repartition(6)
+    sizes = mixing.sized(df)
+    laid = mixing.laid_out(sizes).collect()
+    for source in "ab":
+        at = 0
+        for r in sorted((r for r in laid if r.source == source), key=lambda r: r.start):
+            assert r.start == at
+            at += r["size"]
+    got = mixing.mix_sizes(df).collect()
+    _, target = brute_targets([(a, b, None, c) for a, b, c in rows_])
+    assert len(got) == 800 and all(r.taken <= 2 * r.size for r in got)
+    for source, t in target.items():
+        assert abs(sum(r.taken for r in got if r.source == source) - t) <= 64
+    sliced = F.pmod(F.shiftright(F.xxhash64(F.lit(mixing.SEED), "doc_id", "_key"), 32), F.lit(mixing.SLICES))
+    assert sizes.where("doc_id is null").select(sliced.alias("s")).distinct().count() > 100
+
+
 def test_neighbours_are_exact_at_factor_one(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(40, 6))
     vectors = [(i, [float(x) for x in base[int(rng.integers(40))]]) if i % 3 else (i, [float(x) for x in rng.normal(size=6)]) for i in range(1200)]
     vectors += [(1250, None), (1300, [0.0] * 6), (1350, [float("nan")] * 6), (1351, [None, *[1.0] * 5]), (1400, [float("inf")] * 6), (1450, [1e-300] * 6), (1500, [1e300, -1e300, 1.0, 1.0, 1.0, 1.0])]
     df = spark.createDataFrame([(i, v, "x") for i, v in vectors], "vec_id long, embedding array<double>, rank string")
-    got = neighbours.nearest(df, df.where("vec_id % 50 = 0"), relax=1.0, shard_rows=200, block_queries=7, leaf=16).collect()
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(batch)
+    spark.conf.set(batch, "7")  # rows and queries of a shard come in many batches
+    got = neighbours.nearest(df, df.where("vec_id % 50 = 0"), relax=1.0, shard_rows=200, leaf=16).collect()
+    spark.conf.set(batch, old)
     tiny = {1450: [1.0] * 6, 1500: [1.0, -1.0, 1e-300, 1e-300, 1e-300, 1e-300]}
     want = list(brute_nearest([(i, tiny.get(i, v)) for i, v in vectors]))
     assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == sorted(want)
