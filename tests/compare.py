@@ -46,8 +46,11 @@ def rows_of(columns, rows):
 
 
 def compare(spark, con, name, fn, sql, folder) -> tuple[bool, str]:
+    from tidemart.session import clear_scratch
+
     df = fn(spark, folder)
     got_cols, got = df.columns, [tuple(r) for r in df.collect()]
+    clear_scratch(spark)
     if sql is None:
         return True, f"{len(got)} rows, no SQL"
     res = con.execute(sql)
