@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import conversations, fingerprints, mixing, neighbours, packing, quality, sharding, simhash, substrings, toxicity, urls, variants, warc
 from tidemart.llm.common import documents
+from tidemart.llm.statements import SQL
 from tidemart.session import load, scratch_path
 
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
@@ -110,4 +111,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
