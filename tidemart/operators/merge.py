@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import latest_by, row_hash, version_order
+from tidemart.operators.digests import range_digests
 from tidemart.session import broadcast_limit, plan_bytes
+from tidemart.sources.tables import BucketedTable
 
 # A target this many broadcast limits large is not worth shuffling for a small source.
 LARGE_TARGET = 10
@@ -212,10 +214,12 @@ def insert_update_delete(
     delta_cols: Sequence[str] = (),
     tie: Sequence[str] = (),
     strategy: str = "auto",
+    several: bool | None = None,
 ) -> DataFrame:
     """Full-feed merge: as ``insert_update``, revives deleted keys, soft-deletes keys absent from the feed.
 
-    A feed of one row or none deletes nothing, so that an empty delivery cannot wipe the table.
+    A feed of one row or none deletes nothing, so that an empty delivery cannot wipe the table. ``several`` says whether the feed has
+    more rows, where ``stage`` is a part of it.
     """
     names = stage.columns
     source = with_meta(dedupe(stage, keys, delta_cols, tie), run_ts, names).withColumn(
@@ -232,7 +236,7 @@ def insert_update_delete(
         differs = differs & newer(t, s) if delta_cols else differs
         return differs | t("meta_is_deleted")
 
-    several = stage.select((F.count(F.lit(1)) > 1).alias("ok")).scalar()
+    several = stage.select((F.count(F.lit(1)) > 1).alias("ok")).scalar() if several is None else F.lit(several)
     return apply_merge(
         target,
         source,
@@ -251,6 +255,54 @@ def insert_update_delete(
     )
 
 
+def merge_feed(
+    table: BucketedTable, stage: DataFrame, run_ts: Column, delta_cols: Sequence[str] = (), tie: Sequence[str] = ()
+) -> list[int]:
+    """``insert_update_delete`` of a full feed into ``table``; gives the buckets rewritten.
+
+    A bucket whose live rows have the digest of its part of the feed stays as it is. The digests need keys and row hashes only and are
+    reduced before they are shuffled, so a feed in which little has changed moves few rows. (Repeated feed rows change a
+    digest, and their bucket is merged.)
+    """
+    keys = list(table.keys)
+    load = lambda several: lambda t, s: insert_update_delete(t, s, keys, run_ts, delta_cols, tie, several=several)
+    if not table.exists():
+        return table.merge(stage, load(None))
+    if len(stage.take(2)) < 2:
+        return table.merge(stage, load(False))
+    sides = [stage.select(*keys, row_hash(*stage.columns).alias("meta_row_hash")), live_rows(table.read())]
+    new, old = (range_digests(side, table.bucket(), [*keys, "meta_row_hash"]) for side in sides)
+    same = F.lit(True)
+    for c in ("_range", "n", "a", "b"):
+        same = same & new[c].eqNullSafe(old[c])
+    differ = new.join(old, same, "left_anti").select("_range").union(old.join(new, same, "left_anti").select("_range"))
+    return table.merge(stage, load(True), touched=table.listed(differ))
+
+
+def merge_changed(
+    table: BucketedTable,
+    source: DataFrame,
+    apply: Callable[[DataFrame | None, DataFrame], DataFrame],
+    hashes: dict[str, Sequence[str]],
+    among: Column | None = None,
+) -> list[int]:
+    """``apply`` (a merge by the table's keys that alters nothing where the hashes agree) on the buckets that need it; gives these buckets.
+
+    ``hashes`` maps hash columns of the table to the source columns they are made of; ``among`` restricts the target rows they are compared
+    with, such as the current versions of a dimension. Keys and hashes alone are compared, so a source that repeats most of
+    the table rewrites the buckets of what is new in it.
+    """
+    if not table.exists():
+        return table.merge(source, apply)
+    held = table.read().filter(among) if among is not None else table.read()
+    held = held.select(*[F.col(c).alias(f"t_{c}") for c in [*table.keys, *hashes]])
+    brought = source.select(*table.keys, *[row_hash(*columns).alias(c) for c, columns in hashes.items()])
+    same = F.lit(True)
+    for c in [*table.keys, *hashes]:
+        same = same & F.col(c).eqNullSafe(F.col(f"t_{c}"))
+    return table.merge(source, apply, touched=table.touched_by(brought.join(held, same, "left_anti")))
+
+
 def live_rows(target: DataFrame) -> DataFrame:
     """The view readers see: soft-deleted rows hidden."""
     return target.filter(~F.col("meta_is_deleted"))

@@ -75,12 +75,16 @@ class BucketedTable:
     writer per table. The number of buckets is fixed when the table is made: it bounds both the list of touched buckets and the
     size of what a small source rewrites; ``sized`` lets it follow the rows. A bucket is written by as many tasks as its size needs
     (Spark rebalances by size), so none of them is one task's.
+
+    With ``width`` the buckets are ranges of so many numbers of the first key, an integer, instead: where changes cluster on recent
+    numbers, a merge touches the last ranges only. A null key stands in bucket -1.
     """
 
     spark: SparkSession
     path: str
     keys: Sequence[str]
     buckets: int = 64
+    width: int | None = None
 
     @classmethod
     def sized(cls, spark: SparkSession, path: str, keys: Sequence[str], first: DataFrame) -> BucketedTable:
@@ -89,6 +93,8 @@ class BucketedTable:
         return cls(spark, path, keys, int(min(MOST_BUCKETS, max(16, wanted))))
 
     def bucket(self) -> Column:
+        if self.width:
+            return F.coalesce(F.call_function("div", F.col(self.keys[0]).cast("long"), F.lit(self.width).cast("long")), F.lit(-1))
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def exists(self) -> bool:
@@ -100,12 +106,20 @@ class BucketedTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path).drop(BUCKET)
 
-    def _touched(self, source: DataFrame) -> list[int]:
-        return sorted(r[0] for r in source.select(self.bucket()).distinct().collect())  # at most ``buckets`` numbers
+    def touched_by(self, source: DataFrame) -> list[int]:
+        """Buckets that the keys of ``source`` fall into, at most ``MOST_BUCKETS``."""
+        return self.listed(source.select(self.bucket()))
+
+    def listed(self, numbers: DataFrame) -> list[int]:
+        """The distinct bucket numbers in a frame's only column."""
+        found = numbers.distinct().limit(MOST_BUCKETS + 1).collect()
+        if len(found) > MOST_BUCKETS:
+            raise ValueError(f"more than {MOST_BUCKETS} buckets touched: choose a greater width")
+        return sorted(r[0] for r in found)
 
     def read_touched(self, source: DataFrame) -> DataFrame:
         """The rows of the buckets that the keys of ``source`` fall into; the others are not read."""
-        touched = self._touched(source)
+        touched = self.touched_by(source)
         return self.spark.read.parquet(self.path).where(F.col(BUCKET).isin(touched) if touched else F.lit(False)).drop(BUCKET)
 
     def _write(self, df: DataFrame) -> None:
@@ -113,16 +127,25 @@ class BucketedTable:
         placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path)
 
     def merge(
-        self, source: DataFrame, apply: Callable[[DataFrame | None, DataFrame], DataFrame], deletes: bool = False
+        self,
+        source: DataFrame,
+        apply: Callable[[DataFrame | None, DataFrame], DataFrame],
+        deletes: bool = False,
+        touched: list[int] | None = None,
     ) -> list[int]:
-        """Replace the touched buckets by ``apply(their rows, source)``; gives the numbers of these buckets.
+        """Replace the touched buckets by ``apply(their rows, source)``; gives the numbers of these buckets (all at the first load).
 
-        ``deletes``: the merge may remove rows. A bucket left without rows writes no file, so its folder has to go.
+        ``deletes``: the merge may remove rows. A bucket left without rows writes no file, so its folder has to go. ``touched``: the only
+        buckets in which the merge changes anything, where the caller knows them; ``apply`` then gets the source rows of these.
         """
         if not self.exists():
+            touched = self.touched_by(source) if self.width else list(range(self.buckets))
             self._write(apply(None, source))
-            return list(range(self.buckets))
-        touched = self._touched(source)
+            return touched
+        if touched is None:
+            touched = self.touched_by(source)
+        else:
+            source = source.where(self.bucket().isin(touched) if touched else F.lit(False))
         if not touched:
             return []
         part = self.spark.read.parquet(self.path).where(F.col(BUCKET).isin(touched)).drop(BUCKET)

@@ -89,7 +89,15 @@ def _parts(t):
     return t.part.select("p_partkey", "p_type", "p_size", money("p_retailprice").alias("price"))
 
 
-@query("m02_insert_update_delete", f"SELECT p_partkey, (CASE WHEN p_size > 10 AND p_type = 'PROMO' THEN p_retailprice::DECIMAL(18,2) + 1 ELSE p_retailprice::DECIMAL(18,2) END)::DOUBLE AS price, p_size <= 5 AS is_deleted, CASE WHEN p_size <= 5 THEN '{T2}' WHEN p_size <= 10 THEN '2002-01-03 00:00:00' WHEN p_type = 'PROMO' THEN '{T2}' ELSE '{T1}' END AS last_change FROM part")
+_M02 = f"SELECT p_partkey, (CASE WHEN p_size > 10 AND p_type = 'PROMO' THEN p_retailprice::DECIMAL(18,2) + 1 ELSE p_retailprice::DECIMAL(18,2) END)::DOUBLE AS price, p_size <= 5 AS is_deleted, CASE WHEN p_size <= 5 THEN '{T2}' WHEN p_size <= 10 THEN '2002-01-03 00:00:00' WHEN p_type = 'PROMO' THEN '{T2}' ELSE '{T1}' END AS last_change FROM part"
+
+
+def _width(df, key, ranges):
+    """Numbers per range, for so many ranges of the keys there are."""
+    return (df.agg(F.max(key)).first()[0] or 0) // ranges + 1
+
+
+@query("m02_insert_update_delete", _M02)
 def _(t):
     p, now1, now2, now3 = _parts(t), when(T1), when(T2), when("2002-01-03 00:00:00")
     raised = p.withColumn("price", F.when(F.col("p_type") == "PROMO", F.col("price") + 1).otherwise(F.col("price")).cast("decimal(18,2)"))
@@ -102,6 +110,20 @@ def _(t):
     return fourth.select("p_partkey", "price", F.col("meta_is_deleted").alias("is_deleted"), F.col("meta_update_datetime").alias("last_change"))
 
 
+@query("m02_full_feed_buckets", _M02)
+def _(t):
+    """Full feeds into key ranges; ranges whose digest agrees with the feed's are not rewritten."""
+    p = _parts(t)
+    raised = p.withColumn("price", F.when(F.col("p_type") == "PROMO", F.col("price") + 1).otherwise(F.col("price")).cast("decimal(18,2)"))
+    third_feed = raised.filter("p_size > 10").unionByName(p.filter("p_size BETWEEN 6 AND 10"))
+    table = BucketedTable(t.spark, t.scratch("parts-ranges"), ["p_partkey"], width=_width(p, "p_partkey", 12))
+    M.merge_feed(table, p, when(T1))
+    M.merge_feed(table, raised.filter("p_size > 10"), when(T2))
+    M.merge_feed(table, third_feed, when("2002-01-03 00:00:00"))
+    M.merge_feed(table, third_feed.orderBy("p_partkey").limit(1), when("2002-01-03 00:00:00"))
+    return table.read().select("p_partkey", "price", F.col("meta_is_deleted").alias("is_deleted"), F.col("meta_update_datetime").alias("last_change"))
+
+
 _LINE_KEY = "PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC"
 
 
@@ -132,6 +154,7 @@ def _(t):
 
 _SPEC = D.ScdSpec(keys=("user_id",), type_1=("level",), type_2=("state",), event="ts")
 _SQL_EV = "(SELECT event_id, user_id, ts, event_type AS state, CASE WHEN value > 30 THEN 'high' ELSE 'low' END AS level FROM events)"
+_SCD_HASHES = {"meta_type_1_hash": _SPEC.type_1, "meta_type_2_hash": _SPEC.type_2}
 CUT = "2024-01-16 00:00:00"
 
 
@@ -148,10 +171,13 @@ def _after(df):
     return df.filter(F.col("ts") >= when(CUT))
 
 
-@query("m06_scd_load", f"""WITH b1 AS (SELECT user_id, arg_max(state, ts) AS state, arg_max(level, ts) AS level, max(ts) AS ts FROM {_SQL_EV} WHERE ts < TIMESTAMP '{CUT}' GROUP BY 1),
+_M06 = f"""WITH b1 AS (SELECT user_id, arg_max(state, ts) AS state, arg_max(level, ts) AS level, max(ts) AS ts FROM {_SQL_EV} WHERE ts < TIMESTAMP '{CUT}' GROUP BY 1),
  b2 AS (SELECT user_id, arg_max(state, ts) AS state, arg_max(level, ts) AS level, max(ts) AS ts FROM {_SQL_EV} WHERE ts >= TIMESTAMP '{CUT}' GROUP BY 1)
  SELECT a.user_id, a.state, CASE WHEN b.level <> a.level THEN b.level ELSE a.level END AS level, '{D.LOAD_FIRST_START}' AS from_at, CASE WHEN b.state <> a.state THEN b.ts::VARCHAR ELSE '{D.LOAD_OPEN_END}' END AS to_at, COALESCE(b.state = a.state, true) AS is_current FROM b1 a LEFT JOIN b2 b USING (user_id)
- UNION ALL SELECT b.user_id, b.state, b.level, CASE WHEN a.user_id IS NULL THEN '{D.LOAD_FIRST_START}' ELSE b.ts::VARCHAR END, '{D.LOAD_OPEN_END}', true FROM b2 b LEFT JOIN b1 a USING (user_id) WHERE a.user_id IS NULL OR a.state <> b.state""")
+ UNION ALL SELECT b.user_id, b.state, b.level, CASE WHEN a.user_id IS NULL THEN '{D.LOAD_FIRST_START}' ELSE b.ts::VARCHAR END, '{D.LOAD_OPEN_END}', true FROM b2 b LEFT JOIN b1 a USING (user_id) WHERE a.user_id IS NULL OR a.state <> b.state"""
+
+
+@query("m06_scd_load", _M06)
 def _(t):
     e = _events(t)
     first = t.stored(D.scd_load(None, _before(e), _SPEC, when(T1)), "scd")
@@ -159,6 +185,17 @@ def _(t):
     return out.select("user_id", "state", "level", F.col("meta_from_datetime").alias("from_at"), F.col("meta_to_datetime").alias("to_at"), F.col("meta_is_current").alias("is_current"))
 
 
+@query("m06_scd_load_buckets", _M06)
+def _(t):
+    """The dimension in buckets; those whose current versions already agree with the batch stay as they are."""
+    e = _events(t)
+    table = BucketedTable(t.spark, t.scratch("scd-buckets"), list(_SPEC.keys), buckets=16)
+    load = lambda now: lambda target, stage: D.scd_load(target, stage, _SPEC, when(now))
+    for batch, now in ((_before(e), T1), (_after(e), T2), (_after(e), "2002-01-03 00:00:00")):
+        M.merge_changed(table, batch, load(now), _SCD_HASHES, among=F.col("meta_is_current"))
+    return table.read().select("user_id", "state", "level", F.col("meta_from_datetime").alias("from_at"), F.col("meta_to_datetime").alias("to_at"), F.col("meta_is_current").alias("is_current"))
+
+
 def _sql_scd_batch(name, events, current):
     """One batch of the event dimension as SQL: lag over the batch, first row against the current version."""
     return f"""{name}_d AS (SELECT s.*, CASE WHEN t.user_id IS NULL AND s.rn = 1 THEN 'new'
@@ -192,6 +229,16 @@ def _(t):
     return _scd_history(t).select("user_id", "state", "level", F.col("effective_start_datetime").alias("start_at"), F.col("effective_end_datetime").alias("end_at"), "is_current")
 
 
+@query("m07_scd_mart_buckets", _M07)
+def _(t):
+    e = _events(t)
+    table = BucketedTable(t.spark, t.scratch("scd-mart-buckets"), list(_SPEC.keys), buckets=16)
+    load = lambda now: lambda target, stage: D.scd_mart(target, stage, _SPEC, when(now))
+    for batch, now in ((_before(e), T1), (_after(e), T2)):
+        M.merge_changed(table, batch, load(now), _SCD_HASHES, among=F.col("is_current"))
+    return table.read().select("user_id", "state", "level", F.col("effective_start_datetime").alias("start_at"), F.col("effective_end_datetime").alias("end_at"), "is_current")
+
+
 @query("m08_mart_dim", f"SELECT s_suppkey, s_name, (CASE WHEN s_acctbal < 0 THEN 0 ELSE s_acctbal::DECIMAL(18,2) END)::DOUBLE AS balance, CASE WHEN s_acctbal < 0 THEN '{T2}' ELSE '{T1}' END AS updated, '9999-12-31 00:00:00' AS end_at, true AS is_current FROM supplier")
 def _(t):
     s = t.supplier.select("s_suppkey", "s_name", money("s_acctbal").alias("balance"))
@@ -201,9 +248,12 @@ def _(t):
     return out.select("s_suppkey", "s_name", "balance", F.col("meta_update_datetime").alias("updated"), F.col("effective_end_datetime").alias("end_at"), "is_current")
 
 
-@query("m09_mart_fact", f"""WITH f AS (SELECT orderkey, MAX(ship_date) AS last_ship, SUM(net) AS net, COUNT(*) AS lines FROM {SQL_LINES} GROUP BY 1),
+_M09 = f"""WITH f AS (SELECT orderkey, MAX(ship_date) AS last_ship, SUM(net) AS net, COUNT(*) AS lines FROM {SQL_LINES} GROUP BY 1),
  a AS (SELECT orderkey, SUM(net) AS net FROM {SQL_LINES} WHERE ship_date < TIMESTAMP '1999-01-01' GROUP BY 1)
- SELECT f.orderkey, f.net::DOUBLE AS net, f.lines::BIGINT AS lines, CASE WHEN a.orderkey IS NULL OR f.last_ship >= TIMESTAMP '1999-01-01' THEN '{T2}' ELSE '{T1}' END AS updated FROM f LEFT JOIN a USING (orderkey)""")
+ SELECT f.orderkey, f.net::DOUBLE AS net, f.lines::BIGINT AS lines, CASE WHEN a.orderkey IS NULL OR f.last_ship >= TIMESTAMP '1999-01-01' THEN '{T2}' ELSE '{T1}' END AS updated FROM f LEFT JOIN a USING (orderkey)"""
+
+
+@query("m09_mart_fact", _M09)
 def _(t):
     fact = lambda df: df.groupBy("orderkey").agg(F.max("ship_date").alias("last_ship"), F.sum("net").alias("net"), row_count().alias("lines"))
     early = t.lines().filter(F.col("ship_date") < when("1999-01-01"))
@@ -212,6 +262,19 @@ def _(t):
     return out.select("orderkey", "net", "lines", F.col("meta_update_datetime").alias("updated"))
 
 
+@query("m09_mart_fact_ranges", _M09)
+def _(t):
+    """The fact in ranges of order numbers: the whole mart is delivered again, ranges without a new or changed order are not rewritten."""
+    fact = lambda df: df.groupBy("orderkey").agg(F.max("ship_date").alias("last_ship"), F.sum("net").alias("net"), row_count().alias("lines"))
+    rows = t.stored(fact(t.lines()), "mart-delta")
+    table = BucketedTable(t.spark, t.scratch("fact-ranges"), ["orderkey"], width=_width(rows, "orderkey", 16))
+    load = lambda now, newer_by=None: lambda target, delta: D.mart_upsert(target, delta, ["orderkey"], when(now), newer_by=newer_by)
+    hashes = {"meta_row_hash": ["last_ship", "net", "lines"]}
+    M.merge_changed(table, fact(t.lines().filter(F.col("ship_date") < when("1999-01-01"))), load(T1), hashes)
+    M.merge_changed(table, rows, load(T2, "last_ship"), hashes)
+    return table.read().select("orderkey", "net", "lines", F.col("meta_update_datetime").alias("updated"))
+
+
 _SQL_PRICE_DIM = f"""(SELECT partkey, q AS s, COALESCE(LEAD(q) OVER (PARTITION BY partkey ORDER BY q) - INTERVAL 1 MILLISECOND, TIMESTAMP '9999-12-31') AS e,
   partkey * 1000 + date_diff('month', TIMESTAMP '1990-01-01', q) AS k FROM (SELECT DISTINCT partkey, date_trunc('year', ship_date) AS q FROM {SQL_LINES}))"""
 
