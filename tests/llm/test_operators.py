@@ -276,6 +276,28 @@ def test_fingerprints_follow_the_next_document(docs, rows, bucket_rows):
     assert fingerprints.edited_fingerprints(none(docs)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [7, 10_000, -3, None])
+def test_an_id_on_a_third_of_the_rows_is_many_buckets(spark, hot):
+    rows = [(hot if i % 3 == 0 else i, f"text {i % 500} of many", "en", "s", 1) for i in range(3000)] + [(None, "x", "en", "s", 1)] * 5
+    docs = spark.createDataFrame(rows, SCHEMA)
+    base = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    sizes = base.groupBy(fingerprints._bucket(base.select("doc_id"), 50).alias("b")).count().collect()
+    assert max(r["count"] for r in sizes) < 200
+    got = fingerprints.with_next(docs, 50).select("doc_id", "text", "next_text").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], r[1]) for r in rows)
+    # Every row follows once, and only one row of an id is followed by one of the next id.
+    assert Counter(r.next_text for r in got) == Counter(r[1] for r in rows)
+    of = defaultdict(Counter)
+    after = defaultdict(Counter)
+    for r in got:
+        of[r.doc_id][r.text] += 1
+        after[r.doc_id][r.next_text] += 1
+    order = sorted(of, key=lambda i: (i is None, -(i or 0)))
+    for i, nxt in zip(order, order[1:] + order[:1], strict=True):
+        first, brought = of[i] - after[i], after[i] - of[i]
+        assert sum(first.values()) <= 1 and sum(brought.values()) <= 1 and set(brought) <= set(of[nxt])
+
+
 def test_one_document_follows_itself(spark):
     row = fingerprints.edited_fingerprints(spark.createDataFrame([(1, "a b c d", "en", "s", 7)], SCHEMA)).first()
     assert row.near_next == 1.0 and row.edited_sha256 == hashlib.sha256(b"a b a b").hexdigest()[:0] + hashlib.sha256(("a b " + "a b").encode()).hexdigest()

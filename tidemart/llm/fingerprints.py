@@ -11,12 +11,15 @@ without a k-mer are left out.
 The work of a text stays in its row: sorting is done on arrays of packed longs, and nothing is exploded.
 
 Defined cases: a null text counts as empty; a text without words has the empty fingerprint, and two of them have likeness 1; a text of fewer
-words than a k-mer is one k-mer; positions are told apart up to 33,554,432 words, beyond them the order of a text's k-mers wraps around; rows with equal or null doc_id are separate documents, ordered by text, null ids last; a table of
+words than a k-mer is one k-mer; positions are told apart up to 33,554,432 words, beyond them the order of a text's k-mers wraps around; rows with equal or null doc_id are separate documents, ordered by text, null ids last (an id on more
+than 0.2 % of the rows, or null, is cut into slices by a hash of the text, so that it is no single task's, and a slice is ordered by text); a table of
 one row is its own next document; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +30,7 @@ LENGTH = 2
 BIN_BITS = 7
 POSITION_BITS = 25
 BUCKET_ROWS = 2000
-KNOTS = 64
+KNOTS, QUANTILES = 64, 1024
 
 _POSITION = (1 << POSITION_BITS) - 1
 _KEPT = (1 << (63 - POSITION_BITS)) - 1
@@ -113,20 +116,40 @@ def likeness(a: Column, b: Column) -> Column:
     return F.coalesce(F.size(F.array_intersect(a, b)) / F.nullif(F.size(F.array_union(bins(a), bins(b))), F.lit(0)), F.lit(1.0))
 
 
-def _bucket(ids: DataFrame, bucket_rows: int) -> Column:
-    """A bucket number that rises with doc_id: quantile knots over all ids, and equal steps between two knots."""
-    shares = [i / KNOTS for i in range(KNOTS + 1)]
-    found = ids.agg(F.count("doc_id").alias("n"), F.percentile_approx("doc_id", shares, 10_000).alias("knots")).first()
-    knots = sorted(set(found.knots or []))
+def _number(n: int, knots: list, bucket_rows: int) -> Column:
+    """A number that rises with doc_id: between two of the knots in equal steps."""
     if len(knots) < 2:
-        return F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long")
-    steps = max(1, -(-found.n // (bucket_rows * (len(knots) - 1))))
+        return F.lit(0).cast("long")
+    steps = max(1, -(-n // (bucket_rows * (len(knots) - 1))))
     listed = F.array(*[F.lit(k).cast("long") for k in knots])
     below = F.greatest(F.lit(1), F.least(F.lit(len(knots) - 1), F.size(F.filter(listed, lambda k: k <= F.col("doc_id")))))
     lo, hi = F.get(listed, below - 1).cast("double"), F.get(listed, below).cast("double")
     inside = F.floor((F.col("doc_id").cast("double") - lo) / (hi - lo) * steps).cast("long")
-    number = below.cast("long") * (steps + 1) + F.greatest(F.lit(0).cast("long"), F.least(inside, F.lit(steps).cast("long")))
-    return F.when(F.col("doc_id").isNull(), F.lit(-1).cast("long")).otherwise(number)
+    return below.cast("long") * (steps + 1) + F.greatest(F.lit(0).cast("long"), F.least(inside, F.lit(steps).cast("long")))
+
+
+def _bucket(ids: DataFrame, bucket_rows: int) -> Column:
+    """(stretch, number, slice), which rises with doc_id: quantile knots over all ids cut the ids into buckets.
+
+    An id that fills several quantiles, or null, is a stretch of its own and is cut into slices by a hash of the text.
+    """
+    shares = [i / QUANTILES for i in range(QUANTILES + 1)]
+    found = ids.agg(F.count(F.lit(1)).alias("rows"), F.count("doc_id").alias("n"), F.percentile_approx("doc_id", shares, 10_000).alias("knots")).first()
+    quantiles = list(found.knots or [])
+    rows_of = {k: (c - 1) * found.n // QUANTILES for k, c in Counter(quantiles).items()}
+    hot = sorted(k for k, rows in rows_of.items() if rows > bucket_rows)  # QUANTILES / 2 at most
+    slices, stretch, null = F.lit(1), F.lit(0), F.col("doc_id").isNull()
+    if hot:
+        rank = F.size(F.filter(F.array(*[F.lit(k).cast("long") for k in hot]), lambda k: k <= F.col("doc_id")))
+        own = F.col("doc_id").isin(hot)
+        stretch = 2 * rank + F.when(own, 0).otherwise(1)
+        slices = F.when(own, F.get(F.array(*[F.lit(-(-rows_of[k] // bucket_rows)) for k in hot]), rank - 1)).otherwise(1)
+    slices = F.when(null, F.lit(max(1, -(-(found.rows - found.n) // bucket_rows)))).otherwise(slices)
+    part = F.shiftright(F.shiftrightunsigned(F.xxhash64("text"), 33) * slices, 31)
+    return F.struct(
+        F.when(null, -1).otherwise(stretch).alias("stretch"), F.when(null, F.lit(-1).cast("long")).otherwise(_number(found.n, sorted(set(quantiles[:: QUANTILES // KNOTS])), bucket_rows)).alias("number"),
+        F.when(slices > 1, part).otherwise(F.lit(0).cast("long")).alias("slice"),
+    )
 
 
 def with_next(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
