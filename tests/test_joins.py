@@ -85,3 +85,18 @@ def test_no_pairs_of_a_key_in_the_scan_plan(spark):
     plan = J.effective_lookup(fact, dim, ["k"], "ts", "s", "e", ["v"], strategy="scan")
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in text
+
+
+def test_versions_are_counted_before_a_broadcast(spark):
+    """Sixteen versions grow out of each row of a source whose estimated size would fit a broadcast."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        dim = spark.range(200).select(F.col("id").alias("k"), F.explode(F.sequence(F.lit(1), F.lit(16))).alias("s")).withColumn("e", F.col("s") + 1)
+        fact = spark.range(50_000).select((F.col("id") % 200).alias("k"), (F.col("id") % 19).cast("int").alias("at"))
+        for strategy in ("range", "auto"):
+            hit = J.effective_lookup(fact, dim.withColumn("v", F.col("s") * 10), ["k"], "at", "s", "e", ["v"], half_open=True, strategy=strategy, disjoint=True)
+            assert "BroadcastHashJoin" not in hit._jdf.queryExecution().executedPlan().toString()
+            assert hit.filter("v <=> if(at BETWEEN 1 AND 16, at * 10, NULL)").count() == 50_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.semantics import join_keys
 from tidemart.operators.scan import Scan, ordered_scan
 from tidemart.operators.sweep import held_versions
-from tidemart.session import broadcast_limit, plan_bytes, reused
+from tidemart.session import ROW_BYTES, beside, broadcast_limit, reused
 
 
 FEW_VERSIONS = 64
@@ -92,13 +92,15 @@ def disjoint_versions(
     real = dim.filter(F.col(start) < stop).withColumn("_stop", stop)
     scanned = ordered_scan(real, keys, [start], [Scan("_upto", "max", "_stop"), Scan("_next", "lead", start)], **limits)
     overlapping = reused(scanned.filter(F.col("_next") < F.col("_upto")).select(*keys).distinct())
-    if overlapping.isEmpty():
+    found = overlapping.count()
+    if not found:
         return real.drop("_stop")
+    overlapping = beside(overlapping, found)
     mixed = reused(join_keys(real, overlapping, keys, "left_semi"))
     # Of versions with equal bounds one stands for all, the same in every run.
     one = mixed.groupBy(*keys, start, "_stop").agg(F.max_by(F.struct(*dim.columns), F.xxhash64(*dim.columns)).alias("_row"))
     held = held_versions(mixed, keys, start, "_stop", **limits)
-    best = join_keys(held, one, [*keys, start, "_stop"])
+    best = join_keys(held, beside(one, found), [*keys, start, "_stop"])
     last = F.col("_until") if half_open else _beside(F.col("_until"), kind, -1)
     place = {start: F.col("_at"), end: last}
     cut = best.select(*[place.get(c, F.col("_row")[c]).alias(c) for c in dim.columns])
@@ -121,18 +123,21 @@ def effective_lookup(
     """Left join to the version valid at ``ts``; where several are, to the one that starts last.
 
     Every fact row comes back once, whichever plan runs: overlaps are resolved before, unless ``disjoint`` states that there are none. A
-    dimension that fits a broadcast and has few versions per key: equi key plus range predicate. Otherwise the as-of
-    scan finds the last version started and its end is tested, so no key ever pairs all rows with all versions.
+    dimension that fits a broadcast (its rows are counted) and has few versions per key: equi key plus range predicate. Otherwise the
+    as-of scan finds the last version started and its end is tested, so no key ever pairs all rows with all versions.
     """
     if not disjoint:
         dim = reused(disjoint_versions(dim.select(*dict.fromkeys([*keys, start, end, *carry])), keys, start, end, half_open))
+    rows = versions = 0
     if strategy == "auto":
-        strategy = "scan"
-        if plan_bytes(dim) <= broadcast_limit(fact.sparkSession):
-            versions = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-            strategy = "range" if (versions or 0) <= FEW_VERSIONS else "scan"
+        sizes = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        rows, versions = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+        small = rows * ROW_BYTES <= broadcast_limit(fact.sparkSession)
+        strategy = "range" if small and versions <= FEW_VERSIONS else "scan"
+    elif strategy == "range":
+        rows = dim.count()
     if strategy == "range":
-        f, d = fact.alias("f"), dim.alias("d")
+        f, d = fact.alias("f"), beside(dim, rows).alias("d")
         on = F.lit(True)
         for k in keys:
             on = on & (F.col(f"f.{k}") == F.col(f"d.{k}"))

@@ -101,3 +101,12 @@ def broadcast_limit(spark: SparkSession) -> int:
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower().rstrip("b")
     factor = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(raw[-1:], 1)
     return int(raw.rstrip("kmg")) * factor
+
+
+# Bytes of a row in a broadcast table at least, with its place in the hash map.
+ROW_BYTES = 64
+
+
+def beside(df: DataFrame, rows: int) -> DataFrame:
+    """A join side of ``rows`` counted rows; sizes of files tell little of them, so Spark would broadcast a large one by its estimate."""
+    return df if rows * ROW_BYTES <= broadcast_limit(df.sparkSession) else df.hint("merge")
