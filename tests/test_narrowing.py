@@ -147,3 +147,22 @@ def test_only_what_is_inside_the_brackets_is_shuffled(spark):
     frame = spark.range(200_000).select((F.col("id") % 2).alias("g"), F.xxhash64("id").alias("v"))
     bounds = Q.brackets(frame, ["g"], "v", 0.5)
     assert Q.bracketed(frame, ["g"], "v", bounds).count() < 2_000
+
+
+def test_all_shares_read_the_rows_twice(spark):
+    """Once for the sketch of all shares, once for the values inside all brackets; each share is exact, also where brackets overlap or miss."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    plain = spark.range(6_000).select((F.col("id") % 3).alias("g"), (F.xxhash64("id") % 500 / 8).alias("v"))
+    shares = (0.1, 0.5, 0.501, 0.99)
+    got = Q.narrowed_quantiles(plain.mapInArrow(counted, plain.schema), ["g"], "v", shares, "q").collect()
+    assert seen.value == 12_000
+    want = {(r.g, s, r.q) for s in shares for r in exact_percentile(plain, ["g"], "v", s, "q").collect()}
+    assert {(r.g, r._share, r.q) for r in got} == want
+    missing = Q.narrowed_quantiles(plain, ["g"], "v", shares, "q", accuracy=3).collect()
+    assert {(r.g, r._share, r.q) for r in missing} == want

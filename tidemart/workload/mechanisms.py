@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemart.operators import digests as G
 from tidemart.operators import distinct as D
 from tidemart.operators.machines import state_scan
-from tidemart.operators.quantiles import narrowed_quantile
+from tidemart.operators.quantiles import narrowed_quantiles
 from tidemart.operators.rules import classify
 from tidemart.operators.sweep import held_versions
 from tidemart.operators.views import StoredView, View, signed
@@ -132,9 +132,8 @@ def _(t):
 @query("a09_narrowed_quantiles", " UNION ALL ".join(f"SELECT COALESCE(NULLIF(l_returnflag, 'N'), 'none') AS flag, '{s}' AS share, ROUND(quantile_cont(l_extendedprice, {s}), 6)::DOUBLE AS price FROM lineitem GROUP BY 1" for s in ("0.1", "0.5", "0.99")))
 def _(t):
     lines = t.lineitem.select(F.expr("nullif(l_returnflag, 'N')").alias("flag"), "l_extendedprice")
-    found = [narrowed_quantile(lines, ["flag"], "l_extendedprice", s, "price").withColumn("share", F.lit(str(s))) for s in (0.1, 0.5, 0.99)]
-    every = found[0].unionByName(found[1]).unionByName(found[2])
-    return every.select(F.coalesce("flag", F.lit("none")).alias("flag"), "share", F.round("price", 6).alias("price"))
+    every = narrowed_quantiles(lines, ["flag"], "l_extendedprice", (0.1, 0.5, 0.99), "price")
+    return every.select(F.coalesce("flag", F.lit("none")).alias("flag"), F.col("_share").cast("string").alias("share"), F.round("price", 6).alias("price"))
 
 
 _PERIODS = """WITH e AS (SELECT user_id, ts, event_type, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id::VARCHAR) AS nxt FROM events)
