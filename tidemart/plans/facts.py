@@ -8,11 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.semantics import earliest_by, join_keys, latest_by, ratio, row_count
+from tidemart.functions.semantics import OPEN_END, earliest_by, join_keys, latest_by, ntz, ratio, row_count
 from tidemart.functions.text import country_of_shard, local_time
 from tidemart.operators.joins import as_of, effective_lookup
 from tidemart.operators.merge import evolve, insert_update, replace_groups, rescue
 from tidemart.operators.reshape import first_match, flatten_object
+from tidemart.operators.scan import Scan, ordered_scan
 from tidemart.operators.scd import mart_upsert
 from tidemart.session import scratch_path, settle
 
@@ -134,12 +135,15 @@ def add_cancellation(cancels: DataFrame, fees: DataFrame) -> Callable:
 def add_assumption(assumptions: DataFrame, keys: Sequence[str], ts: str, cost: str, units: str) -> Callable:
     """Step: an estimated cost from the assumption of the row's month where the real one is not known yet.
 
-    assumptions: keys, month, per_unit; a month without its own takes the last one before it.
+    assumptions: keys, month, per_unit; a month without its own takes the last one before it. They are few beside the rows, which stay where
+    they are: each assumption holds until the next, and only a list too long for a broadcast is laid on one time line with the rows.
     """
 
     def step(df: DataFrame) -> DataFrame:
         dated = assumptions.withColumn("_month", F.col("month").cast("timestamp_ntz"))
-        hit = as_of(df, dated, keys, ts, "_month", ["per_unit"], prefix="_a_")
+        led = ordered_scan(dated, keys, ["_month"], [Scan("_next", "lead", "_month")])
+        held = led.withColumn("_until", F.coalesce("_next", ntz(OPEN_END)))
+        hit = effective_lookup(df, held, keys, ts, "_month", "_until", ["per_unit"], half_open=True, prefix="_a_", disjoint=True)
         estimate = F.coalesce(F.col("_a_per_unit"), F.lit(0.0)) * F.col(units)
         known = F.col(cost).cast("double")
         return hit.withColumn(f"{cost}_or_estimate", F.when(known > 0, known).otherwise(estimate)).drop("_a_per_unit")
