@@ -137,7 +137,8 @@ def effective_lookup(
     elif strategy == "range":
         rows = dim.count()
     if strategy == "range":
-        f, d = fact.alias("f"), beside(dim, rows).alias("d")
+        fits = rows * ROW_BYTES <= broadcast_limit(fact.sparkSession)
+        f, d = fact.alias("f"), (F.broadcast(dim) if fits else beside(dim, rows)).alias("d")
         on = F.lit(True)
         for k in keys:
             on = on & (F.col(f"f.{k}") == F.col(f"d.{k}"))
