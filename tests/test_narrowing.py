@@ -51,6 +51,22 @@ def test_one_basket_of_many_items_runs_in_many_tasks(spark):
     assert sum(r.w for r in found) == 4000 * 3999 // 2 and len(found) >= 24 and max(r.n for r in found) < 4000 * 3999 // 2 / 8
 
 
+def test_pairs_of_larger_baskets_are_counted_where_they_are_made(spark):
+    from tidemart.plans.products import _pairs
+
+    rows = [(d, b, i) for d in ("x", None) for b in (1, 2, None) for i in range(0, 90, (b or 3) * (1 if d else 2))]
+    frame = spark.createDataFrame(rows, "d string, b int, i int")
+    pairs = _pairs(frame, ["d", "b"], "i", 10, cell_pairs=200)
+    placed = pairs.withColumn("p", F.spark_partition_id()).groupBy("d", "item_a", "item_b").agg(F.sum("w").alias("n"), F.count_distinct("p").alias("tasks")).collect()
+    want = Counter((d, *p) for (d, _), own in itertools.groupby(rows, lambda r: r[:2]) for p in itertools.combinations(sorted(i for _, _, i in own), 2))
+    assert {(r.d, r.item_a, r.item_b): r.n for r in placed} == want
+    assert {r.tasks for r in placed} == {1}
+    small = [("x", 7, 3), ("x", 7, 4)]
+    want["x", 3, 4] += 1
+    counted = co_occurrence(spark.createDataFrame(rows + small, frame.schema), "b", "i", ["d"], min_baskets=2, block=10)
+    assert {(r.d, r.item_a, r.item_b): r.baskets for r in counted.collect()} == {k: n for k, n in want.items() if n > 1}
+
+
 @pytest.mark.parametrize("leaf", [0, 50, 10**6])
 @pytest.mark.parametrize("key", ["id", "name"])
 def test_planted_differences(spark, leaf, key):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,35 +15,44 @@ from tidemart.session import reused
 
 BLOCK = 1024
 PAIR_SLOTS = 1 << 22
+# Pairs that one cell of two blocks of items makes, about.
+CELL_PAIRS = 1 << 22
 
 
-def _pairs(unique: DataFrame, by: Sequence[str], item: str, block: int) -> DataFrame:
+def _pairs(unique: DataFrame, by: Sequence[str], item: str, block: int, cell_pairs: int = CELL_PAIRS) -> DataFrame:
     """Pairs ``item_a`` < ``item_b`` of every basket's distinct items with a weight ``w``, not yet summed.
 
-    Baskets of up to ``block`` items become lists; equal lists count once with their weight. A larger basket's items are dealt to blocks, and
-    each cell of two blocks makes the pairs between them, so one basket is as many groups as it has cells.
+    Baskets of up to ``block`` items become lists; equal lists count once with their weight. Where there are larger baskets, items are dealt to
+    blocks, the same in every basket, and pairs lie by the cell ``_i``, ``_j`` of their two blocks: a larger basket sends its blocks there, and the
+    pairs between them are made in the cell's task, where they can be counted without being sent on.
     """
     dims = by[:-1]
     sizes = unique.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     large = reused(sizes.filter(F.col("_n") > block))
-    some = not large.isEmpty()
-    plain = join_keys(unique, large, by, "left_anti") if some else unique
+    n = F.col("_n").cast("double")
+    most, made = large.agg(F.max("_n"), F.sum(n * (n - 1) / 2)).first()
+    plain = join_keys(unique, large, by, "left_anti") if most else unique
     lists = plain.groupBy(*by).agg(F.array_sort(F.collect_list(item)).alias("set"))
     weighted = lists.groupBy(*dims, "set").agg(F.count(F.lit(1)).alias("w")).filter(F.size("set") > 1)
     firsts = weighted.select(*dims, "set", "w", F.posexplode("set").alias("i", "item_a"))
     pairs = firsts.select(*dims, "item_a", F.explode(F.expr("slice(set, i + 2, size(set))")).alias("item_b"), "w")
-    if not some:
+    if not most:
         return pairs
-    blocks = F.ceil(F.col("_n") / block).cast("int")
-    placed = join_keys(unique, large, by).withColumn("_b", F.pmod(F.xxhash64(item), blocks).cast("int"))
-    beside = placed.withColumn("_o", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    cells = beside.select(*by, F.col(item).alias("_item"), F.least("_b", "_o").alias("_i"), F.greatest("_b", "_o").alias("_j"), "_b")
-    mine = lambda c: F.collect_list(F.when(F.col("_b") == F.col(c), F.col("_item")))
+    blocks = max(math.ceil(most / block), math.ceil(math.sqrt(2 * made / cell_pairs)))
+    tasks = max(int(unique.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks * (blocks + 1))  # two a cell, as cells are dealt by hash
+    block_of = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    in_cells = lambda df: df.repartition(tasks, *dims, "_i", "_j")
+    placed = join_keys(unique, large.select(*by), by).select(*by, item, block_of(item).alias("_b"))
+    listed = placed.groupBy(*by, "_b").agg(F.collect_list(item).alias("_list"))
+    beside = listed.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    cells = in_cells(beside.select(*by, "_list", F.least("_b", "_o").alias("_i"), F.greatest("_b", "_o").alias("_j"), "_b"))
+    mine = lambda c: F.first(F.when(F.col("_b") == F.col(c), F.col("_list")), ignorenulls=True)
     sides = cells.groupBy(*by, "_i", "_j").agg(mine("_i").alias("left"), mine("_j").alias("right"))
     one = sides.select(*dims, "_i", "_j", "right", F.explode("left").alias("x"))
     both = one.select(*dims, "_i", "_j", "x", F.explode("right").alias("y")).filter((F.col("_i") != F.col("_j")) | (F.col("x") < F.col("y")))
-    tiled = both.select(*dims, F.least("x", "y").alias("item_a"), F.greatest("x", "y").alias("item_b"), F.lit(1).cast("long").alias("w"))
-    return pairs.unionByName(tiled)
+    tiled = both.select(*dims, "_i", "_j", F.least("x", "y").alias("item_a"), F.greatest("x", "y").alias("item_b"), F.lit(1).cast("long").alias("w"))
+    a, b = block_of("item_a"), block_of("item_b")
+    return in_cells(pairs.select(*dims, F.least(a, b).alias("_i"), F.greatest(a, b).alias("_j"), "item_a", "item_b", "w")).unionByName(tiled)
 
 
 def co_occurrence(
@@ -50,20 +60,25 @@ def co_occurrence(
 ) -> DataFrame:
     """Number of baskets each unordered pair of items shares, per dimension of the basket; pairs in ``min_baskets`` at least.
 
-    With a minimum, items that are in fewer baskets go first, and pairs are counted in hashed slots before they are counted themselves: a slot
-    below the minimum holds no pair that reaches it. The counts are exact either way.
+    With a minimum, items that are in fewer baskets go first. Pairs of larger baskets lie by cells and are counted where they are made; others
+    are, with a minimum, counted in hashed slots before they are counted themselves: a slot below the minimum holds no pair that reaches it. The
+    counts are exact either way.
     """
     by = [*dims, basket]
     unique = items.select(*by, item).filter(F.col(item).isNotNull()).distinct()
     total = F.sum("w").alias("baskets")
-    if min_baskets <= 1:
-        return _pairs(unique, by, item, block).groupBy(*dims, "item_a", "item_b").agg(total)
-    known = unique.groupBy(*dims, item).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_baskets)
-    kept = reused(join_keys(unique, known, [*dims, item], "left_semi"))
-    pairs = _pairs(kept, by, item, block).withColumn("_slot", F.pmod(F.xxhash64("item_a", "item_b"), F.lit(slots)))
-    full = pairs.groupBy(*dims, "_slot").agg(total).filter(F.col("baskets") >= min_baskets)
-    likely = join_keys(pairs, full, [*dims, "_slot"], "left_semi")
-    return likely.groupBy(*dims, "item_a", "item_b").agg(total).filter(F.col("baskets") >= min_baskets)
+    if min_baskets > 1:
+        known = unique.groupBy(*dims, item).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_baskets)
+        unique = reused(join_keys(unique, known, [*dims, item], "left_semi"))
+    pairs = _pairs(unique, by, item, block)
+    if "_i" in pairs.columns:
+        counted = pairs.groupBy(*dims, "_i", "_j", "item_a", "item_b").agg(total).drop("_i", "_j")
+        return counted.filter(F.col("baskets") >= min_baskets)
+    if min_baskets > 1:
+        pairs = pairs.withColumn("_slot", F.pmod(F.xxhash64("item_a", "item_b"), F.lit(slots)))
+        full = pairs.groupBy(*dims, "_slot").agg(total).filter(F.col("baskets") >= min_baskets)
+        pairs = join_keys(pairs, full, [*dims, "_slot"], "left_semi")
+    return pairs.groupBy(*dims, "item_a", "item_b").agg(total).filter(F.col("baskets") >= min_baskets)
 
 
 def combination_label(flags: dict[str, Column]) -> Column:
