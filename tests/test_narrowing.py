@@ -67,6 +67,17 @@ def test_pairs_of_larger_baskets_are_counted_where_they_are_made(spark):
     assert {(r.d, r.item_a, r.item_b): r.baskets for r in counted.collect()} == {k: n for k, n in want.items() if n > 1}
 
 
+def test_large_input_is_dealt_to_more_tasks(spark, monkeypatch):
+    from tidemart import session
+
+    frame = spark.range(5000).select((F.col("id") % 900).alias("b"), (F.col("id") % 7).alias("i"))
+    monkeypatch.setattr(session, "SMALL_BYTES", 0)
+    monkeypatch.setattr(session, "TASK_BYTES", 1000)
+    assert session.dealt(frame, "b").rdd.getNumPartitions() == 40
+    rows = [tuple(r) for r in frame.collect()]
+    assert {(r.item_a, r.item_b, r.baskets) for r in co_occurrence(frame, "b", "i").collect()} == brute_pairs(rows)
+
+
 @pytest.mark.parametrize("leaf", [0, 50, 10**6])
 @pytest.mark.parametrize("key", ["id", "name"])
 def test_planted_differences(spark, leaf, key):

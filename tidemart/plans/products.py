@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import join_keys, latest_by
 from tidemart.operators.scan import Scan, dense_ranks, global_tiles, ordered_scan
-from tidemart.session import reused
+from tidemart.session import dealt, reused
 
 
 BLOCK = 1024
@@ -32,7 +32,7 @@ def _pairs(unique: DataFrame, by: Sequence[str], item: str, block: int, cell_pai
     n = F.col("_n").cast("double")
     most, made = large.agg(F.max("_n"), F.sum(n * (n - 1) / 2)).first()
     plain = join_keys(unique, large, by, "left_anti") if most else unique
-    lists = plain.groupBy(*by).agg(F.array_sort(F.collect_list(item)).alias("set"))
+    lists = dealt(plain, *by).groupBy(*by).agg(F.array_sort(F.collect_list(item)).alias("set"))
     weighted = lists.groupBy(*dims, "set").agg(F.count(F.lit(1)).alias("w")).filter(F.size("set") > 1)
     firsts = weighted.select(*dims, "set", "w", F.posexplode("set").alias("i", "item_a"))
     pairs = firsts.select(*dims, "item_a", F.explode(F.expr("slice(set, i + 2, size(set))")).alias("item_b"), "w")
@@ -65,7 +65,7 @@ def co_occurrence(
     counts are exact either way.
     """
     by = [*dims, basket]
-    unique = items.select(*by, item).filter(F.col(item).isNotNull()).distinct()
+    unique = dealt(items.select(*by, item).filter(F.col(item).isNotNull()), *by, item).distinct()
     total = F.sum("w").alias("baskets")
     if min_baskets > 1:
         known = unique.groupBy(*dims, item).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_baskets)

@@ -97,6 +97,22 @@ def reused(df: DataFrame) -> DataFrame:
     return settle(df) if input_bytes(df) > SMALL_BYTES else df
 
 
+# Bytes of input for each task of a step whose rows take many times their room on disk, and the most tasks it is dealt to.
+TASK_BYTES = 8 << 20
+MOST_TASKS = 4096
+# Spark's size of a leaf of which it knows none, as of rows that come from Python.
+UNKNOWN_BYTES = 1 << 60
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by keys to as many tasks as the input has parts of ``TASK_BYTES``; a small input, or one of unknown size, stays as it is.
+
+    Spark joins shuffled partitions by their compressed size, so what one task holds of a large input would be many times that.
+    """
+    size = input_bytes(df)
+    return df if size <= SMALL_BYTES or size >= UNKNOWN_BYTES else df.repartition(min(MOST_TASKS, size // TASK_BYTES), *keys)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower().rstrip("b")
     factor = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(raw[-1:], 1)
