@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidemart.llm import fingerprints, mixing, neighbours, packing, quality, sharding, simhash, substrings, toxicity, urls
-from tidemart.llm.common import lower_words, split_words
+from tidemart.llm.common import let, lower_words, split_words, words_column
 
 GAP = re.compile(r"[\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -402,6 +403,26 @@ def test_expectation_maximisation_finds_the_labellers():
     assert model.answers[0, 0, 0] > model.answers[3, 0, 0] > 0.3
 
 
+def test_quality_patterns_begin_with_one_character_and_count_as_written_out(spark):
+    parts = ["|", "||", " ", "\n", "\r\n", "\u2028", "\u0085", "a", "\U0001f600", "!", "!!", "!!!", "**", "#$", "$$$$", "%%", "&&&", "\u00a0", "x x", "\t"]
+    rng = random.Random(5)
+    texts = ["", None, "|", "a|", "|\n", "| | |", *["".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(3000)]]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    whole = F.coalesce("text", F.lit(""))
+    words = words_column(F.col("text"))
+    plain = {
+        "n_double": F.regexp_count(whole, F.lit(r"(?:!!|\*\*|##|\$\$|%%|&&)")), "n_bars": F.regexp_count(whole, F.lit(r"(?:^|\s)\|(?=\s|$)")),
+        "n_again": let(words, lambda ws: F.size(F.filter(F.transform(ws, lambda w, i: w == F.get(ws, i - 1)), lambda x: x))),
+    }
+    new = let(words, lambda ws: F.struct(*[c.alias(k) for k, c in quality.measures(F.col("text"), ws).items()]))
+    rows = frame.select("text", new.alias("m"), F.struct(*[c.alias(k) for k, c in plain.items()]).alias("p")).collect()
+    assert [r.text for r in rows if any(r.m[k] != r.p[k] for k in plain)] == []
+    assert all(sum(r.p[k] for r in rows) > 100 for k in plain)
+    # An alternative or an anchor at the front would be tried at every place of the text.
+    shown = frame.select(new.alias("m"))._jdf.queryExecution().analyzed().toString()
+    assert "(?:!!" not in shown and "(?:^" not in shown
+
+
 def test_quality_keeps_prose_and_drops_junk(spark, docs):
     rng = np.random.default_rng(6)
 

@@ -50,10 +50,10 @@ def measures(text: Column, words: Column) -> dict[str, Column]:
         "n_letters": F.length(t) - F.length(F.regexp_replace(t, r"\p{L}+", "")),
         "n_upper": count(r"\p{Lu}"),
         "n_marks": count(r"[!*#$%&|~^=<>{}]"),
-        "n_double": count(r"(?:!!|\*\*|##|\$\$|%%|&&)"),
-        "n_bars": count(r"(?:^|\s)\|(?=\s|$)"),
+        "n_double": count(r"([!*#$%&])\1"),
+        "n_bars": count(r"\|(?<!\S\|)(?=\s|$)"),  # begins with the rare character: alternatives would be tried at every place
         "n_ends": count(r"[.?!](?=\s|$)"),
-        "n_again": F.size(F.filter(F.transform(words, lambda w, i: w == F.get(words, i - 1)), lambda x: x)),
+        "n_again": F.size(F.filter(words, lambda w, i: w == F.get(words, i - 1))),
     }
 
 
