@@ -174,11 +174,15 @@ def latest_by(
 
 
 def earliest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """One row per key: the one with the lowest order value."""
+    """One row per key: the one with the lowest order value.
+
+    An order that names all other columns is the row itself, so they are not carried twice.
+    """
     names = df.columns
+    others = [n for n in names if n not in keys]
+    by = F.struct(*[as_col(c) for c in order])
+    whole = set(others) <= {c for c in order if isinstance(c, str)}
     picked = df.groupBy(*[F.col(k) for k in keys]).agg(
-        F.min_by(
-            F.struct(*[F.col(n) for n in names if n not in keys]), F.struct(*[as_col(c) for c in order])
-        ).alias("_row")
+        (F.min(by) if whole else F.min_by(F.struct(*[F.col(n) for n in others]), by)).alias("_row")
     )
     return picked.select(*[F.col(n) if n in keys else F.col(f"_row.{n}").alias(n) for n in names])

@@ -117,11 +117,14 @@ def apply_merge(
     if insert:
         given = insert if isinstance(insert, dict) else {c: F.col(c) for c in source.columns}
         fresh = {c: given.get(c, F.lit(None)).cast(types[c]) for c in columns}
-    # The joined row holds prefixed source columns, so the insert values are computed before the join.
+    # The joined row holds prefixed source columns, so insert values of their own are computed before the join; the others are there anyway.
+    made = {c: F.col(f"s__new.{c}") for c in columns}
+    if insert is True:
+        made = {c: F.col(f"s_{c}").cast(types[c]) if c in source.columns else fresh[c] for c in columns}
     right = source.select(
         *[F.col(c).alias(f"s_{c}") for c in source.columns],
         F.lit(True).alias("s__hit"),
-        *([F.struct(*[fresh[c].alias(c) for c in columns]).alias("s__new")] if insert else []),
+        *([F.struct(*[fresh[c].alias(c) for c in columns]).alias("s__new")] if insert and insert is not True else []),
     )
     left = target.withColumn("t__hit", F.lit(True))
     on = F.lit(True)
@@ -138,7 +141,7 @@ def apply_merge(
         joined = joined.filter(~doomed)
     if outer:
         return joined.select(
-            *[F.when(F.col("t__hit").isNull(), F.col(f"s__new.{c}")).otherwise(kept[c]).alias(c) for c in columns]
+            *[F.when(F.col("t__hit").isNull(), made[c]).otherwise(kept[c]).alias(c) for c in columns]
         )
     out = joined.select(*[kept[c].alias(c) for c in columns])
     if not insert:

@@ -183,6 +183,19 @@ def key_plan(
     return KeyPlan(hot, found["n"], found["rows"])
 
 
+def with_totals(df: DataFrame, keys: Sequence[str], totals: dict[str, Column], plan: KeyPlan) -> DataFrame:
+    """Aggregates of a key on each of its rows; NULL is a key too.
+
+    Where the plan knows no large key this is one window, which needs no shuffle when the rows are dealt by some of the keys already.
+    Otherwise the aggregates are joined to the rows, so that no key is one task.
+    """
+    if not plan.keys:
+        whole = Window.partitionBy(*keys)
+        return df.select("*", *[c.over(whole).alias(n) for n, c in totals.items()])
+    df = settle(df)
+    return join_keys(df, df.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()]), keys)
+
+
 def ordered_scan(
     df: DataFrame,
     keys: Sequence[str],

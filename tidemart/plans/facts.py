@@ -13,9 +13,9 @@ from tidemart.functions.text import country_of_shard, local_time
 from tidemart.operators.joins import as_of, effective_lookup
 from tidemart.operators.merge import evolve, insert_update, replace_groups, rescue
 from tidemart.operators.reshape import first_match, flatten_object
-from tidemart.operators.scan import Scan, ordered_scan
+from tidemart.operators.scan import KeyPlan, Scan, ordered_scan, with_totals
 from tidemart.operators.scd import mart_upsert
-from tidemart.session import scratch_path, settle
+from tidemart.session import dealt, scratch_path, settle
 
 STEPS_PER_CUT = 15
 
@@ -36,6 +36,21 @@ def assemble(
     return out
 
 
+def together(parts: dict[str, tuple[DataFrame, list[str]]], keys: DataFrame | None, totals: dict[str, Column], plan: KeyPlan) -> DataFrame:
+    """Rows of several tables of the changed orders in one frame that is dealt by order once, with totals of their order (``_of<name>``).
+
+    parts: column that holds a table's row (null on rows of the others), the table, its keys, of which the first is the order. NULL is
+    an order too. What follows and stays within an order needs no further shuffle.
+    """
+    boxed = [df.select(*on, F.struct(*[c for c in df.columns if c not in on]).alias(name)) for name, (df, on) in parts.items()]
+    if keys is not None:
+        boxed.append(keys.select("order_id", F.lit(True).alias("_changed")))
+        totals = totals | {"_changed": F.max("_changed")}
+    rows = dealt(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), boxed), "order_id")
+    named = with_totals(rows, ["order_id"], {f"_of{n}": c for n, c in totals.items()}, plan)
+    return named if keys is None else named.filter("_of_changed").drop("_changed", "_of_changed")
+
+
 def add_totals(details: DataFrame, key: str, **totals: Column) -> Callable[[DataFrame], DataFrame]:
     """Step: aggregates of a detail table per key, 0 where there is none."""
 

@@ -10,89 +10,83 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import join_keys, latest_by, row_count
 from tidemart.operators.joins import as_of, effective_lookup
+from tidemart.operators.scan import KeyPlan, key_plan, with_totals
+from tidemart.plans.facts import together
 from tidemart.session import settle
 
 BUNDLE, COMPONENT = "bundle", "component"
 
 
-GROUP = ["order_id", "group_key"]
+LINE, GROUP = ["order_id", "line_id"], ["order_id", "group_key"]
 
 
-def bundle_discounts(lines: DataFrame) -> DataFrame:
+def bundle_discounts(lines: DataFrame, plan: KeyPlan = KeyPlan()) -> DataFrame:
     """Lines with ``discount``: their own, and for what shares a bundle's group its part of the bundle's discount by price.
 
     lines: order_id, line_id, group_key (null is a group too), kind, price, own_discount, modified. Of several bundles in a group the last
-    modified counts; a bundle without a price passes nothing on.
+    modified counts; a bundle without a price passes nothing on. plan: the orders that are too large for one task.
     """
-    bundles = latest_by(lines.filter(F.col("kind") == BUNDLE), GROUP, ["modified", "line_id"])
-    rated = bundles.select(*GROUP, F.col("price").alias("_subtotal"), F.col("own_discount").alias("_bundle_discount"))
-    joined = join_keys(lines, rated, GROUP, "left")
-    part = F.col("_bundle_discount").cast("double") * F.col("price").cast("double") / F.nullif(F.col("_subtotal").cast("double"), F.lit(0.0))
-    return joined.withColumn("discount", F.col("own_discount").cast("double") + F.coalesce(part, F.lit(0.0))).drop("_subtotal", "_bundle_discount")
+    newest = F.max_by(F.struct("price", "own_discount"), F.when(F.col("kind") == BUNDLE, F.struct("modified", "line_id")))
+    rated = with_totals(lines, GROUP, {"_bundle": newest}, plan)
+    subtotal, off = F.col("_bundle.price").cast("double"), F.col("_bundle.own_discount").cast("double")
+    part = off * F.col("price").cast("double") / F.nullif(subtotal, F.lit(0.0))
+    return rated.withColumn("discount", F.col("own_discount").cast("double") + F.coalesce(part, F.lit(0.0))).drop("_bundle")
 
 
-def shared_out(lines: DataFrame, totals: DataFrame, group: Sequence[str], line: str, weight: str, whole: str, amounts: Sequence[str], digits: int = 2) -> DataFrame:
-    """Amounts of a group given to its lines by weight over ``whole``, rounded; the line of the highest number takes what rounding leaves.
+def line_tokens(lines: DataFrame, amounts: dict[str, str], plan: KeyPlan = KeyPlan()) -> DataFrame:
+    """Lines with their token amounts: a line's own; a bundle hands its tokens to its components by price and keeps none.
 
-    totals: one row per group with ``whole`` and the amounts (decimals). Two sums per group replace running totals, so a group may be large.
-    """
-    kinds = dict(totals.dtypes)
-    joined = join_keys(lines, totals, list(group))
-    ratio = F.col(weight).cast("double") / F.nullif(F.col(whole).cast("double"), F.lit(0.0))
-    share = lambda a: F.coalesce(F.round(F.col(a).cast("double") * ratio, digits), F.lit(0.0)).cast(kinds[a])
-    parted = joined.select(*[F.col(c) for c in lines.columns], *[F.col(a).alias(f"_all_{a}") for a in amounts], *[share(a).alias(a) for a in amounts])
-    given = parted.groupBy(*group).agg(F.max(line).alias("_last"), *[F.sum(a).alias(f"_sum_{a}") for a in amounts])
-    both = join_keys(parted, given, list(group))
-    own = lambda a: F.when(F.col(line) == F.col("_last"), F.col(f"_all_{a}") - F.col(f"_sum_{a}") + F.col(a)).otherwise(F.col(a)).cast(kinds[a])
-    return both.select(*lines.columns, *[own(a).alias(a) for a in amounts])
-
-
-def line_tokens(lines: DataFrame, tokens: DataFrame, amounts: Sequence[str]) -> DataFrame:
-    """order_id, line_id and token amounts: a line's own; a bundle hands its tokens to its components by price and keeps none.
+    A bundle without components keeps its tokens. A component's part is rounded to cents; the one of the highest line number takes what
+    rounding leaves. Sums per group replace running totals, so a group may be large.
 
-    A bundle without components keeps its tokens. lines: order_id, line_id, group_key, kind, price; tokens: order_id, line_id, amounts.
+    lines: order_id, line_id, group_key, kind, price, ``_held`` (how many token rows the line has) and ``_own_<amount>``, their sums; amounts:
+    name and decimal type.
     """
-    held = join_keys(lines.select("order_id", "line_id", "group_key", "kind", "price"), tokens, ["order_id", "line_id"])
-    components = lines.filter(F.col("kind") == COMPONENT).select(*GROUP, "line_id", "price")
-    open_groups = components.select(*GROUP).distinct()
-    bundles = join_keys(held.filter(F.col("kind") == BUNDLE), open_groups, GROUP, "left_semi")
-    totals = bundles.groupBy(*GROUP).agg(F.sum("price").alias("_whole"), *[F.sum(a).cast(dict(tokens.dtypes)[a]).alias(a) for a in amounts])
-    handed = shared_out(components, totals, GROUP, "line_id", "price", "_whole", amounts)
-    own = join_keys(held, bundles.select("order_id", "line_id"), ["order_id", "line_id"], "left_anti")
-    every = own.select("order_id", "line_id", *amounts).unionByName(handed.select("order_id", "line_id", *amounts))
-    return every.groupBy("order_id", "line_id").agg(*[F.sum(a).cast(dict(tokens.dtypes)[a]).alias(a) for a in amounts])
-
-
-def _over(df: DataFrame, **columns: str) -> DataFrame:
-    """Sums per order on every line. The lines are computed once: they are read by the sums and by the join."""
-    df = settle(df)
-    totals = df.groupBy("order_id").agg(*[F.sum(c).alias(out) for out, c in columns.items()])
-    return df.join(totals, "order_id")
-
-
-def credit_breakout(lines: DataFrame) -> DataFrame:
-    """Credits and payments of the lines of orders that tokens paid for in part.
+    bundle, component = (F.col("kind") == BUNDLE) & (F.col("_held") > 0), F.col("kind") == COMPONENT
+    totals = {"_open": F.max(component), "_whole": F.sum(F.when(bundle, F.col("price") * F.col("_held"))), "_bundles": F.count(F.when(bundle, 1)), "_last": F.max(F.when(component, F.col("line_id")))}
+    totals |= {f"_all_{a}": F.sum(F.when(bundle, F.col(f"_own_{a}"))) for a in amounts}
+    grouped = with_totals(lines, GROUP, totals, plan).withColumns({f"_all_{a}": F.col(f"_all_{a}").cast(kind) for a, kind in amounts.items()})
+    ratio = F.col("price").cast("double") / F.nullif(F.col("_whole").cast("double"), F.lit(0.0))
+    takes = component & (F.col("_bundles") > 0)
+    share = lambda a: F.coalesce(F.round(F.col(f"_all_{a}").cast("double") * ratio, 2), F.lit(0.0)).cast(amounts[a])
+    parted = grouped.select("*", *[F.when(takes, share(a)).alias(f"_part_{a}") for a in amounts])
+    given = with_totals(parted, GROUP, {f"_sum_{a}": F.sum(f"_part_{a}") for a in amounts}, plan)
+    rest = lambda a: F.when(F.col("line_id") == F.col("_last"), F.col(f"_all_{a}") - F.col(f"_sum_{a}") + F.col(f"_part_{a}"))
+    handed = given.select("*", *[F.when(takes, rest(a).otherwise(F.col(f"_part_{a}"))).cast(kind).alias(f"_handed_{a}") for a, kind in amounts.items()])
+    sums = {"_passed": F.max(F.coalesce(bundle & F.col("_open"), F.lit(False)))}
+    sums |= {f"_kept_{a}": F.sum(F.when(F.col("_held") > 0, F.col(f"_own_{a}"))) for a in amounts} | {f"_got_{a}": F.sum(f"_handed_{a}") for a in amounts}
+    every = with_totals(handed, LINE, sums, plan)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    kept = lambda a: F.when(F.col("_passed"), F.lit(0)).otherwise(zero(F.col(f"_kept_{a}")))
+    own = [c for c in lines.columns if c != "_held" and not c.startswith("_own_")]
+    return every.select(*own, *[(kept(a) + zero(F.col(f"_got_{a}"))).cast(kind).alias(a) for a, kind in amounts.items()])
+
+
+def credit_breakout(lines: DataFrame, plan: KeyPlan = KeyPlan()) -> DataFrame:
+    """Lines with cash_credit, noncash_credit and payment where tokens paid for a part of their order, and ``_by_tokens`` that tells where.
 
     What a line still has to pay after its tokens sets its part of the order's other credits; what it has to pay after all credits sets its
-    part of the order's payment. Cancelled lines take no part. Orders without tokens are left out: their lines share by price.
+    part of the order's payment. Cancelled lines take no part. Orders without tokens are left open: their lines share by price.
 
     lines: order_id, line_id, cancelled, subtotal, discount, tax, cash_token, noncash_token, and the order's order_cash_credit,
     order_noncash_credit, order_paid (amounts as doubles).
     """
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
-    token = zero("cash_token") + zero("noncash_token")
-    base = _over(lines.withColumn("_token", token), _tokens="_token", _cash_tokens="cash_token", _noncash_tokens="noncash_token")
+    order, token = ["order_id"], zero("cash_token") + zero("noncash_token")
+    base = with_totals(lines, order, {"_tokens": F.sum(token), "_cash_tokens": F.sum("cash_token"), "_noncash_tokens": F.sum("noncash_token")}, plan)
     due = F.when(F.col("cancelled"), F.lit(0.0)).otherwise(zero("subtotal") - zero("discount") + zero("tax") - token)
-    open_ = _over(base.filter(F.col("_tokens") > 0).withColumn("_due", due), _order_due="_due")
+    open_ = with_totals(base.withColumn("_due", due), order, {"_order_due": F.sum("_due")}, plan)
     ratio = F.coalesce(F.col("_due") / F.nullif(F.col("_order_due"), F.lit(0.0)), F.lit(0.0))
     credited = open_.withColumns({
         "cash_credit": zero("cash_token") + (F.col("order_cash_credit") - zero("_cash_tokens")) * ratio,
         "noncash_credit": zero("noncash_token") + (F.col("order_noncash_credit") - zero("_noncash_tokens")) * ratio,
     })
     cash = F.when(F.col("cancelled"), F.lit(0.0)).otherwise(zero("subtotal") - zero("discount") + zero("tax") - F.col("cash_credit") - F.col("noncash_credit"))
-    paid = _over(credited.withColumn("_cash", cash), _order_cash="_cash")
+    paid = with_totals(credited.withColumn("_cash", cash), order, {"_order_cash": F.sum("_cash")}, plan)
     part = F.coalesce(F.col("_cash") / F.nullif(F.col("_order_cash"), F.lit(0.0)), F.lit(0.0))
-    return paid.select("order_id", "line_id", "cash_credit", "noncash_credit", (F.col("order_paid") * part).alias("payment"))
+    told = {"cash_credit": F.col("cash_credit"), "noncash_credit": F.col("noncash_credit"), "payment": F.col("order_paid") * part}
+    some = F.col("order_id").isNotNull() & (F.col("_tokens") > 0)
+    return paid.select(*lines.columns, *[F.when(some, c).alias(n) for n, c in told.items()], some.alias("_by_tokens"))
 
 
 def converted(df: DataFrame, amount: str, currency: str, wanted: str, day: str, rates: DataFrame) -> DataFrame:
@@ -152,21 +146,21 @@ def line_fact(
     noncash_token; orders: order_id, order_paid, order_cash_credit, order_noncash_credit; costs: order_id, line_id, cost, cost_source. In an
     order without tokens credits and payment follow the price; where prices sum to zero, every line has an equal part.
     """
-    mine = lambda df: df if keys is None else join_keys(df, keys.select("order_id").distinct(), ["order_id"], "left_semi")
-    line = ["order_id", "line_id"]
-    base = settle(bundle_discounts(mine(lines)))
-    own = line_tokens(base, mine(tokens), ["cash_token", "noncash_token"])
-    wide = join_keys(join_keys(base, own, line, "left").fillna(0, ["cash_token", "noncash_token"]), mine(orders), ["order_id"], "left")
-    amounts = ("cash_token", "noncash_token", "tax", "order_paid", "order_cash_credit", "order_noncash_credit")
-    wide = wide.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in amounts} | {"subtotal": F.col("price").cast("double")})
-    wide = settle(wide)
-    split = credit_breakout(wide).withColumn("_by_tokens", F.lit(True))
-    sums = wide.groupBy("order_id").agg(F.sum("subtotal").alias("_subtotal"), row_count().alias("_n"))
-    joined = join_keys(join_keys(wide, sums, ["order_id"]), split, line, "left")
+    amounts = {a: dict(tokens.dtypes)[a] for a in ("cash_token", "noncash_token")}
+    plan = key_plan(lines.select("order_id").unionByName(tokens.select("order_id")), ["order_id"])
+    held = {"_held": F.count("_tokens")} | {f"_own_{a}": F.sum(f"_tokens.{a}") for a in amounts} | {"_costs": F.collect_list("_costs")}
+    parts = {"_lines": (lines, LINE), "_tokens": (tokens, LINE), "_costs": (costs, LINE), "_orders": (orders, ["order_id"])}
+    rows = together(parts, keys, {"_orders": F.collect_list("_orders")}, plan)
+    mine = with_totals(rows.drop("_orders").withColumnRenamed("_of_orders", "_orders"), LINE, {f"_of{n}": c for n, c in held.items()}, plan)
+    own = mine.filter(F.col("_lines").isNotNull()).select(*LINE, "_lines.*", "_orders", *[F.col(f"_of{n}").alias(n) for n in held])
+    base = line_tokens(bundle_discounts(own, plan), amounts, plan)
+    wide = base.withColumn("_o", F.explode_outer("_orders")).select(*[c for c in base.columns if c != "_orders"], "_o.*")
+    doubles = (*amounts, "tax", "order_paid", "order_cash_credit", "order_noncash_credit")
+    wide = wide.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in doubles} | {"subtotal": F.col("price").cast("double")})
+    split = with_totals(credit_breakout(wide, plan), ["order_id"], {"_subtotal": F.sum("subtotal"), "_n": row_count()}, plan)
     even = F.when(F.col("_subtotal") == 0, F.lit(1.0) / F.col("_n")).otherwise(F.col("subtotal") / F.nullif(F.col("_subtotal"), F.lit(0.0)))
     plain = {"cash_credit": "order_cash_credit", "noncash_credit": "order_noncash_credit", "payment": "order_paid"}
-    shared = joined.withColumns({c: F.when(F.col("_by_tokens"), F.col(c)).otherwise(F.col(total) * even) for c, total in plain.items()})
-    costed = join_keys(shared, mine(costs), line, "left")
+    shared = split.withColumns({c: F.when(F.col("_by_tokens"), F.col(c)).otherwise(F.col(total) * even) for c, total in plain.items()})
+    costed = shared.withColumn("_c", F.explode_outer("_costs")).select(*shared.columns, "_c.*")
     four = lambda c: F.round(F.col(c), 4).alias(c)
-    return costed.select(*line, "kind", "units", four("discount"), "cash_token", "noncash_token", *[four(c) for c in plain], four("cost"), "cost_source")
-
+    return costed.select(*LINE, "kind", "units", four("discount"), "cash_token", "noncash_token", *[four(c) for c in plain], four("cost"), "cost_source")
