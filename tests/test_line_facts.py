@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import earliest_by
 from tidemart.operators.merge import apply_merge
+from tidemart.plans import facts as P
 from tidemart.plans import line_facts as LF
 
 MONEY = "decimal(18,2)"
@@ -25,6 +26,7 @@ def large(request, monkeypatch):
     if request.param == "large":
         from tidemart.operators import scan
 
+        monkeypatch.setattr(P, "key_plan", lambda df, keys: scan.key_plan(df, keys, 1, -1))
         monkeypatch.setattr(LF, "key_plan", lambda df, keys: scan.key_plan(df, keys, 1, -1))
     return request.param == "large"
 
@@ -67,6 +69,21 @@ def test_line_fact(spark, large):
         assert exchanges(fact) <= 1
 
 
+def test_order_line_fact(spark, large):
+    lines = spark.createDataFrame([(1, 1, 30.0, 1), (1, 2, 70.0, 2), (None, 1, 5.0, 1), (None, None, 15.0, 1), (2, 1, 0.0, 1), (2, 2, 0.0, 3), (3, 1, 1.0, 1)], "order_id int, line_id int, gross double, units int")
+    discounts = spark.createDataFrame([(1, 1, "a", 1.0), (1, 1, "b", 2.0), (1, 1, "a", 4.0), (1, 2, None, 3.0), (None, None, "a", 1.0)], "order_id int, line_id int, kind string, amount double")
+    orders = spark.createDataFrame([(1, 200.0, 10.0), (2, 9.0, None), (None, 40.0, 4.0)], "order_id int, paid_total double, credit_total double")
+    fact = P.order_line_fact(None, lines, orders, discounts)
+    got = {(r.order_id, r.line_id): (r.discount, r.discount_kinds, r.net, r.paid_share, r.credit_share) for r in fact.collect()}
+    assert got == {
+        (1, 1): (7, 2, 23, 60, 3), (1, 2): (3, 0, 67, 140, 7), (None, 1): (0, 0, 5, 10, 1), (None, None): (1, 1, 14, 30, 3),
+        (2, 1): (0, 0, 0, 4.5, 0), (2, 2): (0, 0, 0, 4.5, 0), (3, 1): (0, 0, 1, 0, 0),
+    }
+    assert {r.order_id for r in P.order_line_fact(orders.filter("order_id = 1"), lines, orders, discounts).collect()} == {1}
+    if not large:
+        assert exchanges(fact) <= 1
+
+
 def test_earliest_row_is_carried_once(spark):
     df = spark.createDataFrame([(1, 2, None), (1, 1, "b"), (1, 1, "a"), (None, 3, "x")], "k int, a int, b string")
     got = earliest_by(df, ["k"], ["a", "b"])

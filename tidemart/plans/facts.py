@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import OPEN_END, earliest_by, join_keys, latest_by, ntz, ratio, row_count
@@ -13,7 +13,7 @@ from tidemart.functions.text import country_of_shard, local_time
 from tidemart.operators.joins import as_of, effective_lookup
 from tidemart.operators.merge import evolve, insert_update, replace_groups, rescue
 from tidemart.operators.reshape import first_match, flatten_object
-from tidemart.operators.scan import KeyPlan, Scan, ordered_scan, with_totals
+from tidemart.operators.scan import KeyPlan, Scan, key_plan, ordered_scan, with_totals
 from tidemart.operators.scd import mart_upsert
 from tidemart.session import dealt, scratch_path, settle
 
@@ -287,11 +287,25 @@ def order_line_fact(keys: DataFrame | None, lines: DataFrame, orders: DataFrame,
 
     lines: order_id, line_id, gross, units; discounts: order_id, line_id, kind, amount; orders: order_id, paid_total, credit_total.
     """
-    mine = lambda df: only(df, keys, "order_id")
-    base = line_ratios(mine(lines), "order_id", "gross", "line_share")
-    off = mine(discounts).groupBy("order_id", "line_id").agg(F.sum("amount").alias("discount"), F.count_distinct("kind").alias("discount_kinds"))
-    joined = join_keys(base, off, ["order_id", "line_id"], "left").fillna(0, ["discount", "discount_kinds"])
-    joined = join_keys(joined, mine(orders).select("order_id", "paid_total", "credit_total"), ["order_id"], "left")
+    line = ["order_id", "line_id"]
+    plan = key_plan(lines.select("order_id").unionByName(discounts.select("order_id")), ["order_id"])
+    if plan.keys:
+        mine = lambda df: only(df, keys, "order_id")
+        base = line_ratios(mine(lines), "order_id", "gross", "line_share")
+        off = mine(discounts).groupBy(*line).agg(F.sum("amount").alias("discount"), F.count_distinct("kind").alias("discount_kinds"))
+        joined = join_keys(base, off, line, "left").fillna(0, ["discount", "discount_kinds"])
+        joined = join_keys(joined, mine(orders).select("order_id", "paid_total", "credit_total"), ["order_id"], "left")
+    else:
+        parts = {"_lines": (lines, line), "_off": (discounts, line), "_orders": (orders.select("order_id", "paid_total", "credit_total"), ["order_id"])}
+        sums = {"_orders": F.collect_list("_orders"), "_total": F.sum("_lines.gross"), "_n": F.count("_lines")}
+        rows = together(parts, keys, sums, plan)
+        # A kind counts where it stands first among its like.
+        alike = Window.partitionBy(*line, "_off.kind").orderBy("_off.kind")
+        first = rows.withColumn("_first", F.when(F.col("_off.kind").isNotNull(), (F.row_number().over(alike) == 1).cast("long")))
+        own = with_totals(first, line, {"discount": F.sum("_off.amount"), "discount_kinds": F.sum("_first")}, plan)
+        own = own.filter(F.col("_lines").isNotNull()).fillna(0, ["discount", "discount_kinds"])
+        share = F.when(F.col("_of_total") == 0, F.lit(1.0) / F.col("_of_n")).otherwise(ratio("_lines.gross", "_of_total"))
+        joined = own.select(*line, "_lines.*", share.alias("line_share"), "discount", "discount_kinds", F.explode_outer("_of_orders").alias("_o")).select("*", "_o.*").drop("_o")
     spread = lambda c: F.round(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * F.col("line_share"), 4)
     return joined.withColumns({"paid_share": spread("paid_total"), "credit_share": spread("credit_total"), "net": F.col("gross") - F.col("discount")})
 
