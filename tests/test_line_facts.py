@@ -97,3 +97,27 @@ def test_merge_carries_a_source_row_once(spark):
     out = apply_merge(target, source, ["k"], lambda t, s: {"v": s("v")}, strategy="full")
     assert sorted(map(tuple, out.collect())) == [(1, "a", "p"), (2, "c", "q"), (3, "d", None)]
     assert "s__new" not in out._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_line_costs(spark, copies, monkeypatch):
+    """Each source for what is open; a line that stands in several rows is known with all of them."""
+    at = F.lit("2000-01-10").cast("timestamp_ntz")
+    one = [(1, 1, "A", 1, 7), (1, 2, "a", 1, 7), (1, 3, "b", 1, 7), (1, 4, "c", 1, 8), (None, 1, "d", 2, 7), (2, 1, "e", 9, 9), (2, 2, "x", 9, 9)]
+    again = [(1, 3, "x", 9, 9)] * (copies - 1)
+    lines = spark.createDataFrame(one + again, "order_id int, line_id int, item string, store int, region int").select("*", F.lit("EUR").alias("currency"), at.alias("day"), F.lit(2).alias("units"))
+    fixed = spark.createDataFrame([(1, 1, 10.0), (1, 2, None), (None, 1, None)], "order_id int, line_id int, cost double")
+    feed = spark.createDataFrame([(1, 1, 1.0, "EUR", 1), (1, 2, 3.0, "EUR", 1), (1, 2, 4.0, "EUR", 2), (1, 3, None, "EUR", 1)], "order_id int, line_id int, cost double, currency string, number int")
+    spans = lambda rows, place: spark.createDataFrame(rows, f"item string, {place} int, unit_cost double").select("*", F.lit("EUR").alias("currency"), F.lit("1999-01-01").cast("timestamp_ntz").alias("start_at"), F.lit("2001-01-01").cast("timestamp_ntz").alias("end_at"))
+    bought = spark.createDataFrame([("D", 7.0, 0), ("E", 8.0, 30)], "item string, unit_cost double, n int").select("item", F.timestamp_add("DAY", F.col("n"), F.lit("2000-01-01").cast("timestamp_ntz")).alias("day"), "unit_cost", F.lit("EUR").alias("currency"))
+    rates = spark.createDataFrame([], "source string, target string, day timestamp_ntz, rate double")
+    kept = []
+    monkeypatch.setattr(LF, "settle", lambda df: kept.append(df) or df.checkpoint())
+    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    out = LF.line_costs(lines, fixed, feed, spans([("B", 1, 5.0)], "store"), spans([("C", 8, 6.0), ("B", 7, 1.0)], "region"), bought, rates)
+    assert {(r.order_id, r.line_id): (r.cost, r.cost_source) for r in out.collect()} == {
+        (1, 1): (10, "fixed"), (1, 2): (4, "feed"), (1, 3): (10, "same store"), (1, 4): (12, "same region"), (None, 1): (14, "last purchase"), (2, 1): (16, "next purchase"),
+    }
+    assert out.count() == 6
+    # Fixed costs and the feed are one step.
+    assert len(kept) == 5

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import join_keys, latest_by, row_count
@@ -105,7 +105,7 @@ def line_costs(
 
     In this order: a fixed cost of the line; the latest feed row of the line, converted; the unit cost of its item in its store, in its region
     (the version that starts last, costs above 0 only); the item's last purchase up to the day, else its first one after. The item
-    ignores letter case. Each source is looked up for the lines that are still open only.
+    ignores letter case. Stores, regions and purchases are looked up for the lines that are still open only.
 
     lines: order_id, line_id, item, store, region, currency, day, units; fixed: order_id, line_id, cost; feed: order_id, line_id, cost,
     currency, number; by_store and by_region: item, store or region, start_at, end_at, unit_cost, currency; purchases: item, day, unit_cost, currency.
@@ -113,27 +113,34 @@ def line_costs(
     line = ["order_id", "line_id"]
     known: list[DataFrame] = []
     low = lambda df: df.withColumn("item", F.lower("item"))
-    left = low(lines).withColumn("units", F.when(F.col("units") == 0, 1).otherwise(F.col("units")).cast("double"))
+    names = [*line, "item", "store", "region", "currency", "day", "units"]
+    left = low(lines).withColumn("units", F.when(F.col("units") == 0, 1).otherwise(F.col("units")).cast("double")).select(*names)
+    # Where every line is one row, what a source leaves open is told by its own rows; else a line that is known goes with all its rows.
+    once = lines.groupBy(*line).agg(row_count().alias("_n")).filter("_n > 1").isEmpty()
 
-    def settle_part(found: DataFrame, source: str) -> None:
+    def settle_part(found: DataFrame, source: Column) -> None:
         nonlocal left
-        hit = found.filter(F.col("cost").isNotNull()).select(*line, F.col("cost").cast("double").alias("cost"), F.lit(source).alias("cost_source"))
-        known.append(settle(hit))
-        left = join_keys(left, known[-1].select(*line), line, "left_anti")
+        found = settle(found.select(*names, F.col("cost").cast("double").alias("cost"), source.alias("cost_source")))
+        known.append(found.filter(F.col("cost").isNotNull()).select(*line, "cost", "cost_source"))
+        left = found.filter(F.col("cost").isNull()).select(*names) if once else join_keys(left, known[-1].select(*line), line, "left_anti")
 
-    settle_part(join_keys(left, fixed, line), "fixed")
+    # Both tables of single lines are joined by the same keys, so the lines are dealt once for them.
+    told = fixed.filter(F.col("cost").isNotNull()).select(*line, F.col("cost").alias("_fixed"))
     last = latest_by(feed, line, ["number"]).select(*line, "cost", F.col("currency").alias("_paid_in"))
-    settle_part(converted(join_keys(left, last, line), "cost", "_paid_in", "currency", "day", rates), "feed")
+    fed = converted(join_keys(join_keys(left, told, line, "left"), last, line, "left"), "cost", "_paid_in", "currency", "day", rates)
+    is_fixed = F.col("_fixed").isNotNull()
+    first = fed.withColumn("cost", F.when(is_fixed, F.col("_fixed").cast("double")).otherwise(F.col("cost").cast("double")))
+    settle_part(first, F.when(is_fixed, F.lit("fixed")).otherwise(F.lit("feed")))
     for place, table, name in (("store", by_store, "same store"), ("region", by_region, "same region")):
         sound = low(table).filter(F.col("unit_cost") > 0).withColumnRenamed("currency", "_paid_in")
         hit = effective_lookup(left, sound, ["item", place], "day", "start_at", "end_at", ["unit_cost", "_paid_in"])
         priced = hit.withColumn("cost", F.col("units") * F.col("unit_cost"))
-        settle_part(converted(priced, "cost", "_paid_in", "currency", "day", rates), name)
+        settle_part(converted(priced, "cost", "_paid_in", "currency", "day", rates), F.lit(name))
     bought = low(purchases).groupBy("item", F.col("day").alias("_at")).agg(F.max_by(F.struct("unit_cost", "currency"), "unit_cost").alias("_p"))
     for forward, name in ((False, "last purchase"), (True, "next purchase")):
         hit = as_of(left, bought, ["item"], "day", "_at", ["_p"], forward=forward)
         priced = hit.withColumns({"cost": F.col("units") * F.col("_p.unit_cost"), "_paid_in": F.col("_p.currency")})
-        settle_part(converted(priced, "cost", "_paid_in", "currency", "day", rates), name)
+        settle_part(converted(priced, "cost", "_paid_in", "currency", "day", rates), F.lit(name))
     return reduce(lambda a, b: a.unionByName(b), known)
 
 
