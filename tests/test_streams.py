@@ -76,3 +76,26 @@ def test_late_repeated_and_unordered_events(spark, tmp_path, seed):
     got = spark.read.parquet(out).collect()
     key = lambda r: (r.member, r.start_at, r.end_at, r.status)
     assert sorted(map(key, got)) == sorted(map(key, want)) and len(want) > 100
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_members_share_buckets(spark, tmp_path, kind):
+    base = dt.datetime(2024, 1, 1)
+    name = lambda m: m if kind == "long" else f"m{m}"
+    rows = [(f"{m}-{i}", name(2**60 + m), base + dt.timedelta(hours=7 * i + m % 5), "ab"[(i + m) % 2]) for m in range(40) for i in range(4)]
+    schema = f"id string, member {kind}, at timestamp, status string"
+    src, out, ckpt = (str(tmp_path / x) for x in ("in", "out", "ckpt"))
+    clock = base + dt.timedelta(days=90)
+    # NULL members come beside the others, and ids near 2 ** 60 are told apart.
+    for part in (rows[::2] + [("h", None, base, None)], rows[1::2], [("i", None, clock, None)], [("j", None, clock, None)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+        periods = S.timeline(spark.readStream.schema(schema).parquet(src), "member", "at", "status", "id", "2 days", 1, buckets=3)
+        run = S.run_timeline(periods, out, ckpt)
+        run.awaitTermination()
+        assert run.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3
+    until = F.lit(clock - dt.timedelta(days=2)).cast("timestamp")
+    want = S.batch_timeline(spark.createDataFrame(rows, schema), "member", "at", "status", "id", until, 1).collect()
+    key = lambda r: (r.member, r.start_at, r.end_at, r.status)
+    got = spark.read.parquet(out)
+    assert dict(got.dtypes)["member"] == spark.createDataFrame([], schema).dtypes[1][1]
+    assert sorted(map(key, got.collect())) == sorted(map(key, want)) and len({r.member for r in want}) == 40
