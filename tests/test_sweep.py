@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators import joins as J
-from tidemart.operators.sweep import held_versions, swept
+from tidemart.operators.scan import HOT_ROWS, key_plan
+from tidemart.operators.sweep import cut_versions, held_versions, spans, swept
 
 FORCED = {"hot_rows": 14, "small_bytes": 0}
 
@@ -96,3 +97,40 @@ def test_no_join_of_bounds_and_versions(spark):
     plan = held_versions(frame, ["k"], "s", "e")._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
     assert list(swept([(1, 1, 9), (2, 2, 3), (3, 2, 3), (9, 1, 9)])) == [(1, 2, 1, 9), (2, 3, 2, 3), (3, 9, 1, 9), (9, None, None, None)]
+
+
+@pytest.mark.parametrize("rows_a_batch", ["7", "10000"])
+def test_whole_rows_are_cut_in_one_pass(spark, rows_a_batch):
+    rows = [(i, k, a, b) for i, (k, a, b) in enumerate(shapes())]
+    frame = spark.createDataFrame(rows, "id long, k string, s long, e long").repartition(3)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(setting)
+    spark.conf.set(setting, rows_a_batch)
+    try:
+        got = cut_versions(frame, ["k"], "s", "e").collect()
+    finally:
+        spark.conf.set(setting, old)
+    bounds = {i: (k, a, b) for i, k, a, b in rows}
+    assert all(bounds[r.id] == (r.k, r.s, r.e) for r in got)
+    assert spread(got) == brute([r[1:] for r in rows])
+    ends = {(r.k, r.s, r.e, r._until) for r in got}
+    assert not any((r.k, r.s, r.e, r._at) in ends for r in got)
+    assert list(spans([1, 1, 1, 2], [1, 2, 2, 5], [9, 3, 3, 6])) == [(0, 1, 2), (2, 2, 3), (0, 3, 9), (3, 5, 6)]
+
+
+def test_disjoint_versions_without_joins(spark):
+    """Neither a search for overlaps nor a join of what was cut back to its rows, and no settled copy where the keys are known."""
+    frame = spark.createDataFrame(shapes(), "k string, s long, e long").withColumn("v", F.col("s") * 1000 + F.col("e"))
+    got = J.disjoint_versions(frame, ["k"], "s", "e", half_open=True, plan=key_plan(frame, ["k"]))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and plan.count("MapInArrow") == 1
+    hot = key_plan(frame, ["k"], hot_rows=50, small_bytes=0)
+    assert 0 < hot.keys < 6
+    sliced = J.disjoint_versions(frame, ["k"], "s", "e", half_open=True, plan=hot, hot_rows=60, small_bytes=0)
+    order = lambda r: (r.k or "", r.s)
+    assert sorted(got.collect(), key=order) == sorted(sliced.collect(), key=order)
+    facts = spark.range(210).select(F.col("id").alias("at"), F.explode(F.array(*[F.lit(k) for k in ("nested", "same", "crossing", "none")])).alias("k"))
+    looked = [J.effective_lookup(facts, got, ["k"], "at", "s", "e", ["v"], half_open=True, strategy="scan", disjoint=True, plan=p) for p in (None, key_plan(facts, ["k"], HOT_ROWS), key_plan(facts, ["k"], 100, 0))]
+    a, b, c = (sorted(map(tuple, x.collect()), key=str) for x in looked)
+    want = brute([r for r in shapes() if r[0]])
+    assert a == b == c == sorted(((m, k, v and v[0] * 1000 + v[1]) for k in ("nested", "same", "crossing", "none") for m in range(210) for v in [want.get((k, m))]), key=str)

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import join_keys
-from tidemart.operators.scan import Scan, ordered_scan
-from tidemart.operators.sweep import held_versions
-from tidemart.session import ROW_BYTES, beside, broadcast_limit, reused
+from tidemart.operators.scan import LISTED_KEYS, KeyPlan, Scan, key_plan, ordered_scan
+from tidemart.operators.sweep import HOT_BOUNDS, cut_versions, held_versions
+from tidemart.session import ROW_BYTES, SMALL_BYTES, beside, broadcast_limit, input_bytes, reused, settle
 
 
 FEW_VERSIONS = 64
@@ -32,6 +32,7 @@ def as_of(
     inclusive: bool = True,
     prefix: str = "",
     tie: Sequence[str] = (),
+    plan: KeyPlan | None = None,
     **limits: int,
 ) -> DataFrame:
     """Every left row with columns of the latest right row at or before it (``forward``: first at or after).
@@ -62,6 +63,7 @@ def as_of(
         keys,
         ["_ts", "_side", *[f"_tie{i}" for i in range(len(tie))]],
         [Scan("_hit", "fill_next" if forward else "fill", "_r")],
+        plan=plan,
         **limits,
     )
     return scanned.filter("_side = 1").select(
@@ -79,32 +81,43 @@ def _beside(c: Column, kind: str, step: int) -> Column:
 
 
 def disjoint_versions(
-    dim: DataFrame, keys: Sequence[str], start: str, end: str, half_open: bool = False, **limits: int
+    dim: DataFrame,
+    keys: Sequence[str],
+    start: str,
+    end: str,
+    half_open: bool = False,
+    plan: KeyPlan | None = None,
+    hot_rows: int = HOT_BOUNDS,
+    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Versions of which no two of a key hold the same moment.
 
     Where ranges overlap, the version that starts last holds (of equal starts the one that ends last); one that it interrupts holds again
-    after it. Ranges without a moment go. One ordered scan finds the keys that have overlaps; usually there are none. Only their
-    versions are swept, with a stack of open versions (``sweep.held_versions``); a key with many of them in slices.
+    after it. Ranges without a moment go. One pass over the versions of a key with a stack of open versions cuts them where they lie
+    (``sweep.cut_versions``); a key with many of them is swept in slices (``sweep.held_versions``). ``plan`` has the keys with more than
+    ``HOT_BOUNDS // 2`` versions, where a caller knows them; otherwise a large input is settled and its keys are counted.
     """
-    kind = dict(dim.dtypes)[start]
+    keys, kind = list(keys), dict(dim.dtypes)[start]
     stop = F.col(end) if half_open else _beside(F.col(end), kind, 1)
     real = dim.filter(F.col(start) < stop).withColumn("_stop", stop)
-    scanned = ordered_scan(real, keys, [start], [Scan("_upto", "max", "_stop"), Scan("_next", "lead", start)], **limits)
-    overlapping = reused(scanned.filter(F.col("_next") < F.col("_upto")).select(*keys).distinct())
-    found = overlapping.count()
-    if not found:
-        return real.drop("_stop")
-    overlapping = beside(overlapping, found)
-    mixed = reused(join_keys(real, overlapping, keys, "left_semi"))
-    # Of versions with equal bounds one stands for all, the same in every run.
-    one = mixed.groupBy(*keys, start, "_stop").agg(F.max_by(F.struct(*dim.columns), F.xxhash64(*dim.columns)).alias("_row"))
-    held = held_versions(mixed, keys, start, "_stop", **limits)
-    best = join_keys(held, beside(one, found), [*keys, start, "_stop"])
+    if plan is None and input_bytes(real) > small_bytes:
+        real = settle(real)
+        plan = key_plan(real, keys, max(1, hot_rows // 2), -1)
+    elif plan is not None and plan.keys:
+        real = settle(real)
+    if plan is None or not plan.keys:
+        cut = cut_versions(real, keys, start, "_stop")
+    else:
+        hot = (F.broadcast(plan.hot) if plan.keys <= LISTED_KEYS else plan.hot).select(*keys)
+        large = join_keys(real, hot, keys, "left_semi")
+        # Of versions with equal bounds one stands for all, the same in every run.
+        one = large.groupBy(*keys, start, "_stop").agg(F.max_by(F.struct(*real.columns), F.xxhash64(*dim.columns)).alias("_row"))
+        held = held_versions(large, keys, start, "_stop", hot_rows, small_bytes)
+        sliced = join_keys(held, beside(one, plan.rows), [*keys, start, "_stop"]).select("_row.*", "_at", "_until")
+        cut = cut_versions(join_keys(real, hot, keys, "left_anti"), keys, start, "_stop").unionByName(sliced)
     last = F.col("_until") if half_open else _beside(F.col("_until"), kind, -1)
     place = {start: F.col("_at"), end: last}
-    cut = best.select(*[place.get(c, F.col("_row")[c]).alias(c) for c in dim.columns])
-    return join_keys(real, overlapping, keys, "left_anti").drop("_stop").unionByName(cut)
+    return cut.select(*[place.get(c, F.col(c)).alias(c) for c in dim.columns])
 
 
 def effective_lookup(
@@ -119,20 +132,25 @@ def effective_lookup(
     strategy: str = "auto",
     prefix: str = "",
     disjoint: bool = False,
+    plan: KeyPlan | None = None,
 ) -> DataFrame:
     """Left join to the version valid at ``ts``; where several are, to the one that starts last.
 
     Every fact row comes back once, whichever plan runs: overlaps are resolved before, unless ``disjoint`` states that there are none. A
     dimension that fits a broadcast (its rows are counted) and has few versions per key: equi key plus range predicate. Otherwise the
-    as-of scan finds the last version started and its end is tested, so no key ever pairs all rows with all versions.
+    as-of scan finds the last version started and its end is tested, so no key ever pairs all rows with all versions. ``plan`` has the keys
+    with many rows of both sides, where a caller knows them; otherwise the scan settles a large input and counts them.
     """
     if not disjoint:
         dim = reused(disjoint_versions(dim.select(*dict.fromkeys([*keys, start, end, *carry])), keys, start, end, half_open))
     rows = versions = 0
     if strategy == "auto":
-        sizes = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        rows, versions = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-        small = rows * ROW_BYTES <= broadcast_limit(fact.sparkSession)
+        limit = broadcast_limit(fact.sparkSession)
+        small = input_bytes(dim) <= SMALL_BYTES or dim.count() * ROW_BYTES <= limit
+        if small:
+            sizes = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            rows, versions = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+            small = rows * ROW_BYTES <= limit
         strategy = "range" if small and versions <= FEW_VERSIONS else "scan"
     elif strategy == "range":
         rows = dim.count()
@@ -145,7 +163,7 @@ def effective_lookup(
         upper = F.col(f"f.{ts}") < F.col(f"d.{end}") if half_open else F.col(f"f.{ts}") <= F.col(f"d.{end}")
         on = on & (F.col(f"f.{ts}") >= F.col(f"d.{start}")) & upper
         return f.join(d, on, "left").select("f.*", *[F.col(f"d.{c}").alias(f"{prefix}{c}") for c in carry])
-    hit = as_of(fact, dim.withColumn("_end", F.col(end)), keys, ts, start, [*carry, "_end"], prefix="_c_")
+    hit = as_of(fact, dim.withColumn("_end", F.col(end)), keys, ts, start, [*carry, "_end"], prefix="_c_", plan=plan)
     upper = F.col(ts) < F.col("_c__end") if half_open else F.col(ts) <= F.col("_c__end")
     matchable = F.lit(True)
     for k in keys:

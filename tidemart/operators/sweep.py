@@ -4,6 +4,8 @@ The state of the sweep is a stack of open versions in the order of their starts:
 it covered comes back when it goes. A key above ``hot_rows`` bounds is cut into slices of its time line, each swept alone. Versions
 that start or end in a slice are there anyway; of those that cover a slice from end to end only the one that started last can hold in it, and
 it is found by maxima over the nodes of a binary tree of slices. So no key is one task, and no bound is paired with versions.
+
+``held_versions`` gives the times alone; ``cut_versions`` takes whole rows along, so that nothing is joined to them afterwards.
 """
 
 from __future__ import annotations
@@ -103,6 +105,80 @@ def _run(rows: DataFrame, keys: list[str], start: str, stop: str) -> DataFrame:
     return rows.select(*keys, "_slice", "_at", start, stop).mapInArrow(lambda batches: _sweep(batches, len(keys)), out)
 
 
+def spans(line: Sequence[tuple], starts: Sequence, stops: Sequence) -> Iterator[tuple]:
+    """(row, moment, until) of the times at which the version in a row holds; rows come in the order of key, start and stop.
+
+    The stack has the open versions that can hold again: the later one started, the earlier it stops.
+    """
+    now, stack, at = None, [], None
+    for i, (key, start, stop) in enumerate(zip(line, starts, stops, strict=True)):
+        if stack and key != now:
+            while stack:
+                yield stack[-1], at, stops[stack[-1]]
+                at = stops[stack.pop()]
+        now = key
+        while stack and stops[stack[-1]] <= start:
+            yield stack[-1], at, stops[stack[-1]]
+            at = stops[stack.pop()]
+        if stack and at < start:
+            yield stack[-1], at, start
+        while stack and stops[stack[-1]] <= stop:
+            stack.pop()
+        stack.append(i)
+        at = start
+    while stack:
+        yield stack[-1], at, stops[stack[-1]]
+        at = stops[stack.pop()]
+
+
+def _cut(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of keys and of their bounds ``_at`` and ``_until``, which become the times at which a row holds."""
+    parts, line, starts, stops = [], [], [], []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        if not (found := list(spans(line, starts, stops))):
+            return
+        rows, at, until = zip(*found, strict=True)
+        taken = pa.Table.from_batches(parts).take(pa.array(rows, pa.int64()))
+        for name, values in (("_at", at), ("_until", until)):
+            place = taken.schema.get_field_index(name)
+            taken = taken.set_column(place, taken.schema.field(place), typed_array(values, taken.schema.types[place]))
+        yield from taken.to_batches()
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own = list(zip(*[plain_values(batch.column(k)) for k in keys], strict=True)) if keys else [()] * batch.num_rows
+        at, until = plain_values(batch.column("_at")), plain_values(batch.column("_until"))
+        # The last key may go on in the next batch.
+        last = len(own) - 1
+        while last and own[last - 1] == own[-1]:
+            last -= 1
+        if last or (line and line[-1] != own[-1]):
+            parts.append(batch.slice(0, last))
+            line, starts, stops = line + own[:last], starts + at[:last], stops + until[:last]
+            yield from close()
+            parts, line, starts, stops = [], [], [], []
+        parts.append(batch.slice(last))
+        line += own[last:]
+        starts += at[last:]
+        stops += until[last:]
+    yield from close()
+
+
+def cut_versions(versions: DataFrame, keys: Sequence[str], start: str, stop: str) -> DataFrame:
+    """Each version once for every time at which it holds, from ``_at`` until ``_until``; one pass over the versions of a key.
+
+    Which version holds is as in ``held_versions``; of equal bounds one version stands for all, the same in every run.
+    """
+    keys, given = list(keys), [c for c in versions.columns if c != stop]
+    moment = versions.select(F.coalesce(start, stop).alias("_at")).schema["_at"].dataType
+    placed = versions.repartition(*keys) if keys else versions.repartition(1)
+    ordered = placed.sortWithinPartitions(*keys, start, stop, F.xxhash64(*given))
+    rows = ordered.select("*", F.col(start).cast(moment).alias("_at"), F.col(stop).cast(moment).alias("_until"))
+    return rows.mapInArrow(lambda batches: _cut(batches, keys), rows.schema)
+
+
 def _covers(versions: DataFrame, keys: list[str], start: str, stop: str, levels: int) -> DataFrame:
     """Per node of the slice tree the version that started last among those whose slices strictly inside make up the node.
 

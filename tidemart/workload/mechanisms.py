@@ -9,7 +9,8 @@ from tidemart.operators import distinct as D
 from tidemart.operators.machines import state_scan
 from tidemart.operators.quantiles import narrowed_quantiles
 from tidemart.operators.rules import classify
-from tidemart.operators.sweep import held_versions
+from tidemart.operators.scan import key_plan
+from tidemart.operators.sweep import HOT_BOUNDS, held_versions
 from tidemart.operators.views import StoredView, View, signed
 from tidemart.plans.products import co_occurrence
 from tidemart.sources import chunked as C
@@ -196,11 +197,13 @@ def _(t):
     from tidemart.operators.joins import disjoint_versions, effective_lookup
 
     lines = t.lines()
+    # Lines are a plain read, so their keys are counted there, and neither versions nor lookups need be settled for it.
+    plan = key_plan(lines, ["partkey"], HOT_BOUNDS // 2)
     stop = F.timestamp_add("DAY", F.col("qty").cast("int"), F.col("ship_date"))
     ranges = lines.filter("qty > 0").select("partkey", F.col("ship_date").alias("s"), stop.alias("e"), stop.alias("valid_until")).distinct()
     # Overlaps are resolved once, when the dimension is published; its lookups need not look for them again.
-    published = t.stored(disjoint_versions(ranges, ["partkey"], "s", "e", half_open=True), "m10-dim")
-    hit = effective_lookup(lines.select("orderkey", "linenumber", "suppkey", "partkey", "ship_date"), published, ["partkey"], "ship_date", "s", "e", ["valid_until"], half_open=True, disjoint=True)
+    published = t.stored(disjoint_versions(ranges, ["partkey"], "s", "e", half_open=True, plan=plan), "m10-dim")
+    hit = effective_lookup(lines.select("orderkey", "linenumber", "suppkey", "partkey", "ship_date"), published, ["partkey"], "ship_date", "s", "e", ["valid_until"], half_open=True, disjoint=True, plan=plan)
     return hit.select("orderkey", "linenumber", "suppkey", "partkey", "valid_until")
 
 
