@@ -87,7 +87,7 @@ def test_members_share_buckets(spark, tmp_path, kind):
     src, out, ckpt = (str(tmp_path / x) for x in ("in", "out", "ckpt"))
     clock = base + dt.timedelta(days=90)
     # NULL members come beside the others, and ids near 2 ** 60 are told apart.
-    for part in (rows[::2] + [("h", None, base, None)], rows[1::2], [("i", None, clock, None)], [("j", None, clock, None)]):
+    for part in (rows[::2] + [("h", None, base, None), ("n", rows[0][1], None, "a")], rows[1::2], [("i", None, clock, None)], [("j", None, clock, None)]):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
         periods = S.timeline(spark.readStream.schema(schema).parquet(src), "member", "at", "status", "id", "2 days", 1, buckets=3)
         run = S.run_timeline(periods, out, ckpt)

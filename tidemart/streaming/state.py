@@ -30,13 +30,14 @@ BUCKETS = 4096
 def timeline(stream: DataFrame, member: str, at: str, status: str, event: str, delay: str, lapse_days: int, buckets: int = BUCKETS) -> DataFrame:
     """member, status, start_at, end_at of all closed periods of a stream; at is a timestamp, the member a text or number.
 
-    A null member carries the clock only (a heartbeat) and has no periods. ``buckets`` stays the same as long as a checkpoint is used.
+    A null member carries the clock only (a heartbeat) and has no periods; an event without a moment has none either. ``buckets`` stays the
+    same as long as a checkpoint is used.
     """
     once = stream.withWatermark(at, delay).dropDuplicatesWithinWatermark([event])
     kind = stream.schema[member].dataType.simpleString()
     # A member is a text in the state: numbers beside NULLs would become floats in pandas.
     given = once.select(
-        F.when(F.col(member).isNotNull(), F.pmod(F.xxhash64(member), F.lit(buckets))).alias("bucket"), F.col(member).cast("string").alias("member"),
+        F.when(F.col(member).isNotNull() & F.col(at).isNotNull(), F.pmod(F.xxhash64(member), F.lit(buckets))).alias("bucket"), F.col(member).cast("string").alias("member"),
         at, F.unix_micros(at).alias("micros"), F.col(event).cast("string").alias("event"), F.col(status).alias("status"),
     )
     limit = lapse_days * DAY
