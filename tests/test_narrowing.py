@@ -67,6 +67,35 @@ def test_pairs_of_larger_baskets_are_counted_where_they_are_made(spark):
     assert {(r.d, r.item_a, r.item_b): r.baskets for r in counted.collect()} == {k: n for k, n in want.items() if n > 1}
 
 
+@pytest.mark.parametrize("step", [1, 40, 10**6])
+@pytest.mark.parametrize("least", [1, 3])
+def test_a_cell_gives_counted_pairs_only(spark, monkeypatch, step, least):
+    """Whatever is counted at a time: one item that makes more than a step, lists of weight above 1, both blocks of a cell or one."""
+    import numpy as np
+
+    from tidemart.plans import products as P
+
+    monkeypatch.setattr(P, "STEP_PAIRS", step)
+    monkeypatch.setattr(P, "STEP_SLOTS", 16)
+    rng = random.Random(step)
+    lists = [(rng.sample(range(12), rng.randint(0, 9)), rng.sample(range(15), rng.randint(0, 9)), w) for w in (1, 1, 2, 5) for _ in range(9)]
+    for some in (lists, lists[:18]):
+        flat = lambda k: (np.array([i for r in some for i in r[k]], np.int64), np.array([len(r[k]) for r in some]))
+        weight = np.array([r[2] for r in some])
+        for diagonal in (False, True):
+            want = Counter()
+            for a, b, w in some:
+                for x, y in itertools.product(a, a if diagonal else b):
+                    want[x, y] += w if x < y or not diagonal else 0
+            got = list(P._counted(*flat(0), *flat(0 if diagonal else 1), weight, least, diagonal))
+            rows = [tuple(int(v) for v in r) for part in got for r in zip(*part)]
+            assert len(rows) == len({r[:2] for r in rows}) and {r[:2]: r[2] for r in rows} == {k: n for k, n in want.items() if n >= least}
+    frame = spark.createDataFrame([(b, f"i{i}") for b in range(6) for i in range(b % 3, 40, b % 3 + 1)], "b int, i string")
+    rows = [tuple(r) for r in frame.collect()]
+    pairs = P._pairs(frame, ["b"], "i", 10, least=least).collect()
+    assert len(pairs) == len(brute_pairs(rows, least)) and {(r.item_a, r.item_b, r.w) for r in pairs} == brute_pairs(rows, least)
+
+
 def test_large_input_is_dealt_to_more_tasks(spark, monkeypatch):
     from tidemart import session
 

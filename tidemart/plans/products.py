@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions.semantics import join_keys, latest_by
 from tidemart.operators.scan import Scan, dense_ranks, global_tiles, ordered_scan
@@ -15,16 +19,21 @@ from tidemart.session import dealt, reused
 
 BLOCK = 1024
 PAIR_SLOTS = 1 << 22
-# Pairs that one cell of two blocks of items makes, about.
-CELL_PAIRS = 1 << 22
+# Pairs that one cell of two blocks of items makes, and items of all lists that it holds, about.
+CELL_PAIRS = 1 << 29
+CELL_ITEMS = 8 << 20
+# Pairs that are counted at a time within a cell, and the slots for them.
+STEP_PAIRS = 1 << 18
+STEP_SLOTS = 1 << 18
 
 
-def _pairs(unique: DataFrame, by: Sequence[str], item: str, block: int, cell_pairs: int = CELL_PAIRS) -> DataFrame:
-    """Pairs ``item_a`` < ``item_b`` of every basket's distinct items with a weight ``w``, not yet summed.
+def _pairs(unique: DataFrame, by: Sequence[str], item: str, block: int, cell_pairs: int = CELL_PAIRS, least: int = 1) -> DataFrame:
+    """Pairs ``item_a`` < ``item_b`` of every basket's distinct items with a weight ``w``; it is not yet summed where there is no ``_i``.
 
     Baskets of up to ``block`` items become lists; equal lists count once with their weight. Where there are larger baskets, items are dealt to
     blocks, the same in every basket, and pairs lie by the cell ``_i``, ``_j`` of their two blocks: a larger basket sends its blocks there, and the
-    pairs between them are made in the cell's task, where they can be counted without being sent on.
+    pairs between them are made and counted in the cell's task, a few items at a time, so a cell is bounded by the items it holds and blocks are
+    few: every row is sent once for each block. Pairs of cells are in ``least`` baskets at least.
     """
     dims = by[:-1]
     sizes = unique.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
@@ -38,21 +47,107 @@ def _pairs(unique: DataFrame, by: Sequence[str], item: str, block: int, cell_pai
     pairs = firsts.select(*dims, "item_a", F.explode(F.expr("slice(set, i + 2, size(set))")).alias("item_b"), "w")
     if not most:
         return pairs
-    blocks = max(math.ceil(most / block), math.ceil(math.sqrt(2 * made / cell_pairs)))
+    rows = join_keys(unique, large.select(*by), by)
+    held = large.agg(F.sum("_n")).first()[0]
+    blocks = max(math.ceil(most / block), math.ceil(math.sqrt(2 * made / cell_pairs)), math.ceil(2 * held / CELL_ITEMS))
     tasks = max(int(unique.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks * (blocks + 1))  # two a cell, as cells are dealt by hash
     block_of = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
     in_cells = lambda df: df.repartition(tasks, *dims, "_i", "_j")
-    placed = join_keys(unique, large.select(*by), by).select(*by, item, block_of(item).alias("_b"))
-    listed = placed.groupBy(*by, "_b").agg(F.collect_list(item).alias("_list"))
+    listed = rows.select(*by, item, block_of(item).alias("_b")).groupBy(*by, "_b").agg(F.collect_list(item).alias("_list"))
     beside = listed.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     cells = in_cells(beside.select(*by, "_list", F.least("_b", "_o").alias("_i"), F.greatest("_b", "_o").alias("_j"), "_b"))
     mine = lambda c: F.first(F.when(F.col("_b") == F.col(c), F.col("_list")), ignorenulls=True)
-    sides = cells.groupBy(*by, "_i", "_j").agg(mine("_i").alias("left"), mine("_j").alias("right"))
-    one = sides.select(*dims, "_i", "_j", "right", F.explode("left").alias("x"))
-    both = one.select(*dims, "_i", "_j", "x", F.explode("right").alias("y")).filter((F.col("_i") != F.col("_j")) | (F.col("x") < F.col("y")))
-    tiled = both.select(*dims, "_i", "_j", F.least("x", "y").alias("item_a"), F.greatest("x", "y").alias("item_b"), F.lit(1).cast("long").alias("w"))
+    sides = cells.groupBy(*by, "_i", "_j").agg(mine("_i").alias("left"), mine("_j").alias("right")).filter("left IS NOT NULL AND right IS NOT NULL")
+    one = F.lit(1).cast("long").alias("w")
+    tiled = sides.select(*dims, "_i", "_j", "left", F.when(F.col("_i") != F.col("_j"), F.col("right")).alias("right"), one)
+    # A pair of a smaller basket is a list of its own: two items of one block, or one of each of two.
     a, b = block_of("item_a"), block_of("item_b")
-    return in_cells(pairs.select(*dims, F.least(a, b).alias("_i"), F.greatest(a, b).alias("_j"), "item_a", "item_b", "w")).unionByName(tiled)
+    swap, both = a > b, F.array("item_a", "item_b")
+    left = F.when(a == b, both).when(swap, F.array("item_b")).otherwise(F.array("item_a"))
+    right = F.when(a != b, F.when(swap, F.array("item_a")).otherwise(F.array("item_b")))
+    small = in_cells(pairs.select(*dims, F.least(a, b).alias("_i"), F.greatest(a, b).alias("_j"), left.alias("left"), right.alias("right"), "w"))
+    kind = unique.schema[item].dataType
+    fields = [*[unique.schema[d] for d in dims], T.StructField("_i", T.IntegerType()), T.StructField("_j", T.IntegerType())]
+    out = T.StructType([*fields, T.StructField("x", kind), T.StructField("y", kind), T.StructField("w", T.LongType())])
+
+    def cell(table: pa.Table) -> pa.Table:
+        return _cell(least, table)
+
+    counted = small.unionByName(tiled).groupBy(*dims, "_i", "_j").applyInArrow(cell, out)
+    return counted.select(*dims, "_i", "_j", F.least("x", "y").alias("item_a"), F.greatest("x", "y").alias("item_b"), "w")
+
+
+def _cell(least: int, table: pa.Table) -> pa.Table:
+    """Pairs of one cell with their weight, those of ``least`` at least; table: a row for each list of items, beside the list of the other block."""
+    table = table.combine_chunks()
+    names = [n for n in table.column_names if n not in ("left", "right", "w")]
+    weight = table["w"].to_numpy()
+    diagonal = table["right"].null_count == len(table)
+
+    def coded(column):
+        lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        codes = lists.flatten().dictionary_encode()
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        return codes.indices.to_numpy().astype(np.int64), sizes, codes.dictionary
+
+    left, left_sizes, left_items = coded(table["left"])
+    right, right_sizes, right_items = (left, left_sizes, left_items) if diagonal else coded(table["right"])
+    found = list(_counted(left, left_sizes, right, right_sizes, weight, least, diagonal))
+    x, y, w = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(3))
+    same = pa.array(np.zeros(len(x), np.int64))
+    return pa.table([*[table[n].take(same) for n in names], left_items.take(pa.array(x)), right_items.take(pa.array(y)), pa.array(w)], names=[*names, "x", "y", "w"])
+
+
+def _counted(
+    left: np.ndarray, left_sizes: np.ndarray, right: np.ndarray, right_sizes: np.ndarray, weight: np.ndarray, least: int, diagonal: bool,
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Counted pairs (left item, right item, weight) of lists that lie one behind the other; items are numbers from 0.
+
+    Items of the left are taken in turn, as many as make ``STEP_PAIRS`` pairs, so what is held at a time does not grow with the pairs. Pairs are
+    counted in hashed slots before they are sorted: a slot below ``least`` holds no pair that reaches it.
+    """
+    starts = np.cumsum(right_sizes) - right_sizes
+    of = np.repeat(np.arange(len(left_sizes)), left_sizes)
+    turn = np.argsort(left, kind="stable")
+    left, of = left[turn], of[turn]
+    made = right_sizes[of]
+    upto = np.cumsum(made)
+    others = int(right.max()) + 1 if len(right) else 0
+    plain = bool((weight == 1).all())
+    ends = np.append(np.flatnonzero(np.diff(left)) + 1, len(left)) if len(left) else np.zeros(0, np.int64)
+    lo = 0
+    while lo < len(left):
+        base = upto[lo - 1] if lo else 0
+        # The last item that ends within the step; one item that makes more is counted by itself, piece by piece.
+        k = np.searchsorted(upto[ends - 1], base + STEP_PAIRS, side="right") - 1
+        hi = int(ends[k]) if k >= 0 and ends[k] > lo else int(ends[np.searchsorted(ends, lo, side="right")])
+        if upto[hi - 1] - base > STEP_PAIRS:
+            total = np.zeros(others, np.int64)
+            for r in range(lo, hi):
+                total[right[starts[of[r]] : starts[of[r]] + made[r]]] += weight[of[r]]
+            if diagonal:
+                total[: left[lo] + 1] = 0
+            y = np.flatnonzero(total >= max(least, 1))
+            yield np.full(len(y), left[lo]), y, total[y]
+        else:
+            n = made[lo:hi]
+            before = np.cumsum(n) - n
+            y = right[np.arange(n.sum()) + np.repeat(starts[of[lo:hi]] - before, n)]
+            x = np.repeat(left[lo:hi], n)
+            w = None if plain else np.repeat(weight[of[lo:hi]], n)
+            if diagonal:
+                keep = x < y
+                x, y, w = x[keep], y[keep], w if plain else w[keep]
+            if least > 1:
+                slot = (x * 40503 + y) & (STEP_SLOTS - 1)
+                keep = (np.bincount(slot, w, STEP_SLOTS) >= least)[slot]
+                x, y, w = x[keep], y[keep], w if plain else w[keep]
+            pair, back, n = np.unique(x * others + y, return_inverse=True, return_counts=True)
+            total = n if plain else np.bincount(back, w, len(pair)).astype(np.int64)
+            keep = total >= least
+            yield pair[keep] // max(others, 1), pair[keep] % max(others, 1), total[keep]
+        lo = hi
 
 
 def co_occurrence(
@@ -70,10 +165,9 @@ def co_occurrence(
     if min_baskets > 1:
         known = unique.groupBy(*dims, item).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_baskets)
         unique = reused(join_keys(unique, known, [*dims, item], "left_semi"))
-    pairs = _pairs(unique, by, item, block)
+    pairs = _pairs(unique, by, item, block, least=min_baskets)
     if "_i" in pairs.columns:
-        counted = pairs.groupBy(*dims, "_i", "_j", "item_a", "item_b").agg(total).drop("_i", "_j")
-        return counted.filter(F.col("baskets") >= min_baskets)
+        return pairs.select(*dims, "item_a", "item_b", F.col("w").alias("baskets"))
     if min_baskets > 1:
         pairs = pairs.withColumn("_slot", F.pmod(F.xxhash64("item_a", "item_b"), F.lit(slots)))
         full = pairs.groupBy(*dims, "_slot").agg(total).filter(F.col("baskets") >= min_baskets)
