@@ -121,3 +121,45 @@ def test_line_costs(spark, copies, monkeypatch):
     assert out.count() == 6
     # Fixed costs and the feed are one step.
     assert len(kept) == 5
+
+
+def test_costs_keep_no_copies_of_rows_and_no_shuffles(spark):
+    """What a step leaves open lies in compressed files without a checkpoint, and the shuffles of a step go with it."""
+    import time
+
+    from tidemart.session import stored
+
+    files = lambda: {f for f in _disk(spark) if f.startswith("shuffle_")}
+    kept = lambda: {f.getPath().getName() for f in _status(spark)}
+    stamp = "timestamp_ntz"
+    lines = spark.range(300).select(F.col("id").alias("order_id"), F.lit(1).alias("line_id"), F.concat(F.lit("I"), F.col("id") % 7).alias("item"), (F.col("id") % 3).alias("store"), (F.col("id") % 2).alias("region"), F.lit("EUR").alias("currency"), F.lit("2000-01-05").cast(stamp).alias("day"), F.lit(2).alias("units"))
+    fixed = lines.filter("order_id < 100").select("order_id", "line_id", F.lit(1.0).alias("cost"))
+    feed = lines.filter("order_id < 150").select("order_id", "line_id", F.lit(2.0).alias("cost"), "currency", F.lit(1).alias("number"))
+    place = lambda c, n: spark.range(3).select(F.concat(F.lit("I"), "id").alias("item"), (F.col("id") % n).alias(c), F.lit("1999-01-01").cast(stamp).alias("start_at"), F.lit("2001-01-01").cast(stamp).alias("end_at"), F.lit(3.0).alias("unit_cost"), F.lit("EUR").alias("currency"))
+    bought = spark.range(7).select(F.concat(F.lit("i"), "id").alias("item"), F.lit("2000-01-04").cast(stamp).alias("day"), F.lit(4.0).alias("unit_cost"), F.lit("EUR").alias("currency"))
+    rates = lines.select(F.lit("usd").alias("source"), F.lit("eur").alias("target"), "day", F.lit(1.1).alias("rate")).distinct()
+    before = kept()
+    got = LF.line_costs(lines, fixed, feed, place("store", 3), place("region", 2), bought, rates)
+    assert got.count() == 300 and not kept() - before
+    shuffled, old = files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    rows = stored(spark.range(1000).repartition(8).groupBy(F.col("id") % 10).count(), f"{spark.sparkContext.getCheckpointDir()}-stored")
+    for _ in range(100):
+        left = {f for f in files() - shuffled if f.endswith(".data")}
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and rows.count() == 10 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == old
+
+
+def _disk(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return [found.apply(i).getName() for i in range(found.size())]
+
+
+def _status(spark):
+    from tidemart.session import shared_dir
+
+    shared_dir(spark)
+    where = spark._jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return list(fs.listStatus(where)) if fs.exists(where) else []

@@ -20,6 +20,8 @@ from tidemart.session import SMALL_BYTES, input_bytes, settle
 HOT_ROWS = 5_000_000
 # Key lists up to this length are broadcast; their length is counted first.
 LISTED_KEYS = 100_000
+# Slots in which keys are counted before they are counted themselves.
+KEY_SLOTS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -178,6 +180,10 @@ def key_plan(
     if not keys:
         rows = df.count()
         return KeyPlan(None, int(rows > hot_rows), rows)
+    # Keys share slots, so what is shuffled does not grow with their number; a slot that is not large holds no large key.
+    slots = df.groupBy(F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(KEY_SLOTS)).alias("_slot"))
+    if hot_rows > 0 and slots.agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows).isEmpty():
+        return KeyPlan()
     hot = settle(hot_keys(df, keys, hot_rows))
     found = hot.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows")).first()
     return KeyPlan(hot, found["n"], found["rows"])

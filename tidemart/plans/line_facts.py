@@ -12,7 +12,7 @@ from tidemart.functions.semantics import join_keys, latest_by, row_count
 from tidemart.operators.joins import as_of, effective_lookup
 from tidemart.operators.scan import KeyPlan, key_plan, with_totals
 from tidemart.plans.facts import together
-from tidemart.session import settle
+from tidemart.session import packed as settle
 
 BUNDLE, COMPONENT = "bundle", "component"
 
@@ -118,6 +118,10 @@ def line_costs(
     # Where every line is one row, what a source leaves open is told by its own rows; else a line that is known goes with all its rows.
     once = lines.groupBy(*line).agg(row_count().alias("_n")).filter("_n > 1").isEmpty()
 
+    # Both sides are files or small, so their keys are counted where they lie instead of in a copy of all rows.
+    def counted(a: DataFrame, b: DataFrame, keys: list[str]) -> KeyPlan:
+        return key_plan(a.select(*keys).union(b.select(*keys)), keys)
+
     def settle_part(found: DataFrame, source: Column) -> None:
         nonlocal left
         found = settle(found.select(*names, F.col("cost").cast("double").alias("cost"), source.alias("cost_source")))
@@ -133,12 +137,12 @@ def line_costs(
     settle_part(first, F.when(is_fixed, F.lit("fixed")).otherwise(F.lit("feed")))
     for place, table, name in (("store", by_store, "same store"), ("region", by_region, "same region")):
         sound = low(table).filter(F.col("unit_cost") > 0).withColumnRenamed("currency", "_paid_in")
-        hit = effective_lookup(left, sound, ["item", place], "day", "start_at", "end_at", ["unit_cost", "_paid_in"])
+        hit = effective_lookup(left, sound, ["item", place], "day", "start_at", "end_at", ["unit_cost", "_paid_in"], plan=counted(left, sound, ["item", place]))
         priced = hit.withColumn("cost", F.col("units") * F.col("unit_cost"))
         settle_part(converted(priced, "cost", "_paid_in", "currency", "day", rates), F.lit(name))
     bought = low(purchases).groupBy("item", F.col("day").alias("_at")).agg(F.max_by(F.struct("unit_cost", "currency"), "unit_cost").alias("_p"))
     for forward, name in ((False, "last purchase"), (True, "next purchase")):
-        hit = as_of(left, bought, ["item"], "day", "_at", ["_p"], forward=forward)
+        hit = as_of(left, bought, ["item"], "day", "_at", ["_p"], forward=forward, plan=counted(left, bought, ["item"]))
         priced = hit.withColumns({"cost": F.col("units") * F.col("_p.unit_cost"), "_paid_in": F.col("_p.currency")})
         settle_part(converted(priced, "cost", "_paid_in", "currency", "day", rates), F.lit(name))
     return reduce(lambda a, b: a.unionByName(b), known)

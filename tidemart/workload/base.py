@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.session import load, scratch_path
+from tidemart.session import load, scratch_path, stored
 
 
 @dataclass(frozen=True)
@@ -68,9 +68,7 @@ class Tables:
 
     def stored(self, df: DataFrame, label: str) -> DataFrame:
         """A frame written as a table and read back, as the target of a run before."""
-        path = self.scratch(label)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return stored(df, self.scratch(label))
 
     def sales(self) -> DataFrame:
         """Order lines with their order's customer, dates and exact amounts."""
