@@ -110,3 +110,36 @@ def test_too_many_ranges_fail_before_anything_is_written(spark, tmp_path, monkey
     with pytest.raises(ValueError, match="greater width"):
         table.merge(rows, lambda target, source: source)
     assert not table.exists()
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_spend_of_an_ad_is_dealt_once(spark, monkeypatch, hot):
+    """Running sums count all accounts of a day, also of NULL ads and days; an ad too large for one task keeps the joins."""
+    from tidemart import session
+    from tidemart.operators import scan
+    from tidemart.plans import traffic
+
+    rng = random.Random(7)
+    rows = [(rng.choice([None, 1, 2, 3]), rng.choice(["promo", "else"]), rng.choice([None, *range(9)]), rng.choice(["EUR", "USD", None]), rng.choice([None, 1_000_000, 2_500_000]), rng.choice([None, 1, 4])) for _ in range(300)]
+    raw = spark.createDataFrame(rows, "ad_id int, account_id string, n int, currency string, spend_micros long, clicks long").withColumn("day", F.date_add(F.lit("2000-01-01").cast("date"), F.col("n"))).drop("n")
+    raw = session.stored(raw, f"{session.scratch_path(spark, 'spend')}")
+    rates = spark.sql("SELECT * FROM VALUES ('EUR', 1.25, 1.00), ('USD', 1.00, 0.80) AS v(currency, usd_rate, local_rate)")
+    names = spark.createDataFrame([(1, "one", 1), (1, "first", 2), (2, "two", 1)], "ad_id int, ad_name string, updated_at int")
+    monkeypatch.setattr(session, "SMALL_BYTES", 0)
+    monkeypatch.setattr(session, "TASK_BYTES", 500)
+    if hot:
+        monkeypatch.setattr(traffic, "key_plan", lambda df, keys: scan.key_plan(df, keys, 20, -1))
+    out = traffic.platform_spend(raw, names, rates, [("promo%", "2000-01-01", "2000-01-04", 0.05)], ["clicks"])
+    got = {(r.ad_id, r.account_id, str(r.day)): (float(r.spend_usd), float(r.spend_usd_to_date), r.clicks_to_date, r.ad_name) for r in out.collect()}
+    day = lambda n: "None" if n is None else f"2000-01-{n + 1:02}"
+    usd = lambda r: (r[4] or 0) / 1e6 * (1.25 if r[3] == "EUR" else 1)
+    upto = lambda r, q: q[0] == r[0] and (q[2] is None or (r[2] is not None and q[2] <= r[2]))
+    want = {}
+    for r in rows:
+        own = [q for q in rows if q[:3] == r[:3]]
+        past = [q for q in rows if upto(r, q)]
+        want[r[0], r[1], day(r[2])] = (sum(map(usd, own)), sum(map(usd, past)), sum(q[5] or 0 for q in past), {1: "first", 2: "two"}.get(r[0]))
+    assert got == want
+    if not hot:
+        text = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert text.count("REPARTITION_BY_NUM") == 1

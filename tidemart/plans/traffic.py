@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.semantics import boundaries, join_keys, latest_by, ratio
 from tidemart.operators.reshape import exact_percentile, first_match
-from tidemart.operators.scan import KeyPlan, Scan, dense_ranks, ordered_scan
+from tidemart.operators.scan import KeyPlan, Scan, dense_ranks, key_plan, ordered_scan
+from tidemart.session import dealt, packed
 
 
 def fill_known(df: DataFrame, key: str, order: Sequence[str], source: str, out: str) -> DataFrame:
@@ -174,7 +175,9 @@ def platform_spend(
     currency and USD, each with and without fees, and the counts.
     """
     units = (F.coalesce("spend_micros", F.lit(0)) / F.lit(MICROS)).cast("decimal(18,4)")
-    known = raw.join(rates, ["currency"], "left")
+    # Ads that fit a task are dealt once, for the sums of a day, the running sums and the names.
+    plan = key_plan(raw, [ad])
+    known = (raw if plan.keys else dealt(raw, ad)).join(rates, ["currency"], "left")
     in_rate = lambda r: F.sum((units * F.coalesce(r, F.lit(1))).cast("decimal(18,4)"))
     priced = known.groupBy(ad, "account_id", day).agg(
         F.sum(units).alias("spend_account"), in_rate("usd_rate").alias("spend_usd"), in_rate("local_rate").alias("spend_local"),
@@ -188,10 +191,15 @@ def platform_spend(
     with_fee = lambda c: (F.col(c) + F.round(F.col(c) * percent, 4)).cast("decimal(28,4)")
     priced = priced.withColumns({"vendor_fee_usd": F.round(F.col("spend_usd") * percent, 4), "account_with_fees": with_fee("spend_account"), "usd_with_fees": with_fee("spend_usd")})
     summed = ["spend_account", "spend_usd", "account_with_fees", "usd_with_fees", *counts]
-    # An ad of several accounts has several rows a day; all of them count for the day.
+    names = latest_by(metadata, [ad], ["updated_at"]).drop("updated_at")
+    if not plan.keys:
+        # An ad of several accounts has several rows a day; all of them count for the day.
+        upto = W.partitionBy(ad).orderBy(day).rangeBetween(W.unboundedPreceding, W.currentRow)
+        return priced.select("*", *[F.sum(c).over(upto).alias(f"{c}_to_date") for c in summed]).join(names, ad, "left")
+    priced = packed(priced)
     daily = priced.groupBy(ad, day).agg(*[F.sum(c).alias(c) for c in summed])
-    running = ordered_scan(daily, [ad], [day], [Scan(f"{c}_to_date", "sum", c) for c in summed]).drop(*summed)
-    return join_keys(priced, running, [ad, day]).join(latest_by(metadata, [ad], ["updated_at"]).drop("updated_at"), ad, "left")
+    running = ordered_scan(daily, [ad], [day], [Scan(f"{c}_to_date", "sum", c) for c in summed], plan=plan).drop(*summed)
+    return join_keys(priced, running, [ad, day]).join(names, ad, "left")
 
 
 def split_by_share(df: DataFrame, shares: DataFrame, on: Sequence[str], share: str, cost: str, counts: Sequence[str]) -> DataFrame:
