@@ -209,3 +209,18 @@ def test_feed_has_no_number_for_one_part(spark, tmp_path):
     assert E.write_feed(spark.range(5), str(tmp_path / "one"), "f") == ["f.csv"]
     names = E.write_feed(spark.range(1000), str(tmp_path / "many"), "f", part_bytes=900)
     assert names[0] == "f-000.csv" and all(os.path.getsize(tmp_path / "many" / n) <= 900 for n in names)
+
+
+def test_many_parts_of_a_feed_are_few_tasks_and_written_once(spark, tmp_path, monkeypatch):
+    """Rows of one length stand together; parts are bounded, hold all rows, and have numbers of more than three digits where they need them."""
+    written = []
+    plain = E.write_delimited
+    monkeypatch.setattr(E, "write_delimited", lambda df, *a, **b: written.append(df.rdd.getNumPartitions()) or plain(df, *a, **b))
+    monkeypatch.setattr(E, "FEW_PARTS", 4)
+    df = spark.range(0, 700_000, 1, 4).select("id", F.repeat(F.lit("x"), F.when(F.col("id") < 350_000, 2).otherwise(6)).alias("text"))
+    names = E.write_feed(df, str(tmp_path / "many"), "f", part_rows=3_000, part_bytes=6_000)
+    assert len(written) == 1 and written[0] < len(names) / 20 and len(names) > 1000
+    assert sorted(n for n in os.listdir(tmp_path / "many") if n.endswith(".csv")) == sorted(names) and names[1000] == "f-1000.csv"
+    assert max(os.path.getsize(tmp_path / "many" / n) for n in names) <= 6_000
+    back = spark.read.schema("id long, text string").option("header", "true").option("sep", "|").csv(str(tmp_path / "many"))
+    assert back.agg(F.count("id"), F.sum("id"), F.sum(F.length("text"))).first() == (700_000, 700_000 * 699_999 // 2, 350_000 * 8)

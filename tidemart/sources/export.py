@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,10 @@ from tidemart.operators.merge import delete_where
 # Fixed values of the feed: rows and bytes of a part.
 FEED_PART_ROWS = 500_000
 FEED_PART_BYTES = 150 * 1024 * 1024
+# Up to so many parts are a task each; of more parts a task writes this many. Files renamed at a time.
+FEW_PARTS = 64
+TASK_PARTS = 64
+RENAMES = 16
 
 
 def write_delimited(
@@ -26,7 +31,7 @@ def write_delimited(
     lower_names: bool = True,
     part_rows: int = 0,
     partition_by: Sequence[str] = (),
-    order: Sequence[str] = (),
+    order: Sequence[Column | str] = (),
 ) -> None:
     """Delimited files written by the executors in parallel."""
     out = df.toDF(*[c.lower() for c in df.columns]) if lower_names else df
@@ -53,24 +58,32 @@ def write_feed(
 ) -> list[str]:
     """Pipe-delimited feed in numbered parts (``name-000.csv`` ...) of bounded rows and bytes; a single part has no number.
 
-    Rows and text size are measured first and dealt evenly, so all parts are written in parallel. Should a part still be
-    too large, the feed is written again in more parts.
+    Rows and text size are measured first and dealt evenly to tasks, each of which writes up to ``TASK_PARTS`` parts one after the other, so
+    their number does not follow that of the parts. Should a part still be too large, the feed is written again in more parts.
     """
     size = reduce(lambda a, b: a + b, [F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 1 for c in df.columns])
     whole = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
-    parts = max(1, -(-whole.n // part_rows), -(-whole.bytes // part_bytes))
+    room = max(1, part_bytes - sum(len(c) + 1 for c in df.columns))
+    parts = max(1, -(-whole.n // part_rows), -(-whole.bytes // room))
     spark = df.sparkSession
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    # Parts of like size differ a little; where there are many, one of them would be too large, and all would be written twice.
+    parts = -(-parts * 21 // 20) if parts > FEW_PARTS else parts
     while True:
-        write_delimited(df.repartition(parts), path, delimiter="|", part_rows=part_rows)
-        files = sorted((f for f in fs.listStatus(hadoop(path)) if f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName())
-        if all(f.getLen() <= part_bytes for f in files) or parts >= whole.n:
+        if parts > FEW_PARTS:
+            # Long rows often stand together, so a task mixes its own; else the parts of those would be too large.
+            mixed, tasks = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])], max(FEW_PARTS, -(-parts // TASK_PARTS))
+            write_delimited(df.repartition(tasks), path, delimiter="|", part_rows=max(1, min(part_rows, whole.n // parts)), order=mixed)
+        else:
+            write_delimited(df.repartition(parts), path, delimiter="|", part_rows=part_rows)
+        files = sorted((p.getName(), f.getLen()) for f in fs.listStatus(hadoop(path)) if (p := f.getPath()).getName().startswith("part-"))
+        if all(length <= part_bytes for _, length in files) or parts >= whole.n:
             break
         parts *= 2
     names = [f"{name}.csv"] if len(files) == 1 else [f"{name}-{i:03}.csv" for i in range(len(files))]
-    for f, new in zip(files, names, strict=True):
-        fs.rename(f.getPath(), hadoop(path, new))
+    with ThreadPoolExecutor(RENAMES) as pool:
+        list(pool.map(lambda pair: fs.rename(hadoop(path, pair[0][0]), hadoop(path, pair[1])), zip(files, names, strict=True)))
     return names
 
 

@@ -162,14 +162,15 @@ def _(t):
     E.write_feed(t.lineitem.select("l_orderkey", "l_partkey", "l_quantity"), many, "lines", part_rows=2_000, part_bytes=20_000)
     E.write_feed(t.nation, one, "nations")
 
-    def report(path):
-        rows = t.spark.read.option("header", "true").option("sep", "|").csv(path).select(F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_size").alias("size"))
+    def report(path, schema):
+        # Without a schema Spark looks for one in the driver, file by file.
+        rows = t.spark.read.schema(schema).option("header", "true").option("sep", "|").csv(path).select(F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_size").alias("size"))
         per = rows.groupBy("f").agg(row_count().alias("n"), F.max("size").alias("size"))
         return per.agg(
-            F.sum("n").alias("n"), (F.max("n") <= 2_000).alias("rows_fit"), (F.max("size") <= 20_000).alias("bytes_fit"), F.bool_and(F.col("f").rlike("-[0-9]{3}.csv$")).alias("numbered")
+            F.sum("n").alias("n"), (F.max("n") <= 2_000).alias("rows_fit"), (F.max("size") <= 20_000).alias("bytes_fit"), F.bool_and(F.col("f").rlike("-[0-9]{3,}.csv$")).alias("numbered")
         )
 
-    both = report(many).unionByName(report(one))
+    both = report(many, "l_orderkey long, l_partkey long, l_quantity double").unionByName(report(one, t.nation.schema))
     return both.select("n", (F.col("rows_fit") & F.col("bytes_fit")).alias("within_part_size"), "numbered")
 
 
