@@ -15,7 +15,7 @@ from tidemart.operators.merge import evolve, insert_update, replace_groups, resc
 from tidemart.operators.reshape import first_match, flatten_object
 from tidemart.operators.scan import KeyPlan, Scan, key_plan, ordered_scan, with_totals
 from tidemart.operators.scd import mart_upsert
-from tidemart.session import dealt, scratch_path, settle
+from tidemart.session import SMALL_BYTES, dealt, input_bytes, packed, scratch_path, settle
 
 STEPS_PER_CUT = 15
 
@@ -252,8 +252,18 @@ def order_fact(
     return assemble(keys, orders, "order_id", steps)
 
 
-def load_fact(target: DataFrame | None, delta: DataFrame, key: Sequence[str], run_ts: Column, newer_by: str | None = None) -> DataFrame:
-    return mart_upsert(target, delta, key, run_ts, newer_by)
+# Parts in which a large fact is merged, one after the other.
+LOAD_PARTS = 4
+
+
+def load_fact(target: DataFrame | None, delta: DataFrame, key: Sequence[str], run_ts: Column, newer_by: str | None = None, parts: int = 1) -> DataFrame:
+    """``mart_upsert``; with ``parts``, which wants both sides as files, a part of the keys at a time, so that only a part is shuffled at once."""
+    if target is None or parts == 1 or input_bytes(target) <= SMALL_BYTES:
+        return mart_upsert(target, delta, key, run_ts, newer_by)
+    kinds = dict(target.dtypes)
+    slot = F.pmod(F.xxhash64(*[F.col(k).cast(kinds[k]) for k in key]), F.lit(parts))
+    done = [packed(mart_upsert(target.filter(slot == i), delta.filter(slot == i), key, run_ts, newer_by), "fact-part") for i in range(parts)]
+    return reduce(lambda a, b: a.unionByName(b), done)
 
 
 def line_ratios(lines: DataFrame, order: str, amount: str, out: str) -> DataFrame:
