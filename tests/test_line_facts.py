@@ -151,6 +151,45 @@ def test_costs_keep_no_copies_of_rows_and_no_shuffles(spark):
     assert not left and rows.count() == 10 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == old
 
 
+def test_a_fact_is_merged_in_parts(spark, monkeypatch):
+    """Part by part the rows are those of one merge, also of NULL keys; every part is kept in files of its own."""
+    from tidemart.session import packed
+
+    old = packed(spark.createDataFrame([(i if i % 9 else None, i % 3, f"v{i}") for i in range(40) if i % 9 or i == 9], "k int, l int, v string"))
+    new = packed(spark.createDataFrame([(i if i % 9 else None, i % 3, f"v{i}" if i % 2 else "w") for i in range(25, 60) if i % 9 or i == 27], "k int, l int, v string"))
+    first = packed(P.load_fact(None, old, ["k", "l"], F.lit("2000-01-01")))
+    load = lambda **more: sorted(map(str, P.load_fact(first, new, ["k", "l"], F.lit("2000-01-02"), **more).collect()))
+    want, kept = load(), []
+    assert load(parts=3) == want  # small, so it is merged at once
+    monkeypatch.setattr(P, "SMALL_BYTES", 0)
+    monkeypatch.setattr(P, "packed", lambda df, label: kept.append(df) or packed(df, label))
+    assert load(parts=3) == want and len(kept) == 3 and sum(df.count() for df in kept) == len(want)
+
+
+def test_activations_meet_the_orders_while_they_are_narrow(spark, monkeypatch):
+    """Nothing that goes by the order is joined before the step that deals rows by the member, whose keys are counted without a copy of them."""
+    from compare import DATA
+
+    from tidemart.workload import registry
+
+    seen, plain = [], P.as_of
+    monkeypatch.setattr(P, "as_of", lambda df, *a, **b: seen.append((len(df.columns), b.get("plan"))) or plain(df, *a, **b))
+    assert registry()["d61_order_fact"](spark, f"{DATA}/sf0.001").count() == spark.read.parquet(f"{DATA}/sf0.001/orders.parquet").count()
+    assert len(seen) == 2 and all(columns == 8 and plan is not None for columns, plan in seen)
+
+
+def test_lines_of_changed_orders_are_picked_before_they_are_summed(spark, monkeypatch):
+    from compare import DATA
+
+    from tidemart.workload import facts, registry
+
+    keys, plain = [], P.order_line_fact
+    monkeypatch.setattr(facts.P, "order_line_fact", lambda k, lines, *a: keys.append((k, lines.select("order_id").distinct().count())) or plain(k, lines, *a))
+    registry()["d62_order_lines"](spark, f"{DATA}/sf0.001").count()
+    changed = spark.read.parquet(f"{DATA}/sf0.001/lineitem.parquet").filter("l_shipdate >= '2000-07-01'").select("l_orderkey").distinct().count()
+    assert [n for _, n in keys][1:] == [changed] and keys[1][0] is None
+
+
 def _disk(spark):
     found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return [found.apply(i).getName() for i in range(found.size())]
